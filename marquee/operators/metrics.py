@@ -172,25 +172,20 @@ def band(value: Column, steps, base: str) -> Column:
 
 # -------------------------------------------------------- long metric record
 
-def day_metrics(me: DataFrame, day) -> DataFrame:
-    """One pass over the day slice: DAU, watch-time (sum, count), starts, finishes."""
+def _day_aggs():
     fin = (F.col("event_type") == FINISHED) & F.col("progress_seconds").isNotNull()
-    return (me.where(F.col("event_date") == _date(day))
-            .agg(F.count_distinct("user_id").alias("dau"),
-                 F.sum(F.when(fin, F.col("progress_seconds"))).cast("double").alias("sum_sec"),
-                 F.count_if(fin).alias("n_fin"),
-                 F.count_if(F.col("event_type") == STARTED).alias("started"),
-                 F.count_if(F.col("event_type") == FINISHED).alias("finished")))
+    return [F.count_distinct("user_id").alias("dau"),
+            F.sum(F.when(fin, F.col("progress_seconds"))).cast("double").alias("sum_sec"),
+            F.count_if(fin).alias("n_fin"),
+            F.count_if(F.col("event_type") == STARTED).alias("started"),
+            F.count_if(F.col("event_type") == FINISHED).alias("finished")]
 
 
-def metrics_long(me: DataFrame, day) -> DataFrame:
-    """(metric_date, metric_name, metric_value, dimensions) for dau,
-    avg_watch_time_sec and view_conversion; dimensions are JSON with sorted keys."""
-    m = day_metrics(me, day)
+def _long_form(m: DataFrame, date_col: Column) -> DataFrame:
     dims = F.to_json(F.struct(F.col("finished").alias("finished"), F.col("started").alias("started")))
     avg = F.coalesce(F.try_divide(F.col("sum_sec"), F.col("n_fin")), F.lit(0.0))
     conv = F.when(F.col("started") > 0, F.col("finished") / F.col("started")).otherwise(F.lit(0.0))
-    stacked = m.select(F.explode(F.array(
+    stacked = m.select(date_col.alias("metric_date"), F.explode(F.array(
         F.struct(F.lit("dau").alias("metric_name"), F.col("dau").cast("double").alias("metric_value"),
                  F.lit("{}").alias("dimensions")),
         F.struct(F.lit("avg_watch_time_sec").alias("metric_name"), avg.alias("metric_value"),
@@ -198,7 +193,22 @@ def metrics_long(me: DataFrame, day) -> DataFrame:
         F.struct(F.lit("view_conversion").alias("metric_name"), conv.alias("metric_value"),
                  dims.alias("dimensions")),
     )).alias("m"))
-    return stacked.select(_date(day).alias("metric_date"), "m.metric_name", "m.metric_value", "m.dimensions")
+    return stacked.select("metric_date", "m.metric_name", "m.metric_value", "m.dimensions")
+
+
+def metrics_long(me: DataFrame, day) -> DataFrame:
+    """(metric_date, metric_name, metric_value, dimensions) for dau,
+    avg_watch_time_sec and view_conversion of one day, in one pass over the
+    day slice; an empty day still yields its three rows (0, 0.0, 0.0).
+    Dimensions are JSON with sorted keys."""
+    m = me.where(F.col("event_date") == _date(day)).agg(*_day_aggs())
+    return _long_form(m, _date(day))
+
+
+def metrics_long_by_day(me: DataFrame) -> DataFrame:
+    """A14 for every day present in ``me`` (one grouped pass)."""
+    m = me.groupBy("event_date").agg(*_day_aggs())
+    return _long_form(m, F.col("event_date"))
 
 
 def yesterday_utc(today: dt.date | None = None) -> dt.date:

@@ -157,3 +157,123 @@ def q_retention_for_run(spark, sf):
 @register("retention_bands")
 def q_retention_bands(spark, sf):
     return r.retention_bands(r.retention_all_cohorts(fx.movie_events(spark, sf), P.MAX_DAY_OFFSET))
+
+
+# ------------------------------------------------------- ingest and storage
+
+from ..sources import events as ev  # noqa: E402
+from ..operators import store as st  # noqa: E402
+from ..operators import export as ex  # noqa: E402
+from . import daily_cycle as dc  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+@register("ingest_typed")
+def q_ingest_typed(spark, sf):
+    return ev.type_events(fx.raw_event_rows(spark, sf))
+
+
+@register("raw_roundtrip")
+def q_raw_roundtrip(spark, sf):
+    """S3: typed events written to the day-partitioned store and read back."""
+    path = scratch_path(spark, "raw-store")
+    stored = ev.with_store_columns(ev.type_events(fx.raw_event_rows(spark, sf)))
+    st.write_raw_events(stored, path)
+    back = st.read_raw_events(spark, path)
+    return back.select(*ev.STORED_COLUMNS)
+
+
+@register("raw_ttl_filter")
+def q_raw_ttl_filter(spark, sf):
+    return st.ttl_filter(fx.movie_events(spark, sf), P.TTL_AS_OF, P.TTL_DAYS)
+
+
+def _earlier_run(me):
+    """What a run during each day saw: events before PARTIAL_CUTOFF_HOUR."""
+    return me.where(F.hour("event_time") < P.PARTIAL_CUTOFF_HOUR)
+
+
+def _earlier_stamp():
+    return (F.col("metric_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(P.PARTIAL_CUTOFF_HOUR)))
+
+
+def _existing_tables(me):
+    early = _earlier_run(me)
+    metrics = m.metrics_long_by_day(early).withColumn("computed_at", _earlier_stamp())
+    top = m.top_movies_by_day(m.movie_views_state(early), P.TOP_N).withColumn("computed_at", _earlier_stamp())
+    ret = (r.retention_all_cohorts(early, P.MAX_DAY_OFFSET)
+           .withColumn("computed_at", F.col("cohort_date").cast("timestamp")
+                       + F.make_dt_interval(hours=F.lit(P.PARTIAL_CUTOFF_HOUR))))
+    return metrics, top, ret
+
+
+@register("upsert_metrics")
+def q_upsert_metrics(spark, sf):
+    me = fx.movie_events(spark, sf)
+    existing, _, _ = _existing_tables(me)
+    new, _, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    return st.key_merge(existing, new, dc.METRIC_KEY_DEFAULT)
+
+
+@register("upsert_metrics_by_name")
+def q_upsert_metrics_by_name(spark, sf):
+    me = fx.movie_events(spark, sf)
+    existing, _, _ = _existing_tables(me)
+    new, _, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    return st.key_merge(existing, new, dc.METRIC_KEY_BY_NAME)
+
+
+@register("replace_top_day")
+def q_replace_top_day(spark, sf):
+    me = fx.movie_events(spark, sf)
+    _, existing, _ = _existing_tables(me)
+    _, new, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    return st.replace_partition(existing, new, "metric_date", [P.RUN_DATE])
+
+
+@register("upsert_retention")
+def q_upsert_retention(spark, sf):
+    me = fx.movie_events(spark, sf)
+    _, _, existing = _existing_tables(me)
+    _, _, new = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    return st.key_merge(existing, new, ["cohort_date", "day_offset"])
+
+
+@register("daily_cycle")
+def q_daily_cycle(spark, sf):
+    """U4 end to end: seed the three tables with the earlier runs, run the
+    cycle for RUN_DATE (three partition upserts), count what it left."""
+    me = fx.movie_events(spark, sf)
+    root = scratch_path(spark, "metric-tables")
+    em, et, er = _existing_tables(me)
+    st.upsert_table(spark, f"{root}/metrics_daily", em, dc.METRIC_KEY_DEFAULT, "metric_date")
+    st.upsert_table(spark, f"{root}/top_movies_daily", et, ["metric_date"], "metric_date", True)
+    st.upsert_table(spark, f"{root}/retention_cohort", er, ["cohort_date", "day_offset"], "cohort_date")
+    run = dc.daily_cycle(spark, me, root, P.RUN_DATE, F.lit(P.COMPUTED_AT).cast("timestamp"))
+    return dc.cycle_counts(run["tables"], P.RUN_DATE)
+
+
+def _cycle_tables(spark, sf):
+    me = fx.movie_events(spark, sf)
+    em, et, er = _existing_tables(me)
+    nm, nt, nr = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    return (st.key_merge(em, nm, dc.METRIC_KEY_DEFAULT),
+            st.replace_partition(et, nt, "metric_date", [P.RUN_DATE]),
+            st.key_merge(er, nr, ["cohort_date", "day_offset"]))
+
+
+@register("metrics_for_date")
+def q_metrics_for_date(spark, sf):
+    return ex.metrics_for_date(*_cycle_tables(spark, sf), P.RUN_DATE)
+
+
+@register("export_union")
+def q_export_union(spark, sf):
+    return ex.export_union(*_cycle_tables(spark, sf), P.RUN_DATE)
+
+
+@register("export_union_cohort")
+def q_export_union_cohort(spark, sf):
+    """Export of a date whose cohort is stored (the day after a cycle that
+    refreshed it), so the retention section is not empty."""
+    return ex.export_union(*_cycle_tables(spark, sf), P.COHORT_DATE)

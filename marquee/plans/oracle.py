@@ -149,3 +149,147 @@ SELECT strftime(a.cohort_date, '%Y-%m-%d') AS cohort_date,
 {HEAT_COLS}
 FROM activity a JOIN cohort_sizes s USING (cohort_date)
 GROUP BY a.cohort_date ORDER BY a.cohort_date DESC LIMIT {P.HEATMAP_LIMIT}""", [FIRST_DAY, ACTIVITY, SIZES])
+
+# ------------------------------------------------------- ingest and storage
+
+TYPED = """
+SELECT lower(event_id) AS event_id, user_id, movie_id, event_type,
+       date_trunc('millisecond', event_time) AS event_time, device_type, session_id, progress_seconds
+FROM movie_events"""
+
+sql("ingest_typed", ME, TYPED)
+
+sql("raw_roundtrip", ME, """
+SELECT lower(event_id) AS event_id, user_id, movie_id, event_type,
+       date_trunc('millisecond', event_time) AS event_time, event_date, device_type, session_id, progress_seconds
+FROM movie_events""")
+
+sql("raw_ttl_filter", ME, f"""
+SELECT * FROM movie_events WHERE event_date > DATE '{P.TTL_AS_OF}' - INTERVAL {P.TTL_DAYS} DAY""")
+
+CA = f"TIMESTAMP '{P.COMPUTED_AT}'"
+EARLY = ("early", f"SELECT * FROM movie_events WHERE hour(event_time) < {P.PARTIAL_CUTOFF_HOUR}")
+EARLY_STAMP = f"CAST(metric_date AS TIMESTAMP) + INTERVAL {P.PARTIAL_CUTOFF_HOUR} HOUR"
+
+
+def _day_aggs_sql(src: str, where: str = "", group: bool = True) -> str:
+    fin = "event_type = 'VIEW_FINISHED' AND progress_seconds IS NOT NULL"
+    return f"""
+SELECT {'event_date' if group else RD} AS metric_date, count(DISTINCT user_id) AS dau,
+       CAST(sum(progress_seconds) FILTER (WHERE {fin}) AS DOUBLE) AS sum_sec,
+       count(*) FILTER (WHERE {fin}) AS n_fin,
+       count(*) FILTER (WHERE event_type = 'VIEW_STARTED') AS started,
+       count(*) FILTER (WHERE event_type = 'VIEW_FINISHED') AS finished
+FROM {src} {where} {'GROUP BY event_date' if group else ''}"""
+
+
+def _long_sql(aggs: str, stamp: str) -> str:
+    return f"""
+SELECT metric_date, 'dau' AS metric_name, CAST(dau AS DOUBLE) AS metric_value, '{{}}' AS dimensions,
+       {stamp} AS computed_at FROM {aggs}
+UNION ALL
+SELECT metric_date, 'avg_watch_time_sec', round(coalesce(sum_sec / nullif(n_fin, 0), 0.0), 6), '{{}}', {stamp}
+FROM {aggs}
+UNION ALL
+SELECT metric_date, 'view_conversion', round(CASE WHEN started > 0 THEN finished / started ELSE 0.0 END, 6),
+       '{{"finished":' || CAST(finished AS VARCHAR) || ',"started":' || CAST(started AS VARCHAR) || '}}', {stamp}
+FROM {aggs}"""
+
+
+def _top_sql(src: str, where: str, stamp: str) -> str:
+    return f"""
+SELECT metric_date, movie_id, rank, views, {stamp} AS computed_at FROM (
+  SELECT event_date AS metric_date, movie_id, count(*) AS views,
+         CAST(row_number() OVER (PARTITION BY event_date ORDER BY count(*) DESC, movie_id) AS INTEGER) AS rank
+  FROM {src} WHERE event_type = 'VIEW_STARTED' {where} GROUP BY event_date, movie_id) t
+WHERE rank <= {P.TOP_N}"""
+
+
+def _retention_ctes(src: str, p: str) -> list[tuple[str, str]]:
+    return [
+        (f"{p}_first", f"SELECT user_id, min(event_date) AS cohort_date FROM {src} GROUP BY user_id"),
+        (f"{p}_act", f"""
+SELECT DISTINCT f.cohort_date, e.user_id, CAST(date_diff('day', f.cohort_date, e.event_date) AS INTEGER) AS day_offset
+FROM {src} e JOIN {p}_first f USING (user_id)
+WHERE date_diff('day', f.cohort_date, e.event_date) BETWEEN 0 AND {P.MAX_DAY_OFFSET}"""),
+        (f"{p}_sizes", f"SELECT cohort_date, count(*) AS total FROM {p}_first GROUP BY cohort_date"),
+        (f"{p}_ret", f"""
+SELECT a.cohort_date, a.day_offset, CAST(s.total AS INTEGER) AS cohort_size,
+       CAST(count(DISTINCT a.user_id) AS INTEGER) AS returned,
+       round(count(DISTINCT a.user_id) / s.total, 6) AS retention_pct
+FROM {p}_act a JOIN {p}_sizes s USING (cohort_date) GROUP BY a.cohort_date, a.day_offset, s.total"""),
+    ]
+
+
+CYCLE = [
+    EARLY,
+    ("early_aggs", _day_aggs_sql("early")),
+    ("m_exist", _long_sql("early_aggs", EARLY_STAMP)),
+    ("new_aggs", _day_aggs_sql("movie_events", f"WHERE event_date = {RD}", group=False)),
+    ("m_new", _long_sql("new_aggs", CA)),
+    ("t_exist", _top_sql("early", "", EARLY_STAMP)),
+    ("t_new", _top_sql("movie_events", f"AND event_date = {RD}", CA)),
+    *_retention_ctes("early", "re"),
+    ("r_exist", f"""SELECT *, CAST(cohort_date AS TIMESTAMP) + INTERVAL {P.PARTIAL_CUTOFF_HOUR} HOUR AS computed_at
+FROM re_ret"""),
+    *_retention_ctes("movie_events", "rn"),
+    ("r_new", f"""SELECT *, {CA} AS computed_at FROM rn_ret
+WHERE cohort_date IN ({RD} - INTERVAL 1 DAY, {RD} - INTERVAL 7 DAY)"""),
+    ("m_merged", """
+SELECT * FROM m_exist e WHERE NOT EXISTS (
+  SELECT 1 FROM m_new n WHERE n.metric_date = e.metric_date AND n.metric_name = e.metric_name
+                          AND n.dimensions = e.dimensions)
+UNION ALL SELECT * FROM m_new"""),
+    ("t_merged", f"SELECT * FROM t_exist WHERE metric_date <> {RD} UNION ALL SELECT * FROM t_new"),
+    ("r_merged", """
+SELECT * FROM r_exist e WHERE NOT EXISTS (
+  SELECT 1 FROM r_new n WHERE n.cohort_date = e.cohort_date AND n.day_offset = e.day_offset)
+UNION ALL SELECT * FROM r_new"""),
+]
+
+sql("upsert_metrics", ME, "SELECT * FROM m_merged", CYCLE)
+
+sql("upsert_metrics_by_name", ME, """
+SELECT * FROM m_exist e WHERE NOT EXISTS (
+  SELECT 1 FROM m_new n WHERE n.metric_date = e.metric_date AND n.metric_name = e.metric_name)
+UNION ALL SELECT * FROM m_new""", CYCLE)
+
+sql("replace_top_day", ME, "SELECT * FROM t_merged", CYCLE)
+
+sql("upsert_retention", ME, "SELECT * FROM r_merged", CYCLE)
+
+sql("daily_cycle", ME, f"""
+SELECT {RD} AS run_date, m.n AS metrics, t.n AS top, r.n AS retention, CAST(m.n + t.n + r.n AS BIGINT) AS records
+FROM (SELECT count(*) AS n FROM m_merged WHERE metric_date = {RD}) m,
+     (SELECT count(*) AS n FROM t_merged WHERE metric_date = {RD}) t,
+     (SELECT count(*) AS n FROM r_merged WHERE cohort_date IN ({RD} - INTERVAL 1 DAY, {RD} - INTERVAL 7 DAY)) r""",
+    CYCLE)
+
+sql("metrics_for_date", ME, f"""
+SELECT 'metrics' AS section, metric_name AS name, metric_value AS value, CAST(NULL AS INTEGER) AS rank_or_offset
+FROM m_merged WHERE metric_date = {RD}
+UNION ALL
+SELECT 'top_movies', movie_id, CAST(views AS DOUBLE), rank FROM t_merged WHERE metric_date = {RD}
+UNION ALL
+SELECT 'retention', strftime(cohort_date, '%Y-%m-%d'), retention_pct, day_offset FROM r_merged
+WHERE cohort_date = {RD}""", CYCLE)
+
+
+def _export_sql(day: str) -> str:
+    return f"""
+SELECT 'metrics' AS "table", metric_date, metric_name, metric_value, dimensions, computed_at,
+       CAST(NULL AS VARCHAR) AS movie_id, CAST(NULL AS INTEGER) AS rank, CAST(NULL AS BIGINT) AS views,
+       CAST(NULL AS DATE) AS cohort_date, CAST(NULL AS INTEGER) AS day_offset, CAST(NULL AS INTEGER) AS cohort_size,
+       CAST(NULL AS INTEGER) AS returned, CAST(NULL AS DOUBLE) AS retention_pct
+FROM m_merged WHERE metric_date = {day}
+UNION ALL
+SELECT 'top_movies', metric_date, NULL, NULL, NULL, computed_at, movie_id, rank, views, NULL, NULL, NULL, NULL, NULL
+FROM t_merged WHERE metric_date = {day}
+UNION ALL
+SELECT 'retention', NULL, NULL, NULL, NULL, computed_at, NULL, NULL, NULL, cohort_date, day_offset, cohort_size,
+       returned, retention_pct
+FROM r_merged WHERE cohort_date = {day}"""
+
+
+sql("export_union", ME, _export_sql(RD), CYCLE)
+sql("export_union_cohort", ME, _export_sql(CD), CYCLE)

@@ -7,7 +7,6 @@ only touch the days they produce.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,6 +20,7 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -73,7 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_tmp_allowed(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") and os.path.isdir("/tmp")
