@@ -277,3 +277,55 @@ def q_export_union_cohort(spark, sf):
     """Export of a date whose cohort is stored (the day after a cycle that
     refreshed it), so the retention section is not empty."""
     return ex.export_union(*_cycle_tables(spark, sf), P.COHORT_DATE)
+
+
+# ------------------------------------------------------- validation, audits
+
+from ..operators import quality as qa  # noqa: E402
+
+
+@register("event_contract_rejects")
+def q_event_contract_rejects(spark, sf):
+    return qa.event_contract_rejects(fx.event_candidates(spark, sf))
+
+
+@register("product_contract_rejects")
+def q_product_contract_rejects(spark, sf):
+    return qa.product_contract_rejects(fx.product_payloads(spark, sf))
+
+
+@register("order_contract_rejects")
+def q_order_contract_rejects(spark, sf):
+    return qa.order_contract_rejects(fx.order_payloads(spark, sf))
+
+
+@register("login_contract_rejects")
+def q_login_contract_rejects(spark, sf):
+    return qa.login_contract_rejects(fx.login_payloads(spark, sf))
+
+
+def audit_tables(spark, sf):
+    return {"products": fx.products(spark, sf), "promo_codes": fx.promo_codes(spark, sf),
+            "users": fx.users(spark, sf), "flights": fx.flights(spark, sf),
+            "seat_requests": fx.seat_requests(spark, sf), "bookings": fx.bookings(spark, sf),
+            "order_items": fx.order_items(spark, sf), "orders": fx.orders(spark, sf)}
+
+
+@register("constraint_audit")
+def q_constraint_audit(spark, sf):
+    return qa.constraint_audit(audit_tables(spark, sf))
+
+
+@register("session_sequence_audit")
+def q_session_sequence_audit(spark, sf):
+    return qa.session_sequence_audit(fx.movie_events(spark, sf))
+
+
+@register("event_dedup")
+def q_event_dedup(spark, sf):
+    return qa.dedup_events(fx.redelivered_events(spark, sf), "event_id", ["delivery"])
+
+
+@register("session_rollup")
+def q_session_rollup(spark, sf):
+    return qa.session_rollup(fx.movie_events(spark, sf))

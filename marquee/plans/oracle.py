@@ -293,3 +293,130 @@ FROM r_merged WHERE cohort_date = {day}"""
 
 sql("export_union", ME, _export_sql(RD), CYCLE)
 sql("export_union_cohort", ME, _export_sql(CD), CYCLE)
+
+# ------------------------------------------------------- validation, audits
+
+
+def _reasons_sql(rules: list[tuple[str, str]]) -> str:
+    items = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for cond, name in sorted(rules, key=lambda r: r[1]))
+    return f"concat_ws(',', {items})"
+
+
+UUID_SQL = ("regexp_full_match(regexp_replace(regexp_replace(regexp_replace(regexp_replace(event_id, 'urn:', '', 'g'),"
+            " 'uuid:', '', 'g'), '^\\{|\\}$', '', 'g'), '-', '', 'g'), '[0-9a-fA-F]{32}')")
+EVENT_TYPES_SQL = "('VIEW_STARTED','VIEW_FINISHED','VIEW_PAUSED','VIEW_RESUMED','LIKED','SEARCHED')"
+DEVICES_SQL = "('MOBILE','DESKTOP','TV','TABLET')"
+
+EVENT_RULES = [
+    (f"event_id IS NOT NULL AND NOT {UUID_SQL}", "event_id:not_uuid"),
+    ("user_id IS NULL OR length(user_id) < 1", "user_id:empty"),
+    ("movie_id IS NULL OR length(movie_id) < 1", "movie_id:empty"),
+    ("session_id IS NULL OR length(session_id) < 1", "session_id:empty"),
+    (f"event_type IS NULL OR event_type NOT IN {EVENT_TYPES_SQL}", "event_type:unknown"),
+    (f"device_type IS NULL OR device_type NOT IN {DEVICES_SQL}", "device_type:unknown"),
+    ("progress_seconds < 0", "progress_seconds:negative"),
+]
+sql("event_contract_rejects", ["event_candidates"], f"""
+SELECT row_id, reasons FROM (SELECT row_id, {_reasons_sql(EVENT_RULES)} AS reasons FROM event_candidates) t
+WHERE reasons <> ''""")
+
+PRODUCT_RULES = [
+    ("name IS NULL OR length(name) < 1 OR length(name) > 255", "name:length"),
+    ("length(description) > 4000", "description:length"),
+    ("price IS NULL OR price < 0.01", "price:min"),
+    ("stock IS NULL OR stock < 0", "stock:min"),
+    ("category IS NULL OR length(category) < 1 OR length(category) > 100", "category:length"),
+    ("status IS NULL OR status NOT IN ('ACTIVE','INACTIVE','ARCHIVED')", "status:unknown"),
+]
+sql("product_contract_rejects", ["product_payloads"], f"""
+SELECT id, reasons FROM (SELECT id, {_reasons_sql(PRODUCT_RULES)} AS reasons FROM product_payloads) t
+WHERE reasons <> ''""")
+
+ORDER_RULES = [
+    ("len(items) < 1", "items:empty"),
+    ("len(items) > 50", "items:too_many"),
+    ("NOT list_bool_and([it.quantity BETWEEN 1 AND 999 FOR it IN items])", "items:quantity"),
+    ("promo_code IS NOT NULL AND NOT regexp_full_match(promo_code, '[A-Z0-9_]{4,20}')", "promo_code:pattern"),
+]
+sql("order_contract_rejects", ["order_payloads"], f"""
+SELECT order_id, reasons FROM (SELECT order_id, {_reasons_sql(ORDER_RULES)} AS reasons FROM order_payloads) t
+WHERE reasons <> ''""")
+
+LOGIN_RULES = [
+    ("username IS NULL OR length(username) < 1", "username:empty"),
+    ("password IS NULL OR length(password) < 8 OR length(password) > 72", "password:length"),
+]
+sql("login_contract_rejects", ["login_payloads"], f"""
+SELECT id, reasons FROM (SELECT id, {_reasons_sql(LOGIN_RULES)} AS reasons FROM login_payloads) t
+WHERE reasons <> ''""")
+
+
+def _chk(table: str, rule: str, key: str, cond: str) -> str:
+    return f"SELECT '{rule}' AS rule, CAST({key} AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n FROM {table} WHERE {cond}"
+
+
+def _uniq(table: str, rule: str, cols: list[str]) -> str:
+    k = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols) if len(cols) > 1 \
+        else f"CAST({cols[0]} AS VARCHAR)"
+    return f"SELECT '{rule}', k, count(*) FROM (SELECT {k} AS k FROM {table}) u GROUP BY k HAVING count(*) > 1"
+
+
+def _fk(child: str, col: str, parent: str, pcol: str, rule: str) -> str:
+    return (f"SELECT '{rule}', CAST({col} AS VARCHAR), count(*) FROM {child} c WHERE {col} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col}) GROUP BY {col}")
+
+
+AUDIT = "\nUNION ALL\n".join([
+    _chk("products", "products.price_positive", "id", "price <= 0"),
+    _chk("products", "products.stock_nonnegative", "id", "stock < 0"),
+    _uniq("promo_codes", "promo_codes.code_unique", ["code"]),
+    _uniq("users", "users.username_unique", ["username"]),
+    _chk("flights", "flights.total_seats_positive", "id", "total_seats <= 0"),
+    _chk("flights", "flights.available_nonnegative", "id", "available_seats < 0"),
+    _chk("flights", "flights.price_positive", "id", "price <= 0"),
+    _chk("flights", "flights.available_within_total", "id", "available_seats > total_seats"),
+    _uniq("flights", "flights.number_date_unique", ["flight_number", "CAST(departure_time AS DATE)"]),
+    _uniq("seat_requests", "seat_reservations.booking_unique", ["booking_id"]),
+    _chk("seat_requests", "seat_reservations.seat_count_positive", "booking_id", "seats <= 0"),
+    _chk("bookings", "bookings.seat_count_positive", "booking_id", "seat_count <= 0"),
+    _uniq("bookings", "bookings.booking_unique", ["booking_id"]),
+    _fk("order_items", "product_id", "products", "id", "order_items.product_fk"),
+    _fk("order_items", "order_id", "m_orders", "id", "order_items.order_fk"),
+    _fk("m_orders", "promo_code", "promo_codes", "code", "orders.promo_fk"),
+    _fk("bookings", "flight_id", "flights", "id", "bookings.flight_fk"),
+])
+sql("constraint_audit", ["products", "promo_codes", "users", "flights", "seat_requests", "bookings",
+                         "order_items", "m_orders"], AUDIT)
+
+sql("session_sequence_audit", ME, """
+SELECT s.session_id, s.events, s.starts_ok, coalesce(f.progress_falls, false) AS progress_falls, s.after_finish
+FROM (SELECT session_id, count(*) AS events,
+             bool_or(rn = 1 AND event_type = 'VIEW_STARTED') AS starts_ok,
+             coalesce(max(rn) > min(rn) FILTER (WHERE event_type = 'VIEW_FINISHED'), false) AS after_finish
+      FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_time, event_id) AS rn
+            FROM movie_events) o
+      GROUP BY session_id) s
+LEFT JOIN (SELECT session_id, bool_or(coalesce(progress_seconds < prior_max, false)) AS progress_falls
+           FROM (SELECT session_id, progress_seconds,
+                        max(progress_seconds) OVER (PARTITION BY session_id ORDER BY event_time, event_id
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_max
+                 FROM movie_events WHERE progress_seconds IS NOT NULL) p
+           GROUP BY session_id) f USING (session_id)""")
+
+sql("event_dedup", ["movie_events", "redelivered_events"], """
+SELECT event_id, delivery, user_id, movie_id, event_type, event_time, event_date, device_type, session_id,
+       progress_seconds
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY delivery, user_id, movie_id, event_type,
+                                   event_time, event_date, device_type, session_id, progress_seconds) AS rn
+      FROM redelivered_events) t
+WHERE rn = 1""")
+
+sql("session_rollup", ME, """
+SELECT session_id, min(event_time) AS started_at, max(event_time) AS ended_at,
+       max(progress_seconds) FILTER (WHERE lp = 1) AS last_progress,
+       count(*) FILTER (WHERE event_type = 'VIEW_FINISHED') > 0 AS finished
+FROM (SELECT *, CASE WHEN progress_seconds IS NOT NULL THEN
+                  row_number() OVER (PARTITION BY session_id, progress_seconds IS NOT NULL
+                                     ORDER BY event_time DESC, event_id DESC) END AS lp
+      FROM movie_events) t
+GROUP BY session_id""")

@@ -76,6 +76,95 @@ def raw_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer-side rows before validation (V1): the movie-event mapping,
+    with contract breaks placed by the props number ``k``."""
+    e = read_table(spark, sf_dir, "events")
+    k = _k()
+    et = F.col("event_type")
+    t = F.col("ts").cast("timestamp")
+    uid = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
+    eid = F.col("event_id").cast("string")
+    return e.select(
+        F.col("event_id").alias("row_id"),
+        F.when(k % 10 == 0, F.lit(None).cast("string"))
+        .when(k % 10 == 1, F.concat(F.lit("evt-"), eid))
+        .otherwise(F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(eid, 12, "0"))).alias("event_id"),
+        F.when(k == 2, F.lit("")).otherwise(uid).alias("user_id"),
+        F.concat(F.lit("movie_"), (k % 50).cast("string")).alias("movie_id"),
+        F.when(et == "view", "VIEW_STARTED").when(et == "purchase", "VIEW_FINISHED")
+        .when(et == "click", "VIEW_PAUSED").when(et == "signup", "LIKED")
+        .when(k % 2 == 0, "WATCH_SOMETHING").otherwise("SEARCHED").alias("event_type"),
+        F.unix_millis(t).alias("timestamp"),
+        F.when(k == 3, F.lit("FRIDGE")).otherwise(_pick(k % 4, DEVICE_TYPES)).alias("device_type"),
+        F.when(k == 4, F.lit("")).otherwise(F.concat_ws("-", uid, F.date_format(t, "yyyy-MM-dd"))).alias("session_id"),
+        F.when(k == 5, F.lit(-1))
+        .when(et.isin("view", "purchase", "click"), F.floor("value").cast("int")).alias("progress_seconds"),
+    )
+
+
+def redelivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored events as the store sees them after at-least-once delivery:
+    every event once (delivery 1), events with k < 20 a second time."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "props")
+    k = _k()
+    again = e.where(k < 20).select("event_id")
+    me = movie_events(spark, sf_dir)
+    first = me.withColumn("delivery", F.lit(1))
+    second = (me.join(again.select(F.col("event_id").cast("string").alias("event_id")), "event_id")
+              .withColumn("delivery", F.lit(2)))
+    return first.unionByName(second)
+
+
+def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product create payloads (V2), breaks placed by the part key."""
+    p = read_table(spark, sf_dir, "part")
+    pid = F.col("p_partkey")
+    return p.select(
+        pid.alias("id"),
+        F.when(pid % 97 == 0, F.lit("")).otherwise(F.col("p_name")).alias("name"),
+        F.when(pid % 89 == 0, F.repeat(F.col("p_type"), 200)).otherwise(F.col("p_brand")).alias("description"),
+        F.when(pid % 83 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice")).alias("price"),
+        F.when(pid % 79 == 0, F.lit(-1)).otherwise(F.col("p_size") * 10).alias("stock"),
+        F.when(pid % 73 == 0, F.lit("")).otherwise(F.col("p_type")).alias("category"),
+        F.when(pid % 71 == 0, F.lit("SOLD")).when(pid % 10 == 0, F.lit("INACTIVE"))
+        .otherwise(F.lit("ACTIVE")).alias("status"),
+    )
+
+
+def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order create payloads (V2): the order's line items as an array, the
+    promo code lower-cased for every 13th order."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    li = read_table(spark, sf_dir, "lineitem")
+    items = (li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("line_no"),
+        F.col("l_partkey").alias("product_id"),
+        (F.col("l_quantity").cast("int") * F.when(F.col("l_linenumber") == 7, 20).otherwise(1)).alias("quantity"),
+    )).alias("items")))
+    oid = F.col("o_orderkey")
+    code = F.when(oid % 7 < 6, F.concat(F.lit("PROMO"), (oid % 7).cast("string")))
+    return (o.join(items, o["o_orderkey"] == items["l_orderkey"], "left")
+            .select(oid.alias("order_id"),
+                    F.coalesce(F.col("items"), F.array().cast(
+                        "array<struct<line_no:int,product_id:bigint,quantity:int>>")).alias("items"),
+                    F.when(oid % 13 == 0, F.lower(code)).otherwise(code).alias("promo_code")))
+
+
+def login_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    pw = F.concat_ws("-", F.col("c_mktsegment"), F.col("c_acctbal").cast("string"))
+    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"),
+                    F.when(F.col("c_custkey") % 17 == 0, F.substring(pw, 1, 5))
+                    .when(F.col("c_custkey") % 19 == 0, F.repeat(pw, 5)).otherwise(pw).alias("password"))
+
+
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"),
+                    F.when(F.col("c_custkey") % 50 == 0, "ADMIN").otherwise("USER").alias("role"))
+
+
 # ---------------------------------------------------------------- marketplace
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +426,59 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        'user_' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS session_id,
        CASE WHEN event_type IN ('view', 'purchase', 'click') THEN CAST(floor(value) AS INTEGER) END AS progress_seconds
 FROM events""",
+    "event_candidates": f"""
+SELECT event_id AS row_id,
+       CASE WHEN {K_SQL} % 10 = 0 THEN NULL
+            WHEN {K_SQL} % 10 = 1 THEN 'evt-' || CAST(event_id AS VARCHAR)
+            ELSE '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') END AS event_id,
+       CASE WHEN {K_SQL} = 2 THEN '' ELSE 'user_' || CAST(user_id AS VARCHAR) END AS user_id,
+       'movie_' || CAST({K_SQL} % 50 AS VARCHAR) AS movie_id,
+       CASE event_type WHEN 'view' THEN 'VIEW_STARTED' WHEN 'purchase' THEN 'VIEW_FINISHED'
+            WHEN 'click' THEN 'VIEW_PAUSED' WHEN 'signup' THEN 'LIKED'
+            ELSE CASE WHEN {K_SQL} % 2 = 0 THEN 'WATCH_SOMETHING' ELSE 'SEARCHED' END END AS event_type,
+       epoch_ms(CAST(ts AS TIMESTAMP)) AS timestamp,
+       CASE WHEN {K_SQL} = 3 THEN 'FRIDGE' ELSE
+            CASE {K_SQL} % 4 WHEN 0 THEN 'MOBILE' WHEN 1 THEN 'DESKTOP' WHEN 2 THEN 'TV' ELSE 'TABLET' END
+       END AS device_type,
+       CASE WHEN {K_SQL} = 4 THEN '' ELSE 'user_' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d')
+       END AS session_id,
+       CASE WHEN {K_SQL} = 5 THEN -1
+            WHEN event_type IN ('view', 'purchase', 'click') THEN CAST(floor(value) AS INTEGER) END AS progress_seconds
+FROM events""",
+    "product_payloads": """
+SELECT p_partkey AS id,
+       CASE WHEN p_partkey % 97 = 0 THEN '' ELSE p_name END AS name,
+       CASE WHEN p_partkey % 89 = 0 THEN repeat(p_type, 200) ELSE p_brand END AS description,
+       CASE WHEN p_partkey % 83 = 0 THEN 0.0 ELSE p_retailprice END AS price,
+       CASE WHEN p_partkey % 79 = 0 THEN -1 ELSE p_size * 10 END AS stock,
+       CASE WHEN p_partkey % 73 = 0 THEN '' ELSE p_type END AS category,
+       CASE WHEN p_partkey % 71 = 0 THEN 'SOLD' WHEN p_partkey % 10 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
+FROM part""",
+    "order_payloads": """
+SELECT o.o_orderkey AS order_id,
+       coalesce(i.items, []) AS items,
+       CASE WHEN o.o_orderkey % 13 = 0 THEN lower(CASE WHEN o.o_orderkey % 7 < 6
+                                                 THEN 'PROMO' || CAST(o.o_orderkey % 7 AS VARCHAR) END)
+            ELSE CASE WHEN o.o_orderkey % 7 < 6 THEN 'PROMO' || CAST(o.o_orderkey % 7 AS VARCHAR) END
+       END AS promo_code
+FROM orders o LEFT JOIN (
+  SELECT l_orderkey, list({'line_no': l_linenumber, 'product_id': l_partkey,
+                           'quantity': CAST(l_quantity AS INTEGER) * CASE WHEN l_linenumber = 7 THEN 20 ELSE 1 END})
+         AS items
+  FROM lineitem GROUP BY l_orderkey) i ON o.o_orderkey = i.l_orderkey""",
+    "login_payloads": """
+SELECT c_custkey AS id, c_name AS username,
+       CASE WHEN c_custkey % 17 = 0 THEN substring(pw, 1, 5) WHEN c_custkey % 19 = 0 THEN repeat(pw, 5) ELSE pw END
+           AS password
+FROM (SELECT *, c_mktsegment || '-' || CAST(c_acctbal AS VARCHAR) AS pw FROM customer) c""",
+    "users": """
+SELECT c_custkey AS id, c_name AS username, CASE WHEN c_custkey % 50 = 0 THEN 'ADMIN' ELSE 'USER' END AS role
+FROM customer""",
+    "redelivered_events": f"""
+SELECT *, 1 AS delivery FROM movie_events
+UNION ALL
+SELECT m.*, 2 AS delivery FROM movie_events m
+JOIN (SELECT CAST(event_id AS VARCHAR) AS event_id FROM events WHERE {K_SQL} < 20) a USING (event_id)""",
     "products": """
 SELECT p_partkey AS id, p_name AS name, p_brand AS description,
        CAST(p_retailprice AS DECIMAL(12,2)) AS price, p_size * 10 AS stock, p_type AS category,
