@@ -1,0 +1,25 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes scaled by the
+    projection for scans; exact for local relations)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is within ``max_bytes``;
+    otherwise ``df`` unchanged, so the planner picks a shuffled join (and
+    AQE may still switch to broadcast at run time from real sizes)."""
+    try:
+        size = estimated_bytes(df)
+    except Exception:  # no statistics: leave the choice to the planner
+        return df
+    return F.broadcast(df) if size <= max_bytes else df

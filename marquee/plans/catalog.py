@@ -329,3 +329,75 @@ def q_event_dedup(spark, sf):
 @register("session_rollup")
 def q_session_rollup(spark, sf):
     return qa.session_rollup(fx.movie_events(spark, sf))
+
+
+# ------------------------------------------------------------------ orders
+
+from ..operators import orders as od  # noqa: E402
+
+
+@register("order_totals")
+def q_order_totals(spark, sf):
+    return od.order_totals(fx.order_items(spark, sf))
+
+
+@register("promo_discounts")
+def q_promo_discounts(spark, sf):
+    return od.promo_evaluation(fx.orders(spark, sf), od.order_totals(fx.order_items(spark, sf)),
+                               fx.promo_codes(spark, sf))
+
+
+@register("order_admission")
+def q_order_admission(spark, sf):
+    return od.order_admission(fx.orders(spark, sf), fx.order_items(spark, sf), fx.products(spark, sf),
+                              fx.promo_codes(spark, sf), fx.user_operations(spark, sf))
+
+
+@register("stock_oversell")
+def q_stock_oversell(spark, sf):
+    return od.stock_oversell(fx.order_items(spark, sf), fx.orders(spark, sf), fx.products(spark, sf))
+
+
+@register("cancel_effects")
+def q_cancel_effects(spark, sf):
+    return od.cancel_effects(fx.orders(spark, sf), fx.order_items(spark, sf), fx.promo_codes(spark, sf),
+                             fx.cancel_requests(spark, sf), fx.callers(spark, sf))
+
+
+@register("promo_usage")
+def q_promo_usage(spark, sf):
+    return od.promo_usage(fx.orders(spark, sf), fx.order_items(spark, sf), fx.promo_codes(spark, sf))
+
+
+@register("active_order_conflicts")
+def q_active_order_conflicts(spark, sf):
+    return od.active_order_conflicts(fx.orders(spark, sf))
+
+
+@register("rate_limit_hits")
+def q_rate_limit_hits(spark, sf):
+    return od.rate_limit_hits(fx.user_operations(spark, sf), P.RATE_LIMIT_SECONDS)
+
+
+@register("product_page")
+def q_product_page(spark, sf):
+    return od.product_page(fx.products(spark, sf), P.PAGE_STATUS, None, P.PAGE, P.PAGE_SIZE)
+
+
+@register("lookup_missing_keys")
+def q_lookup_missing_keys(spark, sf):
+    return od.lookup_missing_keys([
+        ("product", fx.order_items(spark, sf), "product_id", fx.products(spark, sf), "id"),
+        ("flight", fx.seat_requests(spark, sf), "flight_id", fx.flights(spark, sf), "id"),
+        ("caller", fx.cancel_requests(spark, sf), "caller_id", fx.callers(spark, sf), "user_id"),
+    ])
+
+
+@register("ownership_violations")
+def q_ownership_violations(spark, sf):
+    return od.ownership(fx.orders(spark, sf), fx.cancel_requests(spark, sf), fx.callers(spark, sf))
+
+
+@register("apply_product_changes")
+def q_apply_product_changes(spark, sf):
+    return od.apply_product_changes(fx.products(spark, sf), fx.product_changes(spark, sf))

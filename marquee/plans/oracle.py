@@ -420,3 +420,131 @@ FROM (SELECT *, CASE WHEN progress_seconds IS NOT NULL THEN
                                      ORDER BY event_time DESC, event_id DESC) END AS lp
       FROM movie_events) t
 GROUP BY session_id""")
+
+# ------------------------------------------------------------------ orders
+
+TOTALS = ("totals", """
+SELECT order_id, CAST(sum(price_at_order * quantity) AS DECIMAL(14,2)) AS total FROM order_items GROUP BY order_id""")
+PROMO_EVAL = ("promo_eval", """
+SELECT order_id, total, reason,
+       CASE WHEN promo_code IS NOT NULL AND reason IS NULL THEN raw ELSE 0 END AS discount,
+       total - CASE WHEN promo_code IS NOT NULL AND reason IS NULL THEN raw ELSE 0 END AS net
+FROM (SELECT o.id AS order_id, t.total, o.promo_code,
+             CASE WHEN o.promo_code IS NOT NULL AND (p.code IS NULL OR NOT p.active OR p.current_uses >= p.max_uses
+                                                     OR NOT (o.created_at BETWEEN p.valid_from AND p.valid_until))
+                  THEN 'PROMO_CODE_INVALID'
+                  WHEN o.promo_code IS NOT NULL AND t.total < p.min_order_amount THEN 'PROMO_CODE_MIN_AMOUNT'
+             END AS reason,
+             CASE WHEN p.discount_type = 'PERCENTAGE' THEN
+                       CASE WHEN t.total * p.discount_value / 100 > t.total * 0.7 THEN 0
+                            ELSE t.total * p.discount_value / 100 END
+                  ELSE least(p.discount_value, t.total) END AS raw
+      FROM m_orders o JOIN totals t ON o.id = t.order_id
+      LEFT JOIN promo_codes p ON o.promo_code = p.code) x""")
+ORD_VIEWS = ["m_orders", "order_items", "promo_codes"]
+
+sql("order_totals", ["order_items"], "SELECT * FROM totals", [TOTALS])
+
+sql("promo_discounts", ORD_VIEWS, """
+SELECT order_id, CAST(total AS DOUBLE) AS total, reason, round(CAST(discount AS DOUBLE), 6) AS discount,
+       round(CAST(net AS DOUBLE), 6) AS net FROM promo_eval""", [TOTALS, PROMO_EVAL])
+
+sql("active_order_conflicts", ["m_orders"], """
+SELECT user_id, count(*) AS n FROM m_orders WHERE status IN ('CREATED', 'PAYMENT_PENDING')
+GROUP BY user_id HAVING count(*) > 1""")
+
+sql("rate_limit_hits", ["user_operations"], f"""
+SELECT user_id, op_id, prev_at FROM (
+  SELECT user_id, op_id, created_at,
+         max(created_at) OVER (PARTITION BY user_id ORDER BY created_at, op_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_at
+  FROM user_operations WHERE operation_type = 'CREATE_ORDER') t
+WHERE prev_at >= created_at - INTERVAL {P.RATE_LIMIT_SECONDS} SECOND""")
+
+sql("order_admission", ORD_VIEWS + ["products", "user_operations"], f"""
+SELECT o.id AS order_id,
+       CASE WHEN pl.lines IS NULL THEN 'VALIDATION_ERROR'
+            WHEN EXISTS (SELECT 1 FROM user_operations u WHERE u.user_id = o.user_id
+                           AND u.operation_type = 'CREATE_ORDER' AND u.created_at < o.created_at
+                           AND u.created_at >= o.created_at - INTERVAL {P.RATE_LIMIT_SECONDS} SECOND)
+                 THEN 'ORDER_LIMIT_EXCEEDED'
+            WHEN EXISTS (SELECT 1 FROM m_orders a WHERE a.user_id = o.user_id
+                           AND a.status IN ('CREATED', 'PAYMENT_PENDING')
+                           AND (a.created_at < o.created_at OR (a.created_at = o.created_at AND a.id < o.id)))
+                 THEN 'ORDER_HAS_ACTIVE'
+            WHEN fb.r IS NOT NULL THEN fb.r
+            ELSE pe.reason END AS reason
+FROM m_orders o
+LEFT JOIN (SELECT order_id, count(*) AS lines FROM order_items GROUP BY order_id) pl ON pl.order_id = o.id
+LEFT JOIN (SELECT order_id, r FROM (
+             SELECT i.order_id, i.line_no,
+                    CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
+                         WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END AS r,
+                    row_number() OVER (PARTITION BY i.order_id ORDER BY
+                        CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
+                             WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END IS NULL,
+                        i.line_no,
+                        CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
+                             WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END) AS rn
+             FROM order_items i LEFT JOIN products p ON i.product_id = p.id) q
+           WHERE rn = 1) fb ON fb.order_id = o.id
+LEFT JOIN promo_eval pe ON pe.order_id = o.id""", [TOTALS, PROMO_EVAL])
+
+sql("stock_oversell", ["m_orders", "order_items", "products"], """
+SELECT product_id, order_id, line_no, CAST(demand AS BIGINT) AS demand, CAST(stock AS BIGINT) AS stock,
+       demand > stock AS oversold, demand > stock AND demand - quantity <= stock AS first_oversell
+FROM (SELECT i.product_id, i.order_id, i.line_no, i.quantity, p.stock,
+             sum(i.quantity) OVER (PARTITION BY i.product_id ORDER BY o.created_at, i.order_id, i.line_no,
+                                   i.quantity, i.price_at_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 AS demand
+      FROM order_items i JOIN m_orders o ON i.order_id = o.id JOIN products p ON p.id = i.product_id) t""")
+
+OWN = ("own", """
+SELECT r.order_id AS id, r.caller_id AS caller,
+       coalesce(c.role = 'ADMIN' OR r.caller_id = o.user_id, false) AS allowed
+FROM cancel_requests r JOIN m_orders o ON r.order_id = o.id LEFT JOIN callers c ON c.user_id = r.caller_id""")
+
+sql("ownership_violations", ["m_orders", "cancel_requests", "callers"], "SELECT * FROM own", [OWN])
+
+sql("cancel_effects", ["m_orders", "order_items", "promo_codes", "cancel_requests", "callers"], """
+SELECT 'product' AS kind, CAST(i.product_id AS VARCHAR) AS key, CAST(sum(i.quantity) AS BIGINT) AS delta
+FROM order_items i JOIN legal l ON i.order_id = l.id GROUP BY i.product_id
+UNION ALL
+SELECT 'promo', l.promo_code, CAST(-count(*) AS BIGINT) FROM legal l JOIN promo_codes p ON p.code = l.promo_code
+GROUP BY l.promo_code""", [OWN, ("legal", """
+SELECT * FROM m_orders WHERE status IN ('CREATED', 'PAYMENT_PENDING')
+AND id IN (SELECT id FROM own WHERE allowed)""")])
+
+sql("promo_usage", ORD_VIEWS, """
+SELECT p.code, CAST(p.current_uses + coalesce(u.uses, 0) AS BIGINT) AS uses, CAST(p.max_uses AS BIGINT) AS max_uses,
+       p.current_uses + coalesce(u.uses, 0) >= p.max_uses AS exhausted
+FROM promo_codes p LEFT JOIN (
+  SELECT o.promo_code, count(*) AS uses FROM promo_eval e JOIN m_orders o ON o.id = e.order_id
+  WHERE e.reason IS NULL AND o.promo_code IS NOT NULL GROUP BY o.promo_code) u ON u.promo_code = p.code""",
+    [TOTALS, PROMO_EVAL])
+
+sql("product_page", ["products"], f"""
+SELECT id, name, CAST(price AS DOUBLE) AS price, stock, category, status,
+       (SELECT count(*) FROM products WHERE status = '{P.PAGE_STATUS}') AS total_elements
+FROM products WHERE status = '{P.PAGE_STATUS}' ORDER BY id LIMIT {P.PAGE_SIZE} OFFSET {P.PAGE * P.PAGE_SIZE}""")
+
+sql("lookup_missing_keys", ["order_items", "products", "seat_requests", "flights", "cancel_requests", "callers"], """
+SELECT DISTINCT 'product' AS lookup, CAST(product_id AS VARCHAR) AS key FROM order_items
+WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT id FROM products)
+UNION ALL
+SELECT DISTINCT 'flight', CAST(flight_id AS VARCHAR) FROM seat_requests
+WHERE flight_id IS NOT NULL AND flight_id NOT IN (SELECT id FROM flights)
+UNION ALL
+SELECT DISTINCT 'caller', CAST(caller_id AS VARCHAR) FROM cancel_requests
+WHERE caller_id IS NOT NULL AND caller_id NOT IN (SELECT user_id FROM callers)""")
+
+sql("apply_product_changes", ["products", "product_changes"], """
+SELECT p.id, p.name,
+       CAST(CASE WHEN c.op = 'UPDATE' THEN c.price ELSE p.price END AS DOUBLE) AS price,
+       CAST(CASE WHEN c.op = 'UPDATE' THEN c.stock ELSE p.stock END AS INTEGER) AS stock,
+       p.category, CASE WHEN c.op = 'DELETE' THEN 'ARCHIVED' ELSE p.status END AS status,
+       c.changed_at AS updated_at
+FROM products p LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, op DESC, price DESC,
+                                              stock DESC, src_order DESC, src_line DESC, src_price DESC) AS rn
+                 FROM product_changes) x WHERE rn = 1) c ON c.id = p.id""")

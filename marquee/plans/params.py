@@ -11,3 +11,7 @@ HEATMAP_LIMIT = 30
 MAX_DAY_OFFSET = 7
 COMPUTED_AT = "2024-01-09 00:05:00"  # fixed stamp for oracle-checked outputs
 PARTIAL_CUTOFF_HOUR = 18           # "earlier run" of a day sees events before this hour
+RATE_LIMIT_SECONDS = 60
+PAGE_STATUS = "ACTIVE"
+PAGE = 3
+PAGE_SIZE = 20
