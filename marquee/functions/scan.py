@@ -41,24 +41,49 @@ def keyed_running(df: DataFrame, key: list[str], order: list[str], value: Column
                   out: str, inclusive: bool = True, chunks: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``how``(value) over the rows of the same key up
     to the current row (``inclusive``) or strictly before it."""
-    if how not in _AGG:
-        raise ValueError(f"unsupported running aggregate {how!r}")
-    agg = _AGG[how]
+    return keyed_running_many(df, key, order, [(out, value, how)], inclusive, chunks)
+
+
+def keyed_running_many(df: DataFrame, key: list[str], order: list[str],
+                       specs: list[tuple[str, Column | str, str]], inclusive: bool = True,
+                       chunks: int | None = None) -> DataFrame:
+    """Several running aggregates ``(out, value, how)`` over one range shuffle."""
+    for _, _, how in specs:
+        if how not in _AGG:
+            raise ValueError(f"unsupported running aggregate {how!r}")
     n = chunks or default_chunks(df)
-    val = F.col(value) if isinstance(value, str) else value
-    r = (df.withColumn("_v", val)
-         .repartitionByRange(n, *[F.col(c) for c in key + order])
+    r = df
+    for i, (_, value, _) in enumerate(specs):
+        r = r.withColumn(f"_v{i}", F.col(value) if isinstance(value, str) else value)
+    r = (r.repartitionByRange(n, *[F.col(c) for c in key + order])
          .withColumn("_pid", F.spark_partition_id())
          .persist(StorageLevel.MEMORY_AND_DISK))
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local_w = Window.partitionBy("_pid", *key).orderBy(*order).rowsBetween(*frame)
-    local = r.withColumn("_local", agg("_v").over(local_w))
-    totals = r.groupBy("_pid", *key).agg(agg("_v").alias("_tot"))
     carry_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumn("_carry", agg("_tot").over(carry_w)).select("_pid", *key, "_carry")
+    local = r
+    for i, (_, _, how) in enumerate(specs):
+        local = local.withColumn(f"_l{i}", _AGG[how](f"_v{i}").over(local_w))
+    totals = r.groupBy("_pid", *key).agg(*[_AGG[how](f"_v{i}").alias(f"_t{i}") for i, (_, _, how) in enumerate(specs)])
+    carry = totals
+    for i, (_, _, how) in enumerate(specs):
+        carry = carry.withColumn(f"_c{i}", _AGG[how](f"_t{i}").over(carry_w))
+    carry = carry.select("_pid", *key, *[f"_c{i}" for i in range(len(specs))])
     joined = local.join(carry, ["_pid", *key])
-    return joined.withColumn(out, _combine(how, F.col("_carry"), F.col("_local"))).drop(
-        "_v", "_pid", "_local", "_carry")
+    for i, (out, _, how) in enumerate(specs):
+        joined = joined.withColumn(out, _combine(how, F.col(f"_c{i}"), F.col(f"_l{i}")))
+    drop = ["_pid"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("v", "l", "c")]
+    return joined.drop(*drop)
+
+
+def chunked(df: DataFrame, key: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on (key, order) into ``chunks`` ordered
+    chunks, each row tagged with its chunk id ``_pid`` and persisted, for
+    per-chunk passes (``mapInPandas``) that must agree on chunk ids."""
+    n = chunks or default_chunks(df)
+    return (df.repartitionByRange(n, *[F.col(c) for c in key + order])
+            .withColumn("_pid", F.spark_partition_id())
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def keyed_position(df: DataFrame, key: list[str], order: list[str], out: str = "pos",

@@ -401,3 +401,45 @@ def q_ownership_violations(spark, sf):
 @register("apply_product_changes")
 def q_apply_product_changes(spark, sf):
     return od.apply_product_changes(fx.products(spark, sf), fx.product_changes(spark, sf))
+
+
+# ----------------------------------------------------------------- flights
+
+from ..operators import flights as fl  # noqa: E402
+
+
+@register("flight_search")
+def q_flight_search(spark, sf):
+    return fl.flight_search(fx.flights(spark, sf), P.SEARCH_ORIGIN, P.SEARCH_DESTINATION, P.SEARCH_DATE)
+
+
+@register("user_bookings")
+def q_user_bookings(spark, sf):
+    return fl.user_bookings(fx.bookings(spark, sf), P.BOOKING_USER)
+
+
+@register("booking_pricing")
+def q_booking_pricing(spark, sf):
+    return fl.booking_pricing(fx.bookings(spark, sf), fx.flights(spark, sf))
+
+
+@register("seat_reservation")
+def q_seat_reservation(spark, sf):
+    return fl.seat_fold(fx.seat_requests(spark, sf), fx.flights(spark, sf))
+
+
+@register("seat_reconciliation")
+def q_seat_reconciliation(spark, sf):
+    folded = fl.seat_fold(fx.seat_requests(spark, sf), fx.flights(spark, sf))
+    held = folded.join(fx.seat_requests(spark, sf).select("flight_id", "seq", "seats"), ["flight_id", "seq"])
+    return fl.seat_reconciliation(fx.flights(spark, sf), held)
+
+
+@register("booking_transitions")
+def q_booking_transitions(spark, sf):
+    return fl.booking_transitions(fx.booking_events(spark, sf))
+
+
+@register("provider_failure_window")
+def q_provider_failure_window(spark, sf):
+    return fl.provider_failure_window(fx.call_log(spark, sf), P.FAILURE_WINDOW, P.FAILURE_THRESHOLD)

@@ -548,3 +548,87 @@ FROM products p LEFT JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, op DESC, price DESC,
                                               stock DESC, src_order DESC, src_line DESC, src_price DESC) AS rn
                  FROM product_changes) x WHERE rn = 1) c ON c.id = p.id""")
+
+# ----------------------------------------------------------------- flights
+
+sql("flight_search", ["flights"], f"""
+SELECT id, flight_number, airline, origin_code, destination_code, departure_time, arrival_time, total_seats,
+       available_seats, CAST(price AS DOUBLE) AS price, status
+FROM flights WHERE origin_code = '{P.SEARCH_ORIGIN}' AND destination_code = '{P.SEARCH_DESTINATION}'
+  AND status = 'SCHEDULED' AND CAST(departure_time AS DATE) = DATE '{P.SEARCH_DATE}'""")
+
+sql("user_bookings", ["bookings"], f"""
+SELECT * FROM bookings WHERE user_id = '{P.BOOKING_USER}' ORDER BY created_at DESC, booking_id DESC""")
+
+sql("booking_pricing", ["bookings", "flights"], """
+SELECT b.booking_id, b.seat_count, CAST(f.price AS DOUBLE) AS price,
+       CAST(CAST(b.seat_count * f.price AS DECIMAL(12,2)) AS DOUBLE) AS total_price
+FROM bookings b JOIN flights f ON f.id = b.flight_id""")
+
+SEAT_FOLD = [("req", """
+SELECT s.flight_id, s.seq, s.booking_id, CAST(s.seats AS BIGINT) AS seats, CAST(f.available_seats AS BIGINT) AS cap
+FROM seat_requests s JOIN flights f ON f.id = s.flight_id"""),
+    ("fold", """
+SELECT flight_id, seq, booking_id,
+       CASE WHEN cap >= seats THEN 'ACTIVE' ELSE 'RESOURCE_EXHAUSTED' END AS status,
+       CASE WHEN cap >= seats THEN cap - seats ELSE cap END AS remaining,
+       CASE WHEN cap >= seats THEN [booking_id] ELSE CAST([] AS VARCHAR[]) END AS held
+FROM req WHERE seq = 1
+UNION ALL
+SELECT r.flight_id, r.seq, r.booking_id,
+       CASE WHEN list_contains(f.held, r.booking_id) THEN 'EXISTING'
+            WHEN f.remaining >= r.seats THEN 'ACTIVE' ELSE 'RESOURCE_EXHAUSTED' END,
+       CASE WHEN NOT list_contains(f.held, r.booking_id) AND f.remaining >= r.seats THEN f.remaining - r.seats
+            ELSE f.remaining END,
+       CASE WHEN NOT list_contains(f.held, r.booking_id) AND f.remaining >= r.seats
+            THEN list_append(f.held, r.booking_id) ELSE f.held END
+FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.seq = f.seq + 1"""),
+    ("seat_result", """
+SELECT flight_id, seq, booking_id, status, remaining FROM fold
+UNION ALL
+SELECT s.flight_id, s.seq, s.booking_id, 'NOT_FOUND', CAST(NULL AS BIGINT) FROM seat_requests s
+WHERE s.flight_id NOT IN (SELECT id FROM flights)""")]
+
+
+def _recursive(views: list[str], body: str, extra) -> str:
+    q = with_views(views, body, extra)
+    return "WITH RECURSIVE " + q[len("WITH "):]
+
+
+ORACLE["seat_reservation"] = _recursive(["flights", "seat_requests"], "SELECT * FROM seat_result", SEAT_FOLD)
+
+ORACLE["seat_reconciliation"] = _recursive(["flights", "seat_requests"], """
+SELECT f.id AS flight_id, CAST(f.total_seats AS BIGINT) AS total_seats, CAST(coalesce(h.held, 0) AS BIGINT) AS held,
+       CAST(f.available_seats AS BIGINT) AS available,
+       CAST(f.available_seats - (f.total_seats - coalesce(h.held, 0)) AS BIGINT) AS drift
+FROM flights f LEFT JOIN (
+  SELECT r.flight_id, sum(s.seats) AS held FROM seat_result r
+  JOIN seat_requests s ON s.flight_id = r.flight_id AND s.seq = r.seq
+  WHERE r.status = 'ACTIVE' GROUP BY r.flight_id) h ON h.flight_id = f.id""", SEAT_FOLD)
+
+sql("booking_transitions", ["booking_events"], """
+SELECT booking_id, action, event_at, from_status,
+       CASE WHEN legal AND action = 'CREATE' THEN 'CONFIRMED' WHEN legal AND action = 'CANCEL' THEN 'CANCELLED'
+            ELSE from_status END AS to_status, legal
+FROM (SELECT *, (action = 'CREATE' AND from_status IS NULL) OR (action = 'CANCEL' AND from_status = 'CONFIRMED')
+                AS legal
+      FROM (SELECT e.*, CASE WHEN c.c_at IS NULL OR e.event_at < c.c_at OR (e.event_at = c.c_at AND e.action = 'CREATE') THEN NULL
+                             WHEN x.x_at IS NULL OR e.event_at <= x.x_at THEN 'CONFIRMED' ELSE 'CANCELLED' END AS from_status
+            FROM booking_events e
+            LEFT JOIN (SELECT booking_id, min(event_at) AS c_at FROM booking_events WHERE action = 'CREATE'
+                       GROUP BY booking_id) c USING (booking_id)
+            LEFT JOIN (SELECT e2.booking_id, min(e2.event_at) AS x_at FROM booking_events e2
+                       JOIN (SELECT booking_id, min(event_at) AS c_at FROM booking_events WHERE action = 'CREATE'
+                             GROUP BY booking_id) c2 USING (booking_id)
+                       WHERE e2.action = 'CANCEL' AND e2.event_at > c2.c_at GROUP BY e2.booking_id) x USING (booking_id)) s) t""")
+
+sql("provider_failure_window", ["call_log"], f"""
+SELECT provider, seq, failures, seq >= {P.FAILURE_WINDOW} AND failures >= {P.FAILURE_THRESHOLD} AS window_bad,
+       seq >= {P.FAILURE_WINDOW} AND failures >= {P.FAILURE_THRESHOLD} AND failed = 1 AS trips
+FROM (SELECT provider, failed,
+             row_number() OVER w AS seq,
+             CAST(sum(failed) OVER (w ROWS BETWEEN {P.FAILURE_WINDOW - 1} PRECEDING AND CURRENT ROW) AS INTEGER)
+                 AS failures
+      FROM (SELECT *, CASE WHEN code IN ('OK', 'NOT_FOUND', 'RESOURCE_EXHAUSTED', 'INVALID_ARGUMENT') THEN 0 ELSE 1 END
+                      AS failed FROM call_log) c
+      WINDOW w AS (PARTITION BY provider ORDER BY ts, call_id)) t""")

@@ -15,3 +15,9 @@ RATE_LIMIT_SECONDS = 60
 PAGE_STATUS = "ACTIVE"
 PAGE = 3
 PAGE_SIZE = 20
+SEARCH_ORIGIN = "SVO"
+SEARCH_DESTINATION = "AER"
+SEARCH_DATE = "2026-04-07"
+BOOKING_USER = "user_100"
+FAILURE_WINDOW = 10
+FAILURE_THRESHOLD = 5

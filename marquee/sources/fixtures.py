@@ -322,13 +322,13 @@ def booking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     bid = F.concat(F.lit("B"), F.col("o_orderkey").cast("string"))
     t0 = F.col("o_orderdate").cast("timestamp")
-    create = o.select(bid.alias("booking_id"), F.lit("CREATE").alias("action"), t0.alias("at"))
+    create = o.select(bid.alias("booking_id"), F.lit("CREATE").alias("action"), t0.alias("event_at"))
     cancel = o.where(F.col("o_orderstatus").isin("F", "P")).select(
         bid.alias("booking_id"), F.lit("CANCEL").alias("action"),
-        (t0 + F.expr("INTERVAL 1 DAY")).alias("at"))
+        (t0 + F.expr("INTERVAL 1 DAY")).alias("event_at"))
     again = o.where((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 5 == 0)).select(
         bid.alias("booking_id"), F.lit("CANCEL").alias("action"),
-        (t0 + F.expr("INTERVAL 2 DAYS")).alias("at"))
+        (t0 + F.expr("INTERVAL 2 DAYS")).alias("event_at"))
     return create.unionByName(cancel).unionByName(again)
 
 
@@ -552,7 +552,7 @@ SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'user_' || CAST(o_custk
        CAST(o_orderdate AS TIMESTAMP) AS created_at
 FROM orders""",
     "booking_events": """
-SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'CREATE' AS action, CAST(o_orderdate AS TIMESTAMP) AS at
+SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'CREATE' AS action, CAST(o_orderdate AS TIMESTAMP) AS event_at
 FROM orders
 UNION ALL
 SELECT 'B' || CAST(o_orderkey AS VARCHAR), 'CANCEL', CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY
