@@ -443,3 +443,64 @@ def q_booking_transitions(spark, sf):
 @register("provider_failure_window")
 def q_provider_failure_window(spark, sf):
     return fl.provider_failure_window(fx.call_log(spark, sf), P.FAILURE_WINDOW, P.FAILURE_THRESHOLD)
+
+
+# ----------------------------------------------------------- notifications
+
+from ..operators import notify as nt  # noqa: E402
+
+
+@register("notif_keys")
+def q_notif_keys(spark, sf):
+    return nt.notif_keys(fx.attempts(spark, sf))
+
+
+@register("notif_dedup")
+def q_notif_dedup(spark, sf):
+    return nt.dedup_ttl(fx.retried_attempts(spark, sf))
+
+
+@register("notif_routable")
+def q_notif_routable(spark, sf):
+    return nt.routable(fx.notifications(spark, sf), fx.preferences(spark, sf))
+
+
+@register("notif_channel_plan")
+def q_notif_channel_plan(spark, sf):
+    return nt.channel_plan(nt.routable(fx.notifications(spark, sf), fx.preferences(spark, sf)))
+
+
+@register("notif_failover")
+def q_notif_failover(spark, sf):
+    a = fx.attempts(spark, sf)
+    return nt.failover(a, nt.acks_of(a))
+
+
+@register("notif_state")
+def q_notif_state(spark, sf):
+    return nt.delivery_state(nt.state_events(fx.attempts(spark, sf)))
+
+
+@register("notif_lanes")
+def q_notif_lanes(spark, sf):
+    return nt.lanes(fx.notifications(spark, sf))
+
+
+@register("notif_dlq")
+def q_notif_dlq(spark, sf):
+    return nt.dead_letters(fx.attempts(spark, sf))
+
+
+@register("notif_kpis")
+def q_notif_kpis(spark, sf):
+    return nt.delivery_kpis(fx.attempts(spark, sf))
+
+
+@register("campaign_batches")
+def q_campaign_batches(spark, sf):
+    return nt.campaign_batches(fx.campaign_recipients(spark, sf), P.CAMPAIGN_RATE)
+
+
+@register("outbox_events")
+def q_outbox_events(spark, sf):
+    return nt.outbox_events(fx.outbox(spark, sf))

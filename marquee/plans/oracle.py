@@ -632,3 +632,100 @@ FROM (SELECT provider, failed,
       FROM (SELECT *, CASE WHEN code IN ('OK', 'NOT_FOUND', 'RESOURCE_EXHAUSTED', 'INVALID_ARGUMENT') THEN 0 ELSE 1 END
                       AS failed FROM call_log) c
       WINDOW w AS (PARTITION BY provider ORDER BY ts, call_id)) t""")
+
+# ----------------------------------------------------------- notifications
+
+IDEM = "sha256(concat_ws('|', source_service, CAST(notification_id AS VARCHAR), user_id))"
+
+sql("notif_keys", ["attempts"], f"SELECT attempt_id, {IDEM} AS idem_key FROM attempts")
+
+ROUTABLE = ("routable", """
+SELECT n.notification_id, n.user_key, n.type, p.preferred_channel FROM notifications n
+LEFT JOIN preferences p USING (user_key)
+WHERE n.type = 'TRANSACTIONAL' OR NOT coalesce(list_contains(p.opted_out_types, n.type), false)""")
+
+sql("notif_routable", ["notifications", "preferences"], "SELECT * FROM routable", [ROUTABLE])
+
+sql("notif_channel_plan", ["notifications", "preferences"], """
+SELECT notification_id,
+       CASE WHEN preferred_channel IS NULL THEN 'push,sms,email'
+            ELSE preferred_channel || ',' ||
+                 array_to_string([x FOR x IN ['push', 'sms', 'email'] IF x <> preferred_channel], ',') END AS channels
+FROM routable""", [ROUTABLE])
+
+ACK_AT = "a.ts + to_milliseconds(CAST(a.latency_ms AS BIGINT))"
+sql("notif_failover", ["attempts"], f"""
+SELECT a.notification_id, a.channel AS failed_channel,
+       CASE a.channel WHEN 'push' THEN 'sms' WHEN 'sms' THEN 'email' END AS next_channel,
+       CASE WHEN a.outcome = 'FAILED' THEN 'FAILED' ELSE 'ACK_TIMEOUT' END AS reason, a.attempt_id
+FROM attempts a
+WHERE a.outcome = 'FAILED' OR NOT EXISTS (
+  SELECT 1 FROM (SELECT notification_id, channel, {ACK_AT} AS ack_at FROM attempts a WHERE outcome = 'DELIVERED') k
+  WHERE k.notification_id = a.notification_id AND k.channel = a.channel
+    AND k.ack_at >= a.ts AND k.ack_at <= a.ts + INTERVAL 5 SECOND)""")
+
+ALLOWED_SQL = " OR ".join(f"(prev_state = '{a}' AND state = '{b}')" for a, b in [
+    ("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
+    ("FAILED", "FAILOVER"), ("FAILOVER", "IN_FLIGHT"), ("FAILED", "EXHAUSTED")])
+sql("notif_state", ["attempts"], f"""
+SELECT l.notification_id, l.state, l.event_at AS since, CAST(coalesce(b.illegal_moves, 0) AS BIGINT) AS illegal_moves
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY notification_id ORDER BY event_at DESC, attempt_id DESC,
+                                                   step DESC) AS rn FROM ev) x WHERE rn = 1) l
+LEFT JOIN (SELECT notification_id, count(*) AS illegal_moves FROM (
+             SELECT notification_id, state, lag(state) OVER (PARTITION BY notification_id
+                                                             ORDER BY event_at, attempt_id, step) AS prev_state FROM ev) p
+           WHERE prev_state IS NOT NULL AND NOT ({ALLOWED_SQL}) GROUP BY notification_id) b USING (notification_id)""",
+    [("ev", f"""
+SELECT notification_id, attempt_id, 0 AS step, 'IN_FLIGHT' AS state, ts AS event_at FROM attempts
+UNION ALL
+SELECT notification_id, attempt_id, 1, outcome, ts + to_milliseconds(CAST(latency_ms AS BIGINT)) FROM attempts""")])
+
+sql("notif_lanes", ["notifications"], """
+SELECT CASE type WHEN 'TRANSACTIONAL' THEN 'transactional' WHEN 'SERVICE' THEN 'service'
+                 WHEN 'MARKETING' THEN 'marketing' END AS lane, count(*) AS n
+FROM notifications GROUP BY 1""")
+
+sql("notif_dlq", ["attempts"], """
+SELECT notification_id, count(DISTINCT channel) AS tried FROM attempts GROUP BY notification_id
+HAVING count(*) FILTER (WHERE outcome = 'DELIVERED') = 0 AND count(DISTINCT channel) >= 3""")
+
+sql("notif_kpis", ["attempts"], """
+SELECT p.channel, p.type, p.n, round(p.p99_ms, 6) AS p99_ms, round(p.success_rate, 6) AS success_rate,
+       round(s.sms_share, 6) AS sms_share, CAST(coalesce(d.duplicates, 0) AS BIGINT) AS duplicates,
+       p.p99_ms <= 5000 AS p99_ok, p.success_rate >= 0.995 AS success_ok, s.sms_share <= 0.15 AS sms_ok
+FROM (SELECT channel, type, count(*) AS n, quantile_cont(CAST(latency_ms AS DOUBLE), 0.99) AS p99_ms,
+             count(*) FILTER (WHERE outcome = 'DELIVERED') / count(*) AS success_rate
+      FROM attempts GROUP BY channel, type) p
+JOIN (SELECT type, count(*) FILTER (WHERE channel = 'sms') / count(*) AS sms_share FROM attempts GROUP BY type) s
+  USING (type)
+LEFT JOIN (SELECT type, sum(d - 1) AS duplicates FROM (
+             SELECT type, notification_id, count(*) AS d FROM attempts WHERE outcome = 'DELIVERED'
+             GROUP BY type, notification_id) x GROUP BY type) d USING (type)""")
+
+sql("campaign_batches", ["campaign_recipients"], f"""
+SELECT user_key, CAST(floor((rn - 1) / {P.CAMPAIGN_RATE}) AS BIGINT) AS slot,
+       CAST(floor((rn - 1) / 1000) AS BIGINT) AS batch_no
+FROM (SELECT user_key, row_number() OVER (ORDER BY user_key) AS rn FROM campaign_recipients) t""")
+
+sql("outbox_events", ["outbox"], """
+SELECT aggregate_id, state, written_at, amount,
+       '{"aggregate_id":' || CAST(aggregate_id AS VARCHAR) || ',"state":"' || state || '","amount":'
+       || CAST(amount AS VARCHAR) || '}' AS payload
+FROM (SELECT *, row_number() OVER (PARTITION BY aggregate_id ORDER BY written_at DESC, state DESC, amount DESC) AS rn
+      FROM outbox) t WHERE rn = 1""")
+
+RETRY_DEDUP = [("ra", f"""
+SELECT *, {IDEM} AS idem_key,
+       row_number() OVER (PARTITION BY {IDEM}, channel ORDER BY ts, attempt_id) AS rn
+FROM retried_attempts"""),
+    ("chain", """
+SELECT idem_key, channel, rn, ts AS last_kept, true AS kept FROM ra WHERE rn = 1
+UNION ALL
+SELECT r.idem_key, r.channel, r.rn,
+       CASE WHEN r.ts >= c.last_kept + INTERVAL 24 HOUR THEN r.ts ELSE c.last_kept END,
+       r.ts >= c.last_kept + INTERVAL 24 HOUR
+FROM chain c JOIN ra r ON r.idem_key = c.idem_key AND r.channel = c.channel AND r.rn = c.rn + 1""")]
+ORACLE["notif_dedup"] = _recursive(["retried_attempts"], """
+SELECT r.attempt_id, r.notification_id, r.user_id, r.source_service, r.type, r.channel, r.outcome, r.ts,
+       r.latency_ms, r.idem_key
+FROM ra r JOIN chain c USING (idem_key, channel, rn) WHERE c.kept""", RETRY_DEDUP)

@@ -21,3 +21,4 @@ SEARCH_DATE = "2026-04-07"
 BOOKING_USER = "user_100"
 FAILURE_WINDOW = 10
 FAILURE_THRESHOLD = 5
+CAMPAIGN_RATE = 100                # SMS provider token bucket, requests per second

@@ -368,6 +368,17 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def retried_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of a retry storm: one notification per user, so every
+    (notification, channel) sees many attempts over the month (N2)."""
+    a = attempts(spark, sf_dir)
+    e = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("attempt_id"), F.col("user_id").alias("uid"))
+    return (a.join(e, "attempt_id")
+            .withColumn("notification_id", F.col("uid"))
+            .withColumn("user_id", F.concat(F.lit("user_"), F.col("uid").cast("string")))
+            .drop("uid").select(*a.columns))
+
+
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     return e.select(
@@ -577,6 +588,16 @@ SELECT event_id AS attempt_id, event_id % 4000 AS notification_id,
        CASE WHEN {K_SQL} < 60 THEN 'DELIVERED' ELSE 'FAILED' END AS outcome,
        CAST(ts AS TIMESTAMP) AS ts,
        CAST(floor(value * 100) AS BIGINT) AS latency_ms
+FROM events""",
+    "retried_attempts": f"""
+SELECT event_id AS attempt_id, user_id AS notification_id, 'user_' || CAST(user_id AS VARCHAR) AS user_id,
+       CASE event_type WHEN 'purchase' THEN 'billing' WHEN 'signup' THEN 'accounts' ELSE 'campaigns' END
+           AS source_service,
+       CASE event_type WHEN 'purchase' THEN 'TRANSACTIONAL' WHEN 'signup' THEN 'SERVICE' ELSE 'MARKETING' END AS type,
+       CASE {K_SQL} % 3 WHEN 0 THEN 'push' WHEN 1 THEN 'sms' ELSE 'email' END AS channel,
+       CASE WHEN {K_SQL} < 60 THEN 'DELIVERED' ELSE 'FAILED' END AS outcome,
+       CAST(ts AS TIMESTAMP) AS ts,
+       CAST(floor(value * 100) AS BIGINT) AS latency_ms
 FROM events""",
     "notifications": """
 SELECT event_id AS notification_id, user_id AS user_key,
