@@ -504,3 +504,48 @@ def q_campaign_batches(spark, sf):
 @register("outbox_events")
 def q_outbox_events(spark, sf):
     return nt.outbox_events(fx.outbox(spark, sf))
+
+
+# --------------------------------------------------------------- streaming
+
+from ..streaming import jobs as sj  # noqa: E402
+
+
+def _streamed_store(spark, sf):
+    root = scratch_path(spark, "stream-ingest")
+    sj.ingest_stream(sj.stream_table(spark, sf, "events"), f"{root}/store", f"{root}/ckpt")
+    return root
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """The event stream written to the day-partitioned store, read back."""
+    root = _streamed_store(spark, sf)
+    return spark.read.parquet(f"{root}/store").select(*ev.STORED_COLUMNS)
+
+
+def _streamed_states(spark, sf):
+    root = _streamed_store(spark, sf)
+    sj.incremental_states(spark, f"{root}/store", f"{root}/states", f"{root}/states-ckpt", max_files=4)
+    return f"{root}/states"
+
+
+@register("incremental_equals_full")
+def q_incremental_equals_full(spark, sf):
+    """Views per (day, movie) merged from the per-batch partial states."""
+    return sj.merged_movie_views(spark, _streamed_states(spark, sf))
+
+
+@register("incremental_watch_time")
+def q_incremental_watch_time(spark, sf):
+    return sj.merged_watch_time(spark, _streamed_states(spark, sf))
+
+
+@register("incremental_dau")
+def q_incremental_dau(spark, sf):
+    return sj.merged_dau(spark, _streamed_states(spark, sf))
+
+
+@register("tumbling_counts")
+def q_tumbling_counts(spark, sf):
+    return sj.tumbling_counts(fx.movie_events(spark, sf), "1 day")

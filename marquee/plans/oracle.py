@@ -729,3 +729,24 @@ ORACLE["notif_dedup"] = _recursive(["retried_attempts"], """
 SELECT r.attempt_id, r.notification_id, r.user_id, r.source_service, r.type, r.channel, r.outcome, r.ts,
        r.latency_ms, r.idem_key
 FROM ra r JOIN chain c USING (idem_key, channel, rn) WHERE c.kept""", RETRY_DEDUP)
+
+# --------------------------------------------------------------- streaming
+
+sql("stream_ingest", ME, """
+SELECT event_id, user_id, movie_id, event_type, event_time, event_date, device_type, session_id, progress_seconds
+FROM movie_events""")
+
+sql("incremental_equals_full", ME, """
+SELECT event_date, movie_id, count(*) AS views FROM movie_events
+WHERE event_type = 'VIEW_STARTED' GROUP BY event_date, movie_id""")
+
+sql("incremental_watch_time", ME, """
+SELECT event_date, sum(progress_seconds) AS sum_sec, count(progress_seconds) AS n FROM movie_events
+WHERE event_type = 'VIEW_FINISHED' AND progress_seconds IS NOT NULL GROUP BY event_date""")
+
+sql("incremental_dau", ME, """
+SELECT event_date, count(DISTINCT user_id) AS dau FROM movie_events GROUP BY event_date""")
+
+sql("tumbling_counts", ME, """
+SELECT time_bucket(INTERVAL 1 DAY, event_time) AS window_start, event_type, count(*) AS n
+FROM movie_events GROUP BY 1, 2""")

@@ -47,6 +47,11 @@ def movie_events(spark: SparkSession, sf_dir: str, start: str | None = None,
         e = e.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         e = e.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+    return movie_events_from(e)
+
+
+def movie_events_from(e: DataFrame) -> DataFrame:
+    """The movie-event mapping over an events frame (batch or stream)."""
     k = _k()
     et = F.col("event_type")
     t = F.col("ts").cast("timestamp")
