@@ -64,7 +64,7 @@ def booking_pricing(bookings: DataFrame, flights: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ seat fold
 
-_FOLD_IN = ["_pid", "flight_id", "seq", "booking_id", "seats", "cap", "skip"]
+_FOLD_IN = ["_pid", "flight_id", "seq", "booking_id", "seats", "op", "cap", "skip", "free"]
 _SUMMARY = T.StructType([
     T.StructField("_pid", T.IntegerType()), T.StructField("flight_id", T.LongType()),
     T.StructField("kind", T.StringType()), T.StructField("end_value", T.LongType()),
@@ -79,19 +79,46 @@ _RESULT = T.StructType([
     T.StructField("booking_id", T.StringType()), T.StructField("status", T.StringType()),
     T.StructField("remaining", T.LongType()),
 ])
+RESERVE, RELEASE, RELEASED = "RESERVE", "RELEASE", "RELEASED"
 
 
-def _fold_scalar(seats, bookings, skip, start):
-    """Sequential fold from one start value: statuses and remaining after."""
+def _is_set(x) -> bool:
+    return x is not None and not (isinstance(x, float) and np.isnan(x)) and x is not pd.NA
+
+
+def _fold_scalar(seats, bookings, skip, start, ops=None, forced=None, held=None):
+    """Sequential fold from one start value: statuses and remaining after.
+
+    RESERVE: a booking that already has a reservation (any status) returns
+    EXISTING; else ACTIVE when the seats are there, else RESOURCE_EXHAUSTED.
+    RELEASE: an ACTIVE reservation gives its seats back (RELEASED), anything
+    else is NOT_FOUND.  ``skip`` marks reserves known to be repeats and
+    ``forced`` the seats a release frees whose reservation is outside this
+    input (both set by ``seat_fold``'s fixpoint).  ``held`` (booking ->
+    [active, seats]) is updated in place, so keyed state can carry it."""
     r = int(start)
-    held = set()
+    held = {} if held is None else held
     status, rem = [], []
-    for s, b, sk in zip(seats, bookings, skip):
-        if sk or b in held:
+    for i, (s, b) in enumerate(zip(seats, bookings)):
+        op = RESERVE if ops is None else ops[i]
+        if forced is not None and _is_set(forced[i]):
+            r += int(forced[i])
+            if b in held:
+                held[b][0] = False
+            status.append(RELEASED)
+        elif op == RELEASE:
+            h = held.get(b)
+            if h is not None and h[0]:
+                r += h[1]
+                h[0] = False
+                status.append(RELEASED)
+            else:
+                status.append(NOT_FOUND)
+        elif skip[i] or b in held:
             status.append(EXISTING)
         elif r >= s:
-            r -= s
-            held.add(b)
+            r -= int(s)
+            held[b] = [True, int(s)]
             status.append(ACTIVE)
         else:
             status.append(EXHAUSTED)
@@ -99,19 +126,37 @@ def _fold_scalar(seats, bookings, skip, start):
     return status, rem, r
 
 
-def _fold_table(seats, bookings, skip, cap):
+def _fold_table(seats, bookings, skip, cap, ops=None, forced=None):
     """End value for every start 0..cap (one vector step per request)."""
     r = np.arange(cap + 1, dtype=np.int64)
-    held: dict = {}
-    for s, b, sk in zip(seats, bookings, skip):
-        if sk:
+    exists: dict = {}
+    active: dict = {}
+    booked: dict = {}
+    for i, (s, b) in enumerate(zip(seats, bookings)):
+        op = RESERVE if ops is None else ops[i]
+        if forced is not None and _is_set(forced[i]):
+            r = r + int(forced[i])
+            if b in active:
+                active[b] = np.zeros_like(active[b])
+            continue
+        if op == RELEASE:
+            if b in active:
+                can = active[b]
+                r = np.where(can, r + booked[b], r)
+                active[b] = active[b] & ~can
+            continue
+        if skip[i]:
             continue
-        done = held.get(b)
         can = r >= s
-        if done is not None:
-            can &= ~done
+        if b in exists:
+            can &= ~exists[b]
+            exists[b] = exists[b] | can
+            active[b] = active[b] | can
+            booked[b] = np.where(can, s, booked[b])
+        else:
+            exists[b], active[b] = can.copy(), can.copy()
+            booked[b] = np.where(can, s, 0)
         r = np.where(can, r - s, r)
-        held[b] = can if done is None else (done | can)
     return r
 
 
@@ -120,6 +165,11 @@ def _partition_frame(batches):
     return pd.concat(parts, ignore_index=True) if parts else None
 
 
+def _cols(g):
+    return (g["seats"].to_numpy(), g["booking_id"].to_numpy(), g["skip"].to_numpy(), g["op"].to_numpy(),
+            g["free"].to_numpy(dtype=object))
+
+
 def _chunk_summary(batches):
     pdf = _partition_frame(batches)
     if pdf is None or pdf.empty:
@@ -132,13 +182,13 @@ def _chunk_summary(batches):
     # one can go on into a later chunk
     for fid in {first, last}:
         g = pdf[pdf["flight_id"] == fid]
-        seats, books, skip = g["seats"].to_numpy(), g["booking_id"].to_numpy(), g["skip"].to_numpy()
+        seats, books, skip, ops, free = _cols(g)
         cap = int(g["cap"].iloc[0])
         if fid == first:
-            table = _fold_table(seats, books, skip, cap)
+            table = _fold_table(seats, books, skip, cap, ops, free)
             out.append((pid, int(fid), "table", None, table.tolist(), cap))
         else:
-            _, _, end = _fold_scalar(seats, books, skip, cap)
+            _, _, end = _fold_scalar(seats, books, skip, cap, ops, free)
             out.append((pid, int(fid), "end", end, None, cap))
     yield pd.DataFrame(out, columns=["_pid", "flight_id", "kind", "end_value", "table", "cap"])
 
@@ -154,7 +204,9 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
         else:                             # first flight of the chunk
             start = cap if state is None else state
             out.append((int(row["_pid"]), int(row["flight_id"]), start))
-            state = int(row["table"][start])
+            # releases can lift the count above the table's range
+            table = row["table"]
+            state = int(table[min(start, len(table) - 1)]) + max(0, start - (len(table) - 1))
     return pd.DataFrame(out, columns=["_pid", "flight_id", "start"])
 
 
@@ -167,15 +219,15 @@ def _chunk_fold(batches):
     for fid, g in pdf.groupby("flight_id", sort=True):
         start = g["start"].iloc[0]
         start = int(g["cap"].iloc[0]) if pd.isna(start) else int(start)
-        status, rem, _ = _fold_scalar(g["seats"].to_numpy(), g["booking_id"].to_numpy(),
-                                      g["skip"].to_numpy(), start)
+        seats, books, skip, ops, free = _cols(g)
+        status, rem, _ = _fold_scalar(seats, books, skip, start, ops, free)
         res.append(pd.DataFrame({"flight_id": g["flight_id"].to_numpy(), "seq": g["seq"].to_numpy(),
-                                 "booking_id": g["booking_id"].to_numpy(), "status": status,
+                                 "booking_id": books, "status": status,
                                  "remaining": np.asarray(rem, dtype=np.int64)}))
     yield pd.concat(res, ignore_index=True)
 
 
-def _fold_once(req: DataFrame, chunks: int | None) -> DataFrame:
+def _fold_once(req: DataFrame, chunks: int | None):
     ch = chunked(req, ["flight_id"], ["seq"], chunks).select(*_FOLD_IN)
     summary = ch.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_summary, _SUMMARY)
     starts = summary.groupBy("flight_id").applyInPandas(_compose, _STARTS)
@@ -186,45 +238,111 @@ def _fold_once(req: DataFrame, chunks: int | None) -> DataFrame:
     return with_start.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_fold, _RESULT), ch
 
 
+def _inconsistencies(result: DataFrame, req: DataFrame, fixes: DataFrame | None) -> DataFrame:
+    """Rows where a chunk fold disagrees with the sequential rule because
+    the state it needed sat in an earlier chunk, as fix rows
+    (flight_id, seq, free, action):
+
+    * a reserve accepted although the booking already had a reservation
+      -> add a skip (``free`` null);
+    * a release answered NOT_FOUND although the booking's reservation was
+      still ACTIVE -> add a forced release of its seats;
+    * a fix the current run no longer supports -> drop it.
+
+    A run without any of them equals the sequential fold (by induction
+    over seq, every row then follows the rule from the rows before it)."""
+    r = result.join(req.select("flight_id", "seq", "op", "seats"), ["flight_id", "seq"])
+    per_booking = r.groupBy("flight_id", "booking_id").agg(
+        F.min(F.when((F.col("op") == RESERVE) & (F.col("status") == ACTIVE), F.struct("seq", "seats"))).alias("ok"),
+        F.min(F.when(F.col("status") == RELEASED, F.col("seq"))).alias("rel"))
+    j = r.join(per_booking, ["flight_id", "booking_id"], "left")
+    reserved_before = F.coalesce(F.col("ok.seq") < F.col("seq"), F.lit(False))
+    active_before = reserved_before & (F.col("rel").isNull() | (F.col("rel") >= F.col("seq")))
+    if fixes is not None:
+        j = j.join(fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), F.col("free").alias("fix_free")),
+                   ["flight_id", "seq"], "left")
+    else:
+        j = j.withColumn("fixed", F.lit(None).cast("boolean")).withColumn("fix_free", F.lit(None).cast("long"))
+    fixed = F.coalesce(F.col("fixed"), F.lit(False))
+    add_skip = ~fixed & (F.col("op") == RESERVE) & (F.col("status") == ACTIVE) & reserved_before
+    add_free = (~fixed & (F.col("op") == RELEASE) & (F.col("status") == NOT_FOUND) & active_before
+                & (F.col("rel").isNull() | (F.col("rel") > F.col("seq"))))
+    drop_skip = fixed & F.col("fix_free").isNull() & ~reserved_before
+    stale_free = fixed & F.col("fix_free").isNotNull() & (~active_before | (F.col("fix_free") != F.col("ok.seats")))
+    action = (F.when(add_skip, "add").when(add_free, "add").when(drop_skip, "drop").when(stale_free, "redo"))
+    free = F.when(add_free | stale_free, F.col("ok.seats"))
+    return (j.withColumn("action", action).where(F.col("action").isNotNull())
+            .select("flight_id", "seq", F.when(F.col("action") == "redo", F.when(active_before, free))
+                    .otherwise(free).alias("free"), "action"))
+
+
+def _apply_fixes(fixes: DataFrame | None, changes: DataFrame) -> DataFrame:
+    """Fix set after ``changes``: 'add' inserts, 'drop' removes, 'redo'
+    replaces (or removes when ``free`` is null)."""
+    changes = changes.select("flight_id", "seq", "free", "action")
+    keep_new = changes.where((F.col("action") == "add")
+                             | ((F.col("action") == "redo") & F.col("free").isNotNull())).select("flight_id", "seq",
+                                                                                                 "free")
+    if fixes is None:
+        return keep_new
+    untouched = fixes.join(changes.select("flight_id", "seq"), ["flight_id", "seq"], "left_anti")
+    return untouched.unionByName(keep_new)
+
+
 def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None,
-              max_rounds: int = 1000) -> DataFrame:
-    """(flight_id, seq, booking_id, status, remaining) for every request.
+              bulk_rounds: int = 8, max_rounds: int = 100_000) -> DataFrame:
+    """(flight_id, seq, booking_id, status, remaining) per request.
 
     ``requests`` has flight_id, seq (arrival order per flight), booking_id,
-    seats; the start capacity is the flight's available_seats.  Unknown
-    flights give NOT_FOUND."""
-    f = flights.select(F.col("id").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
+    seats and optionally ``op`` (RESERVE, RELEASE; a release carries the
+    flight of its booking's reservation, F2).  The start capacity is the
+    flight's available_seats; unknown flights give NOT_FOUND.
+
+    Cross-chunk state is settled by a fixpoint over fix rows: the first
+    ``bulk_rounds`` apply every inconsistency at once (usually enough);
+    later rounds apply only the earliest per flight, which is always a
+    correct fix, so each round makes progress."""
+    f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
+    op = F.col("op") if "op" in requests.columns else F.lit(RESERVE)
     base = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
-                           "booking_id", F.col("seats").cast("long").alias("seats"))
+                           "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
+                           op.alias("op"))
     missing = (base.join(f, "flight_id", "left_anti")
                .select("flight_id", "seq", "booking_id", F.lit(NOT_FOUND).alias("status"),
                        F.lit(None).cast("long").alias("remaining")))
-    known = base.join(f, "flight_id")
-    skips = None
+    known = base.join(f, "flight_id").checkpoint(eager=True)
+    fixes = None
     result = None
-    for _ in range(max_rounds):
-        req = known.withColumn("skip", F.lit(False)) if skips is None else (
-            known.join(skips.withColumn("skip", F.lit(True)), ["flight_id", "seq"], "left")
-            .withColumn("skip", F.coalesce("skip", F.lit(False))))
+    for rnd in range(max_rounds):
+        if fixes is None:
+            req = known.withColumn("skip", F.lit(False)).withColumn("free", F.lit(None).cast("long"))
+        else:
+            fx_ = fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), "free")
+            req = (known.join(fx_, ["flight_id", "seq"], "left")
+                   .withColumn("skip", F.coalesce(F.col("fixed") & F.col("free").isNull(), F.lit(False)))
+                   .drop("fixed"))
         folded, ch = _fold_once(req, chunks)
         result = folded.checkpoint(eager=True)
         ch.unpersist()
-        # a repeat accepted although an earlier occurrence was accepted
-        first_ok = (result.where(F.col("status") == ACTIVE).groupBy("flight_id", "booking_id")
-                    .agg(F.min("seq").alias("first_seq")))
-        wrong = (result.where(F.col("status") == ACTIVE).join(first_ok, ["flight_id", "booking_id"])
-                 .where(F.col("seq") > F.col("first_seq"))
-                 .groupBy("flight_id").agg(F.min("seq").alias("seq")))
-        if wrong.limit(1).count() == 0:
+        bad = _inconsistencies(result, known, fixes).checkpoint(eager=True)
+        if bad.limit(1).count() == 0:
             break
-        skips = wrong if skips is None else skips.unionByName(wrong)
-        skips = skips.checkpoint(eager=True)
-    # repeats after the first accepted occurrence report the existing row
-    first_ok = (result.where(F.col("status") == ACTIVE).groupBy("flight_id", "booking_id")
-                .agg(F.min("seq").alias("first_seq")))
-    labelled = (result.join(first_ok, ["flight_id", "booking_id"], "left")
-                .withColumn("status", F.when(F.col("first_seq").isNotNull() & (F.col("seq") > F.col("first_seq")),
-                                             F.lit(EXISTING)).otherwise(F.col("status")))
+        if rnd >= bulk_rounds:
+            first = bad.groupBy("flight_id").agg(F.min(F.struct("seq", "free", "action")).alias("x"))
+            bad = first.select("flight_id", "x.seq", "x.free", "x.action")
+        fixes = _apply_fixes(fixes, bad).checkpoint(eager=True)
+    else:
+        raise RuntimeError("seat fold did not settle")
+    # a rejected repeat whose reservation sat in an earlier chunk changed
+    # nothing, but reports the existing reservation
+    first_ok = (result.join(known.select("flight_id", "seq", "op"), ["flight_id", "seq"])
+                .where((F.col("op") == RESERVE) & (F.col("status") == ACTIVE))
+                .groupBy("flight_id", "booking_id").agg(F.min("seq").alias("first_seq")))
+    ops = known.select("flight_id", "seq", "op")
+    labelled = (result.join(ops, ["flight_id", "seq"]).join(first_ok, ["flight_id", "booking_id"], "left")
+                .withColumn("status", F.when((F.col("op") == RESERVE) & (F.col("status") == EXHAUSTED)
+                                             & (F.col("seq") > F.col("first_seq")), F.lit(EXISTING))
+                            .otherwise(F.col("status")))
                 .select("flight_id", "seq", "booking_id", "status", "remaining"))
     return labelled.unionByName(missing)
 

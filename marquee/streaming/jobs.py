@@ -12,7 +12,8 @@
   (batch form for the oracle).
 * F1 ``seat_stream``: the seat fold as keyed state per flight
   (``applyInPandasWithState``); the state is the remaining seats and the
-  bookings held, at most one per seat.
+  flight's reservations (booking, active, seats); also serves releases
+  (F2).  Work per key and trigger is bounded by the trigger size.
 
 Sources: Kafka and its Avro decoder are not on this classpath, so streams
 read files with a fixed schema (``stream_table``); the Kafka form is
@@ -134,22 +135,23 @@ SEAT_OUT = T.StructType([
     T.StructField("remaining", T.LongType()),
 ])
 SEAT_STATE = T.StructType([T.StructField("remaining", T.LongType()),
-                           T.StructField("held", T.ArrayType(T.StringType()))])
+                           T.StructField("held", T.ArrayType(T.StringType())),
+                           T.StructField("active", T.ArrayType(T.BooleanType())),
+                           T.StructField("seats", T.ArrayType(T.LongType()))])
 
 
 def _seat_state_fn(key, batches, state):
     from ..operators.flights import _fold_scalar  # the same fold as the batch job
     pdf = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
     if state.exists:
-        remaining, held = state.get
-        held = list(held)
+        remaining, ids, act, sts = state.get
+        held = {b: [a, s] for b, a, s in zip(ids, act, sts)}
     else:
-        remaining, held = int(pdf["cap"].iloc[0]), []
-    seats, books = pdf["seats"].to_numpy(), pdf["booking_id"].to_numpy()
-    skip = [b in set(held) for b in books]
-    status, rem, end = _fold_scalar(seats, books, skip, remaining)
-    newly = [b for b, st in zip(books, status) if st == "ACTIVE"]
-    state.update((int(end), held + newly))
+        remaining, held = int(pdf["cap"].iloc[0]), {}
+    books = pdf["booking_id"].to_numpy()
+    status, rem, end = _fold_scalar(pdf["seats"].to_numpy(), books, [False] * len(pdf), remaining,
+                                    pdf["op"].to_numpy(), None, held)
+    state.update((int(end), list(held), [v[0] for v in held.values()], [int(v[1]) for v in held.values()]))
     yield pd.DataFrame({"flight_id": pdf["flight_id"].to_numpy(), "seq": pdf["seq"].to_numpy(),
                         "booking_id": books, "status": status, "remaining": rem})
 
@@ -159,7 +161,9 @@ def seat_stream(requests: DataFrame, flights: DataFrame) -> DataFrame:
     micro-batch applied in ``seq`` order after those of earlier batches.
     Flights is a static table (stream-static join)."""
     f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
+    op = F.col("op") if "op" in requests.columns else F.lit("RESERVE")
     r = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
-                        "booking_id", F.col("seats").cast("long").alias("seats")).join(f, "flight_id")
+                        "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
+                        op.alias("op")).join(f, "flight_id")
     return r.groupBy("flight_id").applyInPandasWithState(
         _seat_state_fn, SEAT_OUT, SEAT_STATE, "append", GroupStateTimeout.NoTimeout)
