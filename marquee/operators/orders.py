@@ -42,9 +42,15 @@ def promo_evaluation(orders: DataFrame, totals: DataFrame, promos: DataFrame) ->
     outside [valid_from, valid_until]; below min_order_amount it is refused;
     PERCENTAGE = total·v/100, set to 0 when above 70 % of the total; FIXED =
     min(v, total).  The usage count is the promo row's ``current_uses``."""
+    o = orders.select("id", "promo_code", "created_at").join(totals, orders["id"] == totals["order_id"])
+    return _apply_promo(o.select("id", "promo_code", "created_at", "total"), promos).select(
+        F.col("id").alias("order_id"), "total", "reason", "discount", "net")
+
+
+def _apply_promo(o: DataFrame, promos: DataFrame) -> DataFrame:
+    """reason, discount and net for rows with id, promo_code, created_at, total."""
     p = small_side(promos.select("code", "discount_type", "discount_value", "min_order_amount",
                                  "max_uses", "current_uses", "valid_from", "valid_until", "active"))
-    o = orders.select("id", "promo_code", "created_at").join(totals, orders["id"] == totals["order_id"])
     j = o.join(p, o["promo_code"] == p["code"], "left")
     total = F.col("total")
     has_code = F.col("promo_code").isNotNull()
@@ -57,8 +63,7 @@ def promo_evaluation(orders: DataFrame, totals: DataFrame, promos: DataFrame) ->
                   F.when(pct > total * PERCENT_DISCOUNT_CAP, F.lit(0)).otherwise(pct))
            .otherwise(F.least(F.col("discount_value"), total)))
     discount = F.when(has_code & reason.isNull(), raw).otherwise(F.lit(0))
-    return j.select(F.col("id").alias("order_id"), total.alias("total"), reason.alias("reason"),
-                    discount.alias("discount"), (total - discount).alias("net"))
+    return j.select(*o.columns, reason.alias("reason"), discount.alias("discount"), (total - discount).alias("net"))
 
 
 def active_order_conflicts(orders: DataFrame) -> DataFrame:
@@ -110,15 +115,15 @@ def order_admission(orders: DataFrame, items: DataFrame, products: DataFrame, pr
     item_reason = (F.when(F.col("pid").isNull(), "PRODUCT_NOT_FOUND")
                    .when(F.col("p_status") != "ACTIVE", "PRODUCT_INACTIVE")
                    .when(F.col("stock") < F.col("quantity"), "INSUFFICIENT_STOCK"))
+    # one pass over the lines: first failing line, line count and total
     per_order = (li.withColumn("r", item_reason).groupBy("order_id")
                  .agg(F.min(F.when(F.col("r").isNotNull(), F.struct("line_no", "r"))).alias("first_bad"),
-                      F.count(F.lit(1)).alias("lines")))
-    promo = promo_evaluation(orders, order_totals(items), promos).select(
-        F.col("order_id").alias("pr_id"), F.col("reason").alias("promo_reason"))
+                      F.count(F.lit(1)).alias("lines"),
+                      F.sum(F.col("price_at_order") * F.col("quantity")).cast("decimal(14,2)").alias("total")))
     j = (o.join(limited, o["id"] == limited["lim_id"], "left")
          .join(first_active, "user_id", "left")
-         .join(per_order, o["id"] == per_order["order_id"], "left")
-         .join(promo, o["id"] == promo["pr_id"], "left"))
+         .join(per_order, o["id"] == per_order["order_id"], "left"))
+    j = _apply_promo(j, promos).withColumnRenamed("reason", "promo_reason")
     here = F.struct("created_at", "id")
     reason = (F.when(F.col("lines").isNull(), "VALIDATION_ERROR")
               .when(F.col("lim_id").isNotNull(), "ORDER_LIMIT_EXCEEDED")

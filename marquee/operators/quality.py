@@ -100,9 +100,12 @@ def login_contract_rejects(u: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------- constraint audit
 
-def _check(df: DataFrame, rule: str, key: str, bad: Column) -> DataFrame:
-    return df.where(bad).select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"),
-                                F.lit(1).cast("long").alias("n"))
+def _checks(df: DataFrame, key: str, rules: list[tuple[str, Column]]) -> DataFrame:
+    """All CHECK rules of one table in a single pass: one output row per
+    (row, failed rule)."""
+    failed = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in rules]))
+    return (df.select(F.col(key).cast("string").alias("key"), F.explode(failed).alias("rule"))
+            .select("rule", "key", F.lit(1).cast("long").alias("n")))
 
 
 def _unique(df: DataFrame, rule: str, cols: list[Column]) -> DataFrame:
@@ -123,18 +126,18 @@ def constraint_audit(t: dict[str, DataFrame]) -> DataFrame:
     bookings, order_items, orders."""
     p, f, sr, b = t["products"], t["flights"], t["seat_requests"], t["bookings"]
     parts = [
-        _check(p, "products.price_positive", "id", F.col("price") <= 0),
-        _check(p, "products.stock_nonnegative", "id", F.col("stock") < 0),
+        _checks(p, "id", [("products.price_positive", F.col("price") <= 0),
+                          ("products.stock_nonnegative", F.col("stock") < 0)]),
         _unique(t["promo_codes"], "promo_codes.code_unique", [F.col("code")]),
         _unique(t["users"], "users.username_unique", [F.col("username")]),
-        _check(f, "flights.total_seats_positive", "id", F.col("total_seats") <= 0),
-        _check(f, "flights.available_nonnegative", "id", F.col("available_seats") < 0),
-        _check(f, "flights.price_positive", "id", F.col("price") <= 0),
-        _check(f, "flights.available_within_total", "id", F.col("available_seats") > F.col("total_seats")),
+        _checks(f, "id", [("flights.total_seats_positive", F.col("total_seats") <= 0),
+                          ("flights.available_nonnegative", F.col("available_seats") < 0),
+                          ("flights.price_positive", F.col("price") <= 0),
+                          ("flights.available_within_total", F.col("available_seats") > F.col("total_seats"))]),
         _unique(f, "flights.number_date_unique", [F.col("flight_number"), F.to_date("departure_time")]),
         _unique(sr, "seat_reservations.booking_unique", [F.col("booking_id")]),
-        _check(sr, "seat_reservations.seat_count_positive", "booking_id", F.col("seats") <= 0),
-        _check(b, "bookings.seat_count_positive", "booking_id", F.col("seat_count") <= 0),
+        _checks(sr, "booking_id", [("seat_reservations.seat_count_positive", F.col("seats") <= 0)]),
+        _checks(b, "booking_id", [("bookings.seat_count_positive", F.col("seat_count") <= 0)]),
         _unique(b, "bookings.booking_unique", [F.col("booking_id")]),
         _foreign(t["order_items"], "product_id", p, "id", "order_items.product_fk"),
         _foreign(t["order_items"], "order_id", t["orders"], "id", "order_items.order_fk"),
