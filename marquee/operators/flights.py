@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,17 +214,21 @@ def _chunk_fold(batches):
     pdf = _partition_frame(batches)
     if pdf is None or pdf.empty:
         return
-    pdf = pdf.sort_values(["flight_id", "seq"], kind="stable")
-    res = []
-    for fid, g in pdf.groupby("flight_id", sort=True):
-        start = g["start"].iloc[0]
-        start = int(g["cap"].iloc[0]) if pd.isna(start) else int(start)
-        seats, books, skip, ops, free = _cols(g)
-        status, rem, _ = _fold_scalar(seats, books, skip, start, ops, free)
-        res.append(pd.DataFrame({"flight_id": g["flight_id"].to_numpy(), "seq": g["seq"].to_numpy(),
-                                 "booking_id": books, "status": status,
-                                 "remaining": np.asarray(rem, dtype=np.int64)}))
-    yield pd.concat(res, ignore_index=True)
+    pdf = pdf.sort_values(["flight_id", "seq"], kind="stable").reset_index(drop=True)
+    fids = pdf["flight_id"].to_numpy()
+    # group boundaries of the sorted flight ids
+    cuts = np.flatnonzero(np.r_[True, fids[1:] != fids[:-1], True])
+    seats, books, skip, ops, free = _cols(pdf)
+    starts, caps = pdf["start"].to_numpy(dtype=object), pdf["cap"].to_numpy()
+    status, rem = [], []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        st = starts[a]
+        st = int(caps[a]) if not _is_set(st) else int(st)
+        s_, r_, _ = _fold_scalar(seats[a:b], books[a:b], skip[a:b], st, ops[a:b], free[a:b])
+        status.extend(s_)
+        rem.extend(r_)
+    yield pd.DataFrame({"flight_id": fids, "seq": pdf["seq"].to_numpy(), "booking_id": books, "status": status,
+                        "remaining": np.asarray(rem, dtype=np.int64)})
 
 
 def _fold_once(req: DataFrame, chunks: int | None):
@@ -238,7 +242,25 @@ def _fold_once(req: DataFrame, chunks: int | None):
     return with_start.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_fold, _RESULT), ch
 
 
-def _inconsistencies(result: DataFrame, req: DataFrame, fixes: DataFrame | None) -> DataFrame:
+def _annotate(result: DataFrame, req: DataFrame, fixes: DataFrame | None) -> DataFrame:
+    """Each result row with its op, its booking's first accepted reserve
+    (``ok``: seq, seats) and first release (``rel``), and its fix if any."""
+    r = result.join(req.select("flight_id", "seq", "op", "seats"), ["flight_id", "seq"])
+    per_booking = r.groupBy("flight_id", "booking_id").agg(
+        F.min(F.when((F.col("op") == RESERVE) & (F.col("status") == ACTIVE), F.struct("seq", "seats"))).alias("ok"),
+        F.min(F.when(F.col("status") == RELEASED, F.col("seq"))).alias("rel"))
+    j = r.join(per_booking, ["flight_id", "booking_id"], "left")
+    if fixes is not None:
+        return j.join(fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), F.col("free").alias("fix_free")),
+                      ["flight_id", "seq"], "left")
+    return j.withColumn("fixed", F.lit(None).cast("boolean")).withColumn("fix_free", F.lit(None).cast("long"))
+
+
+def _reserved_before() -> Column:
+    return F.coalesce(F.col("ok.seq") < F.col("seq"), F.lit(False))
+
+
+def _inconsistencies(j: DataFrame) -> DataFrame:
     """Rows where a chunk fold disagrees with the sequential rule because
     the state it needed sat in an earlier chunk, as fix rows
     (flight_id, seq, free, action):
@@ -251,18 +273,8 @@ def _inconsistencies(result: DataFrame, req: DataFrame, fixes: DataFrame | None)
 
     A run without any of them equals the sequential fold (by induction
     over seq, every row then follows the rule from the rows before it)."""
-    r = result.join(req.select("flight_id", "seq", "op", "seats"), ["flight_id", "seq"])
-    per_booking = r.groupBy("flight_id", "booking_id").agg(
-        F.min(F.when((F.col("op") == RESERVE) & (F.col("status") == ACTIVE), F.struct("seq", "seats"))).alias("ok"),
-        F.min(F.when(F.col("status") == RELEASED, F.col("seq"))).alias("rel"))
-    j = r.join(per_booking, ["flight_id", "booking_id"], "left")
-    reserved_before = F.coalesce(F.col("ok.seq") < F.col("seq"), F.lit(False))
+    reserved_before = _reserved_before()
     active_before = reserved_before & (F.col("rel").isNull() | (F.col("rel") >= F.col("seq")))
-    if fixes is not None:
-        j = j.join(fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), F.col("free").alias("fix_free")),
-                   ["flight_id", "seq"], "left")
-    else:
-        j = j.withColumn("fixed", F.lit(None).cast("boolean")).withColumn("fix_free", F.lit(None).cast("long"))
     fixed = F.coalesce(F.col("fixed"), F.lit(False))
     add_skip = ~fixed & (F.col("op") == RESERVE) & (F.col("status") == ACTIVE) & reserved_before
     add_free = (~fixed & (F.col("op") == RELEASE) & (F.col("status") == NOT_FOUND) & active_before
@@ -307,10 +319,13 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
     base = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
                            "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
                            op.alias("op"))
-    missing = (base.join(f, "flight_id", "left_anti")
+    # one checkpointed pass: requests with their flight's capacity (null cap
+    # = unknown flight)
+    all_req = base.join(f, "flight_id", "left").checkpoint(eager=True)
+    missing = (all_req.where(F.col("cap").isNull())
                .select("flight_id", "seq", "booking_id", F.lit(NOT_FOUND).alias("status"),
                        F.lit(None).cast("long").alias("remaining")))
-    known = base.join(f, "flight_id").checkpoint(eager=True)
+    known = all_req.where(F.col("cap").isNotNull())
     fixes = None
     result = None
     for rnd in range(max_rounds):
@@ -324,7 +339,8 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
         folded, ch = _fold_once(req, chunks)
         result = folded.checkpoint(eager=True)
         ch.unpersist()
-        bad = _inconsistencies(result, known, fixes).checkpoint(eager=True)
+        annotated = _annotate(result, known, fixes).checkpoint(eager=True)
+        bad = _inconsistencies(annotated).checkpoint(eager=True)
         if bad.limit(1).count() == 0:
             break
         if rnd >= bulk_rounds:
@@ -335,15 +351,10 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
         raise RuntimeError("seat fold did not settle")
     # a rejected repeat whose reservation sat in an earlier chunk changed
     # nothing, but reports the existing reservation
-    first_ok = (result.join(known.select("flight_id", "seq", "op"), ["flight_id", "seq"])
-                .where((F.col("op") == RESERVE) & (F.col("status") == ACTIVE))
-                .groupBy("flight_id", "booking_id").agg(F.min("seq").alias("first_seq")))
-    ops = known.select("flight_id", "seq", "op")
-    labelled = (result.join(ops, ["flight_id", "seq"]).join(first_ok, ["flight_id", "booking_id"], "left")
-                .withColumn("status", F.when((F.col("op") == RESERVE) & (F.col("status") == EXHAUSTED)
-                                             & (F.col("seq") > F.col("first_seq")), F.lit(EXISTING))
-                            .otherwise(F.col("status")))
-                .select("flight_id", "seq", "booking_id", "status", "remaining"))
+    relabel = (F.col("op") == RESERVE) & (F.col("status") == EXHAUSTED) & _reserved_before()
+    labelled = annotated.select("flight_id", "seq", "booking_id",
+                                F.when(relabel, F.lit(EXISTING)).otherwise(F.col("status")).alias("status"),
+                                "remaining")
     return labelled.unionByName(missing)
 
 

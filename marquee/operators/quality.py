@@ -90,6 +90,24 @@ def order_contract_rejects(o: DataFrame) -> DataFrame:
     return o.select("order_id", reasons(rules).alias("reasons")).where(F.col("reasons") != "")
 
 
+def order_rows_contract_rejects(headers: DataFrame, items: DataFrame) -> DataFrame:
+    """V2 for order payloads whose items arrive as rows: the same rules as
+    ``order_contract_rejects`` from per-order counts (partial aggregates,
+    so an order with a huge item list never becomes one array)."""
+    per = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.count_if(~F.col("quantity").between(1, 999) | F.col("quantity").isNull()).alias("bad_qty"))
+    j = headers.join(per, "order_id", "left")
+    n = F.coalesce(F.col("n_items"), F.lit(0))
+    rules = [
+        (n < 1, "items:empty"),
+        (n > 50, "items:too_many"),
+        (F.coalesce(F.col("bad_qty"), F.lit(0)) > 0, "items:quantity"),
+        (F.col("promo_code").isNotNull() & ~F.col("promo_code").rlike(PROMO_CODE_PATTERN), "promo_code:pattern"),
+    ]
+    return j.select("order_id", reasons(rules).alias("reasons")).where(F.col("reasons") != "")
+
+
 def login_contract_rejects(u: DataFrame) -> DataFrame:
     """V2 for login payloads: password 8..72 characters."""
     n = F.length("password")

@@ -296,7 +296,7 @@ def q_product_contract_rejects(spark, sf):
 
 @register("order_contract_rejects")
 def q_order_contract_rejects(spark, sf):
-    return qa.order_contract_rejects(fx.order_payloads(spark, sf))
+    return qa.order_rows_contract_rejects(fx.order_headers(spark, sf), fx.order_payload_items(spark, sf))
 
 
 @register("login_contract_rejects")

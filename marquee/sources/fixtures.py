@@ -137,6 +137,24 @@ def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order create payloads without their items (V2): the promo code,
+    lower-cased for every 13th order."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    oid = F.col("o_orderkey")
+    code = F.when(oid % 7 < 6, F.concat(F.lit("PROMO"), (oid % 7).cast("string")))
+    return o.select(oid.alias("order_id"), F.when(oid % 13 == 0, F.lower(code)).otherwise(code).alias("promo_code"))
+
+
+def order_payload_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payload items as rows (order_id, line_no, product_id, quantity)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                     F.col("l_partkey").alias("product_id"),
+                     (F.col("l_quantity").cast("int") * F.when(F.col("l_linenumber") == 7, 20).otherwise(1))
+                     .alias("quantity"))
+
+
 def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order create payloads (V2): the order's line items as an array, the
     promo code lower-cased for every 13th order."""
@@ -296,12 +314,18 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seat_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_partkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber",
-                                                "l_quantity", "l_extendedprice")
-    return li.select(
+    """Seat requests in arrival order per flight.  ``seq`` is the position
+    within the flight by (shipdate, orderkey, linenumber, quantity,
+    extendedprice), numbered by the chunked scan so a hot flight is not
+    numbered in one task (tied rows are identical in every output column)."""
+    from ..functions.scan import keyed_position
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    numbered = keyed_position(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity",
+                                                  "l_extendedprice"], "seq")
+    return numbered.select(
         F.col("l_partkey").alias("flight_id"),
-        F.row_number().over(w).alias("seq"),
+        F.col("seq"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("booking_id"),
         F.col("l_quantity").cast("int").alias("seats"),
         F.col("l_shipdate").cast("timestamp").alias("requested_at"),

@@ -147,3 +147,12 @@ def test_field_fidelity_and_session_of_four(spark):
     stored = ev.with_store_columns(typed)
     audit = qa.session_sequence_audit(stored, chunks=2).where("session_id = 'seq-s'").collect()[0]
     assert (audit.events, audit.starts_ok, audit.progress_falls, audit.after_finish) == (4, True, False, False)
+
+
+def test_order_payload_rules_array_and_rows_agree(spark):
+    from conftest import SF0001
+    from marquee.sources import fixtures as fx
+    arr = {tuple(r) for r in qa.order_contract_rejects(fx.order_payloads(spark, SF0001)).collect()}
+    rows = {tuple(r) for r in qa.order_rows_contract_rejects(fx.order_headers(spark, SF0001),
+                                                             fx.order_payload_items(spark, SF0001)).collect()}
+    assert arr == rows and arr
