@@ -153,6 +153,12 @@ def events_by_type(me: DataFrame) -> DataFrame:
     return me.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).orderBy("event_type")
 
 
+def latest_metrics(metrics: DataFrame, n: int = 20) -> DataFrame:
+    """The last ``n`` metric rows by date (newest first), then name;
+    dimensions and computed_at break ties so the cut is deterministic."""
+    return metrics.orderBy(F.desc("metric_date"), "metric_name", "dimensions", "computed_at").limit(n)
+
+
 def conversion_last(series: DataFrame) -> DataFrame:
     """P10: last non-null value of a per-day series, with its colour band."""
     last = (series.where(F.col("value").isNotNull())

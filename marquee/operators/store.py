@@ -94,7 +94,7 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str],
     checkpoint in the shared checkpoint folder -- the source files are about
     to be overwritten -- and written back with dynamic partition overwrite."""
     ensure_checkpoint_dir(spark)
-    new = new.checkpoint(eager=True)
+    new = new.persist()              # used for the touched values and the merge
     touched = [r[0] for r in new.select(part_col).distinct().collect()]  # partition values, bounded by days
     if _exists(spark, path):
         old = spark.read.parquet(path)
@@ -103,7 +103,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str],
                   else key_merge(old, new, key))
     else:
         merged = new
-    merged = merged.checkpoint(eager=True)
+    merged = merged.checkpoint(eager=True)   # reliable: the files it was read from get replaced
+    new.unpersist()
     (merged.repartition(part_col).write.mode("overwrite").partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
 

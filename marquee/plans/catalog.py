@@ -526,7 +526,7 @@ def q_stream_ingest(spark, sf):
 
 def _streamed_states(spark, sf):
     root = _streamed_store(spark, sf)
-    sj.incremental_states(spark, f"{root}/store", f"{root}/states", f"{root}/states-ckpt", max_files=4)
+    sj.incremental_states(spark, f"{root}/store", f"{root}/states", f"{root}/states-ckpt", max_files=8)
     return f"{root}/states"
 
 
@@ -549,3 +549,10 @@ def q_incremental_dau(spark, sf):
 @register("tumbling_counts")
 def q_tumbling_counts(spark, sf):
     return sj.tumbling_counts(fx.movie_events(spark, sf), "1 day")
+
+
+@register("latest_metrics")
+def q_latest_metrics(spark, sf):
+    """Last 20 metric rows of the metric table after the cycle."""
+    metrics, _, _ = _cycle_tables(spark, sf)
+    return m.latest_metrics(metrics, 20)

@@ -750,3 +750,6 @@ SELECT event_date, count(DISTINCT user_id) AS dau FROM movie_events GROUP BY eve
 sql("tumbling_counts", ME, """
 SELECT time_bucket(INTERVAL 1 DAY, event_time) AS window_start, event_type, count(*) AS n
 FROM movie_events GROUP BY 1, 2""")
+
+sql("latest_metrics", ME, """
+SELECT * FROM m_merged ORDER BY metric_date DESC, metric_name, dimensions, computed_at LIMIT 20""", CYCLE)

@@ -118,3 +118,12 @@ def request_stats(log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("duration_ms", 0.5).alias("p50"),
         F.percentile_approx("duration_ms", 0.99).alias("p99"))
+
+
+def observe_published(frames: DataFrame, name: str = "published"):
+    """Count the records a publish job sends, as an observed metric of
+    the same job (no second pass).  Returns (frame, observation); read
+    ``observation.get["published"]`` after the write."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return frames.observe(obs, F.count(F.lit(1)).alias("published")), obs

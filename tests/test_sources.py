@@ -86,3 +86,10 @@ def test_upsert_table_twice_is_idempotent(spark):
     first = sorted(map(tuple, a.collect()))
     b = st.upsert_table(spark, f"{root}/metrics", m, ["metric_date", "metric_name", "dimensions"], "metric_date")
     assert sorted(map(tuple, b.collect())) == first
+
+
+def test_observed_publish_count(spark):
+    frames = ev.publish_frames(fx.raw_event_rows(spark, SF001))
+    counted, obs = ev.observe_published(frames)
+    counted.write.format("noop").mode("overwrite").save()
+    assert obs.get["published"] == fx.movie_events(spark, SF001).count()
