@@ -388,7 +388,7 @@ def booking_transitions(events: DataFrame) -> DataFrame:
               .otherwise(F.lit("CANCELLED")))
     j = j.withColumn("from_status", before)
     legal = (((F.col("action") == "CREATE") & F.col("from_status").isNull())
-             | ((F.col("action") == "CANCEL") & (F.col("from_status") == "CONFIRMED")))
+             | ((F.col("action") == "CANCEL") & F.col("from_status").eqNullSafe("CONFIRMED")))
     to = (F.when(legal & (F.col("action") == "CREATE"), "CONFIRMED")
           .when(legal & (F.col("action") == "CANCEL"), "CANCELLED").otherwise(F.col("from_status")))
     return j.select("booking_id", "action", "event_at", "from_status", to.alias("to_status"), legal.alias("legal"))

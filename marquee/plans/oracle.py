@@ -610,7 +610,7 @@ sql("booking_transitions", ["booking_events"], """
 SELECT booking_id, action, event_at, from_status,
        CASE WHEN legal AND action = 'CREATE' THEN 'CONFIRMED' WHEN legal AND action = 'CANCEL' THEN 'CANCELLED'
             ELSE from_status END AS to_status, legal
-FROM (SELECT *, (action = 'CREATE' AND from_status IS NULL) OR (action = 'CANCEL' AND from_status = 'CONFIRMED')
+FROM (SELECT *, (action = 'CREATE' AND from_status IS NULL) OR (action = 'CANCEL' AND from_status IS NOT DISTINCT FROM 'CONFIRMED')
                 AS legal
       FROM (SELECT e.*, CASE WHEN c.c_at IS NULL OR e.event_at < c.c_at OR (e.event_at = c.c_at AND e.action = 'CREATE') THEN NULL
                              WHEN x.x_at IS NULL OR e.event_at <= x.x_at THEN 'CONFIRMED' ELSE 'CANCELLED' END AS from_status
