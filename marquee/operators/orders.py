@@ -194,16 +194,16 @@ def promo_usage(orders: DataFrame, items: DataFrame, promos: DataFrame) -> DataF
 def product_page(products: DataFrame, status: str | None = None, category: str | None = None,
                  page: int = 0, size: int = 20) -> DataFrame:
     """One page of the filtered listing ordered by id, with the filtered
-    total on every row (a one-row aggregate, broadcast by construction)."""
+    total on every row (a scalar subquery: one partial count per task)."""
     f = products
     if status is not None:
         f = f.where(F.col("status") == status)
     if category is not None:
         f = f.where(F.col("category") == category)
-    total = f.agg(F.count(F.lit(1)).alias("total_elements"))
-    rows = (f.select("id", "name", "price", "stock", "category", "status")
-            .orderBy("id").offset(page * size).limit(size))
-    return rows.crossJoin(F.broadcast(total))
+    total = f.agg(F.count(F.lit(1))).scalar()
+    return (f.select("id", "name", "price", "stock", "category", "status")
+            .orderBy("id").offset(page * size).limit(size)
+            .withColumn("total_elements", total))
 
 
 def lookup_missing_keys(lookups: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
