@@ -99,7 +99,7 @@ def channel_plan(routed: DataFrame, chain: list[str] | None = None) -> DataFrame
     return routed.select("notification_id", F.array_join(plan, ",").alias("channels"))
 
 
-def _next_in_chain(channel: Column, chain: list[str]) -> Column:
+def next_in_chain(channel: Column, chain: list[str]) -> Column:
     expr = None
     for a, b in zip(chain, chain[1:]):
         expr = F.when(channel == a, F.lit(b)) if expr is None else expr.when(channel == a, F.lit(b))
@@ -140,7 +140,7 @@ def failover(attempts: DataFrame, acks: DataFrame, timeout_ms: int = ACK_TIMEOUT
     late = F.col("next_ack").isNull() | (F.col("next_ack") > F.unix_micros("ts") + timeout_ms * 1000)
     out = j.where((F.col("outcome") == "FAILED") | late)
     return out.select("notification_id", F.col("channel").alias("failed_channel"),
-                      _next_in_chain(F.col("channel"), chain).alias("next_channel"),
+                      next_in_chain(F.col("channel"), chain).alias("next_channel"),
                       F.when(F.col("outcome") == "FAILED", "FAILED").otherwise("ACK_TIMEOUT").alias("reason"),
                       "attempt_id")
 

@@ -10,6 +10,13 @@
 * T3 ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on event_id.
 * T4 ``tumbling_counts``: day windows with a watermark for late events
   (batch form for the oracle).
+* N2 ``dedup_ttl_stream``: the 24 h TTL de-dup as keyed state per
+  (idempotency key, channel) holding the last kept send time; the state
+  expires with an event-time timeout once the watermark passes its TTL.
+* N5 ``failover_stream``: attempts left-outer-joined to acks within the
+  ack timeout (stream-stream interval join with watermarks on both sides);
+  an attempt without an ack is emitted once the watermark closes its
+  interval, a FAILED one at once.
 * F1 ``seat_stream``: the seat fold as keyed state per flight
   (``applyInPandasWithState``); the state is the remaining seats and the
   flight's reservations (booking, active, seats); also serves releases
@@ -22,6 +29,7 @@ read files with a fixed schema (``stream_table``); the Kafka form is
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import metrics as m
+from ..operators import notify as nt
 from ..sources import events as ev
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -171,3 +180,69 @@ def seat_stream(requests: DataFrame, flights: DataFrame) -> DataFrame:
                         op.alias("op")).join(f, "flight_id")
     return r.groupBy("flight_id").applyInPandasWithState(
         _seat_state_fn, SEAT_OUT, SEAT_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+# ------------------------------------------------------------------- N2/N5
+
+def _ttl_state_fn(ttl_us: int):
+    def fn(key, batches, state):
+        if state.hasTimedOut:          # the watermark passed the TTL: forget
+            state.remove()
+            return
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["_t", "attempt_id"], kind="stable")
+        last = int(state.get[0]) if state.exists else None
+        ts = pdf["_t"].to_numpy()
+        keep = np.zeros(len(pdf), dtype=bool)
+        for i, t in enumerate(ts):
+            if last is None or t >= last + ttl_us:
+                keep[i] = True
+                last = int(t)
+        expiry_ms = (last + ttl_us) // 1000
+        if expiry_ms <= state.getCurrentWatermarkMs():
+            state.remove()             # any later attempt is kept anyway
+        else:
+            state.update((last,))
+            state.setTimeoutTimestamp(expiry_ms)
+        yield pdf.loc[keep].drop(columns="_t")
+    return fn
+
+
+def dedup_ttl_stream(attempts: DataFrame, ttl_hours: int = nt.DEDUP_TTL_HOURS, delay: str = "1 hour") -> DataFrame:
+    """N2 over an attempt stream: keyed state per (idem_key, channel) with
+    the last kept send time.  Equals the batch ``dedup_ttl`` when each key's
+    attempts arrive in send order (later triggers carry later sends);
+    attempts older than the watermark are dropped as late."""
+    a = (attempts.withWatermark("ts", delay)
+         .withColumn("idem_key", nt.idem_key(F.col("source_service"), F.col("notification_id"), F.col("user_id")))
+         .withColumn("_t", F.unix_micros("ts")))
+    out_schema = T.StructType([f for f in a.schema.fields if f.name != "_t"])
+    state_schema = T.StructType([T.StructField("last_kept_us", T.LongType())])
+    return a.groupBy("idem_key", "channel").applyInPandasWithState(
+        _ttl_state_fn(ttl_hours * 3600 * 1_000_000), out_schema, state_schema, "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
+def failover_stream(attempts: DataFrame, acks: DataFrame, timeout_ms: int = nt.ACK_TIMEOUT_MS,
+                    chain: list[str] | None = None, delay: str = "1 minute") -> DataFrame:
+    """N5 over streams: same rows as the batch ``failover``.  FAILED attempts
+    hand over at once; a delivered attempt hands over when no ack of its
+    (notification, channel) lands in [ts, ts + timeout] -- a stream-stream
+    left outer join whose unmatched rows appear once the watermark passes
+    the interval, so join state stays bounded by delay + timeout."""
+    chain = chain or nt.DEFAULT_CHAIN
+    a = attempts.withWatermark("ts", delay).select("attempt_id", "notification_id", "channel", "outcome", "ts")
+    k = acks.withWatermark("ack_at", delay).select(F.col("notification_id").alias("k_nid"),
+                                                   F.col("channel").alias("k_ch"), "ack_at")
+
+    def shape(df: DataFrame, reason: str) -> DataFrame:
+        return df.select("notification_id", F.col("channel").alias("failed_channel"),
+                         nt.next_in_chain(F.col("channel"), chain).alias("next_channel"),
+                         F.lit(reason).alias("reason"), "attempt_id")
+
+    failed = a.where(F.col("outcome") == "FAILED")
+    sent = a.where(F.col("outcome") != "FAILED")
+    cond = ((F.col("notification_id") == F.col("k_nid")) & (F.col("channel") == F.col("k_ch"))
+            & (F.col("ack_at") >= F.col("ts"))
+            & (F.col("ack_at") <= F.col("ts") + F.expr(f"INTERVAL {int(timeout_ms)} MILLISECONDS")))
+    timed_out = sent.join(k, cond, "leftOuter").where(F.col("ack_at").isNull())
+    return shape(failed, "FAILED").unionByName(shape(timed_out, "ACK_TIMEOUT"))

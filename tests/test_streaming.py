@@ -50,3 +50,42 @@ def test_seat_stream_equals_batch_fold(spark):
 
 def fl_stream(stream, flights):
     return sj.seat_stream(stream, flights)
+
+
+def _weekly_attempt_stream(spark, root):
+    """The attempts fixture as one file per week, written in week order, read
+    one file per trigger: each key's sends arrive in time order."""
+    from marquee.sources import fixtures as fxs
+    path = f"{root}/attempts"
+    a = fxs.retried_attempts(spark, SF0001).withColumn("wk", F.floor(F.unix_seconds("ts") / (7 * 86400)))
+    weeks = sorted(r.wk for r in a.select("wk").distinct().collect())
+    for w in weeks:
+        a.where(F.col("wk") == w).drop("wk").coalesce(1).write.mode("append").parquet(path)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path), spark.read.parquet(path)
+
+
+def test_ttl_dedup_stream_equals_batch(spark):
+    from marquee.operators import notify as nt
+    root = scratch_path(spark, "stream-ttl")
+    stream, static = _weekly_attempt_stream(spark, root)
+    out = _collect_stream(sj.dedup_ttl_stream(stream), spark, "ttl_out", root)
+    got = sorted(r.attempt_id for r in out.select("attempt_id").collect())
+    exp = sorted(r.attempt_id for r in nt.dedup_ttl(static).select("attempt_id").collect())
+    assert got and got == exp
+
+
+def test_failover_stream_equals_batch_on_closed_intervals(spark):
+    from marquee.operators import notify as nt
+    root = scratch_path(spark, "stream-failover")
+    stream, static = _weekly_attempt_stream(spark, root)
+    out = _collect_stream(sj.failover_stream(stream, nt.acks_of(stream)), spark, "failover_out", root)
+    got = {tuple(r) for r in out.collect()}
+    batch = nt.failover(static, nt.acks_of(static))
+    exp = {tuple(r) for r in batch.collect()}
+    assert got and got <= exp
+    # everything the last watermark has closed is there
+    last = static.agg(F.max("ts")).first()[0]
+    closed = batch.join(static.select("attempt_id", "ts"), "attempt_id").where(
+        F.col("ts") < F.lit(last) - F.expr("INTERVAL 10 MINUTES")).select(*batch.columns)
+    assert {tuple(r) for r in closed.collect()} <= got
