@@ -10,6 +10,8 @@
 * T3 ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on event_id.
 * T4 ``tumbling_counts``: day windows with a watermark for late events
   (batch form for the oracle).
+* T5 ``session_rollup_stream``: per session id, a session window (gap)
+  with a watermark; append mode emits a session once it is closed.
 * N2 ``dedup_ttl_stream``: the 24 h TTL de-dup as keyed state per
   (idempotency key, channel) holding the last kept send time; the state
   expires with an event-time timeout once the watermark passes its TTL.
@@ -140,6 +142,21 @@ def tumbling_counts_stream(stored_stream: DataFrame, width: str = "1 day", delay
             .select(F.col("w.start").alias("window_start"), "event_type", "n"))
 
 
+def session_rollup_stream(stored_stream: DataFrame, gap: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """T5 streaming form: ``session_rollup`` per session id, closed when no
+    event of the session arrived for ``gap`` past the watermark.  A
+    producer-supplied session id whose events lie within ``gap`` of each
+    other yields the batch row; a longer pause splits it."""
+    at = F.struct("event_time", "event_id")
+    return (stored_stream.withWatermark("event_time", delay)
+            .groupBy("session_id", F.session_window("event_time", gap).alias("w"))
+            .agg(F.min("event_time").alias("started_at"),
+                 F.max("event_time").alias("ended_at"),
+                 F.max_by("progress_seconds", F.when(F.col("progress_seconds").isNotNull(), at)).alias("last_progress"),
+                 (F.count_if(F.col("event_type") == "VIEW_FINISHED") > 0).alias("finished"))
+            .drop("w"))
+
+
 # ------------------------------------------------------------------- F1
 
 SEAT_OUT = T.StructType([

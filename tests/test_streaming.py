@@ -89,3 +89,17 @@ def test_failover_stream_equals_batch_on_closed_intervals(spark):
     closed = batch.join(static.select("attempt_id", "ts"), "attempt_id").where(
         F.col("ts") < F.lit(last) - F.expr("INTERVAL 10 MINUTES")).select(*batch.columns)
     assert {tuple(r) for r in closed.collect()} <= got
+
+
+def test_session_stream_closed_sessions_equal_batch(spark):
+    from marquee.operators import quality as qa
+    root = scratch_path(spark, "stream-session")
+    me_stream = fx.movie_events_from(sj.stream_table(spark, SF0001, "events"))
+    out = _collect_stream(sj.session_rollup_stream(me_stream, "1 day", "1 hour"), spark, "session_out", root)
+    me = fx.movie_events(spark, SF0001)
+    batch = qa.session_rollup(me)
+    got = {tuple(r) for r in out.collect()}
+    assert got and got <= {tuple(r) for r in batch.collect()}
+    last = me.agg(F.max("event_time")).first()[0]
+    closed = batch.where(F.col("ended_at") < F.lit(last) - F.expr("INTERVAL 2 DAYS"))
+    assert {tuple(r) for r in closed.collect()} <= got
