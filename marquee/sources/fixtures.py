@@ -409,7 +409,11 @@ def retried_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return notifications_from(read_table(spark, sf_dir, "events"))
+
+
+def notifications_from(e: DataFrame) -> DataFrame:
+    """The notification mapping over an events frame (batch or stream)."""
     return e.select(
         F.col("event_id").alias("notification_id"),
         F.col("user_id").alias("user_key"),

@@ -15,6 +15,8 @@
 * N2 ``dedup_ttl_stream``: the 24 h TTL de-dup as keyed state per
   (idempotency key, channel) holding the last kept send time; the state
   expires with an event-time timeout once the watermark passes its TTL.
+* N7 ``route_lanes``: notification stream -> one output folder per
+  priority lane (``partitionBy("lane")``), so each lane has its own consumer.
 * N5 ``failover_stream``: attempts left-outer-joined to acks within the
   ack timeout (stream-stream interval join with watermarks on both sides);
   an attempt without an ack is emitted once the watermark closes its
@@ -263,3 +265,12 @@ def failover_stream(attempts: DataFrame, acks: DataFrame, timeout_ms: int = nt.A
             & (F.col("ack_at") <= F.col("ts") + F.expr(f"INTERVAL {int(timeout_ms)} MILLISECONDS")))
     timed_out = sent.join(k, cond, "leftOuter").where(F.col("ack_at").isNull())
     return shape(failed, "FAILED").unionByName(shape(timed_out, "ACK_TIMEOUT"))
+
+
+def route_lanes(notifications: DataFrame, out_path: str, checkpoint: str):
+    """N7 over a stream: every notification lands in its lane's folder
+    (``lane=transactional|service|marketing``); one availableNow run."""
+    q = (notifications.withColumn("lane", nt.lane_of(F.col("type")))
+         .writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .partitionBy("lane").trigger(availableNow=True).start(out_path))
+    run_available(q)

@@ -103,3 +103,17 @@ def test_session_stream_closed_sessions_equal_batch(spark):
     last = me.agg(F.max("event_time")).first()[0]
     closed = batch.where(F.col("ended_at") < F.lit(last) - F.expr("INTERVAL 2 DAYS"))
     assert {tuple(r) for r in closed.collect()} <= got
+
+
+def test_lane_routing_stream_equals_batch_counts(spark):
+    from marquee.operators import notify as nt
+    root = scratch_path(spark, "stream-lanes")
+    notif_stream = fx.notifications_from(sj.stream_table(spark, SF0001, "events"))
+    sj.route_lanes(notif_stream, f"{root}/lanes", f"{root}/ckpt")
+    written = spark.read.parquet(f"{root}/lanes")
+    got = {(r.lane, r.n) for r in written.groupBy("lane").agg(F.count(F.lit(1)).alias("n")).collect()}
+    exp = {(r.lane, r.n) for r in nt.lanes(fx.notifications(spark, SF0001)).collect()}
+    assert got == exp
+    # a lane's consumer reads only its folder
+    plan = written.where(F.col("lane") == "transactional")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(lane" in plan
