@@ -77,7 +77,8 @@ _STARTS = T.StructType([
 _RESULT = T.StructType([
     T.StructField("flight_id", T.LongType()), T.StructField("seq", T.LongType()),
     T.StructField("booking_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("remaining", T.LongType()),
+    T.StructField("remaining", T.LongType()), T.StructField("op", T.StringType()),
+    T.StructField("seats", T.LongType()),
 ])
 RESERVE, RELEASE, RELEASED = "RESERVE", "RELEASE", "RELEASED"
 
@@ -228,7 +229,7 @@ def _chunk_fold(batches):
         status.extend(s_)
         rem.extend(r_)
     yield pd.DataFrame({"flight_id": fids, "seq": pdf["seq"].to_numpy(), "booking_id": books, "status": status,
-                        "remaining": np.asarray(rem, dtype=np.int64)})
+                        "remaining": np.asarray(rem, dtype=np.int64), "op": ops, "seats": seats})
 
 
 def _fold_once(req: DataFrame, chunks: int | None):
@@ -242,10 +243,10 @@ def _fold_once(req: DataFrame, chunks: int | None):
     return with_start.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_fold, _RESULT), ch
 
 
-def _annotate(result: DataFrame, req: DataFrame, fixes: DataFrame | None) -> DataFrame:
-    """Each result row with its op, its booking's first accepted reserve
-    (``ok``: seq, seats) and first release (``rel``), and its fix if any."""
-    r = result.join(req.select("flight_id", "seq", "op", "seats"), ["flight_id", "seq"])
+def _annotate(r: DataFrame, fixes: DataFrame | None) -> DataFrame:
+    """Each fold row (it carries its op and seats) with its booking's first
+    accepted reserve (``ok``: seq, seats) and first release (``rel``), and
+    its fix if any."""
     per_booking = r.groupBy("flight_id", "booking_id").agg(
         F.min(F.when((F.col("op") == RESERVE) & (F.col("status") == ACTIVE), F.struct("seq", "seats"))).alias("ok"),
         F.min(F.when(F.col("status") == RELEASED, F.col("seq"))).alias("rel"))
@@ -339,7 +340,7 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
         folded, ch = _fold_once(req, chunks)
         result = folded.checkpoint(eager=True)
         ch.unpersist()
-        annotated = _annotate(result, known, fixes).checkpoint(eager=True)
+        annotated = _annotate(result, fixes).checkpoint(eager=True)
         bad = _inconsistencies(annotated).checkpoint(eager=True)
         if bad.limit(1).count() == 0:
             break
