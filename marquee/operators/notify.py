@@ -7,7 +7,7 @@ pacing (N10) and outbox events (N11).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scan import global_position, keyed_position, keyed_running
@@ -219,6 +219,24 @@ def delivery_kpis(attempts: DataFrame) -> DataFrame:
                     (F.col("sms_share") <= SMS_SHARE_TARGET).alias("sms_ok"))
 
 
+def success_rolling(attempts: DataFrame, hours: int = 24) -> DataFrame:
+    """N9 "success per 24 h": for each (channel, type) and each hour with
+    attempts, the success rate over the ``hours`` hours ending with that
+    hour, against the target.  Attempts are first reduced to hourly counts
+    (partial aggregation, so a hot channel collapses map-side); the sliding
+    sum then runs over at most one row per hour and group, a size set by
+    the time span, not by the data volume."""
+    hourly = (attempts.groupBy("channel", "type", F.floor(F.unix_seconds("ts") / 3600).alias("hour_no"))
+              .agg(F.count(F.lit(1)).alias("n_h"), F.count_if(F.col("outcome") == "DELIVERED").alias("ok_h")))
+    w = Window.partitionBy("channel", "type").orderBy("hour_no").rangeBetween(-(hours - 1), 0)
+    rolled = hourly.select("channel", "type", "hour_no", F.sum("n_h").over(w).alias("attempts"),
+                           F.sum("ok_h").over(w).alias("delivered"))
+    rate = F.col("delivered") / F.col("attempts")
+    return rolled.select("channel", "type", F.timestamp_seconds((F.col("hour_no") + 1) * 3600).alias("window_end"),
+                         "attempts", "delivered", rate.alias("success_rate"),
+                         (rate >= SUCCESS_TARGET).alias("success_ok"))
+
+
 def campaign_batches(recipients: DataFrame, rate_per_sec: int, batch: int = CAMPAIGN_BATCH,
                      chunks: int | None = None) -> DataFrame:
     """Send slot (second) and provider batch per recipient in user

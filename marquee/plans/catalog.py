@@ -496,6 +496,11 @@ def q_notif_kpis(spark, sf):
     return nt.delivery_kpis(fx.attempts(spark, sf))
 
 
+@register("notif_success_24h")
+def q_notif_success_24h(spark, sf):
+    return nt.success_rolling(fx.attempts(spark, sf))
+
+
 @register("campaign_batches")
 def q_campaign_batches(spark, sf):
     return nt.campaign_batches(fx.campaign_recipients(spark, sf), P.CAMPAIGN_RATE)

@@ -702,6 +702,16 @@ LEFT JOIN (SELECT type, sum(d - 1) AS duplicates FROM (
              SELECT type, notification_id, count(*) AS d FROM attempts WHERE outcome = 'DELIVERED'
              GROUP BY type, notification_id) x GROUP BY type) d USING (type)""")
 
+sql("notif_success_24h", ["attempts"], """
+SELECT channel, type, make_timestamp((hour_no + 1) * 3600 * 1000000) AS window_end, attempts, delivered,
+       round(delivered / attempts, 6) AS success_rate, delivered / attempts >= 0.995 AS success_ok
+FROM (SELECT channel, type, hour_no,
+             sum(n_h) OVER w AS attempts, sum(ok_h) OVER w AS delivered
+      FROM (SELECT channel, type, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour_no, count(*) AS n_h,
+                   count(*) FILTER (WHERE outcome = 'DELIVERED') AS ok_h
+            FROM attempts GROUP BY ALL) h
+      WINDOW w AS (PARTITION BY channel, type ORDER BY hour_no RANGE BETWEEN 23 PRECEDING AND CURRENT ROW)) t""")
+
 sql("campaign_batches", ["campaign_recipients"], f"""
 SELECT user_key, CAST(floor((rn - 1) / {P.CAMPAIGN_RATE}) AS BIGINT) AS slot,
        CAST(floor((rn - 1) / 1000) AS BIGINT) AS batch_no
