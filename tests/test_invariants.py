@@ -39,3 +39,16 @@ def test_discount_within_total(spark):
     assert d.count() > 0
     assert d.where((F.col("discount") < 0) | (F.col("discount") > F.col("total"))).count() == 0
     assert d.where(F.abs(F.col("net") - (F.col("total") - F.col("discount"))) > 0.005).count() == 0
+
+
+def test_dau_sketches_merge_across_partial_states(spark):
+    from marquee.operators import metrics as m
+    me = fx.movie_events(spark, SF001)
+    # two partial states over disjoint event halves, as two inserts would leave them
+    half = F.substring(F.sha2(F.col("event_id"), 256), 1, 1) < "8"
+    states = m.dau_state(me.where(half)).unionByName(m.dau_state(me.where(~half)))
+    est = {r.event_date: r.dau for r in m.dau_state_merge(states).collect()}
+    exact = {r.event_date: r.n for r in me.groupBy("event_date").agg(F.count_distinct("user_id").alias("n")).collect()}
+    assert est.keys() == exact.keys()
+    for d, n in exact.items():
+        assert abs(est[d] - n) <= max(1, 0.02 * n)
