@@ -9,6 +9,10 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
+
+# MARQUEE_STRICT=1 compares floats exactly as both engines returned them
+STRICT = os.environ.get("MARQUEE_STRICT") == "1"
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -28,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, (dt.datetime, dt.date)):
