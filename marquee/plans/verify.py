@@ -78,3 +78,61 @@ def check(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     else:
         res["status"] = "ok"
     return res
+
+
+# ------------------------------------------------------------ plan audit
+
+_UNSCALABLE = {"CartesianProduct": "cartesian product", "BroadcastNestedLoopJoin": "nested-loop join",
+               "BatchEvalPython": "row-at-a-time Python UDF"}
+
+
+def _plan_nodes(node):
+    """Every node of an executed physical plan, through adaptive plans,
+    query stages, reused exchanges and cached relations."""
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        yield n
+        name = n.nodeName()
+        if name == "AdaptiveSparkPlan":
+            stack.append(n.executedPlan())
+        elif name.endswith("QueryStage"):
+            stack.append(n.plan())
+        elif name == "InMemoryTableScan":
+            stack.append(n.relation().cachedPlan())
+        kids = n.children()
+        stack.extend(kids.apply(i) for i in range(kids.size()))
+
+
+_LIMITS = ("TakeOrderedAndProject", "GlobalLimit", "LocalLimit", "CollectLimit")
+_PASS = ("Sort", "Project", "Exchange", "AQEShuffleRead", "InputAdapter", "WholeStageCodegen")
+
+
+def _over_limit(n) -> bool:
+    """True when ``n``'s input is a limit (a top-k), possibly behind sorts,
+    projections, exchanges or query stages: a bounded number of rows."""
+    while True:
+        name = n.nodeName()
+        if name.startswith(_LIMITS):
+            return True
+        if name.endswith("QueryStage"):
+            n = n.plan()
+        elif name.startswith(_PASS) and n.children().size() == 1:
+            n = n.children().apply(0)
+        else:
+            return False
+
+
+def plan_findings(df) -> list[str]:
+    """Operators that do not scale out, found in ``df``'s executed plan:
+    cartesian products, nested-loop joins, row-at-a-time Python UDFs and
+    windows without a partition key (one task for all rows) unless they
+    rank the rows of a top-k."""
+    out = []
+    for n in _plan_nodes(df._jdf.queryExecution().executedPlan()):
+        name = n.nodeName()
+        if name in _UNSCALABLE:
+            out.append(_UNSCALABLE[name])
+        elif name == "Window" and n.partitionSpec().isEmpty() and not _over_limit(n.children().apply(0)):
+            out.append("unpartitioned window")
+    return out

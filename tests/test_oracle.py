@@ -1,11 +1,12 @@
-"""Every registered query equals its DuckDB oracle on the sf0.001 tables."""
+"""Every registered query equals its DuckDB oracle on the sf0.001 tables,
+and its executed plan holds no operator that cannot scale out."""
 
 import pytest
 
 from conftest import SF0001
 
 from __spark_entry__ import oracle_sql, queries
-from marquee.plans.verify import check, duck_connection
+from marquee.plans.verify import check, duck_connection, plan_findings
 
 KEYS = sorted(queries())
 
@@ -21,8 +22,15 @@ def test_every_query_has_oracle_sql():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    res = check(spark, duck, SF0001, key, queries()[key], oracle_sql()[key])
+    built = {}
+
+    def query(s, sf):
+        built["df"] = queries()[key](s, sf)
+        return built["df"]
+
+    res = check(spark, duck, SF0001, key, query, oracle_sql()[key])
     assert res["status"] == "ok", res
+    assert plan_findings(built["df"]) == [], key
     spark.catalog.clearCache()
 
 
