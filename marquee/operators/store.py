@@ -22,10 +22,13 @@ STORE_SORT = ["event_date", "event_type", "user_id", "event_time"]
 
 def write_raw_events(stored: DataFrame, path: str, files_per_day_hint: int | None = None) -> None:
     """S3: range-partition on the full sort key (so a hot day or user is
-    split across tasks by time), sort inside each task, write by day."""
-    n = files_per_day_hint or stored.sparkSession.sparkContext.defaultParallelism
-    (stored.repartitionByRange(n, *STORE_SORT)
-     .sortWithinPartitions(*STORE_SORT)
+    split across tasks by time), sort inside each task, write by day.  The
+    task count comes from AQE (shuffle partitions coalesced to the advisory
+    size) unless ``files_per_day_hint`` fixes it."""
+    keys = [F.col(c) for c in STORE_SORT]
+    spread = stored.repartitionByRange(files_per_day_hint, *keys) if files_per_day_hint \
+        else stored.repartitionByRange(*keys)
+    (spread.sortWithinPartitions(*STORE_SORT)
      .write.mode("overwrite").partitionBy("event_date").parquet(path))
 
 
@@ -105,7 +108,10 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str],
         merged = new
     merged = merged.checkpoint(eager=True)   # reliable: the files it was read from get replaced
     new.unpersist()
-    (merged.repartition(part_col).write.mode("overwrite").partitionBy(part_col).parquet(path))
+    # range on (partition, key): a big partition spreads over many tasks,
+    # small ones coalesce (AQE sizes the tasks)
+    (merged.repartitionByRange(F.col(part_col), *[F.col(k) for k in key if k != part_col])
+     .write.mode("overwrite").partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
 
 
