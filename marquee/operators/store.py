@@ -97,20 +97,20 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str],
     checkpoint in the shared checkpoint folder -- the source files are about
     to be overwritten -- and written back with dynamic partition overwrite."""
     ensure_checkpoint_dir(spark)
-    new = new.persist()              # used for the touched values and the merge
-    touched = [r[0] for r in new.select(part_col).distinct().collect()]  # partition values, bounded by days
     if _exists(spark, path):
+        new = new.persist()          # used for the touched values and the merge
+        touched = [r[0] for r in new.select(part_col).distinct().collect()]  # partition values, bounded by days
         old = spark.read.parquet(path)
         old = old.select(*new.columns).where(F.col(part_col).isin(touched))
         merged = (replace_partition(old, new, part_col, touched) if replace_whole_partition
                   else key_merge(old, new, key))
+        merged = merged.checkpoint(eager=True)   # reliable: the files it was read from get replaced
+        new.unpersist()
     else:
-        merged = new
-    merged = merged.checkpoint(eager=True)   # reliable: the files it was read from get replaced
-    new.unpersist()
-    # range on (partition, key): a big partition spreads over many tasks,
-    # small ones coalesce (AQE sizes the tasks)
-    (merged.repartitionByRange(F.col(part_col), *[F.col(k) for k in key if k != part_col])
+        merged = new                 # nothing is read from the target: write directly
+    # hash on (partition, key): a big partition spreads over many tasks,
+    # small ones coalesce (AQE sizes the tasks); no range-sampling pass
+    (merged.repartition(F.col(part_col), *[F.col(k) for k in key if k != part_col])
      .write.mode("overwrite").partitionBy(part_col).parquet(path))
     return spark.read.parquet(path)
 
