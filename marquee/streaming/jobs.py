@@ -230,7 +230,9 @@ def dedup_ttl_stream(attempts: DataFrame, ttl_hours: int = nt.DEDUP_TTL_HOURS, d
     """N2 over an attempt stream: keyed state per (idem_key, channel) with
     the last kept send time.  Equals the batch ``dedup_ttl`` when each key's
     attempts arrive in send order (later triggers carry later sends);
-    attempts older than the watermark are dropped as late."""
+    attempts older than the watermark are dropped as late.  Work per key
+    and trigger is bounded by the trigger size (``maxFilesPerTrigger`` /
+    ``maxOffsetsPerTrigger``); the state per key is one number."""
     a = (attempts.withWatermark("ts", delay)
          .withColumn("idem_key", nt.idem_key(F.col("source_service"), F.col("notification_id"), F.col("user_id")))
          .withColumn("_t", F.unix_micros("ts")))
