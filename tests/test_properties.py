@@ -70,3 +70,24 @@ def test_dedup_ttl_matches_brute_force(spark):
                 exp.append(r[0])
                 last = r[7]
     assert got == sorted(exp)
+
+
+def test_success_rolling_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        rows.append((i, 0, "u", "billing", rnd.choice(["TRANSACTIONAL", "MARKETING"]), rnd.choice(["push", "sms"]),
+                     rnd.choice(["DELIVERED", "DELIVERED", "FAILED"]),
+                     BASE + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 5)), 0))
+    schema = ("attempt_id long, notification_id long, user_id string, source_service string, type string, "
+              "channel string, outcome string, ts timestamp, latency_ms long")
+    got = {(r.channel, r.type, r.window_end): (r.attempts, r.delivered, r.success_ok)
+           for r in nt.success_rolling(spark.createDataFrame(rows, schema)).collect()}
+    hour = lambda t: t.replace(minute=0, second=0, microsecond=0)
+    exp = {}
+    for c, ty, h in {(r[5], r[4], hour(r[7])) for r in rows}:
+        end = h + dt.timedelta(hours=1)
+        inside = [r for r in rows if r[5] == c and r[4] == ty and end - dt.timedelta(hours=24) <= r[7] < end]
+        ok = sum(r[6] == "DELIVERED" for r in inside)
+        exp[(c, ty, end)] = (len(inside), ok, ok / len(inside) >= 0.995)
+    assert got == exp
