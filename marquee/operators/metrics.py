@@ -88,16 +88,11 @@ def conversion_for_date(me: DataFrame, day) -> DataFrame:
 
 
 def top_movies_daily(views_state: DataFrame, day, n: int = 10) -> DataFrame:
-    """A4: top-n movies of a day from the views state, ranked 1..n.
-
-    ``orderBy().limit()`` keeps the top-n per task before merging, so only
-    n rows per task reach the final ranking."""
-    top = (views_state.where(F.col("event_date") == _date(day))
-           .groupBy("movie_id").agg(F.sum("views").alias("views"))
-           .orderBy(F.desc("views"), F.asc("movie_id")).limit(n))
-    w = Window.partitionBy("metric_date").orderBy(F.desc("views"), F.asc("movie_id"))
-    return (top.withColumn("metric_date", _date(day))
-            .select("metric_date", "movie_id", F.row_number().over(w).cast("int").alias("rank"), "views"))
+    """A4: top-n movies of a day from the views state, ranked 1..n: the
+    per-day ranking of ``top_movies_by_day`` over that day's state, so the
+    rank window is keyed by the day and a partial ``WindowGroupLimit``
+    keeps n rows per task before the shuffle."""
+    return top_movies_by_day(views_state.where(F.col("event_date") == _date(day)), n)
 
 
 def top_movies_by_day(views_state: DataFrame, n: int = 10) -> DataFrame:

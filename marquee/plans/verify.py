@@ -123,6 +123,19 @@ def _over_limit(n) -> bool:
             return False
 
 
+def _chain(n, depth: int = 14) -> str:
+    names = []
+    for _ in range(depth):
+        names.append(n.nodeName())
+        if n.nodeName().endswith("QueryStage"):
+            n = n.plan()
+        elif n.children().size() >= 1:
+            n = n.children().apply(0)
+        else:
+            break
+    return " > ".join(names)
+
+
 def plan_findings(df) -> list[str]:
     """Operators that do not scale out, found in ``df``'s executed plan:
     cartesian products, nested-loop joins, row-at-a-time Python UDFs and
@@ -134,5 +147,5 @@ def plan_findings(df) -> list[str]:
         if name in _UNSCALABLE:
             out.append(_UNSCALABLE[name])
         elif name == "Window" and n.partitionSpec().isEmpty() and not _over_limit(n.children().apply(0)):
-            out.append("unpartitioned window")
+            out.append(f"unpartitioned window over {_chain(n.children().apply(0))}")
     return out
