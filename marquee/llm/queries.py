@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontaminate, language, packing, secrets, sharding, simhash, toxicity
+from marquee.llm import chat, decontaminate, language, lines, packing, secrets, sharding, simhash, toxicity
 from marquee.llm.common import prepare
 from marquee.sources.tables import read_table
 
@@ -41,6 +41,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("removed_lines").alias("n_removed"), "removed_lines", "text")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"), 16)
@@ -64,4 +70,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_language, op5_secrets, op6_decontamination, op7_simhash, op9_sharding, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_language, op5_secrets, op6_decontamination, op7_simhash, op8_line_dedup, op9_sharding, op10_chat)}
