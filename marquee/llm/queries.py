@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontaminate, language, lines, packing, secrets, sharding, simhash, toxicity
+from marquee.llm import ann, chat, decontaminate, language, lines, packing, secrets, sharding, simhash, toxicity
 from marquee.llm.common import prepare
 from marquee.sources.tables import read_table
 
@@ -16,6 +16,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
@@ -70,4 +75,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_language, op5_secrets, op6_decontamination, op7_simhash, op8_line_dedup, op9_sharding, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_neighbours, op3_packing, op4_language, op5_secrets, op6_decontamination, op7_simhash, op8_line_dedup, op9_sharding, op10_chat)}
