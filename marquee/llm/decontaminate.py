@@ -187,3 +187,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             .select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
                     F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
                     ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, share: int = 20) -> DataFrame:
+    """``docs`` without the contaminated rows, all columns kept."""
+    bad = contamination(docs, benchmark, window, shingle, share).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")).distinct()
+    match = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text_key"))
+    return docs.join(bad, match, "left_anti")

@@ -135,7 +135,7 @@ def _predictor(model: dict, threshold: float):
 
     def predict(batches):
         for b in batches:
-            data, offs = flat(b.column("text"))
+            data, offs = flat(b.column("row").field("text"))
             n = b.num_rows
             margins, letters = np.zeros((n, w.shape[1])), np.zeros(n, bool)
             for i0, i1 in slices(offs, 1 << 19):
@@ -158,12 +158,29 @@ def _predictor(model: dict, threshold: float):
                 pred, other, p, letters = [UNDETERMINED] * n, [None] * n, np.zeros(n), np.zeros(n, bool)
             score = np.where(letters, p, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [b.column(k) for k in b.schema.names if k != "text"]
-                + [pa.array(pred, pa.string()), pa.array(score), pa.array(other, pa.string()), pa.array(letters & (score < threshold))],
-                names=[k for k in b.schema.names if k != "text"] + ["lang_pred", "score", "runner_up", "ambiguous"])
+                [b.column("row"), pa.array(pred, pa.string()), pa.array(score), pa.array(other, pa.string()), pa.array(letters & (score < threshold))],
+                names=["row", "lang_pred", "score", "runner_up", "ambiguous"])
     return predict
 
 
+def annotate(docs: DataFrame, model: dict, threshold: float = AMBIGUOUS_BELOW) -> DataFrame:
+    """row (a struct of all columns of ``docs``, whatever their names),
+    lang_pred, score, runner_up, ambiguous."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_predictor(model, threshold), f"row {kind}, lang_pred string, score double, runner_up string, ambiguous boolean")
+
+
+def keep_identified(docs: DataFrame, model: dict | None = None, threshold: float = AMBIGUOUS_BELOW) -> DataFrame:
+    """``docs`` without the rows rejected: ``und`` and ambiguous ones.
+    Without any labelled row nothing can be told apart and all rows stay."""
+    model = model or fit(docs)
+    if not model["languages"]:
+        return docs
+    kept = annotate(docs, model, threshold).where((F.col("lang_pred") != UNDETERMINED) & ~F.col("ambiguous"))
+    return kept.select("row.*")
+
+
 def identify(docs: DataFrame, model: dict | None = None, threshold: float = AMBIGUOUS_BELOW) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, runner_up, ambiguous.
 
@@ -174,10 +191,7 @@ def identify(docs: DataFrame, model: dict | None = None, threshold: float = AMBI
     empty table gives no rows.  The scan is map-only; the model (buckets x
     bits floats, a fixed size per language count) travels with the task.
     """
-    spark = docs.sparkSession
     model = model or fit(docs)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
-    slim = docs.select(F.col("doc_id"), held.alias("held_out"), F.col("text"))
-    return slim.mapInArrow(_predictor(model, threshold),
-                           f"doc_id {id_type}, held_out boolean, lang_pred string, score double, runner_up string, ambiguous boolean")
+    out = annotate(docs.select("doc_id", "text"), model, threshold)
+    return out.select("row.doc_id", "lang_pred", "score", "runner_up", "ambiguous").select("doc_id", held.alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
