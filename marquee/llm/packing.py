@@ -28,7 +28,7 @@ from marquee.llm.words import flat
 
 CAPACITY = 2048
 #: Rounds of multiplicative weights (accuracy of the linear program; what it leaves is best-fitted).
-ROUNDS = 300
+ROUNDS = 200
 #: Most cached words per Python worker; a fuller cache starts anew.
 CACHED_CHUNKS, CACHED_WORDS = 300_000, 800_000
 
@@ -155,12 +155,12 @@ def _best_pattern(value: np.ndarray, lengths: np.ndarray, capacity: int) -> dict
     return pattern
 
 
-def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = 2.0) -> list[tuple[dict[int, int], int]]:
+def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = 20.0, step: float = 0.1) -> list[tuple[dict[int, int], int]]:
     """Patterns with their numbers of sequences, holding exactly ``counts``.
 
     Multiplicative weights: a length's weight falls exponentially with the
     share of its pieces that is covered, so lengths run out together.  Each
-    round's priced pattern takes half of what its scarcest length allows.  The
+    round's priced pattern takes a ``step`` of its scarcest length.  The
     fractional numbers are rounded down.  What that leaves goes, longest
     first, by best fit into the space of the patterns and into new sequences,
     class of equal sequences by class; the work depends on the histogram alone.
@@ -178,10 +178,11 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int
         if not len(live):
             break
         share = lengths[live] / capacity
-        value = share * (1 + 0.05 * share) * np.exp(-rate * (1 - r[live] / n[live]))
+        covered = 1 - r[live] / n[live]
+        value = share * (1 + 0.05 * share) * np.exp(-rate * (covered - covered.min()))
         pattern = _best_pattern(value, lengths[live], capacity)
         at = {k: int(np.searchsorted(lengths, k)) for k in pattern}
-        times = 0.5 * min(r[at[k]] / c for k, c in pattern.items())
+        times = min(min(step * n[at[k]], r[at[k]]) / c for k, c in pattern.items())
         for k, c in pattern.items():
             r[at[k]] -= c * times
         key = tuple(sorted(pattern.items()))

@@ -21,7 +21,7 @@ SAMPLE_PER_CLASS = 3000
 FEATURES = 2048  # kept features at most
 GRADES = 4
 #: Expected severity from which a document counts as toxic.
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.45
 
 
 def _hits(data: np.ndarray, offs: np.ndarray):

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from llm_cases import llm_spark, make_docs, odd_rows  # noqa: F401
 from marquee.llm.decontaminate import contamination, drop_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from llm_cases import llm_spark, make_docs, odd_rows  # noqa: F401
 from marquee.llm import lines
 
 _SEP = bytes((c + 32 if 65 <= c <= 90 else c) if (c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 or 65 <= c <= 90) else 32 for c in range(256))

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_cases import make_docs, odd_rows, llm_spark  # noqa: F401
 from marquee.llm.secrets import BASE, EXTRA, RULES, find_secrets, trigram_query
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from llm_cases import make_docs, odd_rows, llm_spark  # noqa: F401
 from marquee.llm.sharding import shard_by_bytes
 
 

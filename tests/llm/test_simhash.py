@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 
+from llm_cases import llm_spark, make_docs, odd_rows  # noqa: F401
 from marquee.llm import simhash
 from marquee.llm.components import components
 
