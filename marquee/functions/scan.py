@@ -8,19 +8,21 @@ Each chunk computes its running value locally; a per-(chunk, key) total
 carry-in from the chunks before it, which is joined back on (chunk, key).
 
 The range shuffle uses an explicit partition count, so AQE never coalesces
-it.  The chunked frame is persisted once (memory and disk) and both
-branches read it, so ``spark_partition_id()`` names the same chunk in each:
-two separately planned range exchanges need not pick the same bounds.  A
-lost block is recomputed from the same shuffle and partitioner, so it gets
-the same chunk id.  The order columns must be unique within a key.
+it.  The chunked frame is written once with a reliable ``checkpoint()`` into
+the shared folder and both branches read it, so ``spark_partition_id()``
+names the same chunk in each: two separately planned range exchanges need
+not pick the same bounds, and a lost executor changes nothing.  Nothing stays
+cached; the files go once unreferenced (``cleanCheckpoints``).  The order
+columns must be unique within a key.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -52,12 +54,13 @@ def keyed_running_many(df: DataFrame, key: list[str], order: list[str],
         if how not in _AGG:
             raise ValueError(f"unsupported running aggregate {how!r}")
     n = chunks or default_chunks(df)
+    ensure_checkpoint_dir(df.sparkSession)
     r = df
     for i, (_, value, _) in enumerate(specs):
         r = r.withColumn(f"_v{i}", F.col(value) if isinstance(value, str) else value)
     r = (r.repartitionByRange(n, *[F.col(c) for c in key + order])
          .withColumn("_pid", F.spark_partition_id())
-         .persist(StorageLevel.MEMORY_AND_DISK))
+         .checkpoint(eager=True))
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local_w = Window.partitionBy("_pid", *key).orderBy(*order).rowsBetween(*frame)
     carry_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,12 +81,13 @@ def keyed_running_many(df: DataFrame, key: list[str], order: list[str],
 
 def chunked(df: DataFrame, key: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
     """``df`` range-partitioned on (key, order) into ``chunks`` ordered
-    chunks, each row tagged with its chunk id ``_pid`` and persisted, for
+    chunks, each row tagged with its chunk id ``_pid`` and checkpointed, for
     per-chunk passes (``mapInPandas``) that must agree on chunk ids."""
     n = chunks or default_chunks(df)
+    ensure_checkpoint_dir(df.sparkSession)
     return (df.repartitionByRange(n, *[F.col(c) for c in key + order])
             .withColumn("_pid", F.spark_partition_id())
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .checkpoint(eager=True))
 
 
 def keyed_position(df: DataFrame, key: list[str], order: list[str], out: str = "pos",

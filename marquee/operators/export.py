@@ -56,18 +56,22 @@ def export_union(metrics: DataFrame, top: DataFrame, retention: DataFrame, day)
 
 
 def export_document(metrics: DataFrame, top: DataFrame, retention: DataFrame, day) -> DataFrame:
-    """The JSON export as one nested row: a list per section.  The sections
-    hold one day of aggregates (tens of rows), so collecting them per
-    document is bounded."""
+    """The JSON export as one nested row: a list per section (metrics by name,
+    movies by rank, retention by day offset) and the latest ``computed_at``.
+    The sections hold one day of aggregates (tens of rows), so collecting
+    them per document is bounded."""
     m, t, r = tables_for_date(metrics, top, retention, day)
+    lead = lambda df, col: [col, *[c for c in df.columns if c != col]]
+    m, t, r = m.select(lead(m, "metric_name")), t.select(lead(t, "rank")), r.select(lead(r, "day_offset"))
     tagged = (m.select(F.struct(*m.columns).alias("metrics"))
               .unionByName(t.select(F.struct(*t.columns).alias("top_movies")), allowMissingColumns=True)
               .unionByName(r.select(F.struct(*r.columns).alias("retention")), allowMissingColumns=True))
     return tagged.agg(
         F.lit(day if isinstance(day, str) else day.isoformat()).alias("export_date"),
-        F.collect_list("metrics").alias("metrics"),
-        F.collect_list("top_movies").alias("top_movies"),
-        F.collect_list("retention").alias("retention"))
+        F.max(F.coalesce(*[F.col(f"{c}.computed_at") for c in ("metrics", "top_movies", "retention")])).alias("computed_at"),
+        F.sort_array(F.collect_list("metrics")).alias("metrics"),
+        F.sort_array(F.collect_list("top_movies")).alias("top_movies"),
+        F.sort_array(F.collect_list("retention")).alias("retention"))
 
 
 def export_path(root: str, day, fmt: str) -> str:
@@ -84,11 +88,11 @@ def write_export(metrics: DataFrame, top: DataFrame, retention: DataFrame, day,
     path = export_path(root, day, fmt)
     if fmt == "json":
         df = export_document(metrics, top, retention, day)
-        df.coalesce(1).write.mode("overwrite").json(path)
+        df.repartition(1).write.mode("overwrite").json(path)
     elif fmt == "csv":
         df = export_union(metrics, top, retention, day)
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     else:
         df = export_union(metrics, top, retention, day)
-        df.coalesce(1).write.mode("overwrite").parquet(path)
+        df.repartition(1).write.mode("overwrite").parquet(path)
     return path

@@ -26,13 +26,14 @@ least one per flight; the result equals the sequential fold).
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.joins import small_side
 from ..functions.scan import chunked, keyed_running_many
 
 ACTIVE, EXHAUSTED, EXISTING, NOT_FOUND = "ACTIVE", "RESOURCE_EXHAUSTED", "EXISTING", "NOT_FOUND"
@@ -56,7 +57,7 @@ def user_bookings(bookings: DataFrame, user_id: str) -> DataFrame:
 
 def booking_pricing(bookings: DataFrame, flights: DataFrame) -> DataFrame:
     """total_price = seat_count x flight price."""
-    f = small_side(flights.select(F.col("id").alias("flight_id"), "price"))
+    f = flights.select(F.col("id").alias("flight_id"), "price")
     j = bookings.select("booking_id", "flight_id", "seat_count").join(f, "flight_id")
     return j.select("booking_id", "seat_count", "price",
                     (F.col("seat_count") * F.col("price")).cast("decimal(12,2)").alias("total_price"))
@@ -303,7 +304,7 @@ def _apply_fixes(fixes: DataFrame | None, changes: DataFrame) -> DataFrame:
 
 
 def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None,
-              bulk_rounds: int = 8, max_rounds: int = 100_000) -> DataFrame:
+              bulk_rounds: int = 8) -> DataFrame:
     """(flight_id, seq, booking_id, status, remaining) per request.
 
     ``requests`` has flight_id, seq (arrival order per flight), booking_id,
@@ -314,7 +315,8 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
     Cross-chunk state is settled by a fixpoint over fix rows: the first
     ``bulk_rounds`` apply every inconsistency at once (usually enough);
     later rounds apply only the earliest per flight, which is always a
-    correct fix, so each round makes progress."""
+    correct fix, so each round makes progress and the loop runs until
+    nothing is left to settle."""
     f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
     op = F.col("op") if "op" in requests.columns else F.lit(RESERVE)
     base = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
@@ -329,7 +331,7 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
     known = all_req.where(F.col("cap").isNotNull())
     fixes = None
     result = None
-    for rnd in range(max_rounds):
+    for rnd in itertools.count():
         if fixes is None:
             req = known.withColumn("skip", F.lit(False)).withColumn("free", F.lit(None).cast("long"))
         else:
@@ -339,7 +341,6 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
                    .drop("fixed"))
         folded, ch = _fold_once(req, chunks)
         result = folded.checkpoint(eager=True)
-        ch.unpersist()
         annotated = _annotate(result, fixes).checkpoint(eager=True)
         bad = _inconsistencies(annotated).checkpoint(eager=True)
         if bad.limit(1).count() == 0:
@@ -348,8 +349,6 @@ def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None
             first = bad.groupBy("flight_id").agg(F.min(F.struct("seq", "free", "action")).alias("x"))
             bad = first.select("flight_id", "x.seq", "x.free", "x.action")
         fixes = _apply_fixes(fixes, bad).checkpoint(eager=True)
-    else:
-        raise RuntimeError("seat fold did not settle")
     # a rejected repeat whose reservation sat in an earlier chunk changed
     # nothing, but reports the existing reservation
     relabel = (F.col("op") == RESERVE) & (F.col("status") == EXHAUSTED) & _reserved_before()

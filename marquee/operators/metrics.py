@@ -28,8 +28,11 @@ def _date(d) -> Column:
 
 
 def in_range(ts_col: str, start, end) -> Column:
-    """Dashboard time filter: both ends inclusive."""
-    return (F.col(ts_col) >= F.lit(str(start)).cast("timestamp")) & (F.col(ts_col) <= F.lit(str(end)).cast("timestamp"))
+    """Dashboard time filter: both ends inclusive.  The day bounds let the
+    day-partitioned store skip folders; the time bounds are exact."""
+    lo, hi = F.lit(str(start)).cast("timestamp"), F.lit(str(end)).cast("timestamp")
+    return (F.col("event_date").between(lo.cast("date"), hi.cast("date"))
+            & (F.col(ts_col) >= lo) & (F.col(ts_col) <= hi))
 
 
 # ----------------------------------------------------------- partial states

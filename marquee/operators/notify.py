@@ -37,7 +37,7 @@ def notif_keys(attempts: DataFrame) -> DataFrame:
                                                   F.col("user_id")).alias("idem_key"))
 
 
-def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS, max_rounds: int = 64) -> DataFrame:
+def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS) -> DataFrame:
     """Attempts kept by a per-(idem_key, channel) TTL: an attempt is
     dropped while a *kept* attempt of the same key and channel is younger
     than the TTL.  Kept attempts form a chain (first attempt, then the first
@@ -66,9 +66,7 @@ def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS, max_rounds:
            .where(F.col("src").isNotNull()).select(*key, F.col("src").alias("pos"), "nxt"))
     jump = nxt.where(F.col("nxt").isNotNull()).checkpoint(eager=True)
     reached = pos.where(F.col("pos") == 1).select(*key, "pos").checkpoint(eager=True)
-    for _ in range(max_rounds):
-        if jump.limit(1).count() == 0:
-            break
+    while jump.limit(1).count():  # spans double: logarithmic in the longest chain
         step = reached.join(jump, [*key, "pos"]).select(*key, F.col("nxt").alias("pos"))
         reached = reached.unionByName(step).distinct().checkpoint(eager=True)
         j2 = jump.alias("a").join(jump.alias("b"), [F.col("a.idem_key") == F.col("b.idem_key"),
@@ -76,8 +74,6 @@ def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS, max_rounds:
                                                     F.col("a.nxt") == F.col("b.pos")])
         jump = j2.select(F.col("a.idem_key").alias("idem_key"), F.col("a.channel").alias("channel"),
                          F.col("a.pos").alias("pos"), F.col("b.nxt").alias("nxt")).checkpoint(eager=True)
-    else:
-        raise RuntimeError("dedup chain longer than 2**max_rounds")
     kept = pos.join(reached, [*key, "pos"], "left_semi")
     return kept.drop("pos")
 

@@ -14,10 +14,9 @@ sit in one task.  Running values per key use ``keyed_running``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import small_side
 from ..functions.scan import keyed_running
 
 ACTIVE_ORDER_STATUSES = ["CREATED", "PAYMENT_PENDING"]
@@ -41,29 +40,44 @@ def promo_evaluation(orders: DataFrame, totals: DataFrame, promos: DataFrame) ->
     A code is invalid when missing, inactive, used up, or the order time is
     outside [valid_from, valid_until]; below min_order_amount it is refused;
     PERCENTAGE = total·v/100, set to 0 when above 70 % of the total; FIXED =
-    min(v, total).  The usage count is the promo row's ``current_uses``."""
+    min(v, total).  Uses count in order time: an order finds the row's
+    ``current_uses`` plus the accepted uses of the orders before it."""
     o = orders.select("id", "promo_code", "created_at").join(totals, orders["id"] == totals["order_id"])
     return _apply_promo(o.select("id", "promo_code", "created_at", "total"), promos).select(
         F.col("id").alias("order_id"), "total", "reason", "discount", "net")
 
 
-def _apply_promo(o: DataFrame, promos: DataFrame) -> DataFrame:
-    """reason, discount and net for rows with id, promo_code, created_at, total."""
-    p = small_side(promos.select("code", "discount_type", "discount_value", "min_order_amount",
-                                 "max_uses", "current_uses", "valid_from", "valid_until", "active"))
-    j = o.join(p, o["promo_code"] == p["code"], "left")
+def _apply_promo(o: DataFrame, promos: DataFrame, reaches: str | None = None) -> DataFrame:
+    """reason, discount and net for rows with id, promo_code, created_at,
+    total.  ``reaches`` names a boolean column: only those orders get as far
+    as the code and can use it up (all of them without it).
+
+    An order that is otherwise fine is accepted while fewer than
+    ``max_uses - current_uses`` such orders of its code came before it, so
+    exhaustion is one running count per code."""
+    p = promos.select("code", "discount_type", "discount_value", "min_order_amount",
+                      "max_uses", "current_uses", "valid_from", "valid_until", "active")
+    j = o.where(F.col("promo_code").isNotNull()).join(p, F.col("promo_code") == p["code"], "left")
     total = F.col("total")
-    has_code = F.col("promo_code").isNotNull()
-    invalid = has_code & (F.col("code").isNull() | ~F.col("active") | (F.col("current_uses") >= F.col("max_uses"))
-                          | ~F.col("created_at").between(F.col("valid_from"), F.col("valid_until")))
-    below = has_code & ~invalid & (total < F.col("min_order_amount"))
-    reason = F.when(invalid, "PROMO_CODE_INVALID").when(below, "PROMO_CODE_MIN_AMOUNT")
+    valid = (F.col("code").isNotNull() & F.col("active")
+             & F.col("created_at").between(F.col("valid_from"), F.col("valid_until")))
+    fine = valid & (total >= F.col("min_order_amount"))
+    use = fine & F.col(reaches) if reaches else fine
+    j = keyed_running(j, ["promo_code"], ["created_at", "id"], F.when(use, 1).otherwise(0).cast("long"), "sum",
+                      "uses_before", inclusive=False)
+    spent = F.coalesce(F.col("uses_before"), F.lit(0)) >= F.col("max_uses") - F.col("current_uses")
+    reason = (F.when(F.coalesce(valid & ~spent, F.lit(False)),
+                     F.when(total < F.col("min_order_amount"), "PROMO_CODE_MIN_AMOUNT"))
+              .otherwise("PROMO_CODE_INVALID"))
     pct = total * F.col("discount_value") / 100
     raw = (F.when(F.col("discount_type") == "PERCENTAGE",
                   F.when(pct > total * PERCENT_DISCOUNT_CAP, F.lit(0)).otherwise(pct))
            .otherwise(F.least(F.col("discount_value"), total)))
-    discount = F.when(has_code & reason.isNull(), raw).otherwise(F.lit(0))
-    return j.select(*o.columns, reason.alias("reason"), discount.alias("discount"), (total - discount).alias("net"))
+    j = j.withColumn("reason", reason).withColumn("discount", F.when(F.col("reason").isNull(), raw).otherwise(F.lit(0)))
+    plain = o.where(F.col("promo_code").isNull()).select(*o.columns, F.lit(None).cast("string").alias("reason"),
+                                                         F.lit(0).cast(j.schema["discount"].dataType).alias("discount"))
+    return (j.select(*o.columns, "reason", "discount").unionByName(plain)
+            .withColumn("net", total - F.col("discount")))
 
 
 def active_order_conflicts(orders: DataFrame) -> DataFrame:
@@ -87,7 +101,8 @@ def rate_limit_hits(ops: DataFrame, seconds: int = RATE_LIMIT_SECONDS, chunks: i
 def order_admission(orders: DataFrame, items: DataFrame, products: DataFrame, promos: DataFrame,
                     ops: DataFrame, seconds: int = RATE_LIMIT_SECONDS) -> DataFrame:
     """O3: first failing reason per order (null = admitted), checks in the
-    reference's order.  Set-wise re-aim: the rate limit looks for an earlier
+    reference's order.  A line sees the stock that earlier lines of its order
+    left of the product.  Set-wise re-aim: the rate limit looks for an earlier
     CREATE_ORDER operation of the user within ``seconds`` before the order;
     an active order counts when the user's earliest active order precedes
     this one; items are checked against the product snapshot, the first
@@ -112,24 +127,30 @@ def order_admission(orders: DataFrame, items: DataFrame, products: DataFrame, pr
     # per item
     p = products.select(F.col("id").alias("pid"), F.col("status").alias("p_status"), F.col("stock"))
     li = items.join(p, items["product_id"] == p["pid"], "left")
+    # dealt by order once: the window per (order, product) and the aggregate per order both fit
+    li = li.repartition("order_id")
+    taken = F.sum("quantity").over(Window.partitionBy("order_id", "product_id")
+                                   .orderBy("line_no", "quantity", "price_at_order").rowsBetween(Window.unboundedPreceding, 0))
     item_reason = (F.when(F.col("pid").isNull(), "PRODUCT_NOT_FOUND")
                    .when(F.col("p_status") != "ACTIVE", "PRODUCT_INACTIVE")
-                   .when(F.col("stock") < F.col("quantity"), "INSUFFICIENT_STOCK"))
+                   .when(F.col("stock") < F.col("taken"), "INSUFFICIENT_STOCK"))
     # one pass over the lines: first failing line, line count and total
-    per_order = (li.withColumn("r", item_reason).groupBy("order_id")
+    per_order = (li.withColumn("taken", taken).withColumn("r", item_reason).groupBy("order_id")
                  .agg(F.min(F.when(F.col("r").isNotNull(), F.struct("line_no", "r"))).alias("first_bad"),
                       F.count(F.lit(1)).alias("lines"),
                       F.sum(F.col("price_at_order") * F.col("quantity")).cast("decimal(14,2)").alias("total")))
     j = (o.join(limited, o["id"] == limited["lim_id"], "left")
          .join(first_active, "user_id", "left")
          .join(per_order, o["id"] == per_order["order_id"], "left"))
-    j = _apply_promo(j, promos).withColumnRenamed("reason", "promo_reason")
     here = F.struct("created_at", "id")
-    reason = (F.when(F.col("lines").isNull(), "VALIDATION_ERROR")
-              .when(F.col("lim_id").isNotNull(), "ORDER_LIMIT_EXCEEDED")
-              .when(F.col("first_active").isNotNull() & (F.col("first_active") < here), "ORDER_HAS_ACTIVE")
-              .when(F.col("first_bad").isNotNull(), F.col("first_bad.r"))
-              .otherwise(F.col("promo_reason")))
+    earlier = (F.when(F.col("lines").isNull(), "VALIDATION_ERROR")
+               .when(F.col("lim_id").isNotNull(), "ORDER_LIMIT_EXCEEDED")
+               .when(F.col("first_active").isNotNull() & (F.col("first_active") < here), "ORDER_HAS_ACTIVE")
+               .when(F.col("first_bad").isNotNull(), F.col("first_bad.r")))
+    j = (j.withColumn("earlier", earlier).withColumn("reaches", F.col("earlier").isNull())
+         .select("id", "promo_code", "created_at", "total", "earlier", "reaches"))
+    reason = F.coalesce("earlier", "reason")
+    j = _apply_promo(j, promos, "reaches")
     return j.select(F.col("id").alias("order_id"), reason.alias("reason"))
 
 
@@ -173,7 +194,7 @@ def cancel_effects(orders: DataFrame, items: DataFrame, promos: DataFrame, reque
     stock = (items.join(legal.select(F.col("id").alias("order_id")), "order_id")
              .groupBy("product_id").agg(F.sum("quantity").cast("long").alias("delta"))
              .select(F.lit("product").alias("kind"), F.col("product_id").cast("string").alias("key"), "delta"))
-    p = small_side(promos.select(F.col("code").alias("promo_code")))
+    p = promos.select(F.col("code").alias("promo_code"))
     promo = (legal.join(p, "promo_code").groupBy("promo_code").agg((-F.count(F.lit(1))).cast("long").alias("delta"))
              .select(F.lit("promo").alias("kind"), F.col("promo_code").alias("key"), "delta"))
     return stock.unionByName(promo)
@@ -219,19 +240,19 @@ def lookup_missing_keys(lookups: list[tuple[str, DataFrame, str, DataFrame, str]
 
 
 def apply_product_changes(products: DataFrame, changes: DataFrame) -> DataFrame:
-    """The latest change per product wins (ties broken by the change's
-    source columns); UPDATE replaces price and stock, DELETE archives; both
-    set updated_at.  Unchanged products keep updated_at null."""
-    order_cols = [c for c in changes.columns if c not in ("id",)]
-    latest = (changes.groupBy("id").agg(F.max(F.struct("changed_at", *[c for c in order_cols if c != "changed_at"]))
-                                        .alias("c")))
+    """Every UPDATE replaces name, description, price, stock, category and
+    status; a DELETE only archives.  So the fields come from the latest UPDATE
+    and the status from the latest change of any kind (ties broken by the
+    change's source columns), both picked in one aggregate; updated_at is the
+    latest change's time, null without one."""
+    fields = ["name", "description", "price", "stock", "category"]
+    tie = [c for c in changes.columns if c not in ("id", "changed_at", "op")]
+    change = F.struct("changed_at", *tie, "op")
+    latest = changes.groupBy("id").agg(F.max(change).alias("last"),
+                                       F.max(F.when(F.col("op") == "UPDATE", change)).alias("upd"))
     j = products.join(latest, "id", "left")
-    is_upd = F.col("c.op") == "UPDATE"
-    is_del = F.col("c.op") == "DELETE"
-    return j.select(
-        "id", "name",
-        F.when(is_upd, F.col("c.price")).otherwise(F.col("price")).cast("decimal(12,2)").alias("price"),
-        F.when(is_upd, F.col("c.stock")).otherwise(F.col("stock")).cast("int").alias("stock"),
-        "category",
-        F.when(is_del, F.lit("ARCHIVED")).otherwise(F.col("status")).alias("status"),
-        F.col("c.changed_at").alias("updated_at"))
+    new = [F.when(F.col("upd").isNotNull(), F.col(f"upd.{c}")).otherwise(F.col(c)).cast(products.schema[c].dataType).alias(c)
+           for c in fields]
+    status = (F.when(F.col("last.op") == "DELETE", "ARCHIVED").when(F.col("last.op") == "UPDATE", F.col("last.status"))
+              .otherwise(F.col("status")).alias("status"))
+    return j.select("id", *new, status, F.col("last.changed_at").alias("updated_at"))

@@ -127,9 +127,11 @@ def _checks(df: DataFrame, key: str, rules: list[tuple[str, Column]]) -> DataFra
 
 
 def _unique(df: DataFrame, rule: str, cols: list[Column]) -> DataFrame:
-    k = F.concat_ws("|", *[c.cast("string") for c in cols])
-    return (df.select(k.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1).select(F.lit(rule).alias("rule"), "key", "n"))
+    """Keys held by more than one row; a null in any column is no break, as in SQL."""
+    keys = [c.cast("string").alias(f"k{i}") for i, c in enumerate(cols)]
+    names = [f"k{i}" for i in range(len(cols))]
+    return (df.select(*keys).dropna(subset=names).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1).select(F.lit(rule).alias("rule"), F.concat_ws("|", *names).alias("key"), "n"))
 
 
 def _foreign(child: DataFrame, col: str, parent: DataFrame, pcol: str, rule: str) -> DataFrame:
@@ -155,12 +157,14 @@ def constraint_audit(t: dict[str, DataFrame]) -> DataFrame:
         _unique(f, "flights.number_date_unique", [F.col("flight_number"), F.to_date("departure_time")]),
         _unique(sr, "seat_reservations.booking_unique", [F.col("booking_id")]),
         _checks(sr, "booking_id", [("seat_reservations.seat_count_positive", F.col("seats") <= 0)]),
-        _checks(b, "booking_id", [("bookings.seat_count_positive", F.col("seat_count") <= 0)]),
+        _checks(b, "booking_id", [("bookings.seat_count_positive", F.col("seat_count") <= 0),
+                                  ("bookings.total_price_positive", F.col("total_price") <= 0)]),
         _unique(b, "bookings.booking_unique", [F.col("booking_id")]),
         _foreign(t["order_items"], "product_id", p, "id", "order_items.product_fk"),
         _foreign(t["order_items"], "order_id", t["orders"], "id", "order_items.order_fk"),
         _foreign(t["orders"], "promo_code", t["promo_codes"], "code", "orders.promo_fk"),
         _foreign(b, "flight_id", f, "id", "bookings.flight_fk"),
+        _foreign(sr, "flight_id", f, "id", "seat_reservations.flight_fk"),
     ]
     out = parts[0]
     for q in parts[1:]:

@@ -38,13 +38,12 @@ def user_day_offsets(me: DataFrame, max_day_offset: int = 7) -> DataFrame:
             .select("user_id", "cohort_date", "day_offset"))
 
 
-def retention_all_cohorts(me: DataFrame, max_day_offset: int = 7) -> DataFrame:
-    """C1 over every cohort: rows only for offsets with activity.
+def _rates(offsets: DataFrame) -> DataFrame:
+    """Retention rows of (cohort_date, day_offset) user rows: only offsets with activity.
 
     The cohort size is the offset-0 count (every user is active on their
     first day), taken with a window over at most max_day_offset+1 rows per cohort."""
-    counts = (user_day_offsets(me, max_day_offset)
-              .groupBy("cohort_date", "day_offset").agg(F.count(F.lit(1)).alias("returned")))
+    counts = offsets.groupBy("cohort_date", "day_offset").agg(F.count(F.lit(1)).alias("returned"))
     size = F.max(F.when(F.col("day_offset") == 0, F.col("returned"))).over(Window.partitionBy("cohort_date"))
     return (counts.withColumn("cohort_size", size)
             .select("cohort_date", F.col("day_offset").cast("int").alias("day_offset"),
@@ -53,17 +52,36 @@ def retention_all_cohorts(me: DataFrame, max_day_offset: int = 7) -> DataFrame:
                     (F.col("returned") / F.col("cohort_size")).alias("retention_pct")))
 
 
+def retention_all_cohorts(me: DataFrame, max_day_offset: int = 7) -> DataFrame:
+    """C1 over every cohort."""
+    return _rates(user_day_offsets(me, max_day_offset))
+
+
+def retention_of(me: DataFrame, cohort_dates: list, max_day_offset: int = 7) -> DataFrame:
+    """C1 for given cohort dates.  First days need the history up to the
+    latest cohort only, activity the days from the earliest cohort to
+    ``max_day_offset`` after the latest; both are filters on the day column,
+    and only the cohorts' own users are joined to their days."""
+    dates = sorted(_d(c) for c in cohort_dates)
+    day = lambda text: F.lit(text).cast("date")
+    joined = (first_activity(me.where(F.col("event_date") <= day(dates[-1])))
+              .where(F.col("cohort_date").isin([day(c) for c in dates])))
+    last = (dt.date.fromisoformat(dates[-1]) + dt.timedelta(days=max_day_offset)).isoformat()
+    seen = me.where(F.col("event_date").between(day(dates[0]), day(last))).select("user_id", "event_date").distinct()
+    offset = F.datediff("event_date", "cohort_date")
+    return _rates(seen.join(joined, "user_id").withColumn("day_offset", offset)
+                  .where(F.col("day_offset").between(0, max_day_offset)))
+
+
 def retention_cohort(me: DataFrame, cohort_date, max_day_offset: int = 7) -> DataFrame:
     """Retention of one cohort date as a fraction 0..1."""
-    return retention_all_cohorts(me, max_day_offset).where(F.col("cohort_date") == F.lit(_d(cohort_date)).cast("date"))
+    return retention_of(me, [cohort_date], max_day_offset)
 
 
 def retention_for_run(me: DataFrame, run_date, max_day_offset: int = 7) -> DataFrame:
     """The cohorts a run for ``run_date`` refreshes (run-1 and run-7)."""
     run = dt.date.fromisoformat(_d(run_date))
-    wanted = [(run - dt.timedelta(days=k)).isoformat() for k in (1, 7)]
-    return retention_all_cohorts(me, max_day_offset).where(
-        F.col("cohort_date").isin([F.lit(w).cast("date") for w in wanted]))
+    return retention_of(me, [run - dt.timedelta(days=k) for k in (1, 7)], max_day_offset)
 
 
 def retention_heatmap(me: DataFrame, limit: int = 30, max_day_offset: int = 7) -> DataFrame:

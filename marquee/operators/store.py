@@ -1,17 +1,19 @@
 """The raw event store and key-merged metric tables on plain Parquet.
 
-* S3: append typed events into a day-partitioned table, each day's files
-  sorted by (event_type, user_id, event_time) so row-group statistics skip.
+* S3: append typed events into a day-partitioned table, each batch's files
+  sorted by (event_type, user_id, event_time) so row-group statistics skip;
+  rewriting whole days is a call of its own.
 * S4: 90-day retention as a filter (and as dropping old day folders).
-* U1/U3: key-merge upserts; U2: replace one day.
-* Writes use dynamic partition overwrite, so re-running a day replaces only
-  that day: jobs are idempotent and a lost executor only re-runs tasks.
+* U1/U3: key-merge upserts; U2: replace given days, even with nothing.
+* Overwrites name dynamic partition overwrite as a write option, so they
+  never depend on the session: only the partitions written are replaced.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +22,26 @@ from ..session import ensure_checkpoint_dir
 STORE_SORT = ["event_date", "event_type", "user_id", "event_time"]
 
 
-def write_raw_events(stored: DataFrame, path: str, files_per_day_hint: int | None = None) -> None:
-    """S3: range-partition on the full sort key (so a hot day or user is
-    split across tasks by time), sort inside each task, write by day.  The
-    task count comes from AQE (shuffle partitions coalesced to the advisory
-    size) unless ``files_per_day_hint`` fixes it."""
+def _spread(stored: DataFrame, files_per_day_hint: int | None):
+    """Range-partition on the full sort key (so a hot day or user is split
+    across tasks by time) and sort inside each task.  The task count comes
+    from AQE (shuffle partitions coalesced to the advisory size) unless
+    ``files_per_day_hint`` fixes it."""
     keys = [F.col(c) for c in STORE_SORT]
     spread = stored.repartitionByRange(files_per_day_hint, *keys) if files_per_day_hint \
         else stored.repartitionByRange(*keys)
-    (spread.sortWithinPartitions(*STORE_SORT)
-     .write.mode("overwrite").partitionBy("event_date").parquet(path))
+    return spread.sortWithinPartitions(*STORE_SORT).write.partitionBy("event_date")
+
+
+def append_raw_events(stored: DataFrame, path: str, files_per_day_hint: int | None = None) -> None:
+    """S3: add a batch of typed events to the store; rows of earlier batches
+    of the same days stay (repeated deliveries are for T3 to drop)."""
+    _spread(stored, files_per_day_hint).mode("append").parquet(path)
+
+
+def rewrite_raw_days(stored: DataFrame, path: str, files_per_day_hint: int | None = None) -> None:
+    """Replace the days that ``stored`` holds (a re-run of whole days); other days stay."""
+    _spread(stored, files_per_day_hint).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
@@ -90,32 +102,47 @@ def replace_partition(existing: DataFrame, new: DataFrame, part_col: str, values
 
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str], part_col: str,
-                 replace_whole_partition: bool = False) -> DataFrame:
+                 replace: list | None = None) -> DataFrame:
     """Apply ``new`` to the Parquet table at ``path`` (partitioned by
-    ``part_col``).  Only the partitions ``new`` touches are read (partition
-    pruning through the isin filter), merged, materialised with a reliable
-    checkpoint in the shared checkpoint folder -- the source files are about
-    to be overwritten -- and written back with dynamic partition overwrite."""
+    ``part_col``) and return the table.
+
+    Without ``replace`` (U1/U3) rows of the same key are replaced: only the
+    partitions ``new`` touches are read, merged, materialised with a reliable
+    checkpoint in the shared folder (their files are about to be replaced)
+    and written back.  With ``replace`` (U2) the given partition values are
+    replaced whole, those without a new row by nothing; nothing is read."""
     ensure_checkpoint_dir(spark)
-    if _exists(spark, path):
-        new = new.persist()          # used for the touched values and the merge
+    old = _read_if_there(spark, path)
+    if replace is not None:
+        wanted = [_iso_text(v) for v in replace]
+        merged = new.where(F.col(part_col).cast("string").isin(wanted))
+        if old is not None:
+            bare = spark.createDataFrame([], old.drop(part_col).schema)
+            for v in wanted:  # the values asked for, emptied first: a re-run without rows leaves none
+                bare.write.mode("overwrite").parquet(f"{path}/{part_col}={v}")
+    elif old is not None:
+        new = new.checkpoint(eager=True)   # used for the touched values and the merge
         touched = [r[0] for r in new.select(part_col).distinct().collect()]  # partition values, bounded by days
-        old = spark.read.parquet(path)
-        old = old.select(*new.columns).where(F.col(part_col).isin(touched))
-        merged = (replace_partition(old, new, part_col, touched) if replace_whole_partition
-                  else key_merge(old, new, key))
-        merged = merged.checkpoint(eager=True)   # reliable: the files it was read from get replaced
-        new.unpersist()
+        kept = old.select(*new.columns).where(F.col(part_col).isin(touched))
+        merged = key_merge(kept, new, key).checkpoint(eager=True)
     else:
         merged = new                 # nothing is read from the target: write directly
     # hash on (partition, key): a big partition spreads over many tasks,
     # small ones coalesce (AQE sizes the tasks); no range-sampling pass
     (merged.repartition(F.col(part_col), *[F.col(k) for k in key if k != part_col])
-     .write.mode("overwrite").partitionBy(part_col).parquet(path))
-    return spark.read.parquet(path)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    return spark.read.schema(new.schema).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+def _iso_text(v) -> str:
+    return v if isinstance(v, str) else v.isoformat()
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

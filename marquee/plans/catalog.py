@@ -178,11 +178,24 @@ def q_raw_roundtrip(spark, sf):
     """S3: typed events written to the day-partitioned store and read back."""
     path = scratch_path(spark, "raw-store")
     stored = ev.with_store_columns(ev.type_events(fx.raw_event_rows(spark, sf)))
-    st.write_raw_events(stored, path)
+    st.append_raw_events(stored, path)
     back = st.read_raw_events(spark, path)
     return back.select(*ev.STORED_COLUMNS)
 
 
+@register("raw_append_two_batches")
+def q_raw_append_two_batches(spark, sf):
+    """S3: two batches that share their days, appended one after the other;
+    then one day rewritten from its own rows.  Nothing may be lost."""
+    path = scratch_path(spark, "raw-store")
+    stored = ev.with_store_columns(ev.type_events(fx.raw_event_rows(spark, sf)))
+    early = F.coalesce(F.hour("event_time") < P.PARTIAL_CUTOFF_HOUR, F.lit(True))
+    st.append_raw_events(stored.where(early), path)
+    st.append_raw_events(stored.where(~early), path)
+    st.rewrite_raw_days(stored.where(F.col("event_date") == F.lit(P.RUN_DATE).cast("date")), path)
+    return st.read_raw_events(spark, path).select(*ev.STORED_COLUMNS)
+
+
 @register("raw_ttl_filter")
 def q_raw_ttl_filter(spark, sf):
     return st.ttl_filter(fx.movie_events(spark, sf), P.TTL_AS_OF, P.TTL_DAYS)
@@ -211,7 +224,7 @@ def _existing_tables(me):
 def q_upsert_metrics(spark, sf):
     me = fx.movie_events(spark, sf)
     existing, _, _ = _existing_tables(me)
-    new, _, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    new, _, _ = dc.cycle_frames_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
     return st.key_merge(existing, new, dc.METRIC_KEY_DEFAULT)
 
 
@@ -219,7 +232,7 @@ def q_upsert_metrics(spark, sf):
 def q_upsert_metrics_by_name(spark, sf):
     me = fx.movie_events(spark, sf)
     existing, _, _ = _existing_tables(me)
-    new, _, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    new, _, _ = dc.cycle_frames_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
     return st.key_merge(existing, new, dc.METRIC_KEY_BY_NAME)
 
 
@@ -227,36 +240,45 @@ def q_upsert_metrics_by_name(spark, sf):
 def q_replace_top_day(spark, sf):
     me = fx.movie_events(spark, sf)
     _, existing, _ = _existing_tables(me)
-    _, new, _ = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    _, new, _ = dc.cycle_frames_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
     return st.replace_partition(existing, new, "metric_date", [P.RUN_DATE])
 
 
+@register("replace_top_day_empty")
+def q_replace_top_day_empty(spark, sf):
+    """A re-run that finds no rows for its day leaves none there."""
+    _, existing, _ = _existing_tables(fx.movie_events(spark, sf))
+    path = scratch_path(spark, "top-movies")
+    st.upsert_table(spark, path, existing, ["metric_date"], "metric_date")
+    return st.upsert_table(spark, path, existing.limit(0), ["metric_date"], "metric_date", replace=[P.RUN_DATE])
+
+
 @register("upsert_retention")
 def q_upsert_retention(spark, sf):
     me = fx.movie_events(spark, sf)
     _, _, existing = _existing_tables(me)
-    _, _, new = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    _, _, new = dc.cycle_frames_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
     return st.key_merge(existing, new, ["cohort_date", "day_offset"])
 
 
 @register("daily_cycle")
 def q_daily_cycle(spark, sf):
     """U4 end to end: seed the three tables with the earlier runs, run the
-    cycle for RUN_DATE (three partition upserts), count what it left."""
+    cycle for RUN_DATE (three partition upserts), return the rows it left."""
     me = fx.movie_events(spark, sf)
     root = scratch_path(spark, "metric-tables")
     em, et, er = _existing_tables(me)
     st.upsert_table(spark, f"{root}/metrics_daily", em, dc.METRIC_KEY_DEFAULT, "metric_date")
-    st.upsert_table(spark, f"{root}/top_movies_daily", et, ["metric_date"], "metric_date", True)
+    st.upsert_table(spark, f"{root}/top_movies_daily", et, ["metric_date"], "metric_date")
     st.upsert_table(spark, f"{root}/retention_cohort", er, ["cohort_date", "day_offset"], "cohort_date")
     run = dc.daily_cycle(spark, me, root, P.RUN_DATE, F.lit(P.COMPUTED_AT).cast("timestamp"))
-    return dc.cycle_counts(run["tables"], P.RUN_DATE)
+    return dc.cycle_rows(run["tables"], P.RUN_DATE)
 
 
 def _cycle_tables(spark, sf):
     me = fx.movie_events(spark, sf)
     em, et, er = _existing_tables(me)
-    nm, nt, nr = dc.compute_all_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
+    nm, nt, nr = dc.cycle_frames_for_date(me, P.RUN_DATE, P.COMPUTED_AT, P.TOP_N)
     return (st.key_merge(em, nm, dc.METRIC_KEY_DEFAULT),
             st.replace_partition(et, nt, "metric_date", [P.RUN_DATE]),
             st.key_merge(er, nr, ["cohort_date", "day_offset"]))

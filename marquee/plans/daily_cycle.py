@@ -29,7 +29,7 @@ def day_slice(me: DataFrame, day) -> DataFrame:
     return me.where(F.col("event_date") == F.lit(_iso(day)).cast("date"))
 
 
-def compute_all_for_date(me: DataFrame, day, computed_at, top_n: int = 10, max_day_offset: int = 7):
+def cycle_frames_for_date(me: DataFrame, day, computed_at, top_n: int = 10, max_day_offset: int = 7):
     """(metrics, top, retention) DataFrames of the cycle for ``day``.
     ``computed_at`` is a timestamp column or literal text."""
     stamp = F.lit(computed_at).cast("timestamp") if isinstance(computed_at, str) else computed_at
@@ -47,31 +47,35 @@ def daily_cycle(spark: SparkSession, me: DataFrame, root: str, day=None, compute
     t0 = time.time()
     day = _iso(day or m.yesterday_utc())
     stamp = F.current_timestamp() if computed_at is None else computed_at
-    metrics, top, retention = compute_all_for_date(me, day, stamp, top_n)
+    metrics, top, retention = cycle_frames_for_date(me, day, stamp, top_n)
     mt = store.upsert_table(spark, f"{root}/metrics_daily", metrics, metric_key or METRIC_KEY_DEFAULT,
                             "metric_date")
-    tt = store.upsert_table(spark, f"{root}/top_movies_daily", top, ["metric_date"], "metric_date",
-                            replace_whole_partition=True)
+    tt = store.upsert_table(spark, f"{root}/top_movies_daily", top, ["metric_date"], "metric_date", replace=[day])
     rt = store.upsert_table(spark, f"{root}/retention_cohort", retention, ["cohort_date", "day_offset"],
                             "cohort_date")
     return {"date": day, "tables": (mt, tt, rt), "elapsed_sec": round(time.time() - t0, 3)}
 
 
-def cycle_counts(tables, day) -> DataFrame:
-    """One row: records of the run date in each table after the cycle."""
+def cycle_rows(tables, day) -> DataFrame:
+    """What the cycle left for the run date, table by table: section, name,
+    value, place (rank or day offset), views or returned users, cohort size."""
     mt, tt, rt = tables
     d = F.lit(_iso(day)).cast("date")
     dd = dt.date.fromisoformat(_iso(day))
     cohorts = [F.lit((dd - dt.timedelta(days=k)).isoformat()).cast("date") for k in (1, 7)]
-    mc = mt.where(F.col("metric_date") == d).agg(F.count(F.lit(1)).alias("metrics"))
-    tc = tt.where(F.col("metric_date") == d).agg(F.count(F.lit(1)).alias("top"))
-    rc = rt.where(F.col("cohort_date").isin(cohorts)).agg(F.count(F.lit(1)).alias("retention"))
-    tagged = (mc.select(F.col("metrics").alias("n"), F.lit("metrics").alias("t"))
-              .unionByName(tc.select(F.col("top").alias("n"), F.lit("top").alias("t")))
-              .unionByName(rc.select(F.col("retention").alias("n"), F.lit("retention").alias("t"))))
-    return tagged.agg(
-        d.alias("run_date"),
-        F.sum(F.when(F.col("t") == "metrics", F.col("n"))).alias("metrics"),
-        F.sum(F.when(F.col("t") == "top", F.col("n"))).alias("top"),
-        F.sum(F.when(F.col("t") == "retention", F.col("n"))).alias("retention"),
-        F.sum("n").alias("records"))
+    none = F.lit(None).cast("long")
+    return (mt.where(F.col("metric_date") == d)
+            .select(F.lit("metrics").alias("section"), F.col("metric_name").alias("name"),
+                    F.col("metric_value").alias("value"), none.alias("place"), none.alias("n"), none.alias("size"),
+                    F.col("dimensions").alias("dimensions"))
+            .unionByName(tt.where(F.col("metric_date") == d)
+                         .select(F.lit("top").alias("section"), F.col("movie_id").alias("name"),
+                                 F.lit(None).cast("double").alias("value"), F.col("rank").cast("long").alias("place"),
+                                 F.col("views").cast("long").alias("n"), none.alias("size"),
+                                 F.lit(None).cast("string").alias("dimensions")))
+            .unionByName(rt.where(F.col("cohort_date").isin(cohorts))
+                         .select(F.lit("retention").alias("section"),
+                                 F.date_format("cohort_date", "yyyy-MM-dd").alias("name"),
+                                 F.col("retention_pct").alias("value"), F.col("day_offset").cast("long").alias("place"),
+                                 F.col("returned").cast("long").alias("n"), F.col("cohort_size").cast("long").alias("size"),
+                                 F.lit(None).cast("string").alias("dimensions"))))

@@ -114,21 +114,20 @@ sql("metrics_long", ME, METRICS_LONG_BODY)
 
 # ---------------------------------------------------------------- retention
 
-FIRST_DAY = ("first_day", "SELECT user_id, min(event_date) AS cohort_date FROM movie_events GROUP BY user_id")
-ACTIVITY = ("activity", f"""
-SELECT DISTINCT f.cohort_date, e.user_id, CAST(date_diff('day', f.cohort_date, e.event_date) AS INTEGER) AS day_offset
-FROM movie_events e JOIN first_day f USING (user_id)
-WHERE date_diff('day', f.cohort_date, e.event_date) BETWEEN 0 AND {P.MAX_DAY_OFFSET}""")
-SIZES = ("cohort_sizes", "SELECT cohort_date, count(*) AS total FROM first_day GROUP BY cohort_date")
+USER_DAYS = ("user_days", """
+SELECT DISTINCT user_id, event_date AS seen_on,
+       min(event_date) OVER (PARTITION BY user_id) AS joined_on
+FROM movie_events""")
+DAY_COUNTS = ("day_counts", f"""
+SELECT joined_on AS cohort_date, CAST(seen_on - joined_on AS INTEGER) AS day_offset, count(*) AS returned
+FROM user_days WHERE seen_on - joined_on <= {P.MAX_DAY_OFFSET} GROUP BY ALL""")
 RET_ALL = ("ret_all", """
-SELECT a.cohort_date, a.day_offset, CAST(s.total AS INTEGER) AS cohort_size,
-       CAST(count(DISTINCT a.user_id) AS INTEGER) AS returned,
-       round(count(DISTINCT a.user_id) / s.total, 6) AS retention_pct
-FROM activity a JOIN cohort_sizes s USING (cohort_date)
-GROUP BY a.cohort_date, a.day_offset, s.total""")
-RET = [FIRST_DAY, ACTIVITY, SIZES, RET_ALL]
+SELECT c.cohort_date, c.day_offset, CAST(z.returned AS INTEGER) AS cohort_size, CAST(c.returned AS INTEGER) AS returned,
+       round(c.returned / z.returned, 6) AS retention_pct
+FROM day_counts c, day_counts z WHERE z.cohort_date = c.cohort_date AND z.day_offset = 0""")
+RET = [USER_DAYS, DAY_COUNTS, RET_ALL]
 
-sql("first_activity", ME, "SELECT * FROM first_day", [FIRST_DAY])
+sql("first_activity", ME, "SELECT DISTINCT user_id, joined_on AS cohort_date FROM user_days", [USER_DAYS])
 
 sql("retention_cohort", ME, f"SELECT * FROM ret_all WHERE cohort_date = {CD}", RET)
 
@@ -142,13 +141,12 @@ SELECT *, CASE WHEN retention_pct * 100 >= 60 THEN 'green' WHEN retention_pct *
 FROM ret_all""", RET)
 
 HEAT_COLS = ",\n".join(
-    f"round(100 * count(*) FILTER (WHERE a.day_offset = {k}) / any_value(s.total), 0) AS day_{k}"
+    f"round(100 * coalesce(max(returned) FILTER (WHERE day_offset = {k}), 0) / max(cohort_size), 0) AS day_{k}"
     for k in range(P.MAX_DAY_OFFSET + 1))
 sql("retention_heatmap", ME, f"""
-SELECT strftime(a.cohort_date, '%Y-%m-%d') AS cohort_date,
+SELECT strftime(cohort_date, '%Y-%m-%d') AS cohort_date,
 {HEAT_COLS}
-FROM activity a JOIN cohort_sizes s USING (cohort_date)
-GROUP BY a.cohort_date ORDER BY a.cohort_date DESC LIMIT {P.HEATMAP_LIMIT}""", [FIRST_DAY, ACTIVITY, SIZES])
+FROM ret_all GROUP BY ret_all.cohort_date ORDER BY ret_all.cohort_date DESC LIMIT {P.HEATMAP_LIMIT}""", RET)
 
 # ------------------------------------------------------- ingest and storage
 
@@ -163,6 +161,10 @@ sql("raw_roundtrip", ME, """
 SELECT lower(event_id) AS event_id, user_id, movie_id, event_type,
        date_trunc('millisecond', event_time) AS event_time, event_date, device_type, session_id, progress_seconds
 FROM movie_events""")
+sql("raw_append_two_batches", ME, """
+SELECT lower(event_id) AS event_id, user_id, movie_id, event_type,
+       date_trunc('millisecond', event_time) AS event_time, event_date, device_type, session_id, progress_seconds
+FROM movie_events""")
 
 sql("raw_ttl_filter", ME, f"""
 SELECT * FROM movie_events WHERE event_date > DATE '{P.TTL_AS_OF}' - INTERVAL {P.TTL_DAYS} DAY""")
@@ -258,12 +260,17 @@ sql("replace_top_day", ME, "SELECT * FROM t_merged", CYCLE)
 
 sql("upsert_retention", ME, "SELECT * FROM r_merged", CYCLE)
 
+sql("replace_top_day_empty", ME, f"SELECT * FROM t_exist WHERE metric_date <> {RD}", CYCLE)
+
 sql("daily_cycle", ME, f"""
-SELECT {RD} AS run_date, m.n AS metrics, t.n AS top, r.n AS retention, CAST(m.n + t.n + r.n AS BIGINT) AS records
-FROM (SELECT count(*) AS n FROM m_merged WHERE metric_date = {RD}) m,
-     (SELECT count(*) AS n FROM t_merged WHERE metric_date = {RD}) t,
-     (SELECT count(*) AS n FROM r_merged WHERE cohort_date IN ({RD} - INTERVAL 1 DAY, {RD} - INTERVAL 7 DAY)) r""",
-    CYCLE)
+SELECT 'metrics' AS section, metric_name AS name, metric_value AS value, CAST(NULL AS BIGINT) AS place,
+       CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS size, dimensions
+FROM m_merged WHERE metric_date = {RD}
+UNION ALL
+SELECT 'top', movie_id, NULL, rank, views, NULL, NULL FROM t_merged WHERE metric_date = {RD}
+UNION ALL
+SELECT 'retention', strftime(cohort_date, '%Y-%m-%d'), retention_pct, day_offset, returned, cohort_size, NULL
+FROM r_merged WHERE cohort_date IN ({RD} - INTERVAL 1 DAY, {RD} - INTERVAL 7 DAY)""", CYCLE)
 
 sql("metrics_for_date", ME, f"""
 SELECT 'metrics' AS section, metric_name AS name, metric_value AS value, CAST(NULL AS INTEGER) AS rank_or_offset
@@ -379,11 +386,13 @@ AUDIT = "\nUNION ALL\n".join([
     _uniq("seat_requests", "seat_reservations.booking_unique", ["booking_id"]),
     _chk("seat_requests", "seat_reservations.seat_count_positive", "booking_id", "seats <= 0"),
     _chk("bookings", "bookings.seat_count_positive", "booking_id", "seat_count <= 0"),
+    _chk("bookings", "bookings.total_price_positive", "booking_id", "total_price <= 0"),
     _uniq("bookings", "bookings.booking_unique", ["booking_id"]),
     _fk("order_items", "product_id", "products", "id", "order_items.product_fk"),
     _fk("order_items", "order_id", "m_orders", "id", "order_items.order_fk"),
     _fk("m_orders", "promo_code", "promo_codes", "code", "orders.promo_fk"),
     _fk("bookings", "flight_id", "flights", "id", "bookings.flight_fk"),
+    _fk("seat_requests", "flight_id", "flights", "id", "seat_reservations.flight_fk"),
 ])
 sql("constraint_audit", ["products", "promo_codes", "users", "flights", "seat_requests", "bookings",
                          "order_items", "m_orders"], AUDIT)
@@ -425,22 +434,30 @@ GROUP BY session_id""")
 
 TOTALS = ("totals", """
 SELECT order_id, CAST(sum(price_at_order * quantity) AS DECIMAL(14,2)) AS total FROM order_items GROUP BY order_id""")
-PROMO_EVAL = ("promo_eval", """
+def _promo_eval(reaches: str) -> tuple[str, str]:
+    """Orders one after the other per code: an order that passes every other
+    check uses the code up by one, until nothing is left of it."""
+    return ("promo_eval", f"""
 SELECT order_id, total, reason,
        CASE WHEN promo_code IS NOT NULL AND reason IS NULL THEN raw ELSE 0 END AS discount,
        total - CASE WHEN promo_code IS NOT NULL AND reason IS NULL THEN raw ELSE 0 END AS net
-FROM (SELECT o.id AS order_id, t.total, o.promo_code,
-             CASE WHEN o.promo_code IS NOT NULL AND (p.code IS NULL OR NOT p.active OR p.current_uses >= p.max_uses
-                                                     OR NOT (o.created_at BETWEEN p.valid_from AND p.valid_until))
-                  THEN 'PROMO_CODE_INVALID'
-                  WHEN o.promo_code IS NOT NULL AND t.total < p.min_order_amount THEN 'PROMO_CODE_MIN_AMOUNT'
-             END AS reason,
-             CASE WHEN p.discount_type = 'PERCENTAGE' THEN
-                       CASE WHEN t.total * p.discount_value / 100 > t.total * 0.7 THEN 0
-                            ELSE t.total * p.discount_value / 100 END
-                  ELSE least(p.discount_value, t.total) END AS raw
-      FROM m_orders o JOIN totals t ON o.id = t.order_id
-      LEFT JOIN promo_codes p ON o.promo_code = p.code) x""")
+FROM (SELECT order_id, total, promo_code, raw,
+             CASE WHEN promo_code IS NULL THEN NULL
+                  WHEN NOT usable OR NOT in_time OR current_uses + earlier >= max_uses THEN 'PROMO_CODE_INVALID'
+                  WHEN total < min_order_amount THEN 'PROMO_CODE_MIN_AMOUNT' END AS reason
+      FROM (SELECT *, coalesce(sum(CASE WHEN usable AND in_time AND total >= min_order_amount AND {reaches} THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY promo_code ORDER BY created_at, order_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+            FROM (SELECT o.id AS order_id, t.total, o.promo_code, o.created_at, p.current_uses, p.max_uses,
+                         p.min_order_amount, p.code IS NOT NULL AND p.active AS usable,
+                         coalesce(o.created_at >= p.valid_from AND o.created_at <= p.valid_until, false) AS in_time,
+                         CASE WHEN p.discount_type <> 'PERCENTAGE' THEN least(p.discount_value, t.total)
+                              WHEN p.discount_value > 70 THEN 0 ELSE t.total * p.discount_value / 100 END AS raw
+                  FROM m_orders o JOIN totals t ON o.id = t.order_id
+                  LEFT JOIN promo_codes p ON o.promo_code = p.code) w) y) x""")
+
+
+PROMO_EVAL = _promo_eval("true")
 ORD_VIEWS = ["m_orders", "order_items", "promo_codes"]
 
 sql("order_totals", ["order_items"], "SELECT * FROM totals", [TOTALS])
@@ -461,9 +478,10 @@ SELECT user_id, op_id, prev_at FROM (
   FROM user_operations WHERE operation_type = 'CREATE_ORDER') t
 WHERE prev_at >= created_at - INTERVAL {P.RATE_LIMIT_SECONDS} SECOND""")
 
-sql("order_admission", ORD_VIEWS + ["products", "user_operations"], f"""
+# the checks before the promo code; a line sees the stock less what its order took on earlier lines
+EARLIER = ("earlier_checks", f"""
 SELECT o.id AS order_id,
-       CASE WHEN pl.lines IS NULL THEN 'VALIDATION_ERROR'
+       CASE WHEN pl.n IS NULL THEN 'VALIDATION_ERROR'
             WHEN EXISTS (SELECT 1 FROM user_operations u WHERE u.user_id = o.user_id
                            AND u.operation_type = 'CREATE_ORDER' AND u.created_at < o.created_at
                            AND u.created_at >= o.created_at - INTERVAL {P.RATE_LIMIT_SECONDS} SECOND)
@@ -472,23 +490,22 @@ SELECT o.id AS order_id,
                            AND a.status IN ('CREATED', 'PAYMENT_PENDING')
                            AND (a.created_at < o.created_at OR (a.created_at = o.created_at AND a.id < o.id)))
                  THEN 'ORDER_HAS_ACTIVE'
-            WHEN fb.r IS NOT NULL THEN fb.r
-            ELSE pe.reason END AS reason
+            ELSE pl.r END AS reason
 FROM m_orders o
-LEFT JOIN (SELECT order_id, count(*) AS lines FROM order_items GROUP BY order_id) pl ON pl.order_id = o.id
-LEFT JOIN (SELECT order_id, r FROM (
-             SELECT i.order_id, i.line_no,
-                    CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
-                         WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END AS r,
-                    row_number() OVER (PARTITION BY i.order_id ORDER BY
-                        CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
-                             WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END IS NULL,
-                        i.line_no,
-                        CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND' WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
-                             WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END) AS rn
-             FROM order_items i LEFT JOIN products p ON i.product_id = p.id) q
-           WHERE rn = 1) fb ON fb.order_id = o.id
-LEFT JOIN promo_eval pe ON pe.order_id = o.id""", [TOTALS, PROMO_EVAL])
+LEFT JOIN (SELECT order_id, count(*) AS n, arg_min(r, (line_no, r)) FILTER (WHERE r IS NOT NULL) AS r
+           FROM (SELECT i.order_id, i.line_no,
+                        CASE WHEN p.id IS NULL THEN 'PRODUCT_NOT_FOUND'
+                             WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
+                             WHEN p.stock - coalesce(sum(i.quantity) OVER (
+                                      PARTITION BY i.order_id, i.product_id ORDER BY i.line_no, i.quantity, i.price_at_order
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < i.quantity
+                                  THEN 'INSUFFICIENT_STOCK' END AS r
+                 FROM order_items i LEFT JOIN products p ON i.product_id = p.id) q
+           GROUP BY order_id) pl ON pl.order_id = o.id""")
+sql("order_admission", ORD_VIEWS + ["products", "user_operations"], """
+SELECT e.order_id, coalesce(e.reason, p.reason) AS reason
+FROM earlier_checks e LEFT JOIN promo_eval p ON p.order_id = e.order_id""",
+    [TOTALS, EARLIER, _promo_eval("(SELECT any_value(e.reason) FROM earlier_checks e WHERE e.order_id = w.order_id) IS NULL")])
 
 sql("stock_oversell", ["m_orders", "order_items", "products"], """
 SELECT product_id, order_id, line_no, CAST(demand AS BIGINT) AS demand, CAST(stock AS BIGINT) AS stock,
@@ -539,15 +556,19 @@ SELECT DISTINCT 'caller', CAST(caller_id AS VARCHAR) FROM cancel_requests
 WHERE caller_id IS NOT NULL AND caller_id NOT IN (SELECT user_id FROM callers)""")
 
 sql("apply_product_changes", ["products", "product_changes"], """
-SELECT p.id, p.name,
-       CAST(CASE WHEN c.op = 'UPDATE' THEN c.price ELSE p.price END AS DOUBLE) AS price,
-       CAST(CASE WHEN c.op = 'UPDATE' THEN c.stock ELSE p.stock END AS INTEGER) AS stock,
-       p.category, CASE WHEN c.op = 'DELETE' THEN 'ARCHIVED' ELSE p.status END AS status,
-       c.changed_at AS updated_at
-FROM products p LEFT JOIN (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, op DESC, price DESC,
-                                              stock DESC, src_order DESC, src_line DESC, src_price DESC) AS rn
-                 FROM product_changes) x WHERE rn = 1) c ON c.id = p.id""")
+SELECT p.id, coalesce(u.name, p.name) AS name, coalesce(u.description, p.description) AS description,
+       CAST(coalesce(u.price, p.price) AS DOUBLE) AS price, CAST(coalesce(u.stock, p.stock) AS INTEGER) AS stock,
+       coalesce(u.category, p.category) AS category,
+       CASE l.op WHEN 'DELETE' THEN 'ARCHIVED' WHEN 'UPDATE' THEN l.status ELSE p.status END AS status,
+       l.changed_at AS updated_at
+FROM products p
+LEFT JOIN (SELECT * FROM feed WHERE place = 1) l ON l.id = p.id
+LEFT JOIN (SELECT * FROM feed WHERE op = 'UPDATE' AND place_of_op = 1) u ON u.id = p.id""", [("feed", """
+SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, price DESC, stock DESC, name DESC, description DESC,
+                             category DESC, status DESC, src_order DESC, src_line DESC, src_price DESC, op DESC) AS place,
+       row_number() OVER (PARTITION BY id, op ORDER BY changed_at DESC, price DESC, stock DESC, name DESC, description DESC,
+                             category DESC, status DESC, src_order DESC, src_line DESC, src_price DESC) AS place_of_op
+FROM product_changes""")])
 
 # ----------------------------------------------------------------- flights
 

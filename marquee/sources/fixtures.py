@@ -238,8 +238,8 @@ def promo_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key == 0, 10).when(key == 1, 50).when(key == 2, 80).when(key == 3, 100000)
         .otherwise(50).cast("decimal(12,2)").alias("discount_value"),
         (key * 20000).cast("decimal(12,2)").alias("min_order_amount"),
-        F.lit(100000).alias("max_uses"),
-        F.lit(0).alias("current_uses"),
+        (key * 150 + 40).cast("int").alias("max_uses"),
+        (key * 3).cast("int").alias("current_uses"),
         F.lit("1995-01-01 00:00:00").cast("timestamp").alias("valid_from"),
         F.lit("1999-12-31 00:00:00").cast("timestamp").alias("valid_until"),
         (key != 4).alias("active"),
@@ -283,6 +283,10 @@ def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "DELETE").otherwise("UPDATE").alias("op"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(12,2)").alias("price"),
         (F.col("l_quantity").cast("int") * 10).alias("stock"),
+        F.concat(F.lit("name "), F.col("l_orderkey").cast("string")).alias("name"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("description"),
+        F.concat(F.lit("category "), (F.col("l_orderkey") % 25).cast("string")).alias("category"),
+        F.when(F.col("l_linenumber") % 3 == 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
         F.col("l_shipdate").cast("timestamp").alias("changed_at"),
         F.col("l_orderkey").alias("src_order"),
         F.col("l_linenumber").alias("src_line"),
@@ -342,6 +346,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (oid % 4 + 1).cast("int").alias("seat_count"),
         F.when(F.col("o_orderstatus") == "F", "CANCELLED").otherwise("CONFIRMED").alias("status"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
+        F.when(oid % 977 == 1, F.lit(0)).otherwise(F.col("o_totalprice")).cast("decimal(12,2)").alias("total_price"),
     )
 
 
@@ -546,7 +551,7 @@ SELECT 'PROMO' || CAST(r_regionkey AS VARCHAR) AS code,
        CAST(CASE r_regionkey WHEN 0 THEN 10 WHEN 1 THEN 50 WHEN 2 THEN 80 WHEN 3 THEN 100000 ELSE 50 END
             AS DECIMAL(12,2)) AS discount_value,
        CAST(r_regionkey * 20000 AS DECIMAL(12,2)) AS min_order_amount,
-       100000 AS max_uses, 0 AS current_uses,
+       CAST(r_regionkey * 150 + 40 AS INTEGER) AS max_uses, CAST(r_regionkey * 3 AS INTEGER) AS current_uses,
        TIMESTAMP '1995-01-01 00:00:00' AS valid_from, TIMESTAMP '1999-12-31 00:00:00' AS valid_until,
        r_regionkey <> 4 AS active
 FROM region""",
@@ -566,6 +571,9 @@ FROM events""",
 SELECT l_partkey AS id, CASE WHEN l_returnflag = 'R' THEN 'DELETE' ELSE 'UPDATE' END AS op,
        CAST(floor(l_extendedprice / l_quantity) AS DECIMAL(12,2)) AS price,
        CAST(l_quantity AS INTEGER) * 10 AS stock,
+       'name ' || CAST(l_orderkey AS VARCHAR) AS name, 'line ' || CAST(l_linenumber AS VARCHAR) AS description,
+       'category ' || CAST(l_orderkey % 25 AS VARCHAR) AS category,
+       CASE WHEN l_linenumber % 3 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status,
        CAST(l_shipdate AS TIMESTAMP) AS changed_at,
        l_orderkey AS src_order, l_linenumber AS src_line, l_extendedprice AS src_price
 FROM lineitem""",
@@ -593,7 +601,8 @@ FROM lineitem""",
 SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'user_' || CAST(o_custkey AS VARCHAR) AS user_id,
        o_custkey AS flight_id, CAST(o_orderkey % 4 + 1 AS INTEGER) AS seat_count,
        CASE WHEN o_orderstatus = 'F' THEN 'CANCELLED' ELSE 'CONFIRMED' END AS status,
-       CAST(o_orderdate AS TIMESTAMP) AS created_at
+       CAST(o_orderdate AS TIMESTAMP) AS created_at,
+       CAST(CASE WHEN o_orderkey % 977 = 1 THEN 0 ELSE o_totalprice END AS DECIMAL(12,2)) AS total_price
 FROM orders""",
     "booking_events": """
 SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'CREATE' AS action, CAST(o_orderdate AS TIMESTAMP) AS event_at

@@ -42,7 +42,7 @@ def test_request_log_masking(spark):
 def test_raw_store_partition_pruning_and_ttl(spark):
     path = scratch_path(spark, "store-test")
     stored = ev.with_store_columns(ev.type_events(fx.raw_event_rows(spark, SF001)))
-    st.write_raw_events(stored, path)
+    st.append_raw_events(stored, path)
     back = st.read_raw_events(spark, path).where(F.col("event_date") == F.lit("2024-01-10").cast("date"))
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-10" in plan
@@ -57,7 +57,7 @@ def test_raw_store_partition_pruning_and_ttl(spark):
 def _tables(spark):
     me = fx.movie_events(spark, SF001)
     from marquee.plans import daily_cycle as dc
-    return dc.compute_all_for_date(me, "2024-01-08", "2024-01-09 00:05:00")
+    return dc.cycle_frames_for_date(me, "2024-01-08", "2024-01-09 00:05:00")
 
 
 def test_export_idempotent_and_empty(spark):
