@@ -7,8 +7,10 @@ only touch the days they produce.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +51,29 @@ def apply_semantics(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per
+    application: functions of Python operators are pickled by module name, so
+    the workers must be able to import it wherever they were started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="marquee-src-"), "marquee_src.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("marquee", os.path.relpath(full, here)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
