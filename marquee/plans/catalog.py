@@ -495,7 +495,7 @@ def q_notif_channel_plan(spark, sf):
 @register("notif_failover")
 def q_notif_failover(spark, sf):
     a = fx.attempts(spark, sf)
-    return nt.failover(a, nt.acks_of(a))
+    return nt.failover(a, nt.acks_of(a), fx.user_channels(spark, sf))
 
 
 @register("notif_state")
@@ -510,7 +510,7 @@ def q_notif_lanes(spark, sf):
 
 @register("notif_dlq")
 def q_notif_dlq(spark, sf):
-    return nt.dead_letters(fx.attempts(spark, sf))
+    return nt.dead_letters(fx.attempts(spark, sf), fx.user_channels(spark, sf))
 
 
 @register("notif_kpis")

@@ -675,15 +675,21 @@ SELECT notification_id,
 FROM routable""", [ROUTABLE])
 
 ACK_AT = "a.ts + to_milliseconds(CAST(a.latency_ms AS BIGINT))"
-sql("notif_failover", ["attempts"], f"""
+# a user's chain: the preferred channel, then the others in the configured order
+CHAINS = ("chains", """
+SELECT 'user_' || CAST(user_key AS VARCHAR) AS user_id,
+       [preferred_channel] || list_filter(['push', 'sms', 'email'], lambda x: x <> preferred_channel) AS chain
+FROM preferences""")
+sql("notif_failover", ["attempts", "preferences"], f"""
 SELECT a.notification_id, a.channel AS failed_channel,
-       CASE a.channel WHEN 'push' THEN 'sms' WHEN 'sms' THEN 'email' END AS next_channel,
+       coalesce(u.chain, ['push', 'sms', 'email'])[list_position(coalesce(u.chain, ['push', 'sms', 'email']), a.channel) + 1]
+           AS next_channel,
        CASE WHEN a.outcome = 'FAILED' THEN 'FAILED' ELSE 'ACK_TIMEOUT' END AS reason, a.attempt_id
-FROM attempts a
+FROM attempts a LEFT JOIN chains u ON u.user_id = a.user_id
 WHERE a.outcome = 'FAILED' OR NOT EXISTS (
   SELECT 1 FROM (SELECT notification_id, channel, {ACK_AT} AS ack_at FROM attempts a WHERE outcome = 'DELIVERED') k
   WHERE k.notification_id = a.notification_id AND k.channel = a.channel
-    AND k.ack_at >= a.ts AND k.ack_at <= a.ts + INTERVAL 5 SECOND)""")
+    AND k.ack_at >= a.ts AND k.ack_at <= a.ts + INTERVAL 5 SECOND)""", [CHAINS])
 
 ALLOWED_SQL = " OR ".join(f"(prev_state = '{a}' AND state = '{b}')" for a, b in [
     ("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
@@ -706,22 +712,22 @@ SELECT CASE type WHEN 'TRANSACTIONAL' THEN 'transactional' WHEN 'SERVICE' THEN '
                  WHEN 'MARKETING' THEN 'marketing' END AS lane, count(*) AS n
 FROM notifications GROUP BY 1""")
 
-sql("notif_dlq", ["attempts"], """
-SELECT notification_id, count(DISTINCT channel) AS tried FROM attempts GROUP BY notification_id
-HAVING count(*) FILTER (WHERE outcome = 'DELIVERED') = 0 AND count(DISTINCT channel) >= 3""")
+sql("notif_dlq", ["attempts", "preferences"], """
+SELECT a.notification_id, count(DISTINCT a.channel) AS tried
+FROM attempts a LEFT JOIN chains u ON u.user_id = a.user_id GROUP BY a.notification_id
+HAVING NOT bool_or(a.outcome = 'DELIVERED') AND count(DISTINCT a.channel) = len(coalesce(any_value(u.chain), ['push', 'sms', 'email']))""",
+    [CHAINS])
 
 sql("notif_kpis", ["attempts"], """
-SELECT p.channel, p.type, p.n, round(p.p99_ms, 6) AS p99_ms, round(p.success_rate, 6) AS success_rate,
-       round(s.sms_share, 6) AS sms_share, CAST(coalesce(d.duplicates, 0) AS BIGINT) AS duplicates,
-       p.p99_ms <= 5000 AS p99_ok, p.success_rate >= 0.995 AS success_ok, s.sms_share <= 0.15 AS sms_ok
-FROM (SELECT channel, type, count(*) AS n, quantile_cont(CAST(latency_ms AS DOUBLE), 0.99) AS p99_ms,
-             count(*) FILTER (WHERE outcome = 'DELIVERED') / count(*) AS success_rate
-      FROM attempts GROUP BY channel, type) p
-JOIN (SELECT type, count(*) FILTER (WHERE channel = 'sms') / count(*) AS sms_share FROM attempts GROUP BY type) s
-  USING (type)
-LEFT JOIN (SELECT type, sum(d - 1) AS duplicates FROM (
-             SELECT type, notification_id, count(*) AS d FROM attempts WHERE outcome = 'DELIVERED'
-             GROUP BY type, notification_id) x GROUP BY type) d USING (type)""")
+SELECT c.channel, c.type, c.n, round(c.p99_ms, 6) AS p99_ms, round(t.reached, 6) AS success_rate, round(t.sms, 6) AS sms_share,
+       CAST(t.again AS BIGINT) AS duplicates, c.p99_ms <= 5000 AS p99_ok, t.reached >= 0.995 AS success_ok, t.sms <= 0.15 AS sms_ok
+FROM (SELECT channel, type, count(*) AS n, quantile_cont(CAST(latency_ms AS DOUBLE), 0.99) AS p99_ms
+      FROM attempts GROUP BY channel, type) c
+JOIN (SELECT type, avg(CASE WHEN ok > 0 THEN 1.0 ELSE 0.0 END) AS reached, avg(CASE WHEN any_sms THEN 1.0 ELSE 0.0 END) AS sms,
+             sum(CASE WHEN ok > 1 THEN ok - 1 ELSE 0 END) AS again
+      FROM (SELECT type, notification_id, sum(CASE WHEN outcome = 'DELIVERED' THEN 1 ELSE 0 END) AS ok,
+                   bool_or(channel = 'sms') AS any_sms
+            FROM attempts GROUP BY type, notification_id) n GROUP BY type) t USING (type)""")
 
 sql("notif_success_24h", ["attempts"], """
 SELECT channel, type, make_timestamp((hour_no + 1) * 3600 * 1000000) AS window_end, attempts, delivered,

@@ -441,6 +441,12 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preferred channel by the user id that attempts carry."""
+    return preferences(spark, sf_dir).select(
+        F.concat(F.lit("user_"), F.col("user_key").cast("string")).alias("user_id"), "preferred_channel")
+
+
 def campaign_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("user_key"), F.col("c_nationkey").alias("segment"))

@@ -243,21 +243,21 @@ def dedup_ttl_stream(attempts: DataFrame, ttl_hours: int = nt.DEDUP_TTL_HOURS, d
         GroupStateTimeout.EventTimeTimeout)
 
 
-def failover_stream(attempts: DataFrame, acks: DataFrame, timeout_ms: int = nt.ACK_TIMEOUT_MS,
+def failover_stream(attempts: DataFrame, acks: DataFrame, prefs: DataFrame | None = None, timeout_ms: int = nt.ACK_TIMEOUT_MS,
                     chain: list[str] | None = None, delay: str = "1 minute") -> DataFrame:
     """N5 over streams: same rows as the batch ``failover``.  FAILED attempts
     hand over at once; a delivered attempt hands over when no ack of its
     (notification, channel) lands in [ts, ts + timeout] -- a stream-stream
     left outer join whose unmatched rows appear once the watermark passes
     the interval, so join state stays bounded by delay + timeout."""
-    chain = chain or nt.DEFAULT_CHAIN
-    a = attempts.withWatermark("ts", delay).select("attempt_id", "notification_id", "channel", "outcome", "ts")
+    a = nt.with_plan(attempts.withWatermark("ts", delay), prefs, chain).select(
+        "attempt_id", "notification_id", "channel", "outcome", "ts", "plan")
     k = acks.withWatermark("ack_at", delay).select(F.col("notification_id").alias("k_nid"),
                                                    F.col("channel").alias("k_ch"), "ack_at")
 
     def shape(df: DataFrame, reason: str) -> DataFrame:
         return df.select("notification_id", F.col("channel").alias("failed_channel"),
-                         nt.next_in_chain(F.col("channel"), chain).alias("next_channel"),
+                         nt.next_in_plan(F.col("plan"), F.col("channel")).alias("next_channel"),
                          F.lit(reason).alias("reason"), "attempt_id")
 
     failed = a.where(F.col("outcome") == "FAILED")

@@ -45,14 +45,16 @@ def _attempts(spark, rnd, n=400):
 
 def test_failover_matches_brute_force(spark):
     rows, df = _attempts(spark, random.Random(5))
-    got = {r.attempt_id: (r.next_channel, r.reason) for r in nt.failover(df, nt.acks_of(df), chunks=5).collect()}
-    nxt = {"push": "sms", "sms": "email", "email": None}
+    prefs = spark.createDataFrame([("user_0", "email"), ("user_1", "sms"), ("user_2", None)], "user_id string, preferred_channel string")
+    got = {r.attempt_id: (r.next_channel, r.reason) for r in nt.failover(df, nt.acks_of(df), prefs, chunks=5).collect()}
+    chains = {"user_0": ["email", "push", "sms"], "user_1": ["sms", "push", "email"]}
+    after = lambda u, c: dict(zip(ch := chains.get(u, ["push", "sms", "email"]), ch[1:])).get(c)
     acks = [(n, c, ts + dt.timedelta(milliseconds=lat)) for (_, n, _, _, _, c, o, ts, lat) in rows if o == "DELIVERED"]
     exp = {}
-    for (aid, n, _, _, _, c, o, ts, _) in rows:
+    for (aid, n, u, _, _, c, o, ts, _) in rows:
         timely = any(k_n == n and k_c == c and ts <= at <= ts + dt.timedelta(seconds=5) for k_n, k_c, at in acks)
         if o == "FAILED" or not timely:
-            exp[aid] = (nxt[c], "FAILED" if o == "FAILED" else "ACK_TIMEOUT")
+            exp[aid] = (after(u, c), "FAILED" if o == "FAILED" else "ACK_TIMEOUT")
     assert got == exp
 
 

@@ -79,9 +79,10 @@ def test_failover_stream_equals_batch_on_closed_intervals(spark):
     from marquee.operators import notify as nt
     root = scratch_path(spark, "stream-failover")
     stream, static = _weekly_attempt_stream(spark, root)
-    out = _collect_stream(sj.failover_stream(stream, nt.acks_of(stream)), spark, "failover_out", root)
+    prefs = fx.user_channels(spark, SF0001)
+    out = _collect_stream(sj.failover_stream(stream, nt.acks_of(stream), prefs), spark, "failover_out", root)
     got = {tuple(r) for r in out.collect()}
-    batch = nt.failover(static, nt.acks_of(static))
+    batch = nt.failover(static, nt.acks_of(static), prefs)
     exp = {tuple(r) for r in batch.collect()}
     assert got and got <= exp
     # everything the last watermark has closed is there
