@@ -294,6 +294,37 @@ def q_export_union(spark, sf):
     return ex.export_union(*_cycle_tables(spark, sf), P.RUN_DATE)
 
 
+@register("export_document")
+def q_export_document(spark, sf):
+    """The JSON document of a day, as text."""
+    doc = ex.export_document(*_cycle_tables(spark, sf), P.COHORT_DATE)
+    item = lambda c, cols: F.transform(c, lambda x: F.concat_ws("|", *[x[k].cast("string") for k in cols]))
+    return doc.select("export_date", F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss").alias("computed_at"),
+                      F.array_join(item("metrics", ["metric_name", "dimensions"]), ";").alias("metrics"),
+                      F.array_join(item("top_movies", ["rank", "movie_id", "views"]), ";").alias("top_movies"),
+                      F.array_join(item("retention", ["day_offset", "returned", "cohort_size"]), ";").alias("retention"))
+
+
+@register("json_ingest")
+def q_json_ingest(spark, sf):
+    """Event bodies as JSON lines; every fifth lacks its timestamp, every seventh has 0."""
+    raw = fx.raw_event_rows(spark, sf)
+    n = F.col("event_id").cast("long")
+    body = raw.withColumn("timestamp", F.when(n % 5 == 0, F.lit(None)).when(n % 7 == 0, F.lit(0)).otherwise(F.col("timestamp")))
+    lines = body.select(F.to_json(F.struct(*[F.col(c) for c in body.columns])).alias("value"))
+    stamp = F.lit(P.COMPUTED_AT).cast("timestamp")
+    return ev.ingest_json(lines, F.unix_millis(stamp))
+
+
+@register("request_log_stats")
+def q_request_log_stats(spark, sf):
+    """Request log lines made of the events, parsed, masked and counted."""
+    log = ev.parse_request_log(fx.request_log_lines(spark, sf))
+    masked = F.count_if(F.col("body_masked")["password"] == "***").alias("masked")
+    return log.groupBy("method", "endpoint", "status_code").agg(
+        F.count(F.lit(1)).alias("n"), F.max("duration_ms").alias("slowest_ms"), masked, F.min("ts").alias("first_at"))
+
+
 @register("export_union_cohort")
 def q_export_union_cohort(spark, sf):
     """Export of a date whose cohort is stored (the day after a cycle that
@@ -539,11 +570,33 @@ from ..streaming import jobs as sj  # noqa: E402
 
 
 def _streamed_store(spark, sf):
+    rows = fx.raw_event_rows(spark, sf)  # the contract asks for UUIDs on the wire
+    uuid = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad("event_id", 12, "0"))
+    return _streamed(spark, rows.withColumn("event_id", uuid))
+
+
+def _streamed(spark, wire):
+    """Wire rows as files, streamed through the ingest: the scratch root of its store and rejects."""
     root = scratch_path(spark, "stream-ingest")
-    sj.ingest_stream(sj.stream_table(spark, sf, "events"), f"{root}/store", f"{root}/ckpt")
+    wire.select(*ev.RAW_EVENT_SCHEMA.fieldNames()).write.parquet(f"{root}/wire")
+    sj.ingest_stream(ev.stream_events(spark, f"{root}/wire"), f"{root}/store", f"{root}/rejects", f"{root}/ckpt")
     return root
 
 
+@register("stream_rejects")
+def q_stream_rejects(spark, sf):
+    """Wire rows with contract breaks; what the stream quarantined, with reasons."""
+    root = _streamed(spark, fx.event_candidates(spark, sf))
+    return spark.read.parquet(f"{root}/rejects").select(*ev.RAW_EVENT_SCHEMA.fieldNames(), "reasons")
+
+
+@register("stream_accepts")
+def q_stream_accepts(spark, sf):
+    """The rows of the same wire that reached the store."""
+    root = _streamed(spark, fx.event_candidates(spark, sf))
+    return spark.read.parquet(f"{root}/store").select(*ev.STORED_COLUMNS)
+
+
 @register("stream_ingest")
 def q_stream_ingest(spark, sf):
     """The event stream written to the day-partitioned store, read back."""

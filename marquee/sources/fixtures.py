@@ -441,6 +441,18 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON log line per event (S10); logins carry a password in the body."""
+    e = read_table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    body = F.when(n % 3 == 0, F.create_map(F.lit("username"), F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("password"), F.lit("secret")))
+    return e.select(F.to_json(F.struct(
+        n.cast("string").alias("request_id"), F.when(n % 3 == 0, "POST").otherwise("GET").alias("method"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("endpoint"), F.when(n % 11 == 0, 500).otherwise(200).alias("status_code"),
+        F.floor(F.col("value") * 10).cast("long").alias("duration_ms"), F.col("user_id").cast("string").alias("user_id"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), body.alias("body"))).alias("value"))
+
+
 def user_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preferred channel by the user id that attempts carry."""
     return preferences(spark, sf_dir).select(
@@ -491,7 +503,7 @@ SELECT event_id AS row_id,
        CASE event_type WHEN 'view' THEN 'VIEW_STARTED' WHEN 'purchase' THEN 'VIEW_FINISHED'
             WHEN 'click' THEN 'VIEW_PAUSED' WHEN 'signup' THEN 'LIKED'
             ELSE CASE WHEN {K_SQL} % 2 = 0 THEN 'WATCH_SOMETHING' ELSE 'SEARCHED' END END AS event_type,
-       epoch_ms(CAST(ts AS TIMESTAMP)) AS timestamp,
+       epoch_ms(date_trunc('millisecond', CAST(ts AS TIMESTAMP))) AS timestamp,
        CASE WHEN {K_SQL} = 3 THEN 'FRIDGE' ELSE
             CASE {K_SQL} % 4 WHEN 0 THEN 'MOBILE' WHEN 1 THEN 'DESKTOP' WHEN 2 THEN 'TV' ELSE 'TABLET' END
        END AS device_type,

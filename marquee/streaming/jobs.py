@@ -1,7 +1,8 @@
 """Structured Streaming jobs.
 
-* T1 ``ingest_stream``: event stream -> typed store rows -> day-partitioned
-  Parquet store (file sink, exactly-once through its commit log).
+* T1 ``ingest_stream``: wire rows -> contract check with quarantine -> typed
+  rows -> day-partitioned Parquet store (file sinks, exactly-once through
+  their commit logs).
 * T2 ``incremental_states``: micro-batches of the store -> partial
   aggregate tables (views per day and movie, watch-time sum and count per
   day, distinct user-days).  Each batch overwrites its own ``batch_id``
@@ -42,8 +43,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import metrics as m
 from ..operators import notify as nt
+from ..operators import quality as qa
 from ..sources import events as ev
-from ..sources import fixtures as fx
 from ..sources.tables import read_table
 
 
@@ -65,13 +66,22 @@ def run_available(query) -> None:
 
 # ------------------------------------------------------------------- T1
 
-def ingest_stream(events_stream: DataFrame, store_path: str, checkpoint: str, ingested_at=None):
-    """Stream of raw events -> day-partitioned store, one availableNow run."""
-    stored = ev.with_store_columns(fx.movie_events_from(events_stream), ingested_at)
-    q = (stored.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("event_date").trigger(availableNow=True).start(store_path))
-    run_available(q)
-    return q
+def ingest_stream(raw: DataFrame, store_path: str, rejects_path: str, checkpoint: str, ingested_at=None,
+                  spread: int = 4):
+    """Stream of wire rows -> contract check (V1) -> typed rows (S2) ->
+    day-partitioned store (S3); rows that break the contract land in
+    ``rejects_path`` with their reasons.  One availableNow run of two file
+    sinks, each exactly-once by its commit log.  Rows are dealt by (day, user
+    hash), so a trigger writes at most ``spread`` files per day."""
+    valid, rejected = qa.split_valid(qa.event_contract(raw))
+    stored = ev.with_store_columns(ev.type_events(valid), ingested_at)
+    dealt = stored.repartition(F.col("event_date"), F.pmod(F.xxhash64("user_id"), F.lit(spread)))
+    sinks = ((dealt.writeStream.partitionBy("event_date"), store_path, "store"), (rejected.writeStream, rejects_path, "rejects"))
+    queries = [w.format("parquet").option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start(path)
+               for w, path, name in sinks]
+    for q in queries:
+        run_available(q)
+    return queries
 
 
 # ------------------------------------------------------------------- T2
