@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import ensure_checkpoint_dir, scratch_path
+from marquee.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that bound the memory of Python tasks: Arrow batches of at
     most a few MB, so a run of very long documents is never one batch."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.session.timeZone", "UTC")

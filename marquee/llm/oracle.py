@@ -1,5 +1,74 @@
-"""DuckDB SQL of the llm queries that SQL can express on whole tables."""
+"""DuckDB SQL of the llm queries that SQL can express on whole tables.
+
+Op 6 compares every window of words with every window of the benchmark, op 8
+every pair of lines that share a shingle, op 10 formats conversation by
+conversation; none of them follows the operators' methods.  The others need
+functions that SQL lacks (XXH64, CRC32, learned models, a tokenizer, a
+packing) and are held against brute force in tests.
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op6_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + 12], ' ') AS win, least(13, len(w)) AS size
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0) t),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size) t),
+hits AS (SELECT r, i, w.size, item FROM doc_windows w JOIN item_windows USING (win, size)),
+covered AS (SELECT r, count(DISTINCT word) AS n_hit
+            FROM (SELECT r, unnest(range(i, i + size)) AS word FROM (SELECT DISTINCT r, i, size FROM hits) h) c GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) f GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
+
+ORACLE["op8_line_dedup"] = f"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line, lines[i] AS text
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) s) t),
+w AS (SELECT doc_id, line, {_WORDS} AS w FROM l),
+sets AS (
+  SELECT doc_id, line, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ') || '/' || len(w)]
+         ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END)) AS s
+  FROM w WHERE len(w) > 0),
+classes AS (SELECT s, min(doc_id * 1000000 + line) AS first, row_number() OVER () AS c FROM sets GROUP BY s),
+tokens AS (SELECT c, first, len(s) AS n, unnest(s) AS t FROM classes),
+shared AS (SELECT t FROM tokens GROUP BY t HAVING count(*) > 1),
+live AS (SELECT * FROM tokens SEMI JOIN shared USING (t)),
+matched AS (
+  SELECT DISTINCT c FROM (
+    SELECT b.c, a.c AS other, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+    FROM live a JOIN live b ON a.t = b.t AND a.first < b.first GROUP BY b.c, a.c) p
+  WHERE 9 * common >= 4 * (na + nb)),
+gone AS (
+  SELECT doc_id, line FROM sets JOIN classes USING (s) LEFT JOIN (SELECT c, true AS hit FROM matched) m USING (c)
+  WHERE coalesce(hit, false) OR doc_id * 1000000 + line <> first)
+SELECT d.doc_id, CAST(coalesce(len(g.lines), 0) AS INTEGER) AS n_removed,
+       coalesce(array_to_string(g.lines, ','), '') AS removed_lines,
+       coalesce(k.text, CASE WHEN g.lines IS NULL THEN d.text ELSE '' END) AS text
+FROM documents d
+LEFT JOIN (SELECT doc_id, list(line ORDER BY line) AS lines FROM gone GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN (SELECT doc_id, string_agg(text, chr(10) ORDER BY line) AS text FROM l ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id) k
+  USING (doc_id)"""
+
+_MARKS = "</s>[INST] ok [/INST]"
+_ESCAPE = (r"regexp_replace(replace({}, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|<?/?SYS>)', '\1\\\2', 'g')")
+ORACLE["op10_chat"] = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_MARKS}' UNION ALL SELECT -7, 1, 'assistant', '{_MARKS}')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(23 + length({_ESCAPE.format('role')}) + length({_ESCAPE.format('text')})) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id"""

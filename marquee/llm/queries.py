@@ -49,7 +49,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.size("removed_lines").alias("n_removed"), "removed_lines", "text")
+    return out.select("doc_id", F.size("removed_lines").alias("n_removed"), F.array_join("removed_lines", ",").alias("removed_lines"), "text")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
