@@ -3,8 +3,8 @@
 A line's tokens are its five-word shingles (the whole line, if shorter).
 Lines of one token set are one class.  Tokens are ordered by rarity; two sets
 of Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
-each, so only those prefixes are joined, sizes and positions rule most
-pairs out, and the rest is verified on the whole sets.  A line goes if an
+each, so only those prefixes are joined, sizes, positions and parity bits rule
+most pairs out, and the rest is verified on the whole sets.  A line goes if an
 earlier line (by document id, then line number) is similar.
 """
 
@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,9 @@ from marquee.llm.words import flat, mix, shingle_hashes, slices, word_hashes, wo
 SHINGLE = 5
 SIMILARITY = (4, 5)  # 0.8, as a fraction
 #: Counters of the rarity table (top bits of a token); its size is fixed.
-RARITY_BITS = 17
+RARITY_BITS = 20
+#: Pieces that a task's rarity table is summed up in.
+SEGMENTS = 64
 #: Occurrences in one run of tokens from which a token is counted as heavy.
 HEAVY = 32
 #: Classes that are compared at once under one heavy token; more are dealt out by salt.
@@ -90,85 +93,126 @@ def _signatures(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(tokens), bounds[:-1]) + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def _parities(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """64 parity bits per token set.  Each bit in which two sets differ takes
+    a token that only one of them has."""
+    return np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), bounds[:-1]).view(np.int64)
+
+
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A list column: the next ``counts`` values of each row."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
+
+
+class _Heavy:
+    """Tokens that many different classes of a run of text hold."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+        self.tokens: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, sig, bounds, tokens):
+        new = _unseen(sig, self.seen)
+        if new.any():
+            own = tokens[np.repeat(new, np.diff(bounds))]
+            self.tokens.append(own)
+            self.held += len(own)
+
+    def close(self):
+        token, n = np.unique(np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.uint64), return_counts=True)
+        self.__init__()
+        return token[n >= HEAVY].astype(np.int64).tolist(), n[n >= HEAVY].tolist()
+
+
+def _unseen(sig: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Which are met for the first time; remembers them."""
+    out = np.zeros(len(sig), bool)
+    for i, x in enumerate(sig.tolist()):
+        if x not in seen:
+            seen.add(x)
+            out[i] = True
+    return out
+
+
 def _survey(shingle, batches):
     """Per document the class of each line that has words; per run of tokens
     the counters of the rarity table and the heavy tokens."""
-    ids, names = None, ["doc_id", "text_key", "n_lines", "line", "sig", "bucket", "n", "heavy", "heavy_n"]
-    counts, run, held = np.zeros(1 << RARITY_BITS, np.int64), [], 0
-    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-
-    def close():
-        if not run:
-            return None
-        token, n = np.unique(np.concatenate(run), return_counts=True)
-        run.clear()
-        hot = n >= HEAVY
-        return token[hot].astype(np.int64).tolist(), n[hot].tolist()
-
-    def record(id_type, bucket, n, heavy, heavy_n):
+    ids, names = None, ["doc_id", "text_key", "n_lines", "line", "sig", "counters", "heavy", "heavy_n"]
+    counts, heavy = np.zeros(1 << RARITY_BITS, np.int64), _Heavy()
+    longs, ints, blobs = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary())
+
+    def record(id_type, counters, heavy, heavy_n):
         return pa.RecordBatch.from_arrays(
             [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, ints), pa.nulls(1, longs),
-             pa.array([bucket], ints), pa.array([n], longs), pa.array([heavy], longs), pa.array([heavy_n], longs)], names=names)
+             pa.array([counters], blobs), pa.array([heavy], longs), pa.array([heavy_n], longs)], names=names)
 
     for b in batches:
         ids = b.column("doc_id").type
-        n_lines, line_col, sig_col = np.zeros(b.num_rows, np.int32), [None] * b.num_rows, [None] * b.num_rows
-        for i0, n, row, number, owner, tokens in _line_tokens(b.column("text"), shingle):
-            n_lines[i0:i0 + n] = np.bincount(row, minlength=n)
-            at, sig = [], []
-            for lines, bounds, own in _sets(owner, tokens):
-                at.append(lines)
-                sig.append(_signatures(bounds, own))
+        n_lines, held, lines, sigs = [], [], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for _, n, row, number, owner, tokens in _line_tokens(b.column("text"), shingle):
+            n_lines.append(np.bincount(row, minlength=n))
+            here = np.zeros(n, np.int64)
+            for at, bounds, own in _sets(owner, tokens):
+                sig = _signatures(bounds, own)
+                here += np.bincount(row[at], minlength=n)
+                lines.append(number[at].astype(np.int32))
+                sigs.append(sig)
                 counts += np.bincount((own >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64), minlength=len(counts))
-                run.append(own)
-                held += len(own)
-            if at:
-                at, sig = np.concatenate(at), np.concatenate(sig)
-                cut = np.searchsorted(row[at], np.arange(n + 1))
-                for i in np.flatnonzero(np.diff(cut)):
-                    line_col[i0 + i] = number[at[cut[i]:cut[i + 1]]].astype(np.int32)
-                    sig_col[i0 + i] = sig[cut[i]:cut[i + 1]]
-            if held >= _RUN:
-                held = 0
-                if (got := close()) and got[0]:
-                    yield record(ids, [], [], *got)
+                heavy.add(sig, bounds, own)
+            held.append(here)
+            if heavy.held >= _RUN and (got := heavy.close())[0]:
+                yield record(ids, None, *got)
+        held = np.concatenate(held) if held else np.zeros(0, np.int64)
+        nothing = [pa.nulls(b.num_rows, t) for t in (blobs, longs, longs)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("text_key"), pa.array(n_lines), pa.array(line_col, ints), pa.array(sig_col, longs),
-             pa.nulls(b.num_rows, ints), pa.nulls(b.num_rows, longs), pa.nulls(b.num_rows, longs), pa.nulls(b.num_rows, longs)], names=names)
-    got = close()
-    if ids is not None and got is not None:
-        used = np.flatnonzero(counts)
-        yield record(ids, used.astype(np.int32), counts[used], *got)
+            [b.column("doc_id"), b.column("text_key"), pa.array(np.concatenate(n_lines or [held]).astype(np.int32)),
+             _lists(held, np.concatenate(lines)), _lists(held, np.concatenate(sigs)), *nothing], names=names)
+    if ids is not None:
+        yield record(ids, [x.tobytes() for x in np.split(np.minimum(counts, 65535).astype("<u2"), SEGMENTS)], *heavy.close())
+
+
+def _totals(batches):
+    """(segment, log-scaled sums of the tasks' counters)."""
+    sums: dict[int, np.ndarray] = {}
+    for b in batches:
+        for k, blob in zip(b.column("segment").to_pylist(), b.column("blob").to_pylist(), strict=True):
+            own = np.frombuffer(blob, "<u2").astype(np.int64)
+            sums[k] = sums[k] + own if k in sums else own
+    steps = [np.minimum(63, 2 * np.log2(np.maximum(1, v))).astype(np.uint8).tobytes() for v in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(steps, pa.binary())], names=["segment", "steps"])
 
 
 def _prefixes(shared, shingle, similarity, batches):
-    """(key, sig, shape) of every prefix token of every class met in this
-    task: key holds token and salt; shape holds size, place and salts."""
-    rarity, salts_of = shared.value
+    """(key, sig, shape, parity) of every prefix token of every class met in
+    this task: key holds token and salt; shape holds size, place and salts."""
+    rarity, salts_of = shared.value[0].astype(np.uint64), shared.value[1]
     num, den = similarity
-    seen = np.zeros(0, np.int64)
+    seen: set[int] = set()
     for b in batches:
-        sigs, sizes, keys = [], [], []
+        sigs, shapes, tokens_, parities = [], [], [], []
         for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle):
             for _, bounds, own in _sets(owner, tokens, rarity):
                 sig, size = _signatures(bounds, own), np.diff(bounds)
+                # a class's rows are alike wherever it stands: its first line here will do
+                new = np.flatnonzero(_unseen(sig, seen))
+                sig, size, begin = sig[new], size[new], bounds[:-1][new]
                 take = size - -(-num * size // den) + 1
                 which = np.repeat(np.arange(len(size)), take)
                 place = np.arange(len(which)) - np.repeat(np.cumsum(take) - take, take)
                 sigs.append(sig[which])
-                sizes.append(size[which] << 32 | place << 16)
-                keys.append(own[bounds[:-1][which] + place])
+                parities.append(_parities(bounds, own)[new][which])
+                shapes.append(size[which] << 32 | place << 16)
+                tokens_.append(own[begin[which] + place])
+        if len(seen) > 1 << 20:
+            seen.clear()
         if not sigs:
             continue
-        sig, shape, token = np.concatenate(sigs), np.concatenate(sizes), np.concatenate(keys)
-        # a class's rows are alike wherever it stands: its first line here will do
-        _, first = np.unique(np.stack([sig, shape]), axis=1, return_index=True)
-        first = first[~np.isin(sig[first], seen)]
-        seen = np.union1d(seen, sig[first]) if len(seen) < 1 << 20 else np.unique(sig[first])
-        sig, shape, token = sig[first], shape[first], token[first]
+        sig, shape, token = np.concatenate(sigs), np.concatenate(shapes), np.concatenate(tokens_)
         salts = salts_of[(token >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64)].astype(np.int64)
-        salt = (mix(sig.view(np.uint64)) % salts.astype(np.uint64)).astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array((token << np.uint64(16) | salt).view(np.int64)), pa.array(sig), pa.array(shape | salts)], names=["key", "sig", "shape"])
+        salt = mix(sig.view(np.uint64)) % salts.astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array((token << np.uint64(16) | salt).view(np.int64)), pa.array(sig), pa.array(shape | salts), pa.array(np.concatenate(parities))],
+                                         names=["key", "sig", "shape", "parity"])
 
 
 def _runs(batches, columns):
@@ -200,24 +244,33 @@ def _fits(size_a, place_a, size_b, place_b, similarity):
     """Length and position bounds: overlap from here on can still suffice."""
     num, den = similarity
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    left = 1 + np.minimum(size_a - place_a, size_b - place_b) - 1
+    left = np.minimum(size_a - place_a, size_b - place_b)
     return (den * small >= num * large) & ((num + den) * left >= num * (size_a + size_b))
 
 
+def _may_share(size_a, parity_a, size_b, parity_b, similarity):
+    """Overlap bound by parity bits: at most half of what the differing bits leave."""
+    num, den = similarity
+    apart = np.bitwise_count(parity_a ^ parity_b).astype(np.int64)
+    return (num + den) * (size_a + size_b - apart) >= 2 * num * (size_a + size_b)
+
+
 def _shape(shape: np.ndarray):
     return shape >> 32, (shape >> 16) & 0xFFFF, shape & 0xFFFF
 
 
 def _live(similarity, batches):
-    """Rows that have a class of fitting size and place under their key, one
-    per class; heavy keys (several salts) keep all their classes."""
+    """Rows that have a class of fitting size, place and parities under their
+    key, one per class; heavy keys (several salts) keep all their classes."""
     for table, cuts in _runs(batches, None):
         sig, shape, key = (table.column(k).to_numpy() for k in ("sig", "shape", "key"))
+        parity = table.column("parity").to_numpy().view(np.uint64)
         size, place, salts = _shape(shape)
         keep = np.zeros(len(sig), bool)
         length = np.diff(cuts)
         two = cuts[:-1][length == 2]
-        ok = (sig[two] != sig[two + 1]) & _fits(size[two], place[two], size[two + 1], place[two + 1], similarity)
+        ok = ((sig[two] != sig[two + 1]) & _fits(size[two], place[two], size[two + 1], place[two + 1], similarity)
+              & _may_share(size[two], parity[two], size[two + 1], parity[two + 1], similarity))
         keep[two[ok]] = keep[two[ok] + 1] = True
         keep[salts > 1] = True
         for a, z in zip(cuts[:-1][length > 2], cuts[1:][length > 2], strict=True):
@@ -234,23 +287,36 @@ def _live(similarity, batches):
                 near = similarity[1] * size[x] >= similarity[0] * size[y]
                 if not near.any():
                     break
-                ok = near & _fits(size[x], place[x], size[y], place[y], similarity)
+                ok = (near & _fits(size[x], place[x], size[y], place[y], similarity)
+                      & _may_share(size[x], parity[x], size[y], parity[y], similarity))
                 keep[x[ok]] = keep[y[ok]] = True
         if keep.any():
             yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(sig[keep]), pa.array(shape[keep])], names=["key", "sig", "shape"])
 
 
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _bitmap(df: DataFrame, col: str) -> np.ndarray:
+    """A fixed-size filter of the values of a long column: at most 2^FILTER_BITS slot numbers come to the driver."""
+    slot = F.shiftrightunsigned(col, 64 - FILTER_BITS).cast("int").alias("slot")
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[df.select(slot).distinct().toArrow().column("slot").to_numpy()] = True
+    return np.packbits(bits)
+
+
 def _fetch(shared, shingle, batches):
-    """(sig, tokens) of the classes that pass the filter."""
-    bits = np.unpackbits(shared.value).astype(bool)
+    """(sig, tokens) of the classes that pass the filter, from the documents that pass theirs."""
+    in_docs, in_sigs = (np.unpackbits(x).astype(bool) for x in shared.value)
     seen: set[int] = set()
     for b in batches:
+        b = b.filter(pa.array(in_docs[_slots(b.column("text_key").to_numpy())]))
         sigs, sets = [], []
-        for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle):
+        for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle) if b.num_rows else ():
             for _, bounds, own in _sets(owner, tokens):
                 sig = _signatures(bounds, own)
-                hit = bits[(sig.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-                for i in np.flatnonzero(hit):
+                for i in np.flatnonzero(in_sigs[_slots(sig)]):
                     if (s := int(sig[i])) not in seen:
                         seen.add(s)
                         sigs.append(s)
@@ -278,14 +344,28 @@ def _similar(similarity, batches):
             return sets[i]  # noqa: B023
 
         found = np.zeros(len(sig), bool)
-        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-            earlier = a + np.flatnonzero(answers[a:z])
-            for j in a + np.flatnonzero(probe[a:z]):
-                old = earlier[earlier < j]
-                for i in old[_fits(size[old], place[old], size[j], place[j], similarity) & (sig[old] != sig[j])]:
-                    if (num + den) * len(whole(i) & whole(j)) >= num * (size[i] + size[j]):
-                        found[j] = True
-                        break
+        sig_, size_, place_, probe_, answers_ = (x.tolist() for x in (sig, size, place, probe, answers))
+
+        def same(i, j):
+            return (num + den) * len(whole(i) & whole(j)) >= num * (size_[i] + size_[j])  # noqa: B023
+
+        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if z - a <= 24:
+                for j in range(a + 1, z):
+                    if probe_[j]:
+                        n, left = size_[j], size_[j] - place_[j]
+                        for i in range(a, j):
+                            m = size_[i]
+                            if (answers_[i] and (den * m >= num * n if m < n else den * n >= num * m)
+                                    and (num + den) * min(left, m - place_[i]) >= num * (m + n) and sig_[i] != sig_[j] and same(i, j)):
+                                found[j] = True
+                                break
+            else:
+                earlier = a + np.flatnonzero(answers[a:z])
+                for j in a + np.flatnonzero(probe[a:z]):
+                    old = earlier[earlier < j]
+                    fit = old[_fits(size[old], place[old], size[j], place[j], similarity) & (sig[old] != sig[j])]
+                    found[j] = any(same(i, j) for i in fit)
             sets.clear()
         out = np.flatnonzero(probe)
         yield pa.RecordBatch.from_arrays([table.column("key").to_numpy()[out], pa.array(sig[out]), pa.array(salts[out]), pa.array(found[out])],
@@ -300,29 +380,29 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     id_type = docs.schema["doc_id"].dataType.simpleString()
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     survey = written(slim.mapInArrow(partial(_survey, shingle), f"doc_id {id_type}, text_key long, n_lines int, line array<int>, sig array<long>, "
-                                     "bucket array<int>, n array<long>, heavy array<long>, heavy_n array<long>"), "lines-survey")
-    # rarity in steps of a power of two, per counter; salts per counter that a heavy token falls in
-    table = survey.where("bucket is not null").select(F.explode(F.arrays_zip("bucket", "n")).alias("c")).select("c.*").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+                                     "counters array<binary>, heavy array<long>, heavy_n array<long>"), "lines-survey")
+    # rarity in steps of half a power of two, per counter; salts per counter that a heavy token falls in
+    counters = survey.where("counters is not null").select(F.posexplode("counters").alias("segment", "blob"))
     rarity = np.zeros(1 << RARITY_BITS, np.uint64)
-    rarity[table.column("bucket").to_numpy()] = np.log2(table.column("n").to_numpy()).astype(np.uint64)
+    for r in counters.repartition(parts, "segment").mapInArrow(_totals, "segment int, steps binary").collect():
+        width = len(rarity) // SEGMENTS
+        rarity[r["segment"] * width:(r["segment"] + 1) * width] = np.frombuffer(r["steps"], np.uint8)
     heavy = (survey.where("heavy is not null").select(F.explode(F.arrays_zip("heavy", "heavy_n")).alias("c")).groupBy("c.heavy").agg(F.sum("c.heavy_n").alias("n"))
              .groupBy(F.shiftright("heavy", 48 - RARITY_BITS).cast("int").alias("bucket")).agg(F.max("n").alias("n")).toArrow())
     salts = np.ones(1 << RARITY_BITS, np.uint16)
     salts[heavy.column("bucket").to_numpy()] = np.clip(-(-heavy.column("n").to_numpy() // BLOCK), 1, 65535)
-    shared = spark.sparkContext.broadcast((rarity, salts))
+    shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
-    prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long")
+    prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, parity long")
     live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(partial(_live, similarity), "key long, sig long, shape long"), "lines-live")
 
-    slot = F.shiftrightunsigned("sig", 64 - FILTER_BITS).cast("int").alias("slot")
-    bitmap = np.zeros(1 << FILTER_BITS, bool)
-    bitmap[live.select(slot).distinct().toArrow().column("slot").to_numpy()] = True
-    wanted = spark.sparkContext.broadcast(np.packbits(bitmap))
-    sets = slim.select("text").mapInArrow(partial(_fetch, wanted, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
-    lines = survey.where("sig is not null").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
+    lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))
     first = written(lines.groupBy("sig").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-first")
-    rows = live.join(sets, "sig").join(first.select("sig", "first"), "sig")
+    wanted = live.select("sig").distinct().join(first, "sig").select("sig", "first")
+    filters = spark.sparkContext.broadcast((_bitmap(wanted.select("first.text_key"), "text_key"), _bitmap(wanted, "sig")))
+    sets = slim.select("text_key", "text").mapInArrow(partial(_fetch, filters, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
+    rows = live.join(sets.join(wanted, "sig"), "sig")
     order = ["key", "first"]
     judged = "key long, sig long, salts long, found boolean"
 
@@ -330,7 +410,7 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
         dealt = df.select("key", "sig", "shape", "tokens", "first", "probe", "answers").repartition(parts, "key").sortWithinPartitions(*order)
         return written(dealt.mapInArrow(partial(_similar, similarity), judged), name)
 
-    rows = written(rows.select("key", "sig", "shape", "tokens", "first"), "lines-rows")
+    rows = rows.select("key", "sig", "shape", "tokens", "first")
     found = judge(rows.withColumn("probe", F.lit(True)).withColumn("answers", F.lit(True)), "lines-found")
     matched = found.where("found").select("sig")
     spread = found.where("salts > 1 and not found").join(matched.distinct(), "sig", "left_anti")
@@ -350,19 +430,24 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
 def _apply(names, batches):
     """The text column without the removed lines; ``n_chars`` follows if there is one."""
     for b in batches:
-        text, gone = b.column("text").to_pylist(), b.column("_removed").to_pylist()
-        lost = [0 if g is None else len(g) for g in gone]
-        for i, g in enumerate(gone):
-            if g:
-                out = set(g)
-                text[i] = "\n".join(x for k, x in enumerate(text[i].split("\n")) if k not in out)
+        text, removed = b.column("text"), b.column("_removed")
+        changed = removed.is_valid()
+        gone = removed.filter(changed).to_pylist()
+        old, new = text.filter(changed).to_pylist(), []
+        for t, g in zip(old, gone, strict=True):
+            out = set(g)
+            new.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in out))
         cols = {n: b.column(n) for n in names}
-        cols["text"] = pa.array(text, pa.string())
+        cols["text"] = pc.replace_with_mask(text, changed, pa.array(new, text.type))
         if "n_chars" in cols:
-            cols["n_chars"] = pa.array([n if not k else len(t) for n, k, t in zip(cols["n_chars"].to_pylist(), lost, text, strict=True)], cols["n_chars"].type)
-        emptied = [bool(k) and not t.strip() for k, t in zip(lost, text, strict=True)]
-        yield pa.RecordBatch.from_arrays([*cols.values(), pa.array([sorted(g) if g else [] for g in gone], pa.list_(pa.int32())), pa.array(emptied)],
-                                         names=[*names, "removed_lines", "emptied"])
+            kind = cols["n_chars"].type
+            cols["n_chars"] = pc.replace_with_mask(cols["n_chars"], changed, pa.array([len(t) for t in new], pa.int64()).cast(kind))
+        emptied = np.zeros(b.num_rows, bool)
+        emptied[changed.to_numpy(zero_copy_only=False)] = [not t.strip() for t in new]
+        sizes = np.zeros(b.num_rows, np.int64)
+        sizes[changed.to_numpy(zero_copy_only=False)] = [len(g) for g in gone]
+        listed = _lists(sizes, np.array([k for g in gone for k in sorted(g)], np.int32))
+        yield pa.RecordBatch.from_arrays([*cols.values(), listed, pa.array(emptied)], names=[*names, "removed_lines", "emptied"])
 
 
 def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
