@@ -52,23 +52,25 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     state = (slim.join(known, ["tree", "up"], "left")
              .select("tree", "node", F.when(F.col("known"), F.col("up")).alias("ptr"), F.col("score").alias("total")))
     state = written(state, "chat-state")
-    levels, open_before = [], None
-    while True:
-        left = state.where(F.col("ptr").isNotNull()).count()
-        if not left or left == open_before:  # unchanged: only nodes above which a cycle runs
+    levels, done, pending = [], state.where("ptr is null"), state.where("ptr is not null")
+    left = pending.count()
+    while left:
+        levels.append(pending.select("tree", "node", "ptr"))
+        # only nodes that have not met their root are joined again
+        far = done.unionByName(pending).select("tree", F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("total").alias("more"))
+        state = written(pending.join(far, ["tree", "ptr"]).select(
+            "tree", "node", F.col("next").alias("ptr"), (F.col("total") + F.col("more")).alias("total")), "chat-state")
+        done, pending = done.unionByName(state.where("ptr is null")), state.where("ptr is not null")
+        before, left = left, pending.count()
+        if left == before:  # only nodes above which a cycle runs
             break
-        open_before = left
-        levels.append(state.select("tree", "node", "ptr"))
-        far = state.select("tree", F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("total").alias("more"))
-        state = written(state.join(far, ["tree", "ptr"], "left").select(
-            "tree", "node", F.col("next").alias("ptr"), (F.col("total") + F.coalesce(F.col("more"), F.lit(0.0))).alias("total")), "chat-state")
     parents = slim.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
-    leaves = state.where(F.col("ptr").isNull()).join(parents, ["tree", "node"], "left_anti")
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("total").desc(), "node"))
     paths = (leaves.withColumn("branch", rank).where(F.col("branch") <= branches)
              .select("tree", F.col("node").alias("path"), "branch", "node", F.lit(0).cast("long").alias("back")))
     for k, level in reversed(list(enumerate(levels))):
-        jump = paths.join(level.where(F.col("ptr").isNotNull()), ["tree", "node"]).select(
+        jump = paths.join(level, ["tree", "node"]).select(
             "tree", "path", "branch", F.col("ptr").alias("node"), (F.col("back") + (1 << k)).alias("back"))
         paths = written(paths.unionByName(jump), "chat-paths")
     return paths
