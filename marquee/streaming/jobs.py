@@ -183,8 +183,12 @@ SEAT_STATE = T.StructType([T.StructField("remaining", T.LongType()),
 
 
 def _seat_state_fn(key, batches, state):
-    from ..operators.flights import _fold_scalar  # the same fold as the batch job
+    from ..operators.flights import NOT_FOUND, _fold_scalar  # the same fold as the batch job
     pdf = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
+    if not state.exists and pd.isna(pdf["cap"].iloc[0]):  # no such flight: answered, nothing kept
+        yield pd.DataFrame({"flight_id": pdf["flight_id"], "seq": pdf["seq"], "booking_id": pdf["booking_id"],
+                            "status": NOT_FOUND, "remaining": pd.array([pd.NA] * len(pdf), dtype="Int64")})
+        return
     if state.exists:
         remaining, ids, act, sts = state.get
         held = {b: [a, s] for b, a, s in zip(ids, act, sts)}
@@ -201,12 +205,13 @@ def _seat_state_fn(key, batches, state):
 def seat_stream(requests: DataFrame, flights: DataFrame) -> DataFrame:
     """F1 over a request stream: keyed state per flight, requests of a
     micro-batch applied in ``seq`` order after those of earlier batches.
-    Flights is a static table (stream-static join)."""
+    Flights is a static table (stream-static left join: requests of unknown
+    flights are answered NOT_FOUND, as in the batch form)."""
     f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
     op = F.col("op") if "op" in requests.columns else F.lit("RESERVE")
     r = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
                         "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
-                        op.alias("op")).join(f, "flight_id")
+                        op.alias("op")).join(f, "flight_id", "left")
     return r.groupBy("flight_id").applyInPandasWithState(
         _seat_state_fn, SEAT_OUT, SEAT_STATE, "append", GroupStateTimeout.NoTimeout)
 

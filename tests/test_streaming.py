@@ -39,7 +39,9 @@ def test_tumbling_stream_closed_windows_equal_batch(spark):
 def test_seat_stream_equals_batch_fold(spark):
     root = scratch_path(spark, "stream-seat")
     req_path = f"{root}/requests"
-    fx.seat_requests(spark, SF0001).write.parquet(req_path)
+    known = fx.seat_requests(spark, SF0001)
+    lost = known.limit(2).withColumn("flight_id", F.lit(10**9).cast(known.schema["flight_id"].dataType))
+    known.unionByName(lost).write.parquet(req_path)
     schema = spark.read.parquet(req_path).schema
     stream = spark.readStream.schema(schema).parquet(req_path)
     flights = fx.flights(spark, SF0001)
