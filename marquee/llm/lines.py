@@ -33,7 +33,7 @@ HEAVY = 32
 BLOCK = 512
 #: Bits of the filter of the classes whose sets are fetched.
 FILTER_BITS = 23
-_RUN = 1 << 22  # tokens per run
+_RUN = 1 << 20  # tokens per run
 _TOKEN = np.uint64(48)
 
 
@@ -204,7 +204,7 @@ def _prefixes(shared, shingle, similarity, batches):
                 parities.append(_parities(bounds, own)[new][which])
                 shapes.append(size[which] << 32 | place << 16)
                 tokens_.append(own[begin[which] + place])
-        if len(seen) > 1 << 20:
+        if len(seen) > 1 << 18:
             seen.clear()
         if not sigs:
             continue
@@ -321,7 +321,7 @@ def _fetch(shared, shingle, batches):
                         seen.add(s)
                         sigs.append(s)
                         sets.append(own[bounds[i]:bounds[i + 1]].astype(np.int64))
-        if len(seen) > 1 << 19:
+        if len(seen) > 1 << 18:
             seen.clear()
         if sigs:
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "tokens"])
@@ -421,7 +421,9 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
         there = rows.where(F.col("shape").bitwiseAND(F.lit(0xFFFF)) > 1).withColumn("probe", F.lit(False)).withColumn("answers", F.lit(True))
         matched = matched.unionByName(judge(asked.unionByName(there), "lines-found2").where("found").select("sig"))
     matched = matched.distinct().withColumn("matched", F.lit(True))
-    judged_classes = first.join(matched, "sig", "left").where("matched or n > 1").select("sig", F.when(F.col("matched").isNull(), F.col("first")).alias("stays"))
+    # written: the join with all lines is then between two plain exchanges, which AQE can split at a very common line
+    judged_classes = written(first.join(matched, "sig", "left").where("matched or n > 1")
+                             .select("sig", F.when(F.col("matched").isNull(), F.col("first")).alias("stays")), "lines-judged")
     gone = lines.join(judged_classes, "sig").where(F.col("stays").isNull() | ~place.eqNullSafe(F.col("stays")))
     removed = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines"))
     return survey, written(removed, "lines-removed")

@@ -30,7 +30,7 @@ CAPACITY = 2048
 #: Rounds of multiplicative weights (accuracy of the linear program; what it leaves is best-fitted).
 ROUNDS = 200
 #: Most cached words per Python worker; a fuller cache starts anew.
-CACHED_CHUNKS, CACHED_WORDS = 300_000, 800_000
+CACHED_CHUNKS, CACHED_WORDS = 150_000, 250_000
 
 
 class _Tokens:
