@@ -3,9 +3,9 @@
 Only the histogram of piece lengths (at most the capacity's number of
 lengths) decides how sequences are filled.  The driver covers it by filling
 patterns: multiplicative weights on the lengths, a knapsack dynamic program
-that prices the best pattern under them, and a rounded number of sequences
-for each priced pattern; what rounding leaves is put by best fit, again on
-the histogram.  The plan, whose size the histogram bounds, then numbers the
+that prices the patterns under them, and a whole number of sequences for each
+pattern taken, until all but a hundredth of the pieces are placed; the last
+ones are put by best fit, again on the histogram.  The plan, whose size the histogram bounds, then numbers the
 pieces inside Spark tasks.
 """
 
@@ -27,8 +27,8 @@ from marquee.llm.common import written
 from marquee.llm.words import flat
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights (accuracy of the linear program; what it leaves is best-fitted).
-ROUNDS = 200
+#: Most rounds of multiplicative weights: none, they end when the program has placed all but this share of the pieces.
+ROUNDS, LEFT_OVER = None, 0.01
 #: Most cached words per Python worker; a fuller cache starts anew.
 CACHED_CHUNKS, CACHED_WORDS = 150_000, 250_000
 
@@ -132,66 +132,107 @@ def _pieces(path, capacity, batches):
             names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank_in_part"])
 
 
-def _best_pattern(value: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The pattern (length -> copies) of the greatest value that fits:
-    unbounded knapsack by dynamic programming over the space used."""
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+def _price(value: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest value that fits each space, and the index of a length that
+    reaches it (-1: the space is left open): unbounded knapsack by dynamic
+    programming over the space used."""
+    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for space in range(1, capacity + 1):
         k = fits[space]
-        best[space], take[space] = best[space - 1], 0
+        best[space] = best[space - 1]
         if k:
             gain = value[:k] + best[space - lengths[:k]]
             top = int(gain.argmax())
             if gain[top] > best[space]:
-                best[space], take[space] = gain[top], lengths[top]
-    pattern: dict[int, int] = {}
-    space = capacity
-    while space > 0:
-        n = int(take[space])
-        if n:
-            pattern[n] = pattern.get(n, 0) + 1
-        space -= n or 1
-    return pattern
-
-
-def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = 20.0, step: float = 0.1) -> list[tuple[dict[int, int], int]]:
+                best[space], take[space] = gain[top], top
+    return best, take
+
+
+def _pattern(seed: int, value: np.ndarray, lengths: np.ndarray, best: np.ndarray, take: np.ndarray, room: np.ndarray, least: float) -> dict[int, int] | None:
+    """The best pattern (index of length -> copies) that holds ``seed``, of at
+    most ``room`` copies each; None if its value is below ``least``."""
+    pattern = {seed: 1}
+    room[seed] -= 1
+    space, total = len(best) - 1 - int(lengths[seed]), value[seed]
+    while space > 0 and total + best[space] >= least:
+        k = int(take[space])
+        if k >= 0 and not room[k]:  # priced without bounds: the best that is there
+            fits = int(np.searchsorted(lengths, space, "right"))
+            gain = np.where(room[:fits] > 0, value[:fits] + best[space - lengths[:fits]], -1.0)
+            k = int(gain.argmax())
+            if gain[k] < 0:
+                break
+        if k >= 0:
+            pattern[k] = pattern.get(k, 0) + 1
+            room[k] -= 1
+            total += value[k]
+        space -= int(lengths[k]) if k >= 0 else 1
+    for k, c in pattern.items():
+        room[k] += c
+    return pattern if total >= least else None
+
+
+def _program(left: dict[int, int], capacity: int, rounds: int | None, rate: float, step: float, near: float, eps: float) -> dict[tuple, int]:
+    """Whole numbers of sequences by pattern; takes their pieces out of ``left``."""
+    solved: dict[tuple, int] = {}
+    at_first, done = dict(left), 0
+    enough = eps * sum(left.values())
+    while left and sum(left.values()) > enough and (rounds is None or done < rounds):
+        done += 1
+        lengths = np.array(sorted(left), np.int64)
+        n, have = (np.array([d[k] for k in lengths.tolist()], np.int64) for d in (at_first, left))
+        share = lengths / capacity
+        covered = 1 - have / n
+        value = share * (1 + 0.05 * share) * np.exp(-rate * (covered - covered.min()))
+        best, take = _price(value, lengths, capacity)
+        room = np.minimum(have, np.maximum(1, (step * n).astype(np.int64)))
+        through = value + best[capacity - lengths]
+        least = 0.0  # the first pattern is taken as it comes
+        for seed in np.argsort(-through, kind="stable").tolist():
+            if through[seed] < least:
+                break
+            pattern = _pattern(seed, value, lengths, best, take, room, least) if room[seed] else None
+            if pattern is None:
+                continue
+            least = (1 - near) * best[capacity]
+            times = min(int(room[k]) // c for k, c in pattern.items())
+            for k, c in pattern.items():
+                room[k] -= c * times
+                have[k] -= c * times
+            key = tuple(sorted((int(lengths[k]), c) for k, c in pattern.items()))
+            solved[key] = solved.get(key, 0) + times
+        left.update(zip(lengths.tolist(), have.tolist(), strict=True))
+        for k in lengths[have == 0].tolist():
+            del left[k]
+    return solved
+
+
+def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = ROUNDS, rate: float = 20.0, step: float = 0.1,
+                  near: float = 0.005, eps: float = LEFT_OVER, figures: dict | None = None) -> list[tuple[dict[int, int], int]]:
     """Patterns with their numbers of sequences, holding exactly ``counts``.
 
     Multiplicative weights: a length's weight falls exponentially with the
     share of its pieces that is covered, so lengths run out together.  Each
-    round's priced pattern takes a ``step`` of its scarcest length.  The
-    fractional numbers are rounded down.  What that leaves goes, longest
-    first, by best fit into the space of the patterns and into new sequences,
-    class of equal sequences by class; the work depends on the histogram alone.
+    round prices all patterns at once and takes, for every length, the best
+    pattern that holds it if that is worth at least 1 - ``near`` of the best
+    one, a ``step`` of its scarcest length (one sequence at least): whole
+    numbers, so what rounding leaves is priced again.  Rounds go on until at
+    most ``eps`` of the pieces are left (or ``rounds`` are done).  Those go,
+    longest first, by best fit into the space of the patterns and into new
+    sequences, class of equal sequences by class; the work depends on the
+    histogram alone.  ``figures`` takes the number of pieces below the
+    capacity (``pieces``) and of those that the program placed (``placed``).
     """
     left = {n: c for n, c in counts.items() if c > 0}
     plan: list[tuple[dict[int, int], int]] = []
     if capacity in left:
         plan.append(({capacity: 1}, left.pop(capacity)))
+    pieces = sum(left.values())
+    plan += [(dict(key), times) for key, times in _program(left, capacity, rounds, rate, step, near, eps).items()]
+    if figures is not None:
+        figures.update(pieces=pieces, placed=pieces - sum(left.values()))
     lengths = np.array(sorted(left), np.int64)
-    n = np.array([left[k] for k in lengths], float)
-    r = n.copy()
-    solved: dict[tuple, float] = {}  # the linear program's value of each pattern
-    for _ in range(rounds):
-        live = np.flatnonzero(r > 1e-6 * n)
-        if not len(live):
-            break
-        share = lengths[live] / capacity
-        covered = 1 - r[live] / n[live]
-        value = share * (1 + 0.05 * share) * np.exp(-rate * (covered - covered.min()))
-        pattern = _best_pattern(value, lengths[live], capacity)
-        at = {k: int(np.searchsorted(lengths, k)) for k in pattern}
-        times = min(min(step * n[at[k]], r[at[k]]) / c for k, c in pattern.items())
-        for k, c in pattern.items():
-            r[at[k]] -= c * times
-        key = tuple(sorted(pattern.items()))
-        solved[key] = solved.get(key, 0.0) + times
-    for key, times in solved.items():  # rounded down: never more than there are
-        if whole := int(times * (1 - 1e-9)):
-            plan.append((dict(key), whole))
-            for k, c in key:
-                left[k] -= c * whole
     # best fit of the rest: classes of equal sequences by free space
     open_by: dict[int, list[tuple[dict[int, int], int]]] = {}
     for pattern, times in plan:
@@ -260,7 +301,7 @@ def _placed(shared, batches):
         yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(sequence), pa.array(offset)], names=[*keep, "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, rounds: int | None = ROUNDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset.
 

@@ -83,3 +83,19 @@ def test_plan_beats_greedy_where_patterns_matter():
     rnd = random.Random(2)
     counts = {k: rnd.choice([0, 1, 3, 50, 4000]) for k in range(1, 101) if rnd.random() < 0.5}
     assert sum(t for _, t in plan_patterns(counts, 100, 300)) < sum(t for _, t in plan_patterns(counts, 100, 0))
+
+
+def test_program_places_a_wide_histogram():
+    rnd = random.Random(3)
+    counts = {k: rnd.randint(1, 12) for k in range(1, 513)}
+    figures = {}
+    plan = plan_patterns(counts, 512, figures=figures)
+    held = {}
+    for pattern, times in plan:
+        assert times > 0 and sum(k * c for k, c in pattern.items()) <= 512
+        for k, c in pattern.items():
+            held[k] = held.get(k, 0) + c * times
+    assert held == counts
+    assert figures["pieces"] == sum(counts.values()) - counts[512]
+    assert figures["placed"] >= 0.99 * figures["pieces"]
+    assert sum(t for _, t in plan) <= 1.015 * sum(t for _, t in plan_patterns(counts, 512, 0))
