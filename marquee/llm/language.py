@@ -54,7 +54,8 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 
 def _grams(data: np.ndarray, offsets: np.ndarray):
     """Hashed n-gram buckets and their rows' offsets: each byte position
-    gives one bucket per size, so a row of b bytes has len(SIZES) * b."""
+    gives one bucket per size, so a row of b bytes has len(SIZES) * b.  Grams
+    that reach beyond their own row's end are filled up with spaces."""
     low = _LOW[data].astype(np.uint32)
     n, out = len(low), np.empty((len(data), len(SIZES)), np.uint16)
     code = np.zeros(n, np.uint32)
@@ -62,6 +63,9 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
         shifted = np.full(n, 32, np.uint32)
         if size <= n:
             shifted[:n - size + 1] = low[size - 1:]
+        for back in range(1, size):  # places whose gram ends beyond the row
+            last = offsets[1:] - back
+            shifted[last[last >= offsets[:-1]]] = 32
         code = code << np.uint32(8) | shifted
         out[:, k] = (((code + np.uint32(size << 24)) * np.uint32(0x9E3779B1)) >> np.uint32(19)).astype(np.uint16)
     return out
@@ -73,7 +77,7 @@ def _features(batches):
         data, offs = flat(b.column("text"))
         idx, val = [], []
         for i in range(b.num_rows):
-            g = _grams(data[offs[i]:offs[i + 1]], np.zeros(1)).ravel()
+            g = _grams(data[offs[i]:offs[i + 1]], np.array([0, offs[i + 1] - offs[i]])).ravel()
             u, c = np.unique(g, return_counts=True)
             idx.append(u.astype("<u2").tobytes())
             val.append((c / max(1, len(g))).astype("<f4").tobytes())

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from llm_cases import SF001, llm_spark, make_docs, odd_rows  # noqa: F401
 from marquee.llm import language
@@ -61,3 +62,22 @@ def test_codewords_are_far_apart_and_decode_through_a_wrong_bit():
                 assert language.decode(4 * flipped[None], code)[0][0] == i
     best, second, p = language.decode(np.zeros((1, 7)), language.codewords(4))
     assert best[0] == 0 and second[0] == 1 and abs(p[0] - 0.25) < 1e-9  # a tie goes to the first, with no confidence
+
+
+def test_a_text_scores_the_same_between_any_neighbours():
+    rng = np.random.default_rng(4)
+    model = {"languages": ["a", "b", "c"], "code": language.codewords(3), "bias": np.zeros(3, np.float32),
+             "weights": rng.normal(size=(language.BUCKETS, 3)).astype(np.float32)}
+    predict = language._predictor(model, 0.5)
+
+    def scored(texts):
+        row = pa.StructArray.from_arrays([pa.array(texts, pa.string())], names=["text"])
+        [out] = predict([pa.RecordBatch.from_arrays([row], names=["row"])])
+        return [(r["lang_pred"], round(r["score"], 12), r["runner_up"], r["ambiguous"]) for r in out.to_pylist()]
+
+    texts = ["a", "ab", "abc", "wort", "Ω", "two words"]
+    alone = [scored([t])[0] for t in texts]
+    for neighbour in ("zzz", "q", "", None, "Éa"):
+        got = scored([x for t in texts for x in (t, neighbour)])[::2]
+        assert got == alone, neighbour
+    assert scored(texts) == alone and scored(texts[::-1]) == alone[::-1]
