@@ -7,7 +7,9 @@ every shard's graph, and the shards' bests are merged.
 
 Inner product becomes distance by one more component, sqrt(M^2 - |x|^2) with M
 the largest norm: all nodes then have length M and the largest inner product
-is the smallest distance.
+is the smallest distance.  Distances are taken in double precision as that of
+the vectors and that of the extra components, so that one long vector does not
+cancel those between short ones.
 """
 
 from __future__ import annotations
@@ -26,9 +28,22 @@ SHARD_ROWS, MIN_SHARDS = 32768, 8
 QUERY_BLOCK = 16384
 
 
-def beam_search(nodes: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam: int, starts: np.ndarray, n: int, width: int = 4):
+def _apart(dot, x2, y2, ex, ey):
+    """Squared distances of lifted vectors by inner products, squared lengths
+    and extra components; ex - ey is (y2 - x2) / (ex + ey)."""
+    both = ex + ey
+    extra = np.divide(y2 - x2, both, out=np.zeros(np.broadcast(x2, y2).shape), where=both > 0)
+    return np.maximum(x2 + y2 - 2 * dot, 0) + extra * extra
+
+
+def beam_search(nodes: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam: int, starts: np.ndarray, n: int, width: int = 4, lifted: bool = False):
     """The ``beam`` best nodes found per query and their scores, best first
-    (-1: none).  Each step expands the ``width`` best unexpanded nodes."""
+    (-1: none).  Each step expands the ``width`` best unexpanded nodes.  Scores
+    are inner products, or with ``lifted`` (the last component is the extra
+    one) negative squared distances."""
+    if lifted:
+        (nodes, n_extra), (queries, q_extra) = ((v[:, :-1], v[:, -1]) for v in (nodes, queries))
+        n_square, q_square = (np.einsum("ij,ij->i", v, v) for v in (nodes, queries))
     q = len(queries)
     seen = np.zeros((q, n + 1), bool)
     seen[:, n] = True  # the padding node
@@ -38,6 +53,8 @@ def beam_search(nodes: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam:
     open_ = np.zeros((q, beam), bool)
     m = min(beam, len(starts))
     first = queries @ nodes[starts].T
+    if lifted:
+        first = -_apart(first, n_square[starts], q_square[:, None], n_extra[starts], q_extra[:, None])
     top = np.argsort(-first, axis=1)[:, :m]
     ids[:, :m], score[:, :m], open_[:, :m] = starts[top], np.take_along_axis(first, top, 1), True
     live = np.arange(q)
@@ -62,7 +79,9 @@ def beam_search(nodes: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam:
         got = np.full(near.shape, -np.inf, np.float32)
         for a in range(0, len(r), 1 << 15):  # bounds the gathered vectors
             rr, cc = r[a:a + (1 << 15)], c[a:a + (1 << 15)]
-            got[rr, cc] = np.einsum("ij,ij->i", nodes[near[rr, cc]], queries[live[rr]])
+            to, own = near[rr, cc], live[rr]
+            dot = np.einsum("ij,ij->i", nodes[to], queries[own])
+            got[rr, cc] = -_apart(dot, n_square[to], q_square[own], n_extra[to], q_extra[own]) if lifted else dot
         all_ids = np.concatenate([ids[live], near], 1)
         all_score = np.concatenate([score[live], got], 1)
         all_open = np.concatenate([open_[live], near < n], 1)
@@ -82,13 +101,15 @@ def robust_prune(nodes: np.ndarray, at: np.ndarray, cand: np.ndarray, n: int, de
         p, c = at[a:a + step], np.sort(cand[a:a + step], axis=1)
         c[:, 1:][c[:, 1:] == c[:, :-1]] = n
         c[c == p[:, None]] = n
-        x = nodes[c]
-        base = 2 * np.einsum("ij,ij->i", nodes[p], nodes[p])[:, None]
-        dist = np.maximum(base - 2 * np.einsum("ijk,ik->ij", x, nodes[p]), 0)
+        x, own = nodes[c].astype(np.float64), nodes[p].astype(np.float64)
+        x, extra, own, own_extra = x[:, :, :-1], x[:, :, -1], own[:, :-1], own[:, -1:]
+        square, own_square = np.einsum("ijk,ijk->ij", x, x), np.einsum("ij,ij->i", own, own)[:, None]
+        dist = _apart(np.einsum("ijk,ik->ij", x, own), square, own_square, extra, own_extra)
         dist[c == n] = np.inf
         order = np.argsort(dist, axis=1, kind="stable")
-        c, dist, x = np.take_along_axis(c, order, 1), np.take_along_axis(dist, order, 1), np.take_along_axis(x, order[:, :, None], 1)
-        between = np.maximum(base[:, :, None] - 2 * (x @ x.transpose(0, 2, 1)), 0)
+        c, dist, square, extra = (np.take_along_axis(v, order, 1) for v in (c, dist, square, extra))
+        x = np.take_along_axis(x, order[:, :, None], 1)
+        between = _apart(x @ x.transpose(0, 2, 1), square[:, :, None], square[:, None], extra[:, :, None], extra[:, None])
         alive, row = np.isfinite(dist), np.arange(len(p))
         for k in range(degree):
             best = alive.argmax(1)
@@ -102,10 +123,12 @@ def robust_prune(nodes: np.ndarray, at: np.ndarray, cand: np.ndarray, n: int, de
 
 
 def build_graph(vectors: np.ndarray, largest: float, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX, seed: int = 1):
-    """(nodes with the extra component and a padding row, graph, starts)."""
+    """(nodes with the extra component and a padding row, graph, starts).
+    The longest nodes are starts too: far from all others, few edges lead there."""
     n = len(vectors)
-    extra = np.sqrt(np.maximum(largest ** 2 - np.einsum("ij,ij->i", vectors, vectors), 0))
-    nodes = np.zeros((n + 1, vectors.shape[1] + 1), np.float32)
+    square = np.einsum("ij,ij->i", vectors, vectors)
+    extra = np.sqrt(np.maximum(largest ** 2 - square, 0))
+    nodes = np.zeros((n + 1, vectors.shape[1] + 1))
     nodes[:n, :-1], nodes[:n, -1] = vectors, extra
     graph = np.full((n + 1, degree), n, np.int64)
     order = np.random.default_rng(seed).permutation(n)
@@ -115,7 +138,7 @@ def build_graph(vectors: np.ndarray, largest: float, degree: int = DEGREE, beam:
     done = len(first)
     while done < n:
         batch = order[done:done + min(done, 1024)]
-        cand, _ = beam_search(nodes, graph, nodes[batch], beam, starts, n)
+        cand, _ = beam_search(nodes, graph, nodes[batch], beam, starts, n, lifted=True)
         cand[cand < 0] = n
         graph[batch] = robust_prune(nodes, batch, cand, n, degree, relax)
         # the reverse edges, pruned anew where a list overflows
@@ -139,7 +162,7 @@ def build_graph(vectors: np.ndarray, largest: float, degree: int = DEGREE, beam:
                     new[i, :count[g]] = source[at[g]:at[g] + count[g]]
                 graph[uniq[group]] = robust_prune(nodes, uniq[group], np.concatenate([graph[uniq[group]], new], 1), n, degree, relax)
         done += len(batch)
-    return nodes, graph, starts
+    return nodes, graph, np.union1d(starts, np.argsort(-square, kind="stable")[:8])
 
 
 def _matrix(column) -> np.ndarray:
@@ -150,7 +173,7 @@ def _matrix(column) -> np.ndarray:
 def _index(largest, degree, beam, relax, group: pa.Table) -> pa.Table:
     """One shard's nodes with their out-neighbours; starts come first."""
     group = group.sort_by([("first", "ascending")])
-    nodes, graph, starts = build_graph(_matrix(group.column("vec")).astype(np.float32), largest, degree, beam, relax)
+    nodes, graph, starts = build_graph(_matrix(group.column("vec")).astype(np.float64), largest, degree, beam, relax)
     n = len(group)
     is_start = np.zeros(n, bool)
     is_start[starts] = True

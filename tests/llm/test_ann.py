@@ -44,6 +44,18 @@ def test_recall_with_uneven_norms(llm_spark):
         assert abs(r.score - float(np.dot(np.array(vec[r.query_id], np.float64), np.array(vec[r.vec_id], np.float64)))) < 1e-12
 
 
+def test_recall_with_a_few_long_vectors(llm_spark):
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(8000, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[[11, 222, 3333, 4004, 7777]] *= 1e4
+    rows = [(i, v[i].astype(np.float32).tolist()) for i in range(8000)]
+    got = ann.nearest(_frame(llm_spark, rows), 40, 20).collect()
+    want = _brute(rows, 40, 20)
+    assert len(got) == 20 * len(want)
+    assert _recall(got, want, 20) >= 0.95
+
+
 def test_copies_ties_and_unusable_vectors(llm_spark):
     rng = np.random.default_rng(6)
     same = rng.normal(size=16).astype(np.float32).tolist()
