@@ -1,19 +1,16 @@
 """Ordered running aggregates per key that stay parallel when one key is hot.
 
 ``Window.partitionBy(key).orderBy(...)`` puts every row of a key into one
-task.  Here the rows are range-partitioned on (key, order) instead, so the
-sampler splits a hot key into many ordered chunks by its order columns.
-Each chunk computes its running value locally; a per-(chunk, key) total
-(one row per chunk, so at most ``n`` rows for the hottest key) gives the
-carry-in from the chunks before it, which is joined back on (chunk, key).
-
-The range shuffle uses an explicit partition count, so AQE never coalesces
-it.  The chunked frame is written once with a reliable ``checkpoint()`` into
-the shared folder and both branches read it, so ``spark_partition_id()``
-names the same chunk in each: two separately planned range exchanges need
-not pick the same bounds, and a lost executor changes nothing.  Nothing stays
-cached; the files go once unreferenced (``cleanCheckpoints``).  The order
-columns must be unique within a key.
+task.  That is the cheapest plan, one exchange, while keys are small, so keys
+of at most ``HOT_ROWS`` rows (a count with partial aggregates tells) take it.
+The rows of hotter keys are range-partitioned on (key, order) instead, so the
+sampler splits a hot key into many ordered chunks by its order columns.  Each
+chunk computes its running value locally; a per-(chunk, key) total (one row
+per chunk) gives the carry-in from the chunks before it, which is joined back
+on (chunk, key).  The chunked rows are written once into the shared folder, so
+every branch sees the same chunk ids (two separately planned range exchanges
+need not pick the same bounds) and a lost executor changes nothing; nothing
+stays cached.  The order columns must be unique within a key.
 """
 
 from __future__ import annotations
@@ -21,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+#: Rows of one key that a single task may sort.
+HOT_ROWS = 1 << 20
 
 
 def _combine(how: str, carry: Column, local: Column) -> Column:
@@ -40,43 +39,51 @@ def default_chunks(df: DataFrame) -> int:
 
 
 def keyed_running(df: DataFrame, key: list[str], order: list[str], value: Column | str, how: str,
-                  out: str, inclusive: bool = True, chunks: int | None = None) -> DataFrame:
+                  out: str, inclusive: bool = True, chunks: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` plus ``out`` = ``how``(value) over the rows of the same key up
     to the current row (``inclusive``) or strictly before it."""
-    return keyed_running_many(df, key, order, [(out, value, how)], inclusive, chunks)
+    return keyed_running_many(df, key, order, [(out, value, how)], inclusive, chunks, hot_rows)
 
 
 def keyed_running_many(df: DataFrame, key: list[str], order: list[str],
                        specs: list[tuple[str, Column | str, str]], inclusive: bool = True,
-                       chunks: int | None = None) -> DataFrame:
-    """Several running aggregates ``(out, value, how)`` over one range shuffle."""
+                       chunks: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Several running aggregates ``(out, value, how)`` over one exchange.
+    With ``chunks`` every key is cut into that many ranges."""
     for _, _, how in specs:
         if how not in _AGG:
             raise ValueError(f"unsupported running aggregate {how!r}")
-    n = chunks or default_chunks(df)
-    ensure_checkpoint_dir(df.sparkSession)
+    frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     r = df
     for i, (_, value, _) in enumerate(specs):
         r = r.withColumn(f"_v{i}", F.col(value) if isinstance(value, str) else value)
-    r = (r.repartitionByRange(n, *[F.col(c) for c in key + order])
-         .withColumn("_pid", F.spark_partition_id())
-         .checkpoint(eager=True))
-    frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    if chunks:
+        out = _chunk_running(r, key, order, specs, frame, chunks)
+    else:
+        hot = written(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n"), "scan-hot")
+        w = Window.partitionBy(*key).orderBy(*order).rowsBetween(*frame)
+        plain = lambda d: d.withColumns({o: _AGG[how](f"_v{i}").over(w) for i, (o, _, how) in enumerate(specs)})
+        if hot.limit(1).count() == 0:
+            out = plain(r)
+        else:
+            mark = hot.select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(key)])
+            same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(key)]
+            out = plain(r.join(mark, same, "left_anti")).unionByName(
+                _chunk_running(r.join(mark, same, "left_semi"), key, order, specs, frame, default_chunks(df)))
+    return out.drop(*[f"_v{i}" for i in range(len(specs))])
+
+
+def _chunk_running(r: DataFrame, key: list[str], order: list[str], specs: list, frame: tuple, n: int) -> DataFrame:
+    r = written(r.repartitionByRange(n, *[F.col(c) for c in key + order]).withColumn("_pid", F.spark_partition_id()), "scan-chunks")
     local_w = Window.partitionBy("_pid", *key).orderBy(*order).rowsBetween(*frame)
     carry_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    local = r
-    for i, (_, _, how) in enumerate(specs):
-        local = local.withColumn(f"_l{i}", _AGG[how](f"_v{i}").over(local_w))
+    local = r.withColumns({f"_l{i}": _AGG[how](f"_v{i}").over(local_w) for i, (_, _, how) in enumerate(specs)})
     totals = r.groupBy("_pid", *key).agg(*[_AGG[how](f"_v{i}").alias(f"_t{i}") for i, (_, _, how) in enumerate(specs)])
-    carry = totals
-    for i, (_, _, how) in enumerate(specs):
-        carry = carry.withColumn(f"_c{i}", _AGG[how](f"_t{i}").over(carry_w))
-    carry = carry.select("_pid", *key, *[f"_c{i}" for i in range(len(specs))])
-    joined = local.join(carry, ["_pid", *key])
-    for i, (out, _, how) in enumerate(specs):
-        joined = joined.withColumn(out, _combine(how, F.col(f"_c{i}"), F.col(f"_l{i}")))
-    drop = ["_pid"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("v", "l", "c")]
-    return joined.drop(*drop)
+    carry = totals.select(F.col("_pid").alias("_cp"), *[F.col(k).alias(f"_k{j}") for j, k in enumerate(key)],
+                          *[_AGG[how](f"_t{i}").over(carry_w).alias(f"_c{i}") for i, (_, _, how) in enumerate(specs)])
+    joined = local.join(carry, [F.col("_pid") == F.col("_cp"), *[F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(key)]])
+    joined = joined.withColumns({o: _combine(how, F.col(f"_c{i}"), F.col(f"_l{i}")) for i, (o, _, how) in enumerate(specs)})
+    return joined.drop("_pid", "_cp", *[f"_k{j}" for j in range(len(key))], *[f"_{p}{i}" for i in range(len(specs)) for p in ("l", "c")])
 
 
 def chunked(df: DataFrame, key: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
@@ -100,4 +107,4 @@ def global_position(df: DataFrame, order: list[str], out: str = "pos", chunks: i
     """1-based position in ``order`` over the whole frame, without a
     single-partition window: per-chunk counts give each chunk its offset."""
     keyed = df.withColumn("_all", F.lit(0))
-    return keyed_position(keyed, ["_all"], order, out, chunks).drop("_all")
+    return keyed_position(keyed, ["_all"], order, out, chunks or default_chunks(df)).drop("_all")

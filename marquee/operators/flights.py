@@ -1,42 +1,15 @@
-"""Flight search, bookings and the seat ledger.
-
-P4 search, P6 a user's bookings, J8 booking price, F1 the seat fold over a
-request stream, F3 seat reconciliation, F4 booking lifecycle audit, F5 the
-provider failure window.
-
-F1 is an order-dependent fold per flight (a rejected request must not
-consume seats, so a running sum is wrong).  It runs over ordered chunks of
-the request table so that a hot flight is split across tasks:
-
-1. requests are range-partitioned on (flight_id, seq) into chunks;
-2. per chunk, every flight that starts in the chunk is folded directly from
-   its seat count; the chunk's first flight may have begun in an earlier
-   chunk, so for it the chunk records a transfer table ``T[r0] = r_end``
-   for every possible start ``r0`` in 0..seats (numpy, vectorised);
-3. per flight, the tables of its chunks are composed in chunk order (at
-   most one summary row per chunk), giving each chunk's start value;
-4. each chunk is folded again with its known start values.
-
-Same-booking repeats inside a flight return the existing reservation.  A
-repeat whose earlier occurrence sits in an earlier chunk is not visible to
-the chunk fold; ``seat_fold`` detects such a repeat that was accepted, marks
-the earliest one per flight as a no-op and folds again (each round fixes at
-least one per flight; the result equals the sequential fold).
+"""Flight search and bookings: P4 search, P6 a user's bookings, J8 booking
+price, F4 booking lifecycle audit, F5 the provider failure window.  The seat
+ledger (F1-F3) is ``operators.seats``.
 """
 
 from __future__ import annotations
 
-import itertools
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.scan import chunked, keyed_running_many
+from ..functions.scan import keyed_running_many
 
-ACTIVE, EXHAUSTED, EXISTING, NOT_FOUND = "ACTIVE", "RESOURCE_EXHAUSTED", "EXISTING", "NOT_FOUND"
 # Call outcomes that count as success for the failure window.
 SUCCESS_CODES = ["OK", "NOT_FOUND", "RESOURCE_EXHAUSTED", "INVALID_ARGUMENT"]
 
@@ -63,312 +36,6 @@ def booking_pricing(bookings: DataFrame, flights: DataFrame) -> DataFrame:
                     (F.col("seat_count") * F.col("price")).cast("decimal(12,2)").alias("total_price"))
 
 
-# ------------------------------------------------------------ seat fold
-
-_FOLD_IN = ["_pid", "flight_id", "seq", "booking_id", "seats", "op", "cap", "skip", "free"]
-_SUMMARY = T.StructType([
-    T.StructField("_pid", T.IntegerType()), T.StructField("flight_id", T.LongType()),
-    T.StructField("kind", T.StringType()), T.StructField("end_value", T.LongType()),
-    T.StructField("table", T.ArrayType(T.LongType())), T.StructField("cap", T.LongType()),
-])
-_STARTS = T.StructType([
-    T.StructField("_pid", T.IntegerType()), T.StructField("flight_id", T.LongType()),
-    T.StructField("start", T.LongType()),
-])
-_RESULT = T.StructType([
-    T.StructField("flight_id", T.LongType()), T.StructField("seq", T.LongType()),
-    T.StructField("booking_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("remaining", T.LongType()), T.StructField("op", T.StringType()),
-    T.StructField("seats", T.LongType()),
-])
-RESERVE, RELEASE, RELEASED = "RESERVE", "RELEASE", "RELEASED"
-
-
-def _is_set(x) -> bool:
-    return x is not None and not (isinstance(x, float) and np.isnan(x)) and x is not pd.NA
-
-
-def _fold_scalar(seats, bookings, skip, start, ops=None, forced=None, held=None):
-    """Sequential fold from one start value: statuses and remaining after.
-
-    RESERVE: a booking that already has a reservation (any status) returns
-    EXISTING; else ACTIVE when the seats are there, else RESOURCE_EXHAUSTED.
-    RELEASE: an ACTIVE reservation gives its seats back (RELEASED), anything
-    else is NOT_FOUND.  ``skip`` marks reserves known to be repeats and
-    ``forced`` the seats a release frees whose reservation is outside this
-    input (both set by ``seat_fold``'s fixpoint).  ``held`` (booking ->
-    [active, seats]) is updated in place, so keyed state can carry it."""
-    r = int(start)
-    held = {} if held is None else held
-    status, rem = [], []
-    for i, (s, b) in enumerate(zip(seats, bookings)):
-        op = RESERVE if ops is None else ops[i]
-        if forced is not None and _is_set(forced[i]):
-            r += int(forced[i])
-            if b in held:
-                held[b][0] = False
-            status.append(RELEASED)
-        elif op == RELEASE:
-            h = held.get(b)
-            if h is not None and h[0]:
-                r += h[1]
-                h[0] = False
-                status.append(RELEASED)
-            else:
-                status.append(NOT_FOUND)
-        elif skip[i] or b in held:
-            status.append(EXISTING)
-        elif r >= s:
-            r -= int(s)
-            held[b] = [True, int(s)]
-            status.append(ACTIVE)
-        else:
-            status.append(EXHAUSTED)
-        rem.append(r)
-    return status, rem, r
-
-
-def _fold_table(seats, bookings, skip, cap, ops=None, forced=None):
-    """End value for every start 0..cap (one vector step per request)."""
-    r = np.arange(cap + 1, dtype=np.int64)
-    exists: dict = {}
-    active: dict = {}
-    booked: dict = {}
-    for i, (s, b) in enumerate(zip(seats, bookings)):
-        op = RESERVE if ops is None else ops[i]
-        if forced is not None and _is_set(forced[i]):
-            r = r + int(forced[i])
-            if b in active:
-                active[b] = np.zeros_like(active[b])
-            continue
-        if op == RELEASE:
-            if b in active:
-                can = active[b]
-                r = np.where(can, r + booked[b], r)
-                active[b] = active[b] & ~can
-            continue
-        if skip[i]:
-            continue
-        can = r >= s
-        if b in exists:
-            can &= ~exists[b]
-            exists[b] = exists[b] | can
-            active[b] = active[b] | can
-            booked[b] = np.where(can, s, booked[b])
-        else:
-            exists[b], active[b] = can.copy(), can.copy()
-            booked[b] = np.where(can, s, 0)
-        r = np.where(can, r - s, r)
-    return r
-
-
-def _partition_frame(batches):
-    parts = [b for b in batches]
-    return pd.concat(parts, ignore_index=True) if parts else None
-
-
-def _cols(g):
-    return (g["seats"].to_numpy(), g["booking_id"].to_numpy(), g["skip"].to_numpy(), g["op"].to_numpy(),
-            g["free"].to_numpy(dtype=object))
-
-
-def _chunk_summary(batches):
-    pdf = _partition_frame(batches)
-    if pdf is None or pdf.empty:
-        return
-    pdf = pdf.sort_values(["flight_id", "seq"], kind="stable")
-    pid = int(pdf["_pid"].iloc[0])
-    first, last = pdf["flight_id"].iloc[0], pdf["flight_id"].iloc[-1]
-    out = []
-    # only the first flight can come from an earlier chunk, only the last
-    # one can go on into a later chunk
-    for fid in {first, last}:
-        g = pdf[pdf["flight_id"] == fid]
-        seats, books, skip, ops, free = _cols(g)
-        cap = int(g["cap"].iloc[0])
-        if fid == first:
-            table = _fold_table(seats, books, skip, cap, ops, free)
-            out.append((pid, int(fid), "table", None, table.tolist(), cap))
-        else:
-            _, _, end = _fold_scalar(seats, books, skip, cap, ops, free)
-            out.append((pid, int(fid), "end", end, None, cap))
-    yield pd.DataFrame(out, columns=["_pid", "flight_id", "kind", "end_value", "table", "cap"])
-
-
-def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per flight: walk its chunk summaries in chunk order."""
-    pdf = pdf.sort_values("_pid")
-    state, cap = None, int(pdf["cap"].iloc[0])
-    out = []
-    for _, row in pdf.iterrows():
-        if row["kind"] == "end":           # the flight starts in this chunk
-            state = int(row["end_value"])
-        else:                             # first flight of the chunk
-            start = cap if state is None else state
-            out.append((int(row["_pid"]), int(row["flight_id"]), start))
-            # releases can lift the count above the table's range
-            table = row["table"]
-            state = int(table[min(start, len(table) - 1)]) + max(0, start - (len(table) - 1))
-    return pd.DataFrame(out, columns=["_pid", "flight_id", "start"])
-
-
-def _chunk_fold(batches):
-    pdf = _partition_frame(batches)
-    if pdf is None or pdf.empty:
-        return
-    pdf = pdf.sort_values(["flight_id", "seq"], kind="stable").reset_index(drop=True)
-    fids = pdf["flight_id"].to_numpy()
-    # group boundaries of the sorted flight ids
-    cuts = np.flatnonzero(np.r_[True, fids[1:] != fids[:-1], True])
-    seats, books, skip, ops, free = _cols(pdf)
-    starts, caps = pdf["start"].to_numpy(dtype=object), pdf["cap"].to_numpy()
-    status, rem = [], []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        st = starts[a]
-        st = int(caps[a]) if not _is_set(st) else int(st)
-        s_, r_, _ = _fold_scalar(seats[a:b], books[a:b], skip[a:b], st, ops[a:b], free[a:b])
-        status.extend(s_)
-        rem.extend(r_)
-    yield pd.DataFrame({"flight_id": fids, "seq": pdf["seq"].to_numpy(), "booking_id": books, "status": status,
-                        "remaining": np.asarray(rem, dtype=np.int64), "op": ops, "seats": seats})
-
-
-def _fold_once(req: DataFrame, chunks: int | None):
-    ch = chunked(req, ["flight_id"], ["seq"], chunks).select(*_FOLD_IN)
-    summary = ch.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_summary, _SUMMARY)
-    starts = summary.groupBy("flight_id").applyInPandas(_compose, _STARTS)
-    # one start row per chunk at most: a bounded broadcast that keeps the
-    # chunk partitioning of ``ch`` (broadcast joins do not shuffle the big side)
-    firsts = F.broadcast(starts)
-    with_start = ch.join(firsts, ["_pid", "flight_id"], "left")
-    return with_start.sortWithinPartitions("flight_id", "seq").mapInPandas(_chunk_fold, _RESULT), ch
-
-
-def _annotate(r: DataFrame, fixes: DataFrame | None) -> DataFrame:
-    """Each fold row (it carries its op and seats) with its booking's first
-    accepted reserve (``ok``: seq, seats) and first release (``rel``), and
-    its fix if any."""
-    per_booking = r.groupBy("flight_id", "booking_id").agg(
-        F.min(F.when((F.col("op") == RESERVE) & (F.col("status") == ACTIVE), F.struct("seq", "seats"))).alias("ok"),
-        F.min(F.when(F.col("status") == RELEASED, F.col("seq"))).alias("rel"))
-    j = r.join(per_booking, ["flight_id", "booking_id"], "left")
-    if fixes is not None:
-        return j.join(fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), F.col("free").alias("fix_free")),
-                      ["flight_id", "seq"], "left")
-    return j.withColumn("fixed", F.lit(None).cast("boolean")).withColumn("fix_free", F.lit(None).cast("long"))
-
-
-def _reserved_before() -> Column:
-    return F.coalesce(F.col("ok.seq") < F.col("seq"), F.lit(False))
-
-
-def _inconsistencies(j: DataFrame) -> DataFrame:
-    """Rows where a chunk fold disagrees with the sequential rule because
-    the state it needed sat in an earlier chunk, as fix rows
-    (flight_id, seq, free, action):
-
-    * a reserve accepted although the booking already had a reservation
-      -> add a skip (``free`` null);
-    * a release answered NOT_FOUND although the booking's reservation was
-      still ACTIVE -> add a forced release of its seats;
-    * a fix the current run no longer supports -> drop it.
-
-    A run without any of them equals the sequential fold (by induction
-    over seq, every row then follows the rule from the rows before it)."""
-    reserved_before = _reserved_before()
-    active_before = reserved_before & (F.col("rel").isNull() | (F.col("rel") >= F.col("seq")))
-    fixed = F.coalesce(F.col("fixed"), F.lit(False))
-    add_skip = ~fixed & (F.col("op") == RESERVE) & (F.col("status") == ACTIVE) & reserved_before
-    add_free = (~fixed & (F.col("op") == RELEASE) & (F.col("status") == NOT_FOUND) & active_before
-                & (F.col("rel").isNull() | (F.col("rel") > F.col("seq"))))
-    drop_skip = fixed & F.col("fix_free").isNull() & ~reserved_before
-    stale_free = fixed & F.col("fix_free").isNotNull() & (~active_before | (F.col("fix_free") != F.col("ok.seats")))
-    action = (F.when(add_skip, "add").when(add_free, "add").when(drop_skip, "drop").when(stale_free, "redo"))
-    free = F.when(add_free | stale_free, F.col("ok.seats"))
-    return (j.withColumn("action", action).where(F.col("action").isNotNull())
-            .select("flight_id", "seq", F.when(F.col("action") == "redo", F.when(active_before, free))
-                    .otherwise(free).alias("free"), "action"))
-
-
-def _apply_fixes(fixes: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """Fix set after ``changes``: 'add' inserts, 'drop' removes, 'redo'
-    replaces (or removes when ``free`` is null)."""
-    changes = changes.select("flight_id", "seq", "free", "action")
-    keep_new = changes.where((F.col("action") == "add")
-                             | ((F.col("action") == "redo") & F.col("free").isNotNull())).select("flight_id", "seq",
-                                                                                                 "free")
-    if fixes is None:
-        return keep_new
-    untouched = fixes.join(changes.select("flight_id", "seq"), ["flight_id", "seq"], "left_anti")
-    return untouched.unionByName(keep_new)
-
-
-def seat_fold(requests: DataFrame, flights: DataFrame, chunks: int | None = None,
-              bulk_rounds: int = 8) -> DataFrame:
-    """(flight_id, seq, booking_id, status, remaining) per request.
-
-    ``requests`` has flight_id, seq (arrival order per flight), booking_id,
-    seats and optionally ``op`` (RESERVE, RELEASE; a release carries the
-    flight of its booking's reservation, F2).  The start capacity is the
-    flight's available_seats; unknown flights give NOT_FOUND.
-
-    Cross-chunk state is settled by a fixpoint over fix rows: the first
-    ``bulk_rounds`` apply every inconsistency at once (usually enough);
-    later rounds apply only the earliest per flight, which is always a
-    correct fix, so each round makes progress and the loop runs until
-    nothing is left to settle."""
-    f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
-    op = F.col("op") if "op" in requests.columns else F.lit(RESERVE)
-    base = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
-                           "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
-                           op.alias("op"))
-    # one checkpointed pass: requests with their flight's capacity (null cap
-    # = unknown flight)
-    all_req = base.join(f, "flight_id", "left").checkpoint(eager=True)
-    missing = (all_req.where(F.col("cap").isNull())
-               .select("flight_id", "seq", "booking_id", F.lit(NOT_FOUND).alias("status"),
-                       F.lit(None).cast("long").alias("remaining")))
-    known = all_req.where(F.col("cap").isNotNull())
-    fixes = None
-    result = None
-    for rnd in itertools.count():
-        if fixes is None:
-            req = known.withColumn("skip", F.lit(False)).withColumn("free", F.lit(None).cast("long"))
-        else:
-            fx_ = fixes.select("flight_id", "seq", F.lit(True).alias("fixed"), "free")
-            req = (known.join(fx_, ["flight_id", "seq"], "left")
-                   .withColumn("skip", F.coalesce(F.col("fixed") & F.col("free").isNull(), F.lit(False)))
-                   .drop("fixed"))
-        folded, ch = _fold_once(req, chunks)
-        result = folded.checkpoint(eager=True)
-        annotated = _annotate(result, fixes).checkpoint(eager=True)
-        bad = _inconsistencies(annotated).checkpoint(eager=True)
-        if bad.limit(1).count() == 0:
-            break
-        if rnd >= bulk_rounds:
-            first = bad.groupBy("flight_id").agg(F.min(F.struct("seq", "free", "action")).alias("x"))
-            bad = first.select("flight_id", "x.seq", "x.free", "x.action")
-        fixes = _apply_fixes(fixes, bad).checkpoint(eager=True)
-    # a rejected repeat whose reservation sat in an earlier chunk changed
-    # nothing, but reports the existing reservation
-    relabel = (F.col("op") == RESERVE) & (F.col("status") == EXHAUSTED) & _reserved_before()
-    labelled = annotated.select("flight_id", "seq", "booking_id",
-                                F.when(relabel, F.lit(EXISTING)).otherwise(F.col("status")).alias("status"),
-                                "remaining")
-    return labelled.unionByName(missing)
-
-
-def seat_reconciliation(flights: DataFrame, reservations: DataFrame) -> DataFrame:
-    """stored available seats vs total - held (ACTIVE reservations)."""
-    held = (reservations.where(F.col("status") == ACTIVE).groupBy("flight_id")
-            .agg(F.sum("seats").cast("long").alias("held")))
-    f = flights.select(F.col("id").alias("flight_id"), "total_seats", "available_seats")
-    j = f.join(held, "flight_id", "left").withColumn("held", F.coalesce("held", F.lit(0)).cast("long"))
-    return j.select("flight_id", F.col("total_seats").cast("long").alias("total_seats"), "held",
-                    F.col("available_seats").cast("long").alias("available"),
-                    (F.col("available_seats") - (F.col("total_seats") - F.col("held"))).cast("long").alias("drift"))
-
-
 def booking_transitions(events: DataFrame) -> DataFrame:
     """every lifecycle event with the state before it and whether it is
     legal (CREATE from nothing -> CONFIRMED; CANCEL only from CONFIRMED ->

@@ -459,6 +459,7 @@ def q_apply_product_changes(spark, sf):
 # ----------------------------------------------------------------- flights
 
 from ..operators import flights as fl  # noqa: E402
+from ..operators import seats as se  # noqa: E402
 
 
 @register("flight_search")
@@ -478,14 +479,21 @@ def q_booking_pricing(spark, sf):
 
 @register("seat_reservation")
 def q_seat_reservation(spark, sf):
-    return fl.seat_fold(fx.seat_requests(spark, sf), fx.flights(spark, sf))
+    """the answer to every reserve; a booking is one reservation over all flights."""
+    return se.seat_ledger(fx.seat_calls(spark, sf), fx.flights(spark, sf)).where("op = 'RESERVE'").drop("op")
+
+
+@register("seat_release")
+def q_seat_release(spark, sf):
+    """the answer to every release, with the flight and the seats it freed."""
+    return se.seat_ledger(fx.seat_calls(spark, sf), fx.flights(spark, sf)).where("op = 'RELEASE'").drop("op")
 
 
 @register("seat_reconciliation")
 def q_seat_reconciliation(spark, sf):
-    folded = fl.seat_fold(fx.seat_requests(spark, sf), fx.flights(spark, sf))
-    held = folded.join(fx.seat_requests(spark, sf).select("flight_id", "seq", "seats"), ["flight_id", "seq"])
-    return fl.seat_reconciliation(fx.flights(spark, sf), held)
+    """the stored flight table against the reservations that the ledger left."""
+    ledger = se.seat_ledger(fx.seat_calls(spark, sf), fx.flights(spark, sf))
+    return se.seat_reconciliation(fx.flights_after(spark, sf), se.reservations(ledger))
 
 
 @register("booking_transitions")

@@ -619,29 +619,38 @@ SELECT b.booking_id, b.seat_count, CAST(f.price AS DOUBLE) AS price,
        CAST(CAST(b.seat_count * f.price AS DECIMAL(12,2)) AS DOUBLE) AS total_price
 FROM bookings b JOIN flights f ON f.id = b.flight_id""")
 
-SEAT_FOLD = [("req", """
-SELECT s.flight_id, s.seq, s.booking_id, CAST(s.seats AS BIGINT) AS seats, CAST(f.available_seats AS BIGINT) AS cap
-FROM seat_requests s JOIN flights f ON f.id = s.flight_id"""),
+# The calls one by one, in order of arrival.  Bookings of the fixture stay inside a block of four
+# flights, so blocks are folded side by side: seats left of its flights, and the reservations made.
+SEAT_FOLD = [("calls", """
+SELECT *, row_number() OVER (PARTITION BY block ORDER BY seq) AS i FROM seat_calls"""),
+    ("caps", """
+SELECT b.block, list_transform([0, 1, 2, 3], lambda k: b.caps[b.block * 4 + k]) AS seats_left
+FROM (SELECT block, (SELECT MAP(list(id), list(CAST(available_seats AS BIGINT))) FROM flights) AS caps FROM (SELECT DISTINCT block FROM calls) x) b"""),
     ("fold", """
-SELECT flight_id, seq, booking_id,
-       CASE WHEN cap >= seats THEN 'ACTIVE' ELSE 'RESOURCE_EXHAUSTED' END AS status,
-       CASE WHEN cap >= seats THEN cap - seats ELSE cap END AS remaining,
-       CASE WHEN cap >= seats THEN [booking_id] ELSE CAST([] AS VARCHAR[]) END AS held
-FROM req WHERE seq = 1
+SELECT block, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS seq, seats_left,
+       CAST([] AS STRUCT(b VARCHAR, f BIGINT, s BIGINT, live BOOLEAN)[]) AS made,
+       CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS flight_id, CAST(NULL AS BIGINT) AS seats FROM caps
 UNION ALL
-SELECT r.flight_id, r.seq, r.booking_id,
-       CASE WHEN list_contains(f.held, r.booking_id) THEN 'EXISTING'
-            WHEN f.remaining >= r.seats THEN 'ACTIVE' ELSE 'RESOURCE_EXHAUSTED' END,
-       CASE WHEN NOT list_contains(f.held, r.booking_id) AND f.remaining >= r.seats THEN f.remaining - r.seats
-            ELSE f.remaining END,
-       CASE WHEN NOT list_contains(f.held, r.booking_id) AND f.remaining >= r.seats
-            THEN list_append(f.held, r.booking_id) ELSE f.held END
-FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.seq = f.seq + 1"""),
-    ("seat_result", """
-SELECT flight_id, seq, booking_id, status, remaining FROM fold
-UNION ALL
-SELECT s.flight_id, s.seq, s.booking_id, 'NOT_FOUND', CAST(NULL AS BIGINT) FROM seat_requests s
-WHERE s.flight_id NOT IN (SELECT id FROM flights)""")]
+SELECT block, i, seq,
+       CASE status WHEN 'ACTIVE' THEN list_transform([0, 1, 2, 3], lambda k: seats_left[k + 1] - CASE WHEN k = flight_id % 4 THEN seats ELSE 0 END)
+                   WHEN 'RELEASED' THEN list_transform([0, 1, 2, 3], lambda k: seats_left[k + 1] + CASE WHEN k = own.f % 4 THEN own.s ELSE 0 END)
+                   ELSE seats_left END,
+       CASE status WHEN 'ACTIVE' THEN list_append(made, {'b': booking_id, 'f': flight_id, 's': seats, 'live': true})
+                   WHEN 'RELEASED' THEN list_transform(made, lambda x: CASE WHEN x.b = booking_id THEN {'b': x.b, 'f': x.f, 's': x.s, 'live': false} ELSE x END)
+                   ELSE made END,
+       status, CASE op WHEN 'RESERVE' THEN flight_id WHEN 'RELEASE' THEN CASE WHEN status = 'RELEASED' THEN own.f END END,
+       CASE op WHEN 'RESERVE' THEN seats WHEN 'RELEASE' THEN CASE WHEN status = 'RELEASED' THEN own.s END END
+FROM (SELECT *, CASE WHEN op = 'RELEASE' THEN CASE WHEN coalesce(own.live, false) THEN 'RELEASED' ELSE 'NOT_FOUND' END
+                     WHEN own.b IS NOT NULL THEN 'EXISTING'
+                     WHEN flight_id >= 1000000000 OR seats_left[flight_id % 4 + 1] IS NULL THEN 'NOT_FOUND'
+                     WHEN seats_left[flight_id % 4 + 1] >= seats THEN 'ACTIVE' ELSE 'RESOURCE_EXHAUSTED' END AS status
+      FROM (SELECT f.block, c.i, c.seq, f.seats_left, f.made, c.op, c.booking_id, c.flight_id, CAST(c.seats AS BIGINT) AS seats,
+                   list_filter(f.made, lambda x: x.b = c.booking_id)[1] AS own
+            FROM fold f JOIN calls c ON c.block = f.block AND c.i = f.i + 1) y) z"""),
+    ("ledger", """
+SELECT f.seq, c.op, c.booking_id, f.flight_id, f.seats, f.status,
+       CASE WHEN f.flight_id < 1000000000 THEN f.seats_left[f.flight_id % 4 + 1] END AS remaining
+FROM fold f JOIN calls c USING (seq)""")]
 
 
 def _recursive(views: list[str], body: str, extra) -> str:
@@ -649,16 +658,17 @@ def _recursive(views: list[str], body: str, extra) -> str:
     return "WITH RECURSIVE " + q[len("WITH "):]
 
 
-ORACLE["seat_reservation"] = _recursive(["flights", "seat_requests"], "SELECT * FROM seat_result", SEAT_FOLD)
+ORACLE["seat_reservation"] = _recursive(["flights", "seat_calls"], "SELECT * EXCLUDE (op) FROM ledger WHERE op = 'RESERVE'", SEAT_FOLD)
+
+ORACLE["seat_release"] = _recursive(["flights", "seat_calls"], "SELECT * EXCLUDE (op) FROM ledger WHERE op = 'RELEASE'", SEAT_FOLD)
 
-ORACLE["seat_reconciliation"] = _recursive(["flights", "seat_requests"], """
+ORACLE["seat_reconciliation"] = _recursive(["flights", "flights_after", "seat_calls"], """
 SELECT f.id AS flight_id, CAST(f.total_seats AS BIGINT) AS total_seats, CAST(coalesce(h.held, 0) AS BIGINT) AS held,
        CAST(f.available_seats AS BIGINT) AS available,
        CAST(f.available_seats - (f.total_seats - coalesce(h.held, 0)) AS BIGINT) AS drift
-FROM flights f LEFT JOIN (
-  SELECT r.flight_id, sum(s.seats) AS held FROM seat_result r
-  JOIN seat_requests s ON s.flight_id = r.flight_id AND s.seq = r.seq
-  WHERE r.status = 'ACTIVE' GROUP BY r.flight_id) h ON h.flight_id = f.id""", SEAT_FOLD)
+FROM flights_after f LEFT JOIN (
+  SELECT flight_id, sum(seats) AS held FROM ledger a WHERE status = 'ACTIVE'
+    AND booking_id NOT IN (SELECT booking_id FROM ledger WHERE status = 'RELEASED') GROUP BY flight_id) h ON h.flight_id = f.id""", SEAT_FOLD)
 
 sql("booking_transitions", ["booking_events"], """
 SELECT booking_id, action, event_at, from_status,

@@ -336,6 +336,41 @@ def seat_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def seat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls on the seat ledger: every line item asks for seats on its part's
+    flight; by line number and return flag its booking also asks on a
+    neighbouring flight, on an unknown one, or again later, is released, is
+    released twice; some releases name no booking.  ``seq`` is the place in
+    order of arrival over all flights (tied calls are equal in every column)."""
+    from ..functions.scan import global_position
+    li = read_table(spark, sf_dir, "lineitem")
+    p, n, q, flag = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_quantity").cast("int"), F.col("l_returnflag")
+    block = F.floor(p / 4)
+    own = F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string"), block.cast("string"))
+    none = F.lit(None).cast("long")
+    kinds = [
+        (F.lit(True), 0, "RESERVE", p, own, q, 0),
+        (n % 3 == 1, 1, "RESERVE", block * 4 + (p + 1) % 4, own, F.floor(q / 2).cast("int") + 1, 3),
+        (flag == "R", 2, "RELEASE", none, own, F.lit(None).cast("int"), 5),
+        ((flag == "R") & (n == 2), 3, "RELEASE", none, own, F.lit(None).cast("int"), 9),
+        (n == 5, 4, "RESERVE", p, own, q, 12),
+        ((flag == "A") & (n == 6), 5, "RELEASE", none, F.concat(F.lit("none-"), F.col("l_orderkey").cast("string")), F.lit(None).cast("int"), 1),
+        ((flag == "N") & (n == 7), 6, "RESERVE", F.lit(10 ** 9) + block, own, q, 2),
+    ]
+    calls = F.array(*[F.when(cond, F.struct(F.lit(kind).alias("kind"), F.lit(op).alias("op"), flight.cast("long").alias("flight_id"), booking.alias("booking_id"),
+                                            seats.alias("seats"), (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(days=F.lit(later))).alias("called_at")))
+                      for cond, kind, op, flight, booking, seats, later in kinds])
+    order = ["called_at", "l_orderkey", "l_linenumber", "kind", "l_partkey", "l_quantity"]
+    rows = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.explode(F.array_compact(calls)).alias("c")).select("*", "c.*")
+    return global_position(rows, order, "seq").select("flight_id", "seq", "booking_id", "seats", "op")
+
+
+def flights_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight table as stored after the calls: what it says is left need
+    not agree with the reservations."""
+    return flights(spark, sf_dir).withColumn("available_seats", F.least("total_seats", (F.col("id") % 8).cast("int")))
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     oid = F.col("o_orderkey")
@@ -615,6 +650,23 @@ SELECT l_partkey AS flight_id,
        CAST(l_quantity AS INTEGER) AS seats,
        CAST(l_shipdate AS TIMESTAMP) AS requested_at
 FROM lineitem""",
+    "seat_calls": """
+SELECT flight_id, booking_id, seats, op, block,
+       row_number() OVER (ORDER BY called_at, l_orderkey, l_linenumber, kind, l_partkey, l_quantity) AS seq
+FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_days(later) AS called_at
+      FROM (SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_partkey // 4 AS block, k.kind, k.later,
+                   CASE WHEN k.kind IN (2, 3, 5) THEN 'RELEASE' ELSE 'RESERVE' END AS op,
+                   CASE k.kind WHEN 0 THEN l_partkey WHEN 4 THEN l_partkey WHEN 1 THEN l_partkey // 4 * 4 + (l_partkey + 1) % 4
+                               WHEN 6 THEN 1000000000 + l_partkey // 4 END AS flight_id,
+                   CASE k.kind WHEN 5 THEN 'none-' || CAST(l_orderkey AS VARCHAR)
+                        ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey // 4 AS VARCHAR) END AS booking_id,
+                   CASE WHEN k.kind IN (0, 4, 6) THEN CAST(l_quantity AS INTEGER) WHEN k.kind = 1 THEN CAST(floor(CAST(l_quantity AS INTEGER) / 2) AS INTEGER) + 1 END AS seats
+            FROM lineitem, (VALUES (0, 0), (1, 3), (2, 5), (3, 9), (4, 12), (5, 1), (6, 2)) k(kind, later)
+            WHERE CASE k.kind WHEN 0 THEN true WHEN 1 THEN l_linenumber % 3 = 1 WHEN 2 THEN l_returnflag = 'R'
+                              WHEN 3 THEN l_returnflag = 'R' AND l_linenumber = 2 WHEN 4 THEN l_linenumber = 5
+                              WHEN 5 THEN l_returnflag = 'A' AND l_linenumber = 6 ELSE l_returnflag = 'N' AND l_linenumber = 7 END) x) y""",
+    "flights_after": """
+SELECT * REPLACE (least(total_seats, CAST(id % 8 AS INTEGER)) AS available_seats) FROM flights""",
     "bookings": """
 SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS booking_id, 'user_' || CAST(o_custkey AS VARCHAR) AS user_id,
        o_custkey AS flight_id, CAST(o_orderkey % 4 + 1 AS INTEGER) AS seat_count,

@@ -22,10 +22,11 @@
   ack timeout (stream-stream interval join with watermarks on both sides);
   an attempt without an ack is emitted once the watermark closes its
   interval, a FAILED one at once.
-* F1 ``seat_stream``: the seat fold as keyed state per flight
-  (``applyInPandasWithState``); the state is the remaining seats and the
-  flight's reservations (booking, active, seats); also serves releases
-  (F2).  Work per key and trigger is bounded by the trigger size.
+* F1 ``seat_stream``: the seat ledger as keyed state per flight
+  (``transformWithStateInPandas``); the state is the remaining seats and a
+  map of the flight's reservations with an optional expiry; also serves
+  releases (F2).  A call touches two state rows; work per key and trigger is
+  bounded by the trigger size.
 
 Sources: Kafka and its Avro decoder are not on this classpath, so streams
 read files with a fixed schema (``stream_table``); the Kafka form is
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import metrics as m
 from ..operators import notify as nt
@@ -172,48 +174,93 @@ def session_rollup_stream(stored_stream: DataFrame, gap: str = "1 day", delay: s
 # ------------------------------------------------------------------- F1
 
 SEAT_OUT = T.StructType([
-    T.StructField("flight_id", T.LongType()), T.StructField("seq", T.LongType()),
-    T.StructField("booking_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("remaining", T.LongType()),
+    T.StructField("flight_id", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()),
+    T.StructField("booking_id", T.StringType()), T.StructField("status", T.StringType()), T.StructField("remaining", T.LongType()),
 ])
-SEAT_STATE = T.StructType([T.StructField("remaining", T.LongType()),
-                           T.StructField("held", T.ArrayType(T.StringType())),
-                           T.StructField("active", T.ArrayType(T.BooleanType())),
-                           T.StructField("seats", T.ArrayType(T.LongType()))])
-
-
-def _seat_state_fn(key, batches, state):
-    from ..operators.flights import NOT_FOUND, _fold_scalar  # the same fold as the batch job
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
-    if not state.exists and pd.isna(pdf["cap"].iloc[0]):  # no such flight: answered, nothing kept
-        yield pd.DataFrame({"flight_id": pdf["flight_id"], "seq": pdf["seq"], "booking_id": pdf["booking_id"],
-                            "status": NOT_FOUND, "remaining": pd.array([pd.NA] * len(pdf), dtype="Int64")})
-        return
-    if state.exists:
-        remaining, ids, act, sts = state.get
-        held = {b: [a, s] for b, a, s in zip(ids, act, sts)}
-    else:
-        remaining, held = int(pdf["cap"].iloc[0]), {}
-    books = pdf["booking_id"].to_numpy()
-    status, rem, end = _fold_scalar(pdf["seats"].to_numpy(), books, [False] * len(pdf), remaining,
-                                    pdf["op"].to_numpy(), None, held)
-    state.update((int(end), list(held), [v[0] for v in held.values()], [int(v[1]) for v in held.values()]))
-    yield pd.DataFrame({"flight_id": pdf["flight_id"].to_numpy(), "seq": pdf["seq"].to_numpy(),
-                        "booking_id": books, "status": status, "remaining": rem})
-
-
-def seat_stream(requests: DataFrame, flights: DataFrame) -> DataFrame:
-    """F1 over a request stream: keyed state per flight, requests of a
-    micro-batch applied in ``seq`` order after those of earlier batches.
-    Flights is a static table (stream-static left join: requests of unknown
-    flights are answered NOT_FOUND, as in the batch form)."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _StoredBookings:
+    """The reservations of a flight as map state: one state row per booking,
+    read and written by its key only."""
+
+    def __init__(self, state):
+        self.state = state
+
+    def get(self, booking):
+        if booking is None or not self.state.containsKey((booking,)):
+            return None
+        active, count = self.state.getValue((booking,))
+        return _Stored(self.state, booking, active, count)
+
+    def __setitem__(self, booking, own):
+        self.state.updateValue((booking,), (bool(own[0]), int(own[1])))
+
+
+class _Stored(list):
+    """[active, seats] of a booking; a change goes to its state row."""
+
+    def __init__(self, state, booking, active, count):
+        super().__init__((active, count))
+        self.state, self.booking = state, booking
+
+    def __setitem__(self, i, value):
+        super().__setitem__(i, value)
+        self.state.updateValue((self.booking,), (bool(self[0]), int(self[1])))
+
+
+class SeatProcessor(StatefulProcessor):
+    """F1/F2 for one flight: the seats left as value state, its reservations
+    as map state with an optional time to live."""
+
+    def __init__(self, keep_ms: int | None):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.left = handle.getValueState("seats_left", "seats_left long")
+        self.made = handle.getMapState("reservations", "booking_id string", "active boolean, seats long", self.keep_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        from ..operators.seats import Seats  # the same rule as the batch ledger
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        cap = pdf["cap"].iloc[0]
+        start = int(self.left.get()[0]) if self.left.exists() else None if pd.isna(cap) else int(cap)
+        flight = Seats(start)
+        flight.held = _StoredBookings(self.made)
+        status, remaining = [], []
+        for op, booking, seats in zip(pdf["op"], pdf["booking_id"], pdf["seats"]):
+            status.append(flight.answer(op, booking, int(seats), None))
+            remaining.append(flight.left)
+        if start is not None:
+            self.left.update((int(flight.left),))
+        yield pd.DataFrame({"flight_id": pdf["flight_id"].to_numpy(), "seq": pdf["seq"].to_numpy(), "op": pdf["op"].to_numpy(), "booking_id": pdf["booking_id"].to_numpy(),
+                            "status": status, "remaining": pd.array(remaining, dtype="Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def seat_stream(calls: DataFrame, flights: DataFrame, keep_ms: int | None = None) -> DataFrame:
+    """F1/F2 over a stream of calls, keyed by flight: calls of a micro-batch
+    are answered in ``seq`` order after those of earlier batches.
+
+    State is one row for a flight's seats and one row per reservation, so a
+    call touches two rows however many the flight holds.  With ``keep_ms`` a
+    reservation is forgotten that long after its last change (processing
+    time); its booking may then be asked for again.  A release carries the
+    flight of its booking.  Keyed state sees one flight: a booking that asks
+    on several flights is only known on each of them, the batch ledger settles
+    it over all.  Flights is a static table (stream-static left join: calls
+    of unknown flights are answered NOT_FOUND).  Needs the RocksDB state
+    store, which this sets."""
+    calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     f = flights.select(F.col("id").cast("long").alias("flight_id"), F.col("available_seats").cast("long").alias("cap"))
-    op = F.col("op") if "op" in requests.columns else F.lit("RESERVE")
-    r = requests.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
-                        "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
-                        op.alias("op")).join(f, "flight_id", "left")
-    return r.groupBy("flight_id").applyInPandasWithState(
-        _seat_state_fn, SEAT_OUT, SEAT_STATE, "append", GroupStateTimeout.NoTimeout)
+    op = F.col("op") if "op" in calls.columns else F.lit("RESERVE")
+    r = calls.select(F.col("flight_id").cast("long").alias("flight_id"), F.col("seq").cast("long").alias("seq"),
+                     "booking_id", F.coalesce(F.col("seats").cast("long"), F.lit(0)).alias("seats"),
+                     op.alias("op")).join(f, "flight_id", "left")
+    return r.groupBy("flight_id").transformWithStateInPandas(
+        SeatProcessor(keep_ms), SEAT_OUT, "append", "ProcessingTime" if keep_ms else "None")
 
 
 # ------------------------------------------------------------------- N2/N5

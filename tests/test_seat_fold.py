@@ -1,105 +1,123 @@
-"""The chunked seat fold equals the sequential fold, also for a flight that
-spans many chunks and repeats of a booking in different chunks."""
+"""The seat ledger equals the sequential ledger: bookings on several flights,
+releases, flights that span many chunks."""
 
 import random
 
+import numpy as np
 import pytest
 
-from marquee.operators import flights as fl
-
-
-def sequential(requests, caps):
-    out = {}
-    state = {f: (c, set()) for f, c in caps.items()}
-    for f, seq, b, s in sorted(requests):
-        if f not in state:
-            out[(f, seq)] = ("NOT_FOUND", None)
-            continue
-        r, held = state[f]
-        if b in held:
-            out[(f, seq)] = ("EXISTING", r)
-        elif r >= s:
-            r -= s
-            held.add(b)
-            out[(f, seq)] = ("ACTIVE", r)
+from marquee.operators import seats as se
+
+
+def sequential(calls, caps):
+    """Every call in order of arrival, by the service's rule."""
+    left, made, out = dict(caps), {}, {}
+    for seq, op, b, f, s in sorted(calls, key=lambda c: c[0]):
+        own = made.get(b) if b is not None else None
+        if op == "RELEASE":
+            if own and own[2]:
+                own[2] = False
+                left[own[0]] += own[1]
+                out[seq] = ("RELEASED", own[0], own[1], left[own[0]])
+            else:
+                out[seq] = ("NOT_FOUND", None, None, None)
+        elif own:
+            out[seq] = ("EXISTING", f, s, left.get(f))
+        elif f not in left:
+            out[seq] = ("NOT_FOUND", f, s, None)
+        elif left[f] >= s:
+            left[f] -= s
+            if b is not None:
+                made[b] = [f, s, True]
+            out[seq] = ("ACTIVE", f, s, left[f])
         else:
-            out[(f, seq)] = ("RESOURCE_EXHAUSTED", r)
-        state[f] = (r, held)
+            out[seq] = ("RESOURCE_EXHAUSTED", f, s, left[f])
     return out
 
 
-def _run(spark, requests, caps, chunks):
-    req = spark.createDataFrame(requests, "flight_id long, seq long, booking_id string, seats long")
-    fl_df = spark.createDataFrame([(f, c) for f, c in caps.items()], "id long, available_seats long")
-    got = fl.seat_fold(req, fl_df, chunks=chunks).collect()
-    return {(r.flight_id, r.seq): (r.status, r.remaining) for r in got}
+def _run(spark, calls, caps, **how):
+    df = spark.createDataFrame([(f, seq, b, s, op) for seq, op, b, f, s in calls], "flight_id long, seq long, booking_id string, seats long, op string")
+    flights = spark.createDataFrame(list(caps.items()), "id long, available_seats long")
+    return {r.seq: (r.status, r.flight_id, r.seats, r.remaining) for r in se.seat_ledger(df, flights, **how).collect()}
+
+
+def _calls(rnd, n, flights, bookings, releases=0.0, hot=0.6, far=9):
+    out = []
+    for seq in rnd.sample(range(1, 10 * n), n):
+        op = "RELEASE" if rnd.random() < releases else "RESERVE"
+        f = flights[0] if rnd.random() < hot else rnd.choice([*flights[1:], far])
+        b = f"b{rnd.randint(0, bookings)}" if rnd.random() < 0.98 else None
+        out.append((seq, op, b, f if op == "RESERVE" else None, rnd.randint(1, 6) if op == "RESERVE" else None))
+    return out
+
+
+def _fill(calls):
+    return {seq: c for seq, *c in calls}
+
+
+def _compare(got, want, calls):
+    by = _fill(calls)
+    assert set(got) == set(want)
+    for seq, w in want.items():
+        assert got[seq] == w, (seq, by[seq], got[seq], w)
 
 
 def test_golden_sequence(spark):
-    # cap 100: b1 60, b2 60, b1 60, b3 40 -> ACTIVE, RESOURCE_EXHAUSTED, EXISTING, ACTIVE; 0 left
-    reqs = [(1, 1, "b1", 60), (1, 2, "b2", 60), (1, 3, "b1", 60), (1, 4, "b3", 40)]
-    got = _run(spark, reqs, {1: 100}, chunks=2)
-    assert [got[(1, i)] for i in range(1, 5)] == [("ACTIVE", 40), ("RESOURCE_EXHAUSTED", 40),
-                                                 ("EXISTING", 40), ("ACTIVE", 0)]
+    calls = [(1, "RESERVE", "b1", 1, 60), (2, "RESERVE", "b2", 1, 60), (3, "RESERVE", "b1", 2, 5), (4, "RESERVE", "b2", 2, 60), (5, "RELEASE", "b1", None, None),
+             (6, "RELEASE", "b1", None, None), (7, "RESERVE", "b1", 1, 60), (8, "RESERVE", "b3", 1, 100), (9, "RELEASE", "b2", None, None), (10, "RELEASE", "zz", None, None)]
+    got = _run(spark, calls, {1: 100, 2: 60})
+    assert [got[i][0] for i in range(1, 11)] == ["ACTIVE", "RESOURCE_EXHAUSTED", "EXISTING", "ACTIVE", "RELEASED", "NOT_FOUND", "EXISTING", "ACTIVE", "RELEASED", "NOT_FOUND"]
+    assert got[5][1:] == (1, 60, 100) and got[9][1:] == (2, 60, 60) and got[8][3] == 0
+    _compare(got, sequential(calls, {1: 100, 2: 60}), calls)
 
 
-@pytest.mark.parametrize("seed", [0, 1, 2])
-def test_random_hot_flight_with_repeats(spark, seed):
+@pytest.mark.parametrize("seed,chunk_rows", [(0, 10 ** 6), (1, 150), (2, 40)])
+def test_bookings_over_flights_with_a_hot_flight(spark, seed, chunk_rows):
     rnd = random.Random(seed)
     caps = {1: 300, 2: 40, 3: 25, 4: 10}
-    reqs, seqs = [], {}
-    for i in range(1500):
-        f = 1 if rnd.random() < 0.7 else rnd.choice([2, 3, 4, 9])   # flight 9 does not exist
-        seqs[f] = seqs.get(f, 0) + 1
-        b = f"b{rnd.randint(0, 400)}"                                # repeats, also far apart
-        reqs.append((f, seqs[f], b, rnd.randint(1, 6)))
-    assert _run(spark, reqs, caps, chunks=9) == sequential(reqs, caps)
-
-
-def test_release_ops_via_stream_fold():
-    # reserve, release, release, reserve same booking
-    status, rem, end = fl._fold_scalar([5, 0, 0, 5], ["b1", "b1", "b1", "b1"], [False] * 4, 10,
-                                       ops=["RESERVE", "RELEASE", "RELEASE", "RESERVE"])
-    assert status == ["ACTIVE", "RELEASED", "NOT_FOUND", "EXISTING"]
-    assert rem == [5, 10, 10, 10] and end == 10
-
-
-def sequential_ops(requests, caps):
-    out, state = {}, {f: (c, {}) for f, c in caps.items()}
-    for f, seq, b, s, op in sorted(requests):
-        r, held = state[f]
-        if op == "RELEASE":
-            h = held.get(b)
-            if h is not None and h[0]:
-                r += h[1]
-                h[0] = False
-                out[(f, seq)] = ("RELEASED", r)
-            else:
-                out[(f, seq)] = ("NOT_FOUND", r)
-        elif b in held:
-            out[(f, seq)] = ("EXISTING", r)
-        elif r >= s:
-            r -= s
-            held[b] = [True, s]
-            out[(f, seq)] = ("ACTIVE", r)
-        else:
-            out[(f, seq)] = ("RESOURCE_EXHAUSTED", r)
-        state[f] = (r, held)
-    return out
+    calls = _calls(rnd, 1200, list(caps), 700)
+    figures = {}
+    _compare(_run(spark, calls, caps, chunk_rows=chunk_rows, figures=figures), sequential(calls, caps), calls)
+    assert figures["rounds"] >= 1
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_random_reserve_release_across_chunks(spark, seed):
+@pytest.mark.parametrize("seed,chunk_rows", [(3, 10 ** 6), (4, 60)])
+def test_random_reserve_release_across_chunks(spark, seed, chunk_rows):
     rnd = random.Random(seed)
-    caps = {1: 120, 2: 30}
-    reqs, seqs = [], {}
-    for i in range(1200):
-        f = 1 if rnd.random() < 0.8 else 2
-        seqs[f] = seqs.get(f, 0) + 1
-        b = f"b{rnd.randint(0, 150)}"
-        op = "RELEASE" if rnd.random() < 0.3 else "RESERVE"
-        reqs.append((f, seqs[f], b, rnd.randint(1, 8) if op == "RESERVE" else None, op))
-    df = spark.createDataFrame(reqs, "flight_id long, seq long, booking_id string, seats long, op string")
-    fl_df = spark.createDataFrame([(f, c) for f, c in caps.items()], "id long, available_seats long")
-    got = {(r.flight_id, r.seq): (r.status, r.remaining) for r in fl.seat_fold(df, fl_df, chunks=8).collect()}
-    assert got == sequential_ops(reqs, caps)
+    caps = {1: 120, 2: 30, 3: 50}
+    calls = _calls(rnd, 900, list(caps), 400, releases=0.3)
+    _compare(_run(spark, calls, caps, chunk_rows=chunk_rows), sequential(calls, caps), calls)
+
+
+def test_no_shared_booking_needs_no_round(spark):
+    calls = [(i, "RESERVE", f"b{i // 3}", i // 30, 1 + i % 4) for i in range(300)]
+    figures = {}
+    caps = {f: 20 for f in range(10)}
+    _compare(_run(spark, calls, caps, figures=figures), sequential(calls, caps), calls)
+    assert figures == {"rounds": 0, "refolded": 0}
+    assert _run(spark, [], caps) == {}
+
+
+def test_tables_equal_folds_from_every_start():
+    rnd = random.Random(5)
+    for _ in range(30):
+        ops = [rnd.choice(["RESERVE", "RESERVE", "RELEASE"]) for _ in range(40)]
+        books = [rnd.choice([None, *"abcdefg"]) for _ in ops]
+        notes = [rnd.choice([None] * 9 + [0 if op == "RESERVE" else 2]) for op in ops]
+        size = [rnd.randint(1, 5) for _ in ops]
+        table = se.transfer_table(ops, books, size, notes, 25)
+        states = [se.Seats(r) for r in range(26)]
+        for state in states:
+            for call in zip(ops, books, size, notes):
+                state.answer(*call)
+        assert table.tolist() == np.clip([state.left for state in states], 0, 25).tolist()
+
+
+def test_reservations_and_reconciliation(spark):
+    calls = [(1, "RESERVE", "b1", 1, 4), (2, "RESERVE", "b2", 1, 5), (3, "RELEASE", "b1", None, None), (4, "RESERVE", "b3", 2, 1)]
+    df = spark.createDataFrame([(f, seq, b, s, op) for seq, op, b, f, s in calls], "flight_id long, seq long, booking_id string, seats long, op string")
+    flights = spark.createDataFrame([(1, 10, 10), (2, 10, 10), (3, 10, 10)], "id long, total_seats int, available_seats int")
+    made = se.reservations(se.seat_ledger(df, flights))
+    assert sorted(map(tuple, made.collect())) == [("b1", 1, 4, "RELEASED"), ("b2", 1, 5, "ACTIVE"), ("b3", 2, 1, "ACTIVE")]
+    stored = spark.createDataFrame([(1, 10, 5), (2, 10, 10), (3, 10, 10)], "id long, total_seats int, available_seats int")
+    assert sorted((r.flight_id, r.held, r.drift) for r in se.seat_reconciliation(stored, made).collect()) == [(1, 5, 0), (2, 1, 1), (3, 0, 0)]
