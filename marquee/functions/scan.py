@@ -86,6 +86,41 @@ def _chunk_running(r: DataFrame, key: list[str], order: list[str], specs: list,
     return joined.drop("_pid", "_cp", *[f"_k{j}" for j in range(len(key))], *[f"_{p}{i}" for i in range(len(specs)) for p in ("l", "c")])
 
 
+def keyed_sliding_sum(df: DataFrame, key: list[str], order: list[str], value: Column | str, rows: int, out: str,
+                      chunks: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``df`` plus ``out`` = the sum of ``value`` over the last ``rows`` rows of
+    the key, the current one included.
+
+    A chunk of a hot key is given a halo: the last ``rows - 1`` rows before it,
+    which the chunks' own last rows hold, however small those chunks are."""
+    r = df.withColumn("_v", F.col(value) if isinstance(value, str) else value)
+    frame = (-(rows - 1), 0)
+    plain = lambda d: d.withColumn(out, F.sum("_v").over(Window.partitionBy(*key).orderBy(*order).rowsBetween(*frame)))
+    if chunks:
+        return _halo_sum(r, key, order, rows, out, chunks).drop("_v")
+    hot = written(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n"), "scan-hot")
+    if hot.limit(1).count() == 0:
+        return plain(r).drop("_v")
+    mark = hot.select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(key)])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(key)]
+    sums = _halo_sum(r.join(mark, same, "left_semi"), key, order, rows, out, default_chunks(df))
+    return plain(r.join(mark, same, "left_anti")).unionByName(sums).drop("_v")
+
+
+def _halo_sum(r: DataFrame, key: list[str], order: list[str], rows: int, out: str, n: int) -> DataFrame:
+    r = written(r.repartitionByRange(n, *[F.col(c) for c in key + order]).withColumn("_pid", F.spark_partition_id()), "scan-chunks")
+    last = Window.partitionBy("_pid", *key).orderBy(*[F.desc(c) for c in order])
+    # at most rows - 1 rows per chunk and key; per key, those before a chunk's first tail row
+    tails = r.withColumn("_back", F.row_number().over(last)).where(F.col("_back") < rows).select("_pid", *key, *order, "_v", "_back")
+    before = Window.partitionBy(*key).orderBy("_pid", F.desc("_back")).rowsBetween(-(rows - 1), -1)
+    held = tails.select("_pid", *key, "_back", F.collect_list(F.struct(*order, "_v")).over(before).alias("_halo"))
+    first = held.groupBy("_pid", *key).agg(F.max_by("_halo", "_back").alias("_halo"))
+    halo = first.select("_pid", *key, F.explode("_halo").alias("_h")).select("_pid", *key, *[F.col(f"_h.{c}").alias(c) for c in order], F.col("_h._v").alias("_v"))
+    both = r.withColumn("_own", F.lit(True)).unionByName(halo.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    w = Window.partitionBy("_pid", *key).orderBy(*order).rowsBetween(-(rows - 1), 0)
+    return both.withColumn(out, F.sum("_v").over(w)).where("_own").drop("_own", "_pid")
+
+
 def chunked(df: DataFrame, key: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
     """``df`` range-partitioned on (key, order) into ``chunks`` ordered
     chunks, each row tagged with its chunk id ``_pid`` and checkpointed, for

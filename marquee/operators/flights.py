@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import keyed_running_many
+from ..functions.scan import keyed_position, keyed_sliding_sum
 
 # Call outcomes that count as success for the failure window.
 SUCCESS_CODES = ["OK", "NOT_FOUND", "RESOURCE_EXHAUSTED", "INVALID_ARGUMENT"]
@@ -66,16 +66,14 @@ def provider_failure_window(calls: DataFrame, window: int = 10, threshold: int =
     """per provider in call order (ts, call_id), failures among the last
     ``window`` calls; ``window_bad`` when the window is full and holds at
     least ``threshold`` failures; ``trips`` when that happens on a failing
-    call.  Positions and running failure counts come from one ordered scan;
-    the count ``window`` calls back is an equi-join on (provider, pos), so a
-    hot provider stays spread over many tasks."""
+    call.  Positions and sums over the window come from ordered scans that
+    share one exchange; a provider too hot for one task is cut into chunks
+    with a halo of the rows before them."""
     failed = (~F.col("code").isin(SUCCESS_CODES)).cast("long")
-    run = keyed_running_many(calls.select("provider", "ts", "call_id", failed.alias("failed")),
-                             ["provider"], ["ts", "call_id"],
-                             [("pos", F.lit(1).cast("long"), "sum"), ("cum", F.col("failed"), "sum")])
-    back = run.select("provider", (F.col("pos") + window).alias("pos"), F.col("cum").alias("cum_back"))
-    j = run.join(back, ["provider", "pos"], "left")
-    failures = (F.col("cum") - F.coalesce(F.col("cum_back"), F.lit(0))).cast("int")
+    c = calls.select("provider", "ts", "call_id", failed.alias("failed"))
+    order = ["ts", "call_id"]
+    j = keyed_sliding_sum(keyed_position(c, ["provider"], order, "pos", chunks), ["provider"], order, "failed", window, "failures", chunks)
+    failures = F.col("failures").cast("int")
     bad = (F.col("pos") >= window) & (failures >= threshold)
     return j.select("provider", F.col("pos").alias("seq"), failures.alias("failures"), bad.alias("window_bad"),
                     (bad & (F.col("failed") == 1)).alias("trips"))

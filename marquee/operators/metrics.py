@@ -37,17 +37,32 @@ def in_range(ts_col: str, start, end) -> Column:
 
 # ----------------------------------------------------------- partial states
 
-def dau_state(me: DataFrame) -> DataFrame:
-    """A1: one mergeable HLL sketch of user ids per day."""
-    return me.groupBy("event_date").agg(F.hll_sketch_agg("user_id").alias("uniq_users"))
+#: Registers of a sketch, as a power of two; its standard error is 1.04 / sqrt(registers).
+SKETCH_BITS = 12
+
+
+def dau_state(me: DataFrame, *parts: str) -> DataFrame:
+    """A1: mergeable HLL sketches of user ids, one per day (and value of
+    ``parts``, where partial states are wanted)."""
+    return me.groupBy("event_date", *parts).agg(F.hll_sketch_agg("user_id", SKETCH_BITS).alias("uniq_users"))
 
 
 def dau_state_merge(state: DataFrame) -> DataFrame:
-    """A1/A2 approximate form: union the day sketches and estimate."""
+    """A1/A2 approximate form: union the sketches of a day and estimate."""
     return (state.groupBy("event_date")
             .agg(F.hll_sketch_estimate(F.hll_union_agg("uniq_users")).alias("dau")))
 
 
+def dau_within_bound(estimates: DataFrame, me: DataFrame, errors: float = 4.0) -> DataFrame:
+    """Estimates held against the exact counts: event_date, dau (exact),
+    within (the estimate is off by at most ``errors`` standard errors, or by
+    one user)."""
+    exact = me.groupBy("event_date").agg(F.count_distinct("user_id").alias("exact"))
+    bound = F.greatest(F.lit(1.0), F.col("exact") * (errors * 1.04 / 2 ** (SKETCH_BITS / 2)))
+    return exact.join(estimates, "event_date", "full_outer").select(
+        "event_date", F.col("exact").alias("dau"), F.coalesce(F.abs(F.col("dau") - F.col("exact")) <= bound, F.lit(False)).alias("within"))
+
+
 def movie_views_state(me: DataFrame) -> DataFrame:
     """A3: views per (day, movie) over VIEW_STARTED events."""
     return (me.where(F.col("event_type") == STARTED)

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.machine import run_machine
 from ..functions.scan import global_position, keyed_position, keyed_running
+from ..session import written
 
 # Fixed values of the design.
 DEFAULT_CHAIN = ["push", "sms", "email"]
@@ -22,7 +24,8 @@ P99_TARGET_MS = 5000
 SUCCESS_TARGET = 0.995
 SMS_SHARE_TARGET = 0.15
 CAMPAIGN_BATCH = 1000
-ALLOWED_MOVES = [("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
+STATES = ["PENDING", "IN_FLIGHT", "DELIVERED", "FAILED", "FAILOVER", "EXHAUSTED"]
+ALLOWED_MOVES = [("", "PENDING"), ("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
                  ("FAILED", "FAILOVER"), ("FAILOVER", "IN_FLIGHT"), ("FAILED", "EXHAUSTED")]
 
 
@@ -40,8 +43,13 @@ def notif_keys(attempts: DataFrame) -> DataFrame:
 def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS) -> DataFrame:
     """Attempts kept by a per-(idem_key, channel) TTL: an attempt is
     dropped while a *kept* attempt of the same key and channel is younger
-    than the TTL.  Kept attempts form a chain (first attempt, then the first
-    one at least ttl after the last kept), so:
+    than the TTL.
+
+    An attempt at least the TTL after the one before it is kept whatever came
+    earlier, so gaps cut a key into independent segments: their first attempts
+    are kept, and only segments with a second attempt are looked into.  There
+    the kept attempts form a chain (the first, then the first one at least the
+    TTL after the last kept), so:
 
     * positions and each attempt's successor candidate ``nxt`` (first
       attempt at or after ts + ttl) come from ordered scans that stay
@@ -49,33 +57,35 @@ def dedup_ttl(attempts: DataFrame, ttl_hours: int = DEDUP_TTL_HOURS) -> DataFram
     * chain membership is reachability from position 1 by pointer
       doubling: after round r the reached set holds every chain member
       fewer than 2**(r+1) steps away; jump pointers square each round.
-      Every round is two equi-joins on (key, position), checkpointed."""
-    spark = attempts.sparkSession
-    key = ["idem_key", "channel"]
-    a = attempts.withColumn("idem_key", idem_key(F.col("source_service"), F.col("notification_id"), F.col("user_id")))
-    pos = keyed_position(a, key, ["ts", "attempt_id"], "pos").checkpoint(eager=True)
-    # successor candidate: reverse scan over rows and probes (probe at ts+ttl
+      Every round is two equi-joins on (segment, position), written once."""
+    ttl = ttl_hours * 3600 * 1_000_000
+    lane = ["idem_key", "channel"]
+    a = attempts.withColumn("idem_key", idem_key(F.col("source_service"), F.col("notification_id"), F.col("user_id"))).withColumn("_t", F.unix_micros("ts"))
+    a = keyed_running(a, lane, ["ts", "attempt_id"], "_t", "max", "_before", inclusive=False)
+    a = a.withColumn("_first", (F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= ttl)).cast("long"))
+    a = written(keyed_running(a, lane, ["ts", "attempt_id"], "_first", "sum", "_segment"), "ttl-segments")
+    key = [*lane, "_segment"]
+    dense = a.join(a.where("_first = 0").select(*key).distinct(), key, "left_semi")
+    pos = written(keyed_position(dense.select(*key, "_t", "ts", "attempt_id"), key, ["ts", "attempt_id"], "pos"), "ttl-dense")
+    # successor candidate: reverse scan over rows and probes (probe at t+ttl
     # sorts before a row at the same instant, so ">=" holds)
-    rows = pos.select(*key, F.unix_micros("ts").alias("t"), F.lit(1).alias("kind"), "pos",
-                      F.lit(None).cast("long").alias("src"))
-    probes = pos.select(*key, (F.unix_micros("ts") + ttl_hours * 3600 * 1_000_000).alias("t"), F.lit(0).alias("kind"),
-                        F.lit(None).cast("long").alias("pos"), F.col("pos").alias("src"))
+    none = F.lit(None).cast("long")
+    rows = pos.select(*key, F.col("_t").alias("t"), F.lit(1).alias("kind"), "pos", none.alias("src"))
+    probes = pos.select(*key, (F.col("_t") + ttl).alias("t"), F.lit(0).alias("kind"), none.alias("pos"), F.col("pos").alias("src"))
     both = rows.unionByName(probes).select(*key, (-F.col("t")).alias("nt"), (-F.col("kind")).alias("nk"),
                                             "pos", "src", F.coalesce("pos", "src").alias("tie"))
     nxt = (keyed_running(both, key, ["nt", "nk", "tie"], "pos", "min", "nxt", inclusive=True)
            .where(F.col("src").isNotNull()).select(*key, F.col("src").alias("pos"), "nxt"))
-    jump = nxt.where(F.col("nxt").isNotNull()).checkpoint(eager=True)
-    reached = pos.where(F.col("pos") == 1).select(*key, "pos").checkpoint(eager=True)
+    jump = written(nxt.where(F.col("nxt").isNotNull()), "ttl-jump")
+    reached = pos.where(F.col("pos") == 1).select(*key, "pos")
     while jump.limit(1).count():  # spans double: logarithmic in the longest chain
         step = reached.join(jump, [*key, "pos"]).select(*key, F.col("nxt").alias("pos"))
-        reached = reached.unionByName(step).distinct().checkpoint(eager=True)
-        j2 = jump.alias("a").join(jump.alias("b"), [F.col("a.idem_key") == F.col("b.idem_key"),
-                                                    F.col("a.channel") == F.col("b.channel"),
-                                                    F.col("a.nxt") == F.col("b.pos")])
-        jump = j2.select(F.col("a.idem_key").alias("idem_key"), F.col("a.channel").alias("channel"),
-                         F.col("a.pos").alias("pos"), F.col("b.nxt").alias("nxt")).checkpoint(eager=True)
-    kept = pos.join(reached, [*key, "pos"], "left_semi")
-    return kept.drop("pos")
+        reached = written(reached.unionByName(step).distinct(), "ttl-reached")
+        far = jump.select(*key, F.col("pos").alias("nxt"), F.col("nxt").alias("far"))
+        jump = written(jump.join(far, [*key, "nxt"]).select(*key, "pos", F.col("far").alias("nxt")), "ttl-jump")
+    later = pos.join(reached.where(F.col("pos") > 1), [*key, "pos"], "left_semi").select(*key, "ts", "attempt_id")
+    kept = a.where("_first = 1").unionByName(a.where("_first = 0").join(later, [*key, "ts", "attempt_id"], "left_semi"))
+    return kept.select(*attempts.columns, "idem_key")
 
 
 def routable(notifications: DataFrame, prefs: DataFrame) -> DataFrame:
@@ -152,35 +162,26 @@ def failover(attempts: DataFrame, acks: DataFrame, prefs: DataFrame | None = Non
                       "attempt_id")
 
 
-def state_events(attempts: DataFrame) -> DataFrame:
-    """State events of the attempts: IN_FLIGHT at send, the outcome after
-    the latency."""
-    sent = attempts.select("notification_id", "attempt_id", F.lit(0).alias("step"),
-                           F.lit("IN_FLIGHT").alias("state"), F.col("ts").alias("event_at"))
-    done = attempts.select("notification_id", "attempt_id", F.lit(1).alias("step"), F.col("outcome").alias("state"),
-                           (F.col("ts") + F.make_dt_interval(secs=F.col("latency_ms").cast("decimal(18,3)") / 1000))
-                           .alias("event_at"))
-    return sent.unionByName(done)
+def state_events(attempts: DataFrame, prefs: DataFrame | None = None, chain: list[str] | None = None) -> DataFrame:
+    """State events of the notifications: PENDING before the first attempt;
+    per attempt IN_FLIGHT at its send and its outcome after the latency; a
+    failure is followed by FAILOVER if the user's plan has a channel after the
+    failed one, else by EXHAUSTED."""
+    done_at = F.col("ts") + F.make_dt_interval(secs=F.col("latency_ms").cast("decimal(18,3)") / 1000)
+    a = with_plan(attempts, prefs, chain).select("notification_id", "attempt_id", "outcome", "ts", done_at.alias("done_at"),
+                                                 next_in_plan(F.col("plan"), F.col("channel")).isNotNull().alias("more"))
+    begun = a.groupBy("notification_id").agg(F.min(F.struct("ts", "attempt_id")).alias("f")).select(
+        "notification_id", F.col("f.attempt_id").alias("attempt_id"), F.lit(0).alias("step"), F.lit("PENDING").alias("state"), F.col("f.ts").alias("event_at"))
+    event = lambda step, state, at: F.struct(F.lit(step).alias("step"), state.alias("state"), F.col(at).alias("event_at"))
+    steps = F.array(event(1, F.lit("IN_FLIGHT"), "ts"), event(2, F.col("outcome"), "done_at"),
+                    F.when(F.col("outcome") == "FAILED", event(3, F.when(F.col("more"), "FAILOVER").otherwise("EXHAUSTED"), "done_at")))
+    return begun.unionByName(a.select("notification_id", "attempt_id", F.explode(F.array_compact(steps)).alias("e")).select("notification_id", "attempt_id", "e.*"))
 
 
 def delivery_state(events: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Current state per notification (latest event) and the number of
-    moves not in the allowed pairs.  The previous event is found by
-    position (ordered scan) and an equi-join on (notification, pos - 1)."""
-    order = ["event_at", "attempt_id", "step"]
-    latest = events.groupBy("notification_id").agg(F.max(F.struct(*order, "state")).alias("last"))
-    pos = keyed_position(events.select("notification_id", *order, "state"), ["notification_id"], order,
-                         "pos", chunks)
-    prev = pos.select("notification_id", (F.col("pos") + 1).alias("pos"), F.col("state").alias("prev_state"))
-    pairs = pos.join(prev, ["notification_id", "pos"])
-    allowed = None
-    for a, b in ALLOWED_MOVES:
-        c = (F.col("prev_state") == a) & (F.col("state") == b)
-        allowed = c if allowed is None else allowed | c
-    bad = pairs.where(~allowed).groupBy("notification_id").agg(F.count(F.lit(1)).alias("illegal_moves"))
-    return (latest.join(bad, "notification_id", "left")
-            .select("notification_id", F.col("last.state").alias("state"), F.col("last.event_at").alias("since"),
-                    F.coalesce("illegal_moves", F.lit(0)).cast("long").alias("illegal_moves")))
+    """The delivery state machine per notification: its state, since when,
+    and how many events moved it or were not allowed and left it."""
+    return run_machine(events, "notification_id", ["event_at", "attempt_id", "step"], "state", "event_at", STATES, ALLOWED_MOVES, chunks)
 
 
 def lane_of(type_col: Column) -> Column:

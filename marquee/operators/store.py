@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import written
 
 STORE_SORT = ["event_date", "event_type", "user_id", "event_time"]
 
@@ -57,32 +57,37 @@ def ttl_filter(me: DataFrame, as_of, days: int = 90) -> DataFrame:
     return me.where(F.col("event_date") > cut)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path: Spark has no call of its own to list or
+    drop a folder (a classic session is needed, not a Connect one)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Partition folders under ``path`` (names only; no data is read)."""
+    fs, hpath = _file_system(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(hpath) if st.getPath().getName().startswith(prefix))
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> int:
+    for path in paths:
+        fs, hpath = _file_system(spark, path)
+        fs.delete(hpath, True)
+    return len(paths)
+
+
 def expired_days(spark: SparkSession, path: str, as_of, days: int = 90) -> list[str]:
-    """Day folders of the store that the TTL removes (names only, via the
-    file listing -- no data is read)."""
+    """Day folders of the store that the TTL removes."""
     as_of_d = dt.date.fromisoformat(as_of if isinstance(as_of, str) else as_of.isoformat())
     cut = as_of_d - dt.timedelta(days=days)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if name.startswith("event_date="):
-            if dt.date.fromisoformat(name.split("=", 1)[1]) <= cut:
-                out.append(st.getPath().toString())
-    return out
+    return [p for p in list_folders(spark, path, "event_date=") if dt.date.fromisoformat(p.rsplit("=", 1)[1]) <= cut]
 
 
 def drop_expired_days(spark: SparkSession, path: str, as_of, days: int = 90) -> int:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    for p in expired_days(spark, path, as_of, days):
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-        n += 1
-    return n
+    return delete_folders(spark, expired_days(spark, path, as_of, days))
 
 
 # ------------------------------------------------------------- key merging
@@ -107,30 +112,33 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str],
     ``part_col``) and return the table.
 
     Without ``replace`` (U1/U3) rows of the same key are replaced: only the
-    partitions ``new`` touches are read, merged, materialised with a reliable
-    checkpoint in the shared folder (their files are about to be replaced)
-    and written back.  With ``replace`` (U2) the given partition values are
-    replaced whole, those without a new row by nothing; nothing is read."""
-    ensure_checkpoint_dir(spark)
-    old = _read_if_there(spark, path)
+    partitions ``new`` touches are read, merged, and written back.  With
+    ``replace`` (U2) the given partition values are replaced whole; nothing is
+    read.  Either way the rows to come are written aside in the shared folder
+    before a file of the table goes, so ``new`` may read the table itself and
+    a failure before that leaves it as it was; then the partitions with rows
+    are replaced, and only then asked-for values without a row are emptied.
+    A re-run of a broken run completes it."""
+    old = read_if_there(spark, path)
+    new = written(new, "upsert-new")
     if replace is not None:
         wanted = [_iso_text(v) for v in replace]
         merged = new.where(F.col(part_col).cast("string").isin(wanted))
-        if old is not None:
-            bare = spark.createDataFrame([], old.drop(part_col).schema)
-            for v in wanted:  # the values asked for, emptied first: a re-run without rows leaves none
-                bare.write.mode("overwrite").parquet(f"{path}/{part_col}={v}")
     elif old is not None:
-        new = new.checkpoint(eager=True)   # used for the touched values and the merge
         touched = [r[0] for r in new.select(part_col).distinct().collect()]  # partition values, bounded by days
         kept = old.select(*new.columns).where(F.col(part_col).isin(touched))
-        merged = key_merge(kept, new, key).checkpoint(eager=True)
+        merged = written(key_merge(kept, new, key), "upsert-merged")
     else:
-        merged = new                 # nothing is read from the target: write directly
+        merged = new
     # hash on (partition, key): a big partition spreads over many tasks,
     # small ones coalesce (AQE sizes the tasks); no range-sampling pass
     (merged.repartition(F.col(part_col), *[F.col(k) for k in key if k != part_col])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    if replace is not None and old is not None:
+        filled = {_iso_text(r[0]) for r in merged.select(F.col(part_col).cast("string")).distinct().collect()}  # bounded by ``replace``
+        bare = spark.createDataFrame([], old.drop(part_col).schema)
+        for v in sorted(set(wanted) - filled):
+            bare.write.mode("overwrite").parquet(f"{path}/{part_col}={v}")
     return spark.read.schema(new.schema).parquet(path)
 
 
@@ -138,7 +146,7 @@ def _iso_text(v) -> str:
     return v if isinstance(v, str) else v.isoformat()
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``; None if nothing was written there yet."""
     try:
         return spark.read.parquet(path)

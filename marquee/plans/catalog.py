@@ -54,7 +54,9 @@ def _day_after(day: str) -> str:
 
 @register("dau_state_merge")
 def q_dau_state_merge(spark, sf):
-    return m.dau_state_merge(m.dau_state(fx.movie_events(spark, sf)))
+    """A1/A2: a sketch per day and device, united per day, against the exact count."""
+    me = fx.movie_events(spark, sf)
+    return m.dau_within_bound(m.dau_state_merge(m.dau_state(me, "device_type")), me)
 
 
 @register("dau_for_date")
@@ -539,7 +541,7 @@ def q_notif_failover(spark, sf):
 
 @register("notif_state")
 def q_notif_state(spark, sf):
-    return nt.delivery_state(nt.state_events(fx.attempts(spark, sf)))
+    return nt.delivery_state(nt.state_events(fx.attempts(spark, sf), fx.user_channels(spark, sf)))
 
 
 @register("notif_lanes")
@@ -575,6 +577,7 @@ def q_outbox_events(spark, sf):
 # --------------------------------------------------------------- streaming
 
 from ..streaming import jobs as sj  # noqa: E402
+from ..streaming import states as ss  # noqa: E402
 
 
 def _streamed_store(spark, sf):
@@ -614,24 +617,25 @@ def q_stream_ingest(spark, sf):
 
 def _streamed_states(spark, sf):
     root = _streamed_store(spark, sf)
-    sj.incremental_states(spark, f"{root}/store", f"{root}/states", f"{root}/states-ckpt", max_files=8)
+    ss.incremental_states(spark, f"{root}/store", f"{root}/states", f"{root}/states-ckpt")
     return f"{root}/states"
 
 
 @register("incremental_equals_full")
 def q_incremental_equals_full(spark, sf):
-    """Views per (day, movie) merged from the per-batch partial states."""
-    return sj.merged_movie_views(spark, _streamed_states(spark, sf))
+    """Views per (day, movie) merged from the partial states, folded batches and open ones."""
+    return ss.merged_movie_views(spark, _streamed_states(spark, sf))
 
 
 @register("incremental_watch_time")
 def q_incremental_watch_time(spark, sf):
-    return sj.merged_watch_time(spark, _streamed_states(spark, sf))
+    return ss.merged_watch_time(spark, _streamed_states(spark, sf))
 
 
 @register("incremental_dau")
 def q_incremental_dau(spark, sf):
-    return sj.merged_dau(spark, _streamed_states(spark, sf))
+    """Users per day from the sketches of the batches, against the exact count."""
+    return m.dau_within_bound(ss.merged_dau(spark, _streamed_states(spark, sf)), fx.movie_events(spark, sf))
 
 
 @register("tumbling_counts")

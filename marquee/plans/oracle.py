@@ -26,7 +26,7 @@ ME = ["movie_events"]
 # ------------------------------------------------------------------ metrics
 
 sql("dau_state_merge", ME, """
-SELECT event_date, count(DISTINCT user_id) AS dau FROM movie_events GROUP BY event_date""")
+SELECT event_date, count(DISTINCT user_id) AS dau, true AS within FROM movie_events GROUP BY event_date""")
 
 sql("dau_for_date", ME, f"""
 SELECT {RD} AS event_date, count(DISTINCT user_id) AS dau FROM movie_events WHERE event_date = {RD}""")
@@ -734,21 +734,27 @@ WHERE a.outcome = 'FAILED' OR NOT EXISTS (
   WHERE k.notification_id = a.notification_id AND k.channel = a.channel
     AND k.ack_at >= a.ts AND k.ack_at <= a.ts + INTERVAL 5 SECOND)""", [CHAINS])
 
-ALLOWED_SQL = " OR ".join(f"(prev_state = '{a}' AND state = '{b}')" for a, b in [
-    ("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
+ALLOWED_SQL = " OR ".join(f"(state = '{a}' AND event = '{b}')" for a, b in [
+    ("", "PENDING"), ("PENDING", "IN_FLIGHT"), ("IN_FLIGHT", "DELIVERED"), ("IN_FLIGHT", "FAILED"),
     ("FAILED", "FAILOVER"), ("FAILOVER", "IN_FLIGHT"), ("FAILED", "EXHAUSTED")])
-sql("notif_state", ["attempts"], f"""
-SELECT l.notification_id, l.state, l.event_at AS since, CAST(coalesce(b.illegal_moves, 0) AS BIGINT) AS illegal_moves
-FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY notification_id ORDER BY event_at DESC, attempt_id DESC,
-                                                   step DESC) AS rn FROM ev) x WHERE rn = 1) l
-LEFT JOIN (SELECT notification_id, count(*) AS illegal_moves FROM (
-             SELECT notification_id, state, lag(state) OVER (PARTITION BY notification_id
-                                                             ORDER BY event_at, attempt_id, step) AS prev_state FROM ev) p
-           WHERE prev_state IS NOT NULL AND NOT ({ALLOWED_SQL}) GROUP BY notification_id) b USING (notification_id)""",
-    [("ev", f"""
-SELECT notification_id, attempt_id, 0 AS step, 'IN_FLIGHT' AS state, ts AS event_at FROM attempts
+NOTIF_STATE = [CHAINS, ("ev", f"""
+SELECT *, row_number() OVER (PARTITION BY notification_id ORDER BY event_at, attempt_id, step) AS i
+FROM (SELECT notification_id, min_by(attempt_id, (ts, attempt_id)) AS attempt_id, 0 AS step, 'PENDING' AS event, min(ts) AS event_at
+      FROM attempts GROUP BY notification_id
+      UNION ALL SELECT notification_id, attempt_id, 1, 'IN_FLIGHT', ts FROM attempts
+      UNION ALL SELECT notification_id, attempt_id, 2, outcome, {ACK_AT} FROM attempts a
+      UNION ALL SELECT notification_id, attempt_id, 3,
+                       CASE WHEN list_position(coalesce(u.chain, ['push', 'sms', 'email']), a.channel) < len(coalesce(u.chain, ['push', 'sms', 'email']))
+                            THEN 'FAILOVER' ELSE 'EXHAUSTED' END, {ACK_AT}
+                FROM attempts a LEFT JOIN chains u ON u.user_id = a.user_id WHERE outcome = 'FAILED') e"""),
+    ("machine", f"""
+SELECT notification_id, CAST(0 AS BIGINT) AS i, '' AS state, CAST(NULL AS TIMESTAMP) AS since, CAST(0 AS BIGINT) AS legal_moves, CAST(0 AS BIGINT) AS illegal_moves
+FROM (SELECT DISTINCT notification_id FROM ev) n
 UNION ALL
-SELECT notification_id, attempt_id, 1, outcome, ts + to_milliseconds(CAST(latency_ms AS BIGINT)) FROM attempts""")])
+SELECT notification_id, i, CASE WHEN ok THEN event ELSE state END, CASE WHEN ok THEN event_at ELSE since END,
+       legal_moves + CAST(ok AS BIGINT), illegal_moves + CAST(NOT ok AS BIGINT)
+FROM (SELECT m.*  EXCLUDE (i), e.i, e.event, e.event_at, ({ALLOWED_SQL}) AS ok
+      FROM machine m JOIN ev e ON e.notification_id = m.notification_id AND e.i = m.i + 1) s""")]
 
 sql("notif_lanes", ["notifications"], """
 SELECT CASE type WHEN 'TRANSACTIONAL' THEN 'transactional' WHEN 'SERVICE' THEN 'service'
@@ -810,6 +816,10 @@ SELECT r.attempt_id, r.notification_id, r.user_id, r.source_service, r.type, r.c
        r.latency_ms, r.idem_key
 FROM ra r JOIN chain c USING (idem_key, channel, rn) WHERE c.kept""", RETRY_DEDUP)
 
+ORACLE["notif_state"] = _recursive(["attempts", "preferences"], """
+SELECT notification_id, CASE WHEN state <> '' THEN state END AS state, since, legal_moves, illegal_moves
+FROM machine QUALIFY row_number() OVER (PARTITION BY notification_id ORDER BY i DESC) = 1""", NOTIF_STATE)
+
 # --------------------------------------------------------------- streaming
 
 sql("stream_ingest", ME, """
@@ -826,7 +836,7 @@ SELECT event_date, sum(progress_seconds) AS sum_sec, count(progress_seconds) AS
 WHERE event_type = 'VIEW_FINISHED' AND progress_seconds IS NOT NULL GROUP BY event_date""")
 
 sql("incremental_dau", ME, """
-SELECT event_date, count(DISTINCT user_id) AS dau FROM movie_events GROUP BY event_date""")
+SELECT event_date, count(DISTINCT user_id) AS dau, true AS within FROM movie_events GROUP BY event_date""")
 
 sql("tumbling_counts", ME, """
 SELECT time_bucket(INTERVAL 1 DAY, event_time) AS window_start, event_type, count(*) AS n

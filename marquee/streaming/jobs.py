@@ -3,11 +3,7 @@
 * T1 ``ingest_stream``: wire rows -> contract check with quarantine -> typed
   rows -> day-partitioned Parquet store (file sinks, exactly-once through
   their commit logs).
-* T2 ``incremental_states``: micro-batches of the store -> partial
-  aggregate tables (views per day and movie, watch-time sum and count per
-  day, distinct user-days).  Each batch overwrites its own ``batch_id``
-  partition, so a replayed batch replaces what it wrote; merges sum the
-  partials.
+* T2 incrementally kept states: ``streaming.states``.
 * T3 ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on event_id.
 * T4 ``tumbling_counts``: day windows with a watermark for late events
   (batch form for the oracle).
@@ -43,7 +39,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators import metrics as m
 from ..operators import notify as nt
 from ..operators import quality as qa
 from ..sources import events as ev
@@ -86,53 +81,6 @@ def ingest_stream(raw: DataFrame, store_path: str, rejects_path: str, checkpoint
     return queries
 
 
-# ------------------------------------------------------------------- T2
-
-def _partials(batch: DataFrame, batch_id: int):
-    views = m.movie_views_state(batch)
-    watch = m.watch_time_state(batch)
-    users = batch.select("event_date", "user_id").distinct()
-    tag = F.lit(batch_id).cast("long").alias("batch_id")
-    return {"movie_views": views.select(tag, "*"), "watch_time": watch.select(tag, "*"),
-            "user_days": users.select(tag, "*")}
-
-
-def incremental_states(spark: SparkSession, store_path: str, states_root: str, checkpoint: str,
-                       max_files: int = 8):
-    """Fold the store's micro-batches into partial state tables."""
-    schema = spark.read.parquet(store_path).schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(store_path)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()          # read once, feeds three partial tables
-        try:
-            for name, df in _partials(batch, batch_id).items():
-                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(f"{states_root}/{name}"))
-        finally:
-            batch.unpersist()
-
-    q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    run_available(q)
-    return q
-
-
-def merged_movie_views(spark: SparkSession, states_root: str) -> DataFrame:
-    return (spark.read.parquet(f"{states_root}/movie_views").groupBy("event_date", "movie_id")
-            .agg(F.sum("views").alias("views")))
-
-
-def merged_watch_time(spark: SparkSession, states_root: str) -> DataFrame:
-    return (spark.read.parquet(f"{states_root}/watch_time").groupBy("event_date")
-            .agg(F.sum("sum_sec").alias("sum_sec"), F.sum("n").alias("n")))
-
-
-def merged_dau(spark: SparkSession, states_root: str) -> DataFrame:
-    return (spark.read.parquet(f"{states_root}/user_days").select("event_date", "user_id").distinct()
-            .groupBy("event_date").agg(F.count(F.lit(1)).alias("dau")))
-
-
 # ------------------------------------------------------------------- T3/T4
 
 def dedup_stream(stored_stream: DataFrame, delay: str = "1 hour", key: str = "event_id") -> DataFrame:

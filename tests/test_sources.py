@@ -93,3 +93,32 @@ def test_observed_publish_count(spark):
     counted, obs = ev.observe_published(frames)
     counted.write.format("noop").mode("overwrite").save()
     assert obs.get["published"] == fx.movie_events(spark, SF001).count()
+
+
+def test_replaced_days_may_be_read_by_their_replacement(spark):
+    """``new`` is computed from the table it replaces; a value without a new row ends empty."""
+    from marquee.operators import store as st
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "replace-self")
+    rows = [(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (3, "c", "2024-01-02"), (4, "d", "2024-01-03")]
+    first = spark.createDataFrame(rows, "n int, k string, day string").selectExpr("n", "k", "cast(day as date) as day")
+    st.upsert_table(spark, path, first, ["k"], "day")
+    table = spark.read.parquet(path)
+    new = table.where("k <> 'd'").selectExpr("n * 10 as n", "k", "day")
+    got = st.upsert_table(spark, path, new, ["day"], "day", replace=["2024-01-01", "2024-01-03"])
+    assert sorted((r.n, r.k, str(r.day)) for r in got.collect()) == [(3, "c", "2024-01-02"), (10, "a", "2024-01-01"), (20, "b", "2024-01-01")]
+
+
+def test_a_failed_replacement_leaves_the_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from marquee.operators import store as st
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "replace-fails")
+    first = spark.createDataFrame([(1, "a")], "n int, k string").withColumn("day", F.lit("2024-01-01").cast("date"))
+    st.upsert_table(spark, path, first, ["k"], "day")
+    broken = first.withColumn("n", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        st.upsert_table(spark, path, broken, ["k"], "day", replace=["2024-01-01"]).collect()
+    assert spark.read.parquet(path).count() == 1
