@@ -1,13 +1,15 @@
 """Operator 2: nearest neighbours by inner product over robust-pruned graphs.
 
-Vectors are dealt into shards of bounded size.  Each shard builds a directed
-graph: a greedy search over the graph so far proposes a node's neighbours, and
+Vectors are dealt by length into shards of bounded size.  Each shard builds a
+directed graph: a greedy search over the graph so far proposes a node's neighbours, and
 relaxed distance pruning keeps diverse ones.  Queries run a beam search on
 every shard's graph, and the shards' bests are merged.
 
 Inner product becomes distance by one more component, sqrt(M^2 - |x|^2) with M
-the largest norm: all nodes then have length M and the largest inner product
-is the smallest distance.  Distances are taken in double precision as that of
+the largest norm of the shard: all its nodes then have length M and the largest
+inner product is the smallest distance.  In a shard of similar lengths that
+component is small, so the graph follows the vectors' own directions; over
+uneven lengths it would swamp them.  Distances are taken in double precision as that of
 the vectors and that of the extra components, so that one long vector does not
 cancel those between short ones.
 """
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import written
 
-DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 48, 64, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 48, 160, 1.2
 #: Distinct vectors per shard at most on average; at least MIN_SHARDS shards for the cluster's width.
-SHARD_ROWS, MIN_SHARDS = 32768, 8
+SHARD_ROWS, MIN_SHARDS = 8192, 8
+#: Largest ratio of lengths in a shard, and the most bands of such lengths.
+BAND, MAX_BANDS = 1.1, 256
 #: Queries that one task searches a shard for, on average.
 QUERY_BLOCK = 16384
 
@@ -170,10 +174,12 @@ def _matrix(column) -> np.ndarray:
     return arr.flatten().to_numpy(zero_copy_only=False).reshape(len(arr), -1) if len(arr) else np.zeros((0, 0))
 
 
-def _index(largest, degree, beam, relax, group: pa.Table) -> pa.Table:
+def _index(degree, beam, relax, group: pa.Table) -> pa.Table:
     """One shard's nodes with their out-neighbours; starts come first."""
     group = group.sort_by([("first", "ascending")])
-    nodes, graph, starts = build_graph(_matrix(group.column("vec")).astype(np.float64), largest, degree, beam, relax)
+    vectors = _matrix(group.column("vec")).astype(np.float64)
+    largest = float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()))
+    nodes, graph, starts = build_graph(vectors, largest, degree, beam, relax)
     n = len(group)
     is_start = np.zeros(n, bool)
     is_start[starts] = True
@@ -236,30 +242,41 @@ def usable(table: DataFrame) -> DataFrame:
     return rows.where(F.size("vec") == (sizes[0]["d"] if sizes else 0))
 
 
-def build_index(rows: DataFrame, k: int, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX) -> DataFrame | None:
+def build_index(rows: DataFrame, k: int, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX,
+                shard_rows: int = SHARD_ROWS, min_shards: int = MIN_SHARDS) -> DataFrame | None:
     """(shard, node, start, vec, ids, near): the written graphs of all shards;
     None without rows.  Equal vectors are one node with its k + 1 least ids,
-    which is all that k nearest others can ask of it."""
+    which is all that k nearest others can ask of it.  A shard holds lengths
+    within a factor of ``BAND`` (more only where they span over ``MAX_BANDS``
+    such bands); large bands are split by hash."""
     copies = Window.partitionBy("vec").orderBy("vec_id")
     nodes = (rows.withColumn("n", F.dense_rank().over(copies)).where(F.col("n") <= k + 1)
              .groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")))
     nodes = written(nodes, "ann-nodes")
-    norm = F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
-    n, largest = nodes.agg(F.count("*"), F.max(F.sqrt(norm))).first()
+    square = F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
+    length = F.greatest(F.lit(1e-150), F.least(F.sqrt(square), F.lit(1e150)))
+    sized = nodes.select("vec", "ids", length.alias("length"))
+    n, low, high = sized.agg(F.count("*"), F.min("length"), F.max("length")).first()
     if not n:
         return None
-    shards = max(MIN_SHARDS, -(-n // SHARD_ROWS))
-    dealt = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int").alias("shard"), "vec", "ids", F.element_at("ids", 1).alias("first"))
+    ratio = max(BAND, (high / low) ** (1 / MAX_BANDS))
+    banded = sized.withColumn("band", F.floor(F.log(F.col("length") / low) / float(np.log(ratio))).cast("int"))
+    per_band = {r["band"]: r["count"] for r in banded.groupBy("band").count().collect()}  # at most MAX_BANDS + 1 rows
+    parts = {b: max(-(-c // shard_rows), -(-c * min_shards // n)) for b, c in per_band.items()}
+    first = dict(zip(sorted(parts), np.concatenate([[0], np.cumsum([parts[b] for b in sorted(parts)])[:-1]]).astype(int).tolist()))
+    pick = lambda by: F.element_at(F.create_map(*[F.lit(int(x)) for b in sorted(by) for x in (b, by[b])]), F.col("band"))
+    shard = (pick(first) + F.pmod(F.xxhash64("vec"), pick(parts).cast("long"))).cast("int")
+    dealt = banded.select(shard.alias("shard"), "vec", "ids", F.element_at("ids", 1).alias("first"))
     kind = nodes.schema["vec"].dataType.simpleString()
 
     def shard_graph(group: pa.Table) -> pa.Table:
-        return _index(largest, degree, beam, relax, group)
+        return _index(degree, beam, relax, group)
 
     index = dealt.groupBy("shard").applyInArrow(shard_graph, f"shard int, node int, start boolean, vec {kind}, ids array<bigint>, near array<int>")
     return written(index, "ann-index")
 
 
-def nearest(table: DataFrame, every: int = 20, k: int = 20, search_beam: int = SEARCH_BEAM) -> DataFrame:
+def nearest(table: DataFrame, every: int = 20, k: int = 20, search_beam: int = SEARCH_BEAM, shard_rows: int = SHARD_ROWS, min_shards: int = MIN_SHARDS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for every usable row whose
     vec_id ``every`` divides, the ``k`` other rows of the largest inner product
     found, ties to the smaller vec_id; score is the inner product of the
@@ -275,7 +292,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, search_beam: int = S
     """
     spark = table.sparkSession
     rows = usable(table)
-    index = build_index(rows, k)
+    index = build_index(rows, k, shard_rows=shard_rows, min_shards=min_shards)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.xxhash64("vec").alias("query_key"), "vec").distinct()

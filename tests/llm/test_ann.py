@@ -1,11 +1,12 @@
 import numpy as np
+import pytest
 
 from llm_cases import llm_spark  # noqa: F401
 from marquee.llm import ann
 
 
-def _brute(rows, every, k):
-    ok = [(i, v) for i, v in rows if i is not None and v and len(v) == 16 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+def _brute(rows, every, k, dims=16):
+    ok = [(i, v) for i, v in rows if i is not None and v and len(v) == dims and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     ok = {(i, tuple(np.float32(v).tolist())) for i, v in ok}
     out = {}
     for i, v in ok:
@@ -86,3 +87,21 @@ def test_pruning_keeps_diverse_neighbours():
     full[4] = 0
     out = ann.robust_prune(full, np.array([0]), np.array([[1, 2, 3, 0]]), 4, 2, 1.2)
     assert out[0].tolist() == [1, 3]
+
+
+@pytest.mark.parametrize("uneven", [False, True])
+def test_recall_of_full_shards(llm_spark, uneven):
+    """64 dimensions without any structure: two whole shards of one length, or lengths from 0.5 to 1.5."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(2 * ann.SHARD_ROWS, 64))
+    v *= (rng.uniform(0.5, 1.5, (len(v), 1)) if uneven else 1) / np.linalg.norm(v, axis=1, keepdims=True)
+    v = v.astype(np.float32)
+    df = llm_spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<float>")
+    got = ann.nearest(df, 80, 20, min_shards=2).collect()
+    queries = np.arange(0, len(v), 80)
+    score = v[queries].astype(float) @ v.T.astype(float)
+    score[np.arange(len(queries)), queries] = -np.inf
+    best = {q: set(np.argsort(-s)[:20].tolist()) for q, s in zip(queries.tolist(), score)}
+    recall = sum(r.vec_id in best[r.query_id] for r in got) / len(got)
+    print("recall", uneven, recall)
+    assert len(got) == 20 * len(queries) and recall >= 0.9
