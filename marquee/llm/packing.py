@@ -1,12 +1,13 @@
 """Operator 3: packing token pieces by a configuration linear program.
 
 Only the histogram of piece lengths (at most the capacity's number of
-lengths) decides how sequences are filled.  The driver covers it by filling
-patterns: multiplicative weights on the lengths, a knapsack dynamic program
-that prices the patterns under them, and a whole number of sequences for each
-pattern taken, until all but a hundredth of the pieces are placed; the last
-ones are put by best fit, again on the histogram.  The plan, whose size the histogram bounds, then numbers the
-pieces inside Spark tasks.
+lengths) decides how sequences are filled.  The driver covers it by patterns
+that fill a sequence exactly: multiplicative weights on the lengths, a
+knapsack dynamic program that prices the exact fills under them, and a whole
+number of sequences for each pattern taken, for a bounded number of rounds;
+the pieces that rounding leaves are put by best fit, again on the histogram.
+The plan, whose size the histogram bounds, then numbers the pieces inside
+Spark tasks.
 """
 
 from __future__ import annotations
@@ -27,10 +28,32 @@ from marquee.llm.common import written
 from marquee.llm.words import flat
 
 CAPACITY = 2048
-#: Most rounds of multiplicative weights: none, they end when the program has placed all but this share of the pieces.
-ROUNDS, LEFT_OVER = None, 0.01
-#: Most cached words per Python worker; a fuller cache starts anew.
-CACHED_CHUNKS, CACHED_WORDS = 150_000, 250_000
+#: How the query's program runs: rounds at most, share of a length per round, patterns near the best, pieces kept for filling up.
+PROGRAM = {"rounds": 200, "step": 0.25, "near": 0.05, "eps": 0.01, "reserve": 0.0625, "exact": True}
+#: Most cached words of a generation per Python worker; a full generation replaces the one before it.
+CACHED_CHUNKS, CACHED_WORDS = 120_000, 160_000
+
+
+class _Cache:
+    """Two generations of a bounded cache: what is asked for again moves to
+    the young one, so frequent words stay."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that must be learned; those of the old generation move up."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        todo = []
+        for k in keys.difference(young):
+            v = old.get(k)
+            if v is None:
+                todo.append(k)
+            else:
+                young[k] = v
+        return todo
 
 
 class _Tokens:
@@ -39,7 +62,8 @@ class _Tokens:
     White space ends every pre-token of the vocabulary, so a text's ids are its
     chunks' ids in a row; a chunk's are those of its letter runs, digits and
     other runs.  Both are remembered.  Chunks beyond plain Latin letters and
-    ASCII (or with an apostrophe, which may join) are encoded as they stand.
+    ASCII (or with an apostrophe, which may join) are encoded as they stand,
+    and so are whole texts that may hold an added token of the vocabulary.
     """
 
     _PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
@@ -52,50 +76,48 @@ class _Tokens:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks, self.words = _Cache(CACHED_CHUNKS), _Cache(CACHED_WORDS)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_words(self, words: set[str]) -> None:
+    def _learn_words(self, words: list[str]) -> None:
         """Encodes many words at once: between spaces each is one pre-token,
         whose last id is the only one that ends a word."""
-        todo = iter(words)
-        while group := list(islice(todo, 64)):
+        todo, known = iter(words), self.words.young
+        while group := list(islice(todo, 256)):
             ids = np.array(self.tok.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(group):
                 for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
-                    self.words[w] = ids[a:b].tobytes()
+                    known[w] = ids[a:b].tobytes()
             else:
                 for w in group:
-                    self.words[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+                    known[w] = self._whole(w)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(self.chunks)
+        marked = [b"<|" in t for t in texts]
+        split = [[] if m else t.split() for t, m in zip(texts, marked, strict=True)]
         parts, odd = {}, []
-        for c in new:
+        for c in self.chunks.missing(set().union(*split)):
             s = c.decode()
             if self._PLAIN.fullmatch(s):
-                parts[c] = self._PARTS.findall(s.lower())
+                s = s.lower()
+                parts[c] = [s] if s.isalpha() and s.isascii() else self._PARTS.findall(s)
             else:
                 odd.append((c, s))
-        unknown = {w for p in parts.values() for w in p}.difference(self.words)
+        unknown = self.words.missing({w for p in parts.values() for w in p})
         if unknown:
             self._learn_words(unknown)
-        words, chunks = self.words, self.chunks
+        words, chunks = self.words.young, self.chunks.young
         for c, p in parts.items():
             chunks[c] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
         for (c, _), e in zip(odd, self.tok.encode_batch_fast([s for _, s in odd], add_special_tokens=False) if odd else (), strict=True):
             chunks[c] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(chunks.__getitem__, cs)) for cs in split]
+        return [self._whole(t.decode()) if m else b"".join(map(chunks.__getitem__, cs)) for t, cs, m in zip(texts, split, marked, strict=True)]
 
 
 _tokens: dict[str, _Tokens] = {}
@@ -132,15 +154,18 @@ def _pieces(path, capacity, batches):
             names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank_in_part"])
 
 
-def _price(value: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The greatest value that fits each space, and the index of a length that
-    reaches it (-1: the space is left open): unbounded knapsack by dynamic
-    programming over the space used."""
-    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
+def _price(value: np.ndarray, lengths: np.ndarray, capacity: int, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest value that fits each space (``exact``: that fills it, -inf
+    where nothing does), and the index of a length that reaches it (-1: none,
+    the space is left open): unbounded knapsack by dynamic programming over
+    the space used."""
+    best, take = np.full(capacity + 1, -np.inf if exact else 0.0), np.full(capacity + 1, -1, np.int64)
+    best[0] = 0
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for space in range(1, capacity + 1):
         k = fits[space]
-        best[space] = best[space - 1]
+        if not exact:
+            best[space] = best[space - 1]
         if k:
             gain = value[:k] + best[space - lengths[:k]]
             top = int(gain.argmax())
@@ -149,50 +174,58 @@ def _price(value: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.nd
     return best, take
 
 
-def _pattern(seed: int, value: np.ndarray, lengths: np.ndarray, best: np.ndarray, take: np.ndarray, room: np.ndarray, least: float) -> dict[int, int] | None:
+def _pattern(seed: int, value: np.ndarray, lengths: np.ndarray, best: np.ndarray, take: np.ndarray, room: np.ndarray, least: float, exact: bool) -> dict[int, int] | None:
     """The best pattern (index of length -> copies) that holds ``seed``, of at
-    most ``room`` copies each; None if its value is below ``least``."""
+    most ``room`` copies each; None if its value is below ``least`` or, where
+    it must be full, no pieces that are left fill it."""
     pattern = {seed: 1}
     room[seed] -= 1
     space, total = len(best) - 1 - int(lengths[seed]), value[seed]
     while space > 0 and total + best[space] >= least:
         k = int(take[space])
-        if k >= 0 and not room[k]:  # priced without bounds: the best that is there
+        if k < 0:
+            if exact:
+                break
+            space -= 1
+            continue
+        if not room[k]:  # priced without bounds: the best that is there
             fits = int(np.searchsorted(lengths, space, "right"))
-            gain = np.where(room[:fits] > 0, value[:fits] + best[space - lengths[:fits]], -1.0)
+            gain = np.where(room[:fits] > 0, value[:fits] + best[space - lengths[:fits]], -np.inf)
             k = int(gain.argmax())
-            if gain[k] < 0:
+            if gain[k] == -np.inf:
                 break
-        if k >= 0:
-            pattern[k] = pattern.get(k, 0) + 1
-            room[k] -= 1
-            total += value[k]
-        space -= int(lengths[k]) if k >= 0 else 1
+        pattern[k] = pattern.get(k, 0) + 1
+        room[k] -= 1
+        total += value[k]
+        space -= int(lengths[k])
     for k, c in pattern.items():
         room[k] += c
-    return pattern if total >= least else None
+    return pattern if total >= least and not (exact and space) else None
 
 
-def _program(left: dict[int, int], capacity: int, rounds: int | None, rate: float, step: float, near: float, eps: float) -> dict[tuple, int]:
-    """Whole numbers of sequences by pattern; takes their pieces out of ``left``."""
+def _program(left: dict[int, int], capacity: int, rounds: int | None, rate: float, step: float, near: float, eps: float, exact: bool):
+    """After every round the whole numbers of sequences by pattern and the
+    pieces that are left."""
     solved: dict[tuple, int] = {}
+    left = dict(left)
     at_first, done = dict(left), 0
     enough = eps * sum(left.values())
     while left and sum(left.values()) > enough and (rounds is None or done < rounds):
         done += 1
+        placed = sum(solved.values())
         lengths = np.array(sorted(left), np.int64)
         n, have = (np.array([d[k] for k in lengths.tolist()], np.int64) for d in (at_first, left))
         share = lengths / capacity
         covered = 1 - have / n
         value = share * (1 + 0.05 * share) * np.exp(-rate * (covered - covered.min()))
-        best, take = _price(value, lengths, capacity)
+        best, take = _price(value, lengths, capacity, exact)
         room = np.minimum(have, np.maximum(1, (step * n).astype(np.int64)))
         through = value + best[capacity - lengths]
         least = 0.0  # the first pattern is taken as it comes
         for seed in np.argsort(-through, kind="stable").tolist():
             if through[seed] < least:
                 break
-            pattern = _pattern(seed, value, lengths, best, take, room, least) if room[seed] else None
+            pattern = _pattern(seed, value, lengths, best, take, room, least, exact) if room[seed] else None
             if pattern is None:
                 continue
             least = (1 - near) * best[capacity]
@@ -205,35 +238,15 @@ def _program(left: dict[int, int], capacity: int, rounds: int | None, rate: floa
         left.update(zip(lengths.tolist(), have.tolist(), strict=True))
         for k in lengths[have == 0].tolist():
             del left[k]
-    return solved
+        if sum(solved.values()) == placed:
+            break
+        yield dict(solved), dict(left)
 
 
-def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = ROUNDS, rate: float = 20.0, step: float = 0.1,
-                  near: float = 0.005, eps: float = LEFT_OVER, figures: dict | None = None) -> list[tuple[dict[int, int], int]]:
-    """Patterns with their numbers of sequences, holding exactly ``counts``.
-
-    Multiplicative weights: a length's weight falls exponentially with the
-    share of its pieces that is covered, so lengths run out together.  Each
-    round prices all patterns at once and takes, for every length, the best
-    pattern that holds it if that is worth at least 1 - ``near`` of the best
-    one, a ``step`` of its scarcest length (one sequence at least): whole
-    numbers, so what rounding leaves is priced again.  Rounds go on until at
-    most ``eps`` of the pieces are left (or ``rounds`` are done).  Those go,
-    longest first, by best fit into the space of the patterns and into new
-    sequences, class of equal sequences by class; the work depends on the
-    histogram alone.  ``figures`` takes the number of pieces below the
-    capacity (``pieces``) and of those that the program placed (``placed``).
-    """
-    left = {n: c for n, c in counts.items() if c > 0}
-    plan: list[tuple[dict[int, int], int]] = []
-    if capacity in left:
-        plan.append(({capacity: 1}, left.pop(capacity)))
-    pieces = sum(left.values())
-    plan += [(dict(key), times) for key, times in _program(left, capacity, rounds, rate, step, near, eps).items()]
-    if figures is not None:
-        figures.update(pieces=pieces, placed=pieces - sum(left.values()))
+def _best_fit(plan: list[tuple[dict[int, int], int]], left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """The plan with the pieces that are left, longest first, in the narrowest
+    space that takes them: classes of equal sequences by free space."""
     lengths = np.array(sorted(left), np.int64)
-    # best fit of the rest: classes of equal sequences by free space
     open_by: dict[int, list[tuple[dict[int, int], int]]] = {}
     for pattern, times in plan:
         open_by.setdefault(capacity - sum(k * c for k, c in pattern.items()), []).append((pattern, times))
@@ -265,6 +278,53 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int
     return [x for s in sorted(open_by) for x in open_by[s]]
 
 
+def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None, rate: float = 20.0, step: float = 0.1,
+                  near: float = 0.005, eps: float = 0.01, reserve: float = 0.0, exact: bool = False, figures: dict | None = None) -> list[tuple[dict[int, int], int]]:
+    """Patterns with their numbers of sequences, holding exactly ``counts``.
+
+    Multiplicative weights: a length's weight falls exponentially with the
+    share of its pieces that is covered, so lengths run out together.  Each
+    round prices all patterns at once and takes, for every length, the best
+    one that holds it if that is worth at least 1 - ``near`` of the best of
+    all, a ``step`` of its scarcest length (one sequence at least): whole
+    numbers, so what rounding leaves is priced again.  Rounds end after
+    ``rounds`` (None: no bound), when nothing more is taken, or when at most
+    ``eps`` of the pieces are left; those go by best fit, class of equal
+    sequences by class.
+
+    With ``exact`` only patterns that fill a sequence are priced, pieces up to
+    ``reserve`` of the capacity are kept to fill up the others, and of the
+    depths at which the program can hand over to best fit (every twentieth of
+    the pieces) the one of fewest sequences, then of most placed pieces, is
+    taken.  A round's work is bounded by the capacity and the number of
+    lengths, whatever the counts.  ``figures`` takes the number of pieces
+    below the capacity (``pieces``) and of those that the program placed
+    (``placed``).
+    """
+    left = {n: c for n, c in counts.items() if c > 0}
+    whole = [({capacity: 1}, left.pop(capacity))] if capacity in left else []
+    pieces = sum(left.values())
+    best, placed, kept = None, 0, -1.0
+    small = {k: c for k, c in left.items() if k <= reserve * capacity}
+    for solved, rest in _program({k: c for k, c in left.items() if k not in small}, capacity, rounds, rate, step, near, eps, exact):
+        rest.update(small)
+        share = 1 - sum(rest.values()) / pieces
+        if exact and best is not None and share < kept + 0.05:
+            continue
+        if not exact:  # only the last round counts
+            best, placed = (solved, rest), pieces - sum(rest.values())
+            continue
+        kept = share
+        plan = _best_fit([(dict(key), times) for key, times in solved.items()], rest, capacity)
+        if best is None or sum(t for _, t in plan) <= sum(t for _, t in best):
+            best, placed = plan, pieces - sum(rest.values())
+    if best is not None and not exact:
+        best = _best_fit([(dict(key), times) for key, times in best[0].items()], best[1], capacity)
+    if figures is not None:
+        figures.update(pieces=pieces, placed=placed)
+    return whole + (_best_fit([], left, capacity) if best is None else best)
+
+
 def _segments(plan) -> dict[str, np.ndarray]:
     """The plan by length: for rank s onwards, a copies per sequence from
     sequence q on, the first at offset o.  Sorted by (length, s)."""
@@ -301,7 +361,7 @@ def _placed(shared, batches):
         yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(sequence), pa.array(offset)], names=[*keep, "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, rounds: int | None = ROUNDS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, program: dict = PROGRAM) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset.
 
@@ -313,7 +373,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, rounds:
 
     ``tokenizer_path`` must name the vocabulary file on every executor.  To
     the driver come the histogram's at most ``capacity`` rows; what goes back
-    is the plan, at most a few patterns per length and round.
+    is the plan, at most a few patterns per length and round (``program`` sets
+    how it is made, see ``plan_patterns``).
     """
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -322,7 +383,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, rounds:
         f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part int, rank_in_part long"), "pack-pieces")
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    shared = spark.sparkContext.broadcast(_segments(plan_patterns(counts, capacity, rounds)))
+    shared = spark.sparkContext.broadcast(_segments(plan_patterns(counts, capacity, **program)))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("before"))
     ranked = pieces.join(offsets, ["part", "length"]).select(

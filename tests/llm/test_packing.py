@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t
 
 
