@@ -25,8 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later similar lines go out of the texts; documents left empty by that go."""
     prepare(spark)
-    out = lines.dedup_lines(docs)
-    return out.where(~F.col("emptied")).select(docs.columns)
+    return lines.cleaned(docs).where(~F.col("emptied")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,16 @@ def document_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nothing else; computed anew wherever it is needed, so no row number has
     to survive between two scans."""
     return [F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key")]
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """(row, id, text_hash): whole rows as one struct beside what names a
+    document, so that no column of theirs can clash; ``select("row.*")`` gives
+    them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+
+
+def same_document(right: DataFrame, id_col: str = "doc_id", key_col: str = "text_key"):
+    """(``right`` with its names out of the way, condition that joins it to carried rows)."""
+    renamed = right.withColumnsRenamed({id_col: "_right_id", key_col: "_right_hash"})
+    return renamed, F.col("id").eqNullSafe(F.col("_right_id")) & (F.col("text_hash") == F.col("_right_hash"))

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import carried, same_document, written
 from marquee.llm.words import flat, shingle_hashes, slices, word_hashes, word_spans
 
 WINDOW = 13
@@ -138,7 +138,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     lower-cased.  A window is ``window`` consecutive words of an item, or the
     whole of a shorter item; items without words have none.  Null and empty
     texts have no words and no hits; repeated documents repeat; repeated
-    items, ids and windows count once; a null item id counts as its own item,
+    items, ids and windows count once; very long texts are compared whole, their
+    hits are put together in one task; a null item id counts as its own item,
     written as an empty string; empty tables give no rows or no hits; other
     columns are not read.
 
@@ -191,7 +192,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
-    bad = contamination(docs, benchmark, window, shingle, share).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")).distinct()
-    match = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text_key"))
-    return docs.join(bad, match, "left_anti")
+    bad = contamination(docs, benchmark, window, shingle, share).where("contaminated").select("doc_id", "text_key").distinct()
+    bad, match = same_document(bad)
+    return carried(docs).join(bad, match, "left_anti").select("row.*")

@@ -17,8 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marquee.llm.common import shuffle_parts, written
+from marquee.llm.common import carried, same_document, shuffle_parts, written
 from marquee.llm.words import flat, mix, shingle_hashes, slices, word_hashes, word_spans
 
 SHINGLE = 5
@@ -184,13 +185,13 @@ def _totals(batches):
 
 
 def _prefixes(shared, shingle, similarity, batches):
-    """(key, sig, shape, parity) of every prefix token of every class met in
-    this task: key holds token and salt; shape holds size, place and salts."""
+    """(key, sig, shape, place, parity) of every prefix token of every class met
+    in this task: key holds token and salt; shape holds size and salts."""
     rarity, salts_of = shared.value[0].astype(np.uint64), shared.value[1]
     num, den = similarity
     seen: set[int] = set()
     for b in batches:
-        sigs, shapes, tokens_, parities = [], [], [], []
+        sigs, shapes, places, tokens_, parities = [], [], [], [], []
         for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle):
             for _, bounds, own in _sets(owner, tokens, rarity):
                 sig, size = _signatures(bounds, own), np.diff(bounds)
@@ -202,7 +203,8 @@ def _prefixes(shared, shingle, similarity, batches):
                 place = np.arange(len(which)) - np.repeat(np.cumsum(take) - take, take)
                 sigs.append(sig[which])
                 parities.append(_parities(bounds, own)[new][which])
-                shapes.append(size[which] << 32 | place << 16)
+                shapes.append(size[which] << 32)
+                places.append(place)
                 tokens_.append(own[begin[which] + place])
         if len(seen) > 1 << 18:
             seen.clear()
@@ -211,8 +213,9 @@ def _prefixes(shared, shingle, similarity, batches):
         sig, shape, token = np.concatenate(sigs), np.concatenate(shapes), np.concatenate(tokens_)
         salts = salts_of[(token >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64)].astype(np.int64)
         salt = mix(sig.view(np.uint64)) % salts.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array((token << np.uint64(16) | salt).view(np.int64)), pa.array(sig), pa.array(shape | salts), pa.array(np.concatenate(parities))],
-                                         names=["key", "sig", "shape", "parity"])
+        yield pa.RecordBatch.from_arrays([pa.array((token << np.uint64(16) | salt).view(np.int64)), pa.array(sig), pa.array(shape | salts),
+                                          pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(parities))],
+                                         names=["key", "sig", "shape", "place", "parity"])
 
 
 def _runs(batches, columns):
@@ -256,16 +259,17 @@ def _may_share(size_a, parity_a, size_b, parity_b, similarity):
 
 
 def _shape(shape: np.ndarray):
-    return shape >> 32, (shape >> 16) & 0xFFFF, shape & 0xFFFF
+    """Size and salts."""
+    return shape >> 32, shape & 0xFFFF
 
 
 def _live(similarity, batches):
     """Rows that have a class of fitting size, place and parities under their
     key, one per class; heavy keys (several salts) keep all their classes."""
     for table, cuts in _runs(batches, None):
-        sig, shape, key = (table.column(k).to_numpy() for k in ("sig", "shape", "key"))
+        sig, shape, place, key = (table.column(k).to_numpy() for k in ("sig", "shape", "place", "key"))
         parity = table.column("parity").to_numpy().view(np.uint64)
-        size, place, salts = _shape(shape)
+        size, salts = _shape(shape)
         keep = np.zeros(len(sig), bool)
         length = np.diff(cuts)
         two = cuts[:-1][length == 2]
@@ -291,7 +295,7 @@ def _live(similarity, batches):
                       & _may_share(size[x], parity[x], size[y], parity[y], similarity))
                 keep[x[ok]] = keep[y[ok]] = True
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(sig[keep]), pa.array(shape[keep])], names=["key", "sig", "shape"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(sig[keep]), pa.array(shape[keep]), pa.array(place[keep])], names=["key", "sig", "shape", "place"])
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -332,8 +336,8 @@ def _similar(similarity, batches):
     is similar.  Rows of a run come in order of their classes' first lines."""
     num, den = similarity
     for table, cuts in _runs(batches, None):
-        sig, shape, probe, answers = (table.column(k).to_numpy(zero_copy_only=False) for k in ("sig", "shape", "probe", "answers"))
-        size, place, salts = _shape(shape)
+        sig, shape, place, probe, answers = (table.column(k).to_numpy(zero_copy_only=False) for k in ("sig", "shape", "place", "probe", "answers"))
+        size, salts = _shape(shape)
         tokens = table.column("tokens").combine_chunks()
         values, at = tokens.values.to_numpy(), tokens.offsets.to_numpy()
         sets: dict[int, frozenset] = {}
@@ -393,8 +397,8 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     salts[heavy.column("bucket").to_numpy()] = np.clip(-(-heavy.column("n").to_numpy() // BLOCK), 1, 65535)
     shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
-    prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, parity long")
-    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(partial(_live, similarity), "key long, sig long, shape long"), "lines-live")
+    prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, place int, parity long")
+    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(partial(_live, similarity), "key long, sig long, shape long, place int"), "lines-live")
 
     lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))
@@ -407,17 +411,17 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     judged = "key long, sig long, salts long, found boolean"
 
     def judge(df, name):
-        dealt = df.select("key", "sig", "shape", "tokens", "first", "probe", "answers").repartition(parts, "key").sortWithinPartitions(*order)
+        dealt = df.select("key", "sig", "shape", "place", "tokens", "first", "probe", "answers").repartition(parts, "key").sortWithinPartitions(*order)
         return written(dealt.mapInArrow(partial(_similar, similarity), judged), name)
 
-    rows = rows.select("key", "sig", "shape", "tokens", "first")
+    rows = rows.select("key", "sig", "shape", "place", "tokens", "first")
     found = judge(rows.withColumn("probe", F.lit(True)).withColumn("answers", F.lit(True)), "lines-found")
     matched = found.where("found").select("sig")
     spread = found.where("salts > 1 and not found").join(matched.distinct(), "sig", "left_anti")
     if spread.limit(1).count():  # classes of a heavy token that nothing in their own salt matched: ask the other salts
         asked = spread.join(rows, ["key", "sig"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
         asked = asked.where(F.col("salt") != F.col("key").bitwiseAND(F.lit(0xFFFF))).select(
-            (F.col("key") - F.col("key").bitwiseAND(F.lit(0xFFFF)) + F.col("salt")).alias("key"), "sig", "shape", "tokens", "first", F.lit(True).alias("probe"), F.lit(False).alias("answers"))
+            (F.col("key") - F.col("key").bitwiseAND(F.lit(0xFFFF)) + F.col("salt")).alias("key"), "sig", "shape", "place", "tokens", "first", F.lit(True).alias("probe"), F.lit(False).alias("answers"))
         there = rows.where(F.col("shape").bitwiseAND(F.lit(0xFFFF)) > 1).withColumn("probe", F.lit(False)).withColumn("answers", F.lit(True))
         matched = matched.unionByName(judge(asked.unionByName(there), "lines-found2").where("found").select("sig"))
     matched = matched.distinct().withColumn("matched", F.lit(True))
@@ -429,18 +433,19 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     return survey, written(removed, "lines-removed")
 
 
-def _apply(names, batches):
-    """The text column without the removed lines; ``n_chars`` follows if there is one."""
+def _apply(batches):
+    """The rows without the removed lines; ``n_chars`` follows if there is one."""
     for b in batches:
-        text, removed = b.column("text"), b.column("_removed")
+        rows, removed = b.column("row"), b.column("removed")
+        names = [f.name for f in rows.type]
+        cols = dict(zip(names, rows.flatten(), strict=True))
         changed = removed.is_valid()
         gone = removed.filter(changed).to_pylist()
-        old, new = text.filter(changed).to_pylist(), []
+        old, new = cols["text"].filter(changed).to_pylist(), []
         for t, g in zip(old, gone, strict=True):
             out = set(g)
             new.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in out))
-        cols = {n: b.column(n) for n in names}
-        cols["text"] = pc.replace_with_mask(text, changed, pa.array(new, text.type))
+        cols["text"] = pc.replace_with_mask(cols["text"], changed, pa.array(new, cols["text"].type))
         if "n_chars" in cols:
             kind = cols["n_chars"].type
             cols["n_chars"] = pc.replace_with_mask(cols["n_chars"], changed, pa.array([len(t) for t in new], pa.int64()).cast(kind))
@@ -449,27 +454,32 @@ def _apply(names, batches):
         sizes = np.zeros(b.num_rows, np.int64)
         sizes[changed.to_numpy(zero_copy_only=False)] = [len(g) for g in gone]
         listed = _lists(sizes, np.array([k for g in gone for k in sorted(g)], np.int32))
-        yield pa.RecordBatch.from_arrays([*cols.values(), listed, pa.array(emptied)], names=[*names, "removed_lines", "emptied"])
+        yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(list(cols.values()), names), listed, pa.array(emptied)], names=["row", "removed_lines", "emptied"])
 
 
-def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """``docs`` (its columns) with later similar lines taken out of text, plus
-    removed_lines (their numbers from 0) and emptied (lines went and none is left).
+def cleaned(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """row (a struct of the columns of ``docs``, later similar lines taken out
+    of text), removed_lines (their numbers from 0), emptied (lines went and
+    none is left).
 
     Lines end at line feeds; words are runs of letters, digits and non-ASCII
     characters, A-Z lower-cased.  Lines without a word are never removed; a
     line of fewer than ``shingle`` words is similar only to lines of the same
     words.  Earlier means a smaller (doc_id, text hash, line number), null
     ids first; rows that repeat one (doc_id, text) are one document and get
-    one result; a null text stays null; ties inside a class go to the first
-    line; an empty table gives no rows; a column that is already called
-    removed_lines or emptied gives way.
+    one result; a null text stays null; very long texts are read whole, a
+    line of one in one task; ties inside a class go to the first line; an
+    empty table gives no rows; columns of any name are kept.
     """
-    docs = docs.drop("removed_lines", "emptied", "_removed")
     _, removed = removals(docs, shingle, similarity)
-    r = removed.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key"), F.col("lines").alias("_removed"))
-    match = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text_key"))
-    names = docs.columns
-    joined = docs.join(r, match, "left").select(*[docs[n] for n in names], "_removed")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(partial(_apply, names), f"{schema}, removed_lines array<int>, emptied boolean")
+    r, match = same_document(removed.withColumnRenamed("lines", "removed"))
+    joined = carried(docs).join(r, match, "left").select("row", "removed")
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("removed_lines", T.ArrayType(T.IntegerType())), T.StructField("emptied", T.BooleanType())])
+    return joined.mapInArrow(_apply, schema)
+
+
+def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """``cleaned`` with the columns of ``docs`` beside removed_lines and
+    emptied; columns that already have these names give way."""
+    docs = docs.drop("removed_lines", "emptied", "_removed")
+    return cleaned(docs, shingle, similarity).select("row.*", "removed_lines", "emptied")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import shuffle_parts, written
+from marquee.llm.common import carried, same_document, shuffle_parts, written
 from marquee.llm.components import components
 from marquee.llm.words import flat
 
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFra
 
     Null, empty and wordless texts have fingerprint zero and link like any
     other; a text of fewer words than ``shingle`` has its whole sequence as
-    its one shingle; repeated rows repeat; null ids are passed over for the
+    its one shingle; very long texts are hashed whole; repeated rows repeat; null ids are passed over for the
     least id (all null: null); other columns are not read; an empty table
     gives no rows.
     """
@@ -221,11 +221,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
     kept = rooted.groupBy("root").agg(first, F.count("*").alias("rows")).select("first.doc_id", "first.text_key", "rows")
     kept = written(kept, "simhash-kept")
-    cols = docs.columns
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    k = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key"), "rows")
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text_key"))
+    keyed = carried(docs)
+    k, match = same_document(kept)
     # a class of one row cannot hold a repeated row; only the rest is looked through for them
-    alone = keyed.join(k.where("rows = 1"), match, "left_semi").select(cols)
-    rest = keyed.join(k.where("rows > 1"), match, "left_semi")
-    return alone.unionByName(rest.dropDuplicates(["doc_id", "_key"]).select(cols))
+    alone = keyed.join(k.where("rows = 1"), match, "left_semi")
+    rest = keyed.join(k.where("rows > 1"), match, "left_semi").dropDuplicates(["id", "text_hash"])
+    return alone.unionByName(rest).select("row.*")

@@ -5,7 +5,7 @@ import pytest
 SF001, SF0001 = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = ("row_id", "text_key", "fp", "sig", "shard", "size", "score", "length", "words", "part", "rank", "removed_lines", "emptied", "_removed",
-         "row", "lang_pred", "toxic", "key", "spans", "item", "n", "token")
+         "_id", "_key", "_text_key", "id", "text_hash", "_right_id", "removed", "row", "lang_pred", "toxic", "key", "spans", "item", "n", "token")
 
 
 @pytest.fixture(scope="session")
