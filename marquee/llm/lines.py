@@ -140,7 +140,7 @@ def _survey(shingle, batches):
     """Per document the class of each line that has words; per run of tokens
     the counters of the rarity table and the heavy tokens."""
     ids, names = None, ["doc_id", "text_key", "n_lines", "line", "sig", "counters", "heavy", "heavy_n"]
-    counts, heavy = np.zeros(1 << RARITY_BITS, np.int64), _Heavy()
+    counts, heavy, buckets = np.zeros(1 << RARITY_BITS, np.int64), _Heavy(), []
     longs, ints, blobs = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary())
 
     def record(id_type, counters, heavy, heavy_n):
@@ -159,9 +159,12 @@ def _survey(shingle, batches):
                 here += np.bincount(row[at], minlength=n)
                 lines.append(number[at].astype(np.int32))
                 sigs.append(sig)
-                counts += np.bincount((own >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64), minlength=len(counts))
+                buckets.append((own >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int32))
                 heavy.add(sig, bounds, own)
             held.append(here)
+            if sum(map(len, buckets)) >= _RUN:  # the table is long: added to in large pieces
+                counts += np.bincount(np.concatenate(buckets), minlength=len(counts))
+                buckets = []
             if heavy.held >= _RUN and (got := heavy.close())[0]:
                 yield record(ids, None, *got)
         held = np.concatenate(held) if held else np.zeros(0, np.int64)
@@ -170,6 +173,7 @@ def _survey(shingle, batches):
             [b.column("doc_id"), b.column("text_key"), pa.array(np.concatenate(n_lines or [held]).astype(np.int32)),
              _lists(held, np.concatenate(lines)), _lists(held, np.concatenate(sigs)), *nothing], names=names)
     if ids is not None:
+        counts += np.bincount(np.concatenate(buckets or [np.zeros(0, np.int32)]), minlength=len(counts))
         yield record(ids, [x.tobytes() for x in np.split(np.minimum(counts, 65535).astype("<u2"), SEGMENTS)], *heavy.close())
 
 
