@@ -36,11 +36,18 @@ BLOCK = 512
 FILTER_BITS = 23
 _RUN = 1 << 20  # tokens per run
 _TOKEN = np.uint64(48)
+_ROW = ["key", "sig", "shape", "place", "parity"]
+#: Earlier classes that a class is checked against first, per key; what is left asks for four times as many next.
+ASKED = 2
+#: Pairs of rows that are looked at in one step.
+PAIRS = 1 << 20
+#: Rows of a run up to which all its pairs are looked at; longer runs go by size.
+LOOKED = 64
 
 
 def _line_tokens(column, shingle: int):
     """Per slice of rows: (first row, rows, row and number of every line,
-    line of every token, 48-bit tokens); tokens come in line order."""
+    line of every token, 64-bit tokens); tokens come in line order."""
     data, offs = flat(column)
     for i0, i1 in slices(offs, 1 << 20):
         sub, lo = data[offs[i0]:offs[i1]], offs[i0:i1 + 1] - offs[i0]
@@ -69,29 +76,37 @@ def _line_tokens(column, shingle: int):
                 owner.append(line[short][at])
         tokens, owner = np.concatenate(tokens), np.concatenate(owner)
         order = np.argsort(owner, kind="stable") if len(owner) and (np.diff(owner) < 0).any() else slice(None)
-        yield i0, n, row, number, owner[order], tokens[order] >> np.uint64(16)
+        yield i0, n, row, number, owner[order], tokens[order]
 
 
 def _sets(owner: np.ndarray, tokens: np.ndarray, rarity: np.ndarray | None = None):
-    """Distinct tokens per line, ordered by (rarity, token): yields (lines,
-    bounds into the tokens, tokens) for up to 1,024 lines at a time."""
+    """Distinct 48-bit tokens per line, ordered by (rarity, token): yields
+    (lines, bounds into the tokens, tokens, names of the token sets, begins
+    and ends of the lines in what came in) for up to 1,024 lines at a time."""
     i = 0
     while i < len(owner):
         base = int(owner[i])
         j = int(np.searchsorted(owner, base + 1024))
-        key = (owner[i:j] - base).astype(np.uint64) << np.uint64(54) | tokens[i:j]
+        near = owner[i:j] - base
+        begin = i + np.concatenate([[0], np.flatnonzero(near[1:] != near[:-1]) + 1])
+        key = near.astype(np.uint64) << np.uint64(54) | tokens[i:j] >> np.uint64(16)
         if rarity is not None:
-            key |= rarity[(tokens[i:j] >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64)] << _TOKEN
-        key = np.unique(key)
+            key |= rarity[(tokens[i:j] >> np.uint64(64 - RARITY_BITS)).astype(np.int64)] << _TOKEN
+        key.sort()
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
         line = (key >> np.uint64(54)).astype(np.int64)
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(line)) + 1, [len(line)]])
-        yield line[bounds[:-1]] + base, bounds, key & np.uint64((1 << 48) - 1)
+        own = key & np.uint64((1 << 48) - 1)
+        yield line[bounds[:-1]] + base, bounds, own, _signatures(bounds, own, tokens[begin]), begin, np.append(begin[1:], j)
         i = j
 
 
-def _signatures(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """One 64-bit name per token set, whatever the order."""
-    return mix(np.add.reduceat(mix(tokens), bounds[:-1]) + np.diff(bounds).astype(np.uint64)).view(np.int64)
+def _signatures(bounds: np.ndarray, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One 64-bit name per token set, whatever the order.  A set of one token,
+    as most short lines are, is named by all 64 bits of it (``first``)."""
+    size = np.diff(bounds)
+    total = np.add.reduceat(mix(tokens), bounds[:-1]) + size.astype(np.uint64)
+    return mix(np.where(size == 1, mix(first), total)).view(np.int64)
 
 
 def _parities(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -100,6 +115,11 @@ def _parities(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), bounds[:-1]).view(np.int64)
 
 
+def _distinct(tokens: np.ndarray) -> np.ndarray:
+    tokens = np.sort(tokens)
+    return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
+
+
 def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
     """A list column: the next ``counts`` values of each row."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
@@ -154,8 +174,7 @@ def _survey(shingle, batches):
         for _, n, row, number, owner, tokens in _line_tokens(b.column("text"), shingle):
             n_lines.append(np.bincount(row, minlength=n))
             here = np.zeros(n, np.int64)
-            for at, bounds, own in _sets(owner, tokens):
-                sig = _signatures(bounds, own)
+            for at, bounds, own, sig, _, _ in _sets(owner, tokens):
                 here += np.bincount(row[at], minlength=n)
                 lines.append(number[at].astype(np.int32))
                 sigs.append(sig)
@@ -197,8 +216,8 @@ def _prefixes(shared, shingle, similarity, batches):
     for b in batches:
         sigs, shapes, places, tokens_, parities = [], [], [], [], []
         for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle):
-            for _, bounds, own in _sets(owner, tokens, rarity):
-                sig, size = _signatures(bounds, own), np.diff(bounds)
+            for _, bounds, own, sig, _, _ in _sets(owner, tokens, rarity):
+                size = np.diff(bounds)
                 # a class's rows are alike wherever it stands: its first line here will do
                 new = np.flatnonzero(_unseen(sig, seen))
                 sig, size, begin = sig[new], size[new], bounds[:-1][new]
@@ -267,29 +286,42 @@ def _shape(shape: np.ndarray):
     return shape >> 32, shape & 0xFFFF
 
 
+def _pairs(begin, asks):
+    """(i, j): every row before row j of its run, for the rows that ask; about
+    PAIRS of them at a time, or all of one row."""
+    earlier = asks - begin[asks]
+    ends = np.cumsum(earlier)
+    a = 0
+    while a < len(asks):
+        done = ends[a] - earlier[a]
+        z = max(a + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        j = np.repeat(asks[a:z], earlier[a:z])
+        yield np.arange(len(j)) - np.repeat(ends[a:z] - earlier[a:z] - done, earlier[a:z]) + begin[j], j
+        a = z
+
+
 def _live(similarity, batches):
     """Rows that have a class of fitting size, place and parities under their
-    key, one per class; heavy keys (several salts) keep all their classes."""
-    for table, cuts in _runs(batches, None):
+    key, one per class; heavy keys (several salts) keep all their classes.
+    Rows come in order of key and class."""
+    for table, _ in _runs(batches, None):
         sig, shape, place, key = (table.column(k).to_numpy() for k in ("sig", "shape", "place", "key"))
         parity = table.column("parity").to_numpy().view(np.uint64)
-        size, salts = _shape(shape)
-        keep = np.zeros(len(sig), bool)
+        one = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])]))
+        sig, shape, place, key, parity = sig[one], shape[one], place[one], key[one], parity[one]
+        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         length = np.diff(cuts)
-        two = cuts[:-1][length == 2]
-        ok = ((sig[two] != sig[two + 1]) & _fits(size[two], place[two], size[two + 1], place[two + 1], similarity)
-              & _may_share(size[two], parity[two], size[two + 1], parity[two + 1], similarity))
-        keep[two[ok]] = keep[two[ok] + 1] = True
-        keep[salts > 1] = True
-        for a, z in zip(cuts[:-1][length > 2], cuts[1:][length > 2], strict=True):
-            _, first = np.unique(sig[a:z], return_index=True)
-            own = a + first
-            if salts[a] > 1:
-                keep[a:z] = False
-                keep[own] = True
-                continue
+        size, salts = _shape(shape)
+        keep = salts > 1
+        begin = np.repeat(cuts[:-1], length)
+        for x, y in _pairs(begin, np.flatnonzero((np.arange(len(key)) > begin) & ~keep & (np.repeat(length, length) <= LOOKED))):
+            ok = (_fits(size[x], place[x], size[y], place[y], similarity)
+                  & _may_share(size[x], parity[x], size[y], parity[y], similarity))
+            keep[x[ok]] = keep[y[ok]] = True
+        big = (length > LOOKED) & ~keep[cuts[:-1]]
+        for a, z in zip(cuts[:-1][big], cuts[1:][big], strict=True):
             # sizes in order: partners of a row stand next to it
-            own = own[np.argsort(size[own], kind="stable")]
+            own = a + np.argsort(size[a:z], kind="stable")
             for step in range(1, len(own)):
                 x, y = own[:-step], own[step:]
                 near = similarity[1] * size[x] >= similarity[0] * size[y]
@@ -299,7 +331,7 @@ def _live(similarity, batches):
                       & _may_share(size[x], parity[x], size[y], parity[y], similarity))
                 keep[x[ok]] = keep[y[ok]] = True
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(sig[keep]), pa.array(shape[keep]), pa.array(place[keep])], names=["key", "sig", "shape", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, sig, shape, place, parity.view(np.int64))], names=_ROW)
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -315,69 +347,74 @@ def _bitmap(df: DataFrame, col: str) -> np.ndarray:
 
 
 def _fetch(shared, shingle, batches):
-    """(sig, tokens) of the classes that pass the filter, from the documents that pass theirs."""
+    """(sig, distinct 64-bit tokens) of the classes that pass the filter, from the documents that pass theirs."""
     in_docs, in_sigs = (np.unpackbits(x).astype(bool) for x in shared.value)
     seen: set[int] = set()
     for b in batches:
         b = b.filter(pa.array(in_docs[_slots(b.column("text_key").to_numpy())]))
         sigs, sets = [], []
         for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle) if b.num_rows else ():
-            for _, bounds, own in _sets(owner, tokens):
-                sig = _signatures(bounds, own)
+            for _, _, _, sig, begin, end in _sets(owner, tokens):
                 for i in np.flatnonzero(in_sigs[_slots(sig)]):
                     if (s := int(sig[i])) not in seen:
                         seen.add(s)
                         sigs.append(s)
-                        sets.append(own[bounds[i]:bounds[i + 1]].astype(np.int64))
+                        sets.append(_distinct(tokens[begin[i]:end[i]]).view(np.int64))
         if len(seen) > 1 << 18:
             seen.clear()
         if sigs:
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "tokens"])
 
 
-def _similar(similarity, batches):
-    """Per row that asks (``probe``): whether a class earlier in the run
-    is similar.  Rows of a run come in order of their classes' first lines."""
-    num, den = similarity
+def _candidates(similarity, skip, take, batches):
+    """(probe, cand, more): per row that asks, the classes earlier in its run
+    that size, place and parities allow, from number ``skip`` on ``take`` of
+    them, and whether there are more.  Rows of a run come in order of their
+    classes' first lines."""
     for table, cuts in _runs(batches, None):
-        sig, shape, place, probe, answers = (table.column(k).to_numpy(zero_copy_only=False) for k in ("sig", "shape", "place", "probe", "answers"))
-        size, salts = _shape(shape)
-        tokens = table.column("tokens").combine_chunks()
-        values, at = tokens.values.to_numpy(), tokens.offsets.to_numpy()
-        sets: dict[int, frozenset] = {}
-
-        def whole(i):
-            if i not in sets:
-                sets[i] = frozenset(values[at[i]:at[i + 1]].tolist())  # noqa: B023
-            return sets[i]  # noqa: B023
-
-        found = np.zeros(len(sig), bool)
-        sig_, size_, place_, probe_, answers_ = (x.tolist() for x in (sig, size, place, probe, answers))
-
-        def same(i, j):
-            return (num + den) * len(whole(i) & whole(j)) >= num * (size_[i] + size_[j])  # noqa: B023
-
-        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if z - a <= 24:
-                for j in range(a + 1, z):
-                    if probe_[j]:
-                        n, left = size_[j], size_[j] - place_[j]
-                        for i in range(a, j):
-                            m = size_[i]
-                            if (answers_[i] and (den * m >= num * n if m < n else den * n >= num * m)
-                                    and (num + den) * min(left, m - place_[i]) >= num * (m + n) and sig_[i] != sig_[j] and same(i, j)):
-                                found[j] = True
-                                break
-            else:
-                earlier = a + np.flatnonzero(answers[a:z])
-                for j in a + np.flatnonzero(probe[a:z]):
-                    old = earlier[earlier < j]
-                    fit = old[_fits(size[old], place[old], size[j], place[j], similarity) & (sig[old] != sig[j])]
-                    found[j] = any(same(i, j) for i in fit)
-            sets.clear()
-        out = np.flatnonzero(probe)
-        yield pa.RecordBatch.from_arrays([table.column("key").to_numpy()[out], pa.array(sig[out]), pa.array(salts[out]), pa.array(found[out])],
-                                         names=["key", "sig", "salts", "found"])
+        sig, shape, place, parity, probe, answers = (table.column(k).to_numpy(zero_copy_only=False) for k in (*_ROW[1:], "probe", "answers"))
+        size, parity = _shape(shape)[0], parity.view(np.uint64)
+        begin = np.repeat(cuts[:-1], np.diff(cuts))
+        for i, j in _pairs(begin, np.flatnonzero(probe & (np.arange(len(sig)) > begin))):
+            ok = (answers[i] & (sig[i] != sig[j]) & _fits(size[i], place[i], size[j], place[j], similarity)
+                  & _may_share(size[i], parity[i], size[j], parity[j], similarity))
+            i, j = i[ok], j[ok]
+            low, high = np.searchsorted(j, j), np.searchsorted(j, j, "right")
+            number = np.arange(len(j)) - low
+            pick = (number >= skip) & (number < skip + take)
+            if pick.any():
+                yield pa.RecordBatch.from_arrays([pa.array(sig[j[pick]]), pa.array(sig[i[pick]]), pa.array((high - low)[pick] > skip + take)], names=["probe", "cand", "more"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity) -> DataFrame:
+    """(sig) of the pairs' probes whose whole set is similar to that of the candidate."""
+    num, den = similarity
+    p, c = (sets.select(F.col("sig").alias(name), F.col("tokens").alias(f"{name}_tokens")) for name in ("probe", "cand"))
+    shared = F.size(F.array_intersect("probe_tokens", "cand_tokens"))
+    both = F.size("probe_tokens") + F.size("cand_tokens")
+    return pairs.join(p, "probe").join(c, "cand").where((num + den) * shared >= num * both).select(F.col("probe").alias("sig")).distinct()
+
+
+def _matched(rows: DataFrame, sets: DataFrame, similarity) -> DataFrame:
+    """(sig) of the asking classes that an earlier class of one of their keys
+    is similar to.  A class is checked against its earliest candidates; only
+    what nothing matched asks for the next ones, four times as many, until it
+    has no more.  A pair is checked once a round, whatever the keys it shares,
+    so a set travels with its pairs and not with its prefix tokens."""
+    parts, skip, take, found = shuffle_parts(rows.sparkSession), 0, ASKED, None
+    while True:
+        dealt = rows.repartition(parts, "key").sortWithinPartitions("key", "first").drop("first")
+        asked = dealt.mapInArrow(partial(_candidates, similarity, skip, take), "probe long, cand long, more boolean")
+        pairs = written(asked.groupBy("probe", "cand").agg(F.max("more").alias("more")), "lines-pairs")
+        hits = written(_verified(pairs, sets, similarity), "lines-hits")
+        found = hits if found is None else found.unionByName(hits)
+        left = written(pairs.where("more").select(F.col("probe").alias("sig")).distinct().join(hits, "sig", "left_anti"), "lines-left")
+        if not left.limit(1).count():
+            return found
+        still = rows.join(left.withColumn("asks", F.lit(True)), "sig", "left")
+        still = still.withColumn("probe", F.col("probe") & F.col("asks").isNotNull()).select(*rows.columns)
+        rows = written(still.join(still.where("probe").select("key").distinct(), "key", "left_semi"), "lines-asking")
+        skip, take = skip + take, take * 4
 
 
 def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -402,32 +439,25 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
     prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, place int, parity long")
-    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(partial(_live, similarity), "key long, sig long, shape long, place int"), "lines-live")
+    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key", "sig").mapInArrow(partial(_live, similarity), "key long, sig long, shape long, place int, parity long"), "lines-live")
 
     lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))
     first = written(lines.groupBy("sig").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-first")
     wanted = live.select("sig").distinct().join(first, "sig").select("sig", "first")
     filters = spark.sparkContext.broadcast((_bitmap(wanted.select("first.text_key"), "text_key"), _bitmap(wanted, "sig")))
-    sets = slim.select("text_key", "text").mapInArrow(partial(_fetch, filters, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
-    rows = live.join(sets.join(wanted, "sig"), "sig")
-    order = ["key", "first"]
-    judged = "key long, sig long, salts long, found boolean"
-
-    def judge(df, name):
-        dealt = df.select("key", "sig", "shape", "place", "tokens", "first", "probe", "answers").repartition(parts, "key").sortWithinPartitions(*order)
-        return written(dealt.mapInArrow(partial(_similar, similarity), judged), name)
-
-    rows = rows.select("key", "sig", "shape", "place", "tokens", "first")
-    found = judge(rows.withColumn("probe", F.lit(True)).withColumn("answers", F.lit(True)), "lines-found")
-    matched = found.where("found").select("sig")
-    spread = found.where("salts > 1 and not found").join(matched.distinct(), "sig", "left_anti")
+    sets = written(slim.select("text_key", "text").mapInArrow(partial(_fetch, filters, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
+                   .join(wanted.select("sig"), "sig", "left_semi"), "lines-sets")
+    rows = live.join(wanted, "sig").select(*_ROW, "first", F.lit(True).alias("probe"), F.lit(True).alias("answers"))
+    matched = _matched(rows, sets, similarity)
+    salts = F.col("shape").bitwiseAND(F.lit(0xFFFF))
+    spread = rows.where(salts > 1).join(matched.distinct(), "sig", "left_anti").withColumn("answers", F.lit(False))
     if spread.limit(1).count():  # classes of a heavy token that nothing in their own salt matched: ask the other salts
-        asked = spread.join(rows, ["key", "sig"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-        asked = asked.where(F.col("salt") != F.col("key").bitwiseAND(F.lit(0xFFFF))).select(
-            (F.col("key") - F.col("key").bitwiseAND(F.lit(0xFFFF)) + F.col("salt")).alias("key"), "sig", "shape", "place", "tokens", "first", F.lit(True).alias("probe"), F.lit(False).alias("answers"))
-        there = rows.where(F.col("shape").bitwiseAND(F.lit(0xFFFF)) > 1).withColumn("probe", F.lit(False)).withColumn("answers", F.lit(True))
-        matched = matched.unionByName(judge(asked.unionByName(there), "lines-found2").where("found").select("sig"))
+        own = F.col("key").bitwiseAND(F.lit(0xFFFF))
+        asked = spread.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).where(F.col("salt") != own)
+        asked = asked.withColumn("key", F.col("key") - own + F.col("salt")).select(*rows.columns)
+        there = rows.where(salts > 1).withColumn("probe", F.lit(False))
+        matched = matched.unionByName(_matched(asked.unionByName(there), sets, similarity))
     matched = matched.distinct().withColumn("matched", F.lit(True))
     # written: the join with all lines is then between two plain exchanges, which AQE can split at a very common line
     judged_classes = written(first.join(matched, "sig", "left").where("matched or n > 1")

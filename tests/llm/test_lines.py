@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import llm_spark, make_docs, odd_rows  # noqa: F401
@@ -82,6 +84,43 @@ def test_threshold_is_exact(llm_spark, make_docs):
     assert got == {1: [], 2: [0], 3: [], 4: [], 5: [], 6: [0], 7: []}
 
 
+def test_lines_whose_short_tokens_collide(llm_spark):
+    """Tokens that are equal in the 48 bits of the join keys: the lines have names of their own, and the last check tells them apart."""
+    x = np.uint64(0x1234_5678_9ABC_0001)
+    owner, tokens = np.array([0, 1, 2, 3, 3]), np.array([x, x ^ np.uint64(2), x, x, x], np.uint64)
+    (line, bounds, own, sig, begin, end), = lines._sets(owner, tokens)
+    assert line.tolist() == [0, 1, 2, 3] and len(set(own.tolist())) == 1
+    assert sig[0] == sig[2] == sig[3] != sig[1]
+    sets = [(int(sig[k]), lines._distinct(tokens[begin[k]:end[k]]).view(np.int64).tolist()) for k in (0, 1)]
+    sets += [(3, sets[0][1])]  # the same words under another name
+    pairs = llm_spark.createDataFrame([(sets[1][0], sets[0][0], False), (3, sets[0][0], False)], "probe long, cand long, more boolean")
+    assert [r.sig for r in lines._verified(pairs, llm_spark.createDataFrame(sets, "sig long, tokens array<long>"), (4, 5)).collect()] == [3]
+
+
+def test_candidates_come_in_rounds():
+    """A class asks for its earliest fitting candidates first and for the next ones later."""
+    n = 40
+    columns = {"key": [5] * n + [6], "sig": list(range(n + 1)), "shape": [10 << 32 | 1] * n + [10 << 32 | 1], "place": [0] * (n + 1), "parity": [0] * (n + 1),
+               "probe": [False] * (n - 1) + [True, True], "answers": [True] * (n + 1)}
+    run = lambda skip, take: [tuple(r.values()) for b in lines._candidates((4, 5), skip, take, iter([pa.record_batch({k: pa.array(v) for k, v in columns.items()})])) for r in b.to_pylist()]
+    assert run(0, 2) == [(n - 1, 0, True), (n - 1, 1, True)]
+    assert run(2, 8) == [(n - 1, k, True) for k in range(2, 10)]
+    assert run(10, 32) == [(n - 1, k, False) for k in range(10, n - 1)]
+
+
+def test_line_of_many_prefix_tokens(make_docs):
+    """A line of 350,000 words has more prefix tokens than 16 bits count."""
+    rnd = random.Random(11)
+    words = [f"t{rnd.randrange(10 ** 6)}" for _ in range(350_000)]
+    near, far = list(words), list(words)
+    for i in range(0, 350_000, 70):  # 5 shingles of 70 differ: similarity near 0.87
+        near[i] = "other"
+    for i in range(0, 350_000, 25):  # 5 of 25: near 0.67
+        far[i] = "another"
+    rows = [(1, " ".join(words)), (2, " ".join(far)), (3, " ".join(near))]
+    assert {r.doc_id: r.removed_lines for r in lines.dedup_lines(make_docs(rows)).collect()} == {1: [], 2: [], 3: [0]}
+
+
 def test_empty(make_docs):
     assert lines.dedup_lines(make_docs([])).collect() == []
     assert [r.text for r in lines.dedup_lines(make_docs([(1, None), (2, "")])).orderBy("doc_id").collect()] == [None, ""]
