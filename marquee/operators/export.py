@@ -3,9 +3,13 @@ one tagged wide table, and write it idempotently per date and format."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import delete_folders, list_folders, put_in_place
+
 EXPORT_COLUMNS = ["table", "metric_date", "metric_name", "metric_value", "dimensions", "computed_at",
                   "movie_id", "rank", "views", "cohort_date", "day_offset", "cohort_size", "returned",
                   "retention_pct"]
@@ -83,16 +87,17 @@ def export_path(root: str, day, fmt: str) -> str:
 
 
 def write_export(metrics: DataFrame, top: DataFrame, retention: DataFrame, day, fmt: str, root: str) -> str:
-    """Overwrite the export for (day, fmt).  Written by the executors as
-    one file (a day's aggregates are small); zero rows still write a file."""
+    """The export of (day, fmt) as one file at its path.  A task writes it
+    aside (a day's aggregates are small; no rows still make a file), then one
+    rename puts it in place of the file of an earlier run, so a reader sees
+    either the old file or the new one."""
     path = export_path(root, day, fmt)
-    if fmt == "json":
-        df = export_document(metrics, top, retention, day)
-        df.repartition(1).write.mode("overwrite").json(path)
-    elif fmt == "csv":
-        df = export_union(metrics, top, retention, day)
-        df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
-    else:
-        df = export_union(metrics, top, retention, day)
-        df.repartition(1).write.mode("overwrite").parquet(path)
+    aside = f"{path.rsplit('/', 1)[0]}/_aside-{uuid.uuid4().hex[:12]}"
+    rows = (export_document if fmt == "json" else export_union)(metrics, top, retention, day)
+    writer = rows.repartition(1).write
+    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(aside)
+    spark = rows.sparkSession
+    part, = list_folders(spark, aside, "part-")
+    put_in_place(spark, part, path)
+    delete_folders(spark, [aside])
     return path

@@ -201,7 +201,8 @@ def _day_aggs():
             F.count_if(F.col("event_type") == FINISHED).alias("finished")]
 
 
-def _long_form(m: DataFrame, date_col: Column) -> DataFrame:
+def long_form(m: DataFrame, date_col: Column) -> DataFrame:
+    """A14 rows of one row of sums per day: dau, sum_sec, n_fin, started, finished."""
     dims = F.to_json(F.struct(F.col("finished").alias("finished"), F.col("started").alias("started")))
     avg = F.coalesce(F.try_divide(F.col("sum_sec"), F.col("n_fin")), F.lit(0.0))
     conv = F.when(F.col("started") > 0, F.col("finished") / F.col("started")).otherwise(F.lit(0.0))
@@ -222,13 +223,13 @@ def metrics_long(me: DataFrame, day) -> DataFrame:
     day slice; an empty day still yields its three rows (0, 0.0, 0.0).
     Dimensions are JSON with sorted keys."""
     m = me.where(F.col("event_date") == _date(day)).agg(*_day_aggs())
-    return _long_form(m, _date(day))
+    return long_form(m, _date(day))
 
 
 def metrics_long_by_day(me: DataFrame) -> DataFrame:
     """A14 for every day present in ``me`` (one grouped pass)."""
     m = me.groupBy("event_date").agg(*_day_aggs())
-    return _long_form(m, F.col("event_date"))
+    return long_form(m, F.col("event_date"))
 
 
 def yesterday_utc(today: dt.date | None = None) -> dt.date:

@@ -260,6 +260,11 @@ def campaign_batches(recipients: DataFrame, rate_per_sec: int, batch: int = CAMP
                            F.floor((F.col("rn") - 1) / batch).cast("long").alias("batch_no"))
 
 
+def outbox_messages(outbox: DataFrame) -> DataFrame:
+    """Every outbox row as the message to publish."""
+    return outbox.select("aggregate_id", "state", "written_at", "amount", F.to_json(F.struct("aggregate_id", "state", "amount")).alias("payload"))
+
+
 def outbox_events(outbox: DataFrame) -> DataFrame:
     """Latest outbox row per aggregate as a publishable event (a max
     over a struct: partial aggregation, no per-key window)."""

@@ -79,6 +79,17 @@ def delete_folders(spark: SparkSession, paths: list[str]) -> int:
     return len(paths)
 
 
+def put_in_place(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, replacing the file that is at ``target``."""
+    jvm = spark.sparkContext._jvm
+    _, path = _file_system(spark, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    context.rename(jvm.org.apache.hadoop.fs.Path(source), path, options)
+
+
 def expired_days(spark: SparkSession, path: str, as_of, days: int = 90) -> list[str]:
     """Day folders of the store that the TTL removes."""
     as_of_d = dt.date.fromisoformat(as_of if isinstance(as_of, str) else as_of.isoformat())

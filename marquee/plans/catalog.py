@@ -307,6 +307,21 @@ def q_export_document(spark, sf):
                       F.array_join(item("retention", ["day_offset", "returned", "cohort_size"]), ";").alias("retention"))
 
 
+@register("export_files")
+def q_export_files(spark, sf):
+    """The files of a day in three formats, each written twice; their rows by section."""
+    tables, root = _cycle_tables(spark, sf), scratch_path(spark, "export")
+    paths = {}
+    for fmt in 2 * ex.FORMATS:
+        paths[fmt] = ex.write_export(*tables, P.COHORT_DATE, fmt, root)
+    flat = [spark.read.option("header", True).csv(paths["csv"]), spark.read.parquet(paths["parquet"])]
+    counts = [df.groupBy(F.lit(fmt).alias("format"), "table").agg(F.count(F.lit(1)).alias("n")) for fmt, df in zip(("csv", "parquet"), flat, strict=True)]
+    document = spark.read.json(paths["json"])
+    sections = F.explode(F.array(*[F.struct(F.lit(s).alias("table"), F.size(s).cast("long").alias("n")) for s in ("metrics", "top_movies", "retention")])).alias("s")
+    counts.append(document.select(F.lit("json").alias("format"), sections).select("format", "s.table", "s.n").where("n > 0"))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @register("json_ingest")
 def q_json_ingest(spark, sf):
     """Event bodies as JSON lines; every fifth lacks its timestamp, every seventh has 0."""
@@ -574,10 +589,33 @@ def q_outbox_events(spark, sf):
     return nt.outbox_events(fx.outbox(spark, sf))
 
 
+@register("published_counts")
+def q_published_counts(spark, sf):
+    """Messages per event type as the publish job observed them, beside what it wrote."""
+    path = scratch_path(spark, "published")
+    observed = ev.publish_counted(fx.raw_event_rows(spark, sf), path, qa.EVENT_TYPES)
+    rows = spark.createDataFrame([(t, n) for t, n in observed.items() if n], "event_type string, observed long")
+    kind = F.decode(F.filter("headers", lambda h: h["key"] == "event_type")[0]["value"], "UTF-8").alias("event_type")
+    written = spark.read.parquet(path).groupBy(kind).agg(F.count(F.lit(1)).alias("written"))
+    return rows.join(written, "event_type", "full_outer")
+
+
 # --------------------------------------------------------------- streaming
 
 from ..streaming import jobs as sj  # noqa: E402
 from ..streaming import states as ss  # noqa: E402
+from ..streaming import feed  # noqa: E402
+
+
+@register("outbox_feed")
+def q_outbox_feed(spark, sf):
+    """The outbox published in two runs, the table growing in between."""
+    root = scratch_path(spark, "outbox")
+    rows = fx.outbox_changes(spark, sf)
+    for part in (rows.where("state = 'NEW'"), rows.where("state <> 'NEW'")):
+        part.write.mode("append").parquet(f"{root}/outbox")
+        feed.publish_outbox(spark, f"{root}/outbox", f"{root}/messages", f"{root}/ckpt")
+    return feed.published(spark, f"{root}/messages")
 
 
 def _streamed_store(spark, sf):

@@ -322,6 +322,9 @@ SELECT CASE WHEN event_id % 3 = 0 THEN 'POST' ELSE 'GET' END AS method, '/' || e
        min(date_trunc('second', CAST(ts AS TIMESTAMP))) AS first_at
 FROM events GROUP BY ALL""")
 
+sql("export_files", ME, f"""
+SELECT format, "table", count(*) AS n FROM ({_export_sql(CD)}) u, (VALUES ('csv'), ('json'), ('parquet')) f(format) GROUP BY ALL""", CYCLE)
+
 sql("export_union", ME, _export_sql(RD), CYCLE)
 sql("export_union_cohort", ME, _export_sql(CD), CYCLE)
 
@@ -800,6 +803,13 @@ SELECT aggregate_id, state, written_at, amount,
 FROM (SELECT *, row_number() OVER (PARTITION BY aggregate_id ORDER BY written_at DESC, state DESC, amount DESC) AS rn
       FROM outbox) t WHERE rn = 1""")
 
+sql("outbox_feed", ["outbox_changes"], """
+SELECT *, '{"aggregate_id":' || CAST(aggregate_id AS VARCHAR) || ',"state":"' || state || '","amount":' || CAST(amount AS VARCHAR) || '}' AS payload
+FROM outbox_changes""")
+
+sql("published_counts", ME, """
+SELECT event_type, count(*) AS observed, count(*) AS written FROM movie_events GROUP BY event_type""")
+
 RETRY_DEDUP = [("ra", f"""
 SELECT *, {IDEM} AS idem_key,
        row_number() OVER (PARTITION BY {IDEM}, channel ORDER BY ts, attempt_id) AS rn

@@ -127,3 +127,15 @@ def observe_published(frames: DataFrame, name: str = "published"):
     from pyspark.sql import Observation
     obs = Observation(name)
     return frames.observe(obs, F.count(F.lit(1)).alias("published")), obs
+
+
+def publish_counted(events: DataFrame, path: str, event_types: list[str]) -> dict[str, int]:
+    """A13 by event type: write the publish frames to ``path`` and return how
+    many of each type that job sent, observed in the job itself; events of no
+    listed type count under ``other``."""
+    from pyspark.sql import Observation
+    obs = Observation("published by type")
+    kind = F.coalesce(F.when(F.col("event_type").isin(event_types), F.col("event_type")), F.lit("other"))
+    counted = events.observe(obs, *[F.count_if(kind == t).alias(t) for t in [*event_types, "other"]])
+    publish_frames(counted).write.mode("overwrite").parquet(path)
+    return obs.get

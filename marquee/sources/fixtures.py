@@ -510,6 +510,13 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outbox_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outbox rows of a service that writes each order when it comes in and
+    again, three days later, with its final state."""
+    final = outbox(spark, sf_dir)
+    return final.withColumn("state", F.lit("NEW")).unionByName(final.withColumn("written_at", F.col("written_at") + F.expr("INTERVAL 3 DAYS")))
+
+
 # ------------------------------------------------------- oracle CTE fragments
 # The same mappings in SQL for DuckDB.  Keys are view names.
 
@@ -728,6 +735,9 @@ SELECT c_custkey AS user_key, c_nationkey AS segment FROM customer""",
 SELECT o_orderkey AS aggregate_id, o_orderstatus AS state, CAST(o_orderdate AS TIMESTAMP) AS written_at,
        o_totalprice AS amount
 FROM orders""",
+    "outbox_changes": """
+SELECT o_orderkey AS aggregate_id, s.state, CAST(o_orderdate AS TIMESTAMP) + s.days * INTERVAL 1 DAY AS written_at, o_totalprice AS amount
+FROM orders, LATERAL (SELECT 'NEW' AS state, 0 AS days UNION ALL SELECT o_orderstatus, 3) s""",
 }
 
 

@@ -71,7 +71,8 @@ def test_export_idempotent_and_empty(spark):
     assert back.columns == ex.EXPORT_COLUMNS and back.count() == 3 + 10
     # a day without rows still writes its file
     p = ex.write_export(m, t, r, "2023-06-01", "csv", root)
-    assert os.path.isdir(local(p)) and spark.read.option("header", True).csv(p).count() == 0
+    assert os.path.isfile(local(p)) and spark.read.option("header", True).csv(p).count() == 0
+    assert sorted(n for n in os.listdir(os.path.dirname(local(p))) if not n.startswith(".")) == ["aggregates.csv"]
     try:
         ex.export_path(root, "2024-01-08", "xml")
         assert False
