@@ -30,8 +30,10 @@ RARITY_BITS = 20
 SEGMENTS = 64
 #: Occurrences in one run of tokens from which a token is counted as heavy.
 HEAVY = 32
-#: Classes that are compared at once under one heavy token; more are dealt out by salt.
+#: Classes that are compared at once under one heavy token; more are dealt out to blocks.
 BLOCK = 512
+#: Rows of one key from which its run is read in pieces.
+LONG = 1 << 16
 #: Bits of the filter of the classes whose sets are fetched.
 FILTER_BITS = 23
 _RUN = 1 << 20  # tokens per run
@@ -241,8 +243,9 @@ def _prefixes(shared, shingle, similarity, batches):
                                          names=["key", "sig", "shape", "place", "parity"])
 
 
-def _runs(batches, columns):
-    """Whole runs of equal ``key``, several at a time: (columns, cuts)."""
+def _runs(batches, most=None):
+    """Whole runs of equal ``key``, several at a time: (columns, cuts).  A run
+    of more than ``most`` rows comes in pieces."""
     held = []
 
     def cut(last):
@@ -262,6 +265,9 @@ def _runs(batches, columns):
             size = sum(x.num_rows for x in held)
             if len(cuts) > 1:
                 yield table, cuts
+            elif most and size >= most:
+                yield pa.Table.from_batches(held), np.array([0, size])
+                held[:], size = [], 0
     if held:
         yield cut(True)
 
@@ -300,25 +306,35 @@ def _pairs(begin, asks):
         a = z
 
 
-def _live(similarity, batches):
+def _live(similarity, block, batches):
     """Rows that have a class of fitting size, place and parities under their
-    key, one per class; heavy keys (several salts) keep all their classes.
-    Rows come in order of key and class."""
-    for table, _ in _runs(batches, None):
+    key, one per class.  The keys of heavy tokens, which are those of several
+    salts and those of more than ``block`` classes, keep all their classes and
+    are marked by several salts.  Rows come in order of key and class."""
+    last = None  # key and class at the end of the piece before, if it was a long run's
+    for table, _ in _runs(batches, LONG):
         sig, shape, place, key = (table.column(k).to_numpy() for k in ("sig", "shape", "place", "key"))
         parity = table.column("parity").to_numpy().view(np.uint64)
-        one = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])]))
+        fresh = np.concatenate([[last != (key[0], sig[0])], (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])])
+        goes_on = last is not None and key[0] == last[0]
+        last = (key[-1], sig[-1]) if table.num_rows >= LONG and key[0] == key[-1] else None
+        one = np.flatnonzero(fresh)
+        if not len(one):
+            continue
         sig, shape, place, key, parity = sig[one], shape[one], place[one], key[one], parity[one]
         cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         length = np.diff(cuts)
         size, salts = _shape(shape)
-        keep = salts > 1
         begin = np.repeat(cuts[:-1], length)
+        keep = (salts > 1) | (np.repeat(length, length) > block)
+        if goes_on or last is not None:
+            keep[:cuts[1]] = True
+        shape = np.where(keep, size << 32 | 2, shape)
         for x, y in _pairs(begin, np.flatnonzero((np.arange(len(key)) > begin) & ~keep & (np.repeat(length, length) <= LOOKED))):
             ok = (_fits(size[x], place[x], size[y], place[y], similarity)
                   & _may_share(size[x], parity[x], size[y], parity[y], similarity))
             keep[x[ok]] = keep[y[ok]] = True
-        big = (length > LOOKED) & ~keep[cuts[:-1]]
+        big = (length > LOOKED) & (shape[cuts[:-1]] & 0xFFFF < 2)
         for a, z in zip(cuts[:-1][big], cuts[1:][big], strict=True):
             # sizes in order: partners of a row stand next to it
             own = a + np.argsort(size[a:z], kind="stable")
@@ -371,7 +387,7 @@ def _candidates(similarity, skip, take, batches):
     that size, place and parities allow, from number ``skip`` on ``take`` of
     them, and whether there are more.  Rows of a run come in order of their
     classes' first lines."""
-    for table, cuts in _runs(batches, None):
+    for table, cuts in _runs(batches):
         sig, shape, place, parity, probe, answers = (table.column(k).to_numpy(zero_copy_only=False) for k in (*_ROW[1:], "probe", "answers"))
         size, parity = _shape(shape)[0], parity.view(np.uint64)
         begin = np.repeat(cuts[:-1], np.diff(cuts))
@@ -417,6 +433,37 @@ def _matched(rows: DataFrame, sets: DataFrame, similarity) -> DataFrame:
         skip, take = skip + take, take * 4
 
 
+def _dealt(rows: DataFrame, similarity) -> tuple[DataFrame, DataFrame]:
+    """The rows of heavy tokens, dealt to blocks of some BLOCK classes, and
+    (token, band, blocks), from the exact number of classes of each token and
+    band.  Similar sets lie in one band of sizes or in neighbouring ones."""
+    step = float(np.log(similarity[1] / similarity[0] * 1.0001))
+    size = F.shiftright("shape", 32)
+    banded = written(rows.withColumn("token", F.shiftrightunsigned("key", 16)).withColumn("band", F.floor(F.log(size.cast("double")) / step).cast("int")), "lines-heavy")
+    blocks = written(banded.groupBy("token", "band").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")), "lines-blocks")
+    dealt = banded.join(blocks, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("sig"), "blocks")).drop("blocks")
+    return written(dealt.withColumn("key", F.xxhash64("token", "band", "block")), "lines-dealt"), blocks
+
+
+def _across(dealt: DataFrame, blocks: DataFrame, matched: DataFrame) -> DataFrame:
+    """The classes of heavy tokens that nothing in their own block matched,
+    asking every other block of their band and the neighbouring ones.  Those
+    that ask a band are cut into groups as well, so a key holds one block and
+    one group."""
+    asks = dealt.join(matched.distinct(), "sig", "left_anti").withColumn("answers", F.lit(False))
+    asks = asks.withColumn("asked", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    of = blocks.select("token", F.col("band").alias("asked"), "blocks")
+    asks = written(asks.join(of, ["token", "asked"]).where((F.col("asked") != F.col("band")) | (F.col("blocks") > 1)), "lines-asks")
+    groups = written(asks.groupBy("token", "asked").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("groups")), "lines-groups")
+    key = F.xxhash64("token", "asked", "other", "group")
+    asking = asks.join(groups, ["token", "asked"]).withColumn("group", F.pmod(F.xxhash64("sig", F.lit(1)), "groups"))
+    asking = asking.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where((F.col("asked") != F.col("band")) | (F.col("other") != F.col("block")))
+    answering = dealt.withColumn("probe", F.lit(False)).withColumn("asked", F.col("band")).withColumn("other", F.col("block")).join(groups, ["token", "asked"])
+    answering = answering.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+    names = [*_ROW, "first", "probe", "answers"]
+    return asking.withColumn("key", key).select(*names).unionByName(answering.withColumn("key", key).select(*names))
+
+
 def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(survey, removed): the written per-document line classes, and
     (doc_id, text_key, lines): the numbers of the lines that go."""
@@ -439,7 +486,7 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
     prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, place int, parity long")
-    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key", "sig").mapInArrow(partial(_live, similarity), "key long, sig long, shape long, place int, parity long"), "lines-live")
+    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key", "sig").mapInArrow(partial(_live, similarity, BLOCK), "key long, sig long, shape long, place int, parity long"), "lines-live")
 
     lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))
@@ -449,15 +496,14 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     sets = written(slim.select("text_key", "text").mapInArrow(partial(_fetch, filters, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
                    .join(wanted.select("sig"), "sig", "left_semi"), "lines-sets")
     rows = live.join(wanted, "sig").select(*_ROW, "first", F.lit(True).alias("probe"), F.lit(True).alias("answers"))
-    matched = _matched(rows, sets, similarity)
-    salts = F.col("shape").bitwiseAND(F.lit(0xFFFF))
-    spread = rows.where(salts > 1).join(matched.distinct(), "sig", "left_anti").withColumn("answers", F.lit(False))
-    if spread.limit(1).count():  # classes of a heavy token that nothing in their own salt matched: ask the other salts
-        own = F.col("key").bitwiseAND(F.lit(0xFFFF))
-        asked = spread.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).where(F.col("salt") != own)
-        asked = asked.withColumn("key", F.col("key") - own + F.col("salt")).select(*rows.columns)
-        there = rows.where(salts > 1).withColumn("probe", F.lit(False))
-        matched = matched.unionByName(_matched(asked.unionByName(there), sets, similarity))
+    salted = F.col("shape").bitwiseAND(F.lit(0xFFFF)) > 1
+    if live.where(salted).limit(1).count():
+        dealt, blocks = _dealt(rows.where(salted), similarity)
+        matched = _matched(rows.where(~salted).unionByName(dealt.select(*rows.columns)), sets, similarity)
+        rest = _across(dealt, blocks, matched).select(*rows.columns)
+        matched = matched.unionByName(_matched(written(rest, "lines-across"), sets, similarity))
+    else:
+        matched = _matched(rows, sets, similarity)
     matched = matched.distinct().withColumn("matched", F.lit(True))
     # written: the join with all lines is then between two plain exchanges, which AQE can split at a very common line
     judged_classes = written(first.join(matched, "sig", "left").where("matched or n > 1")

@@ -75,6 +75,39 @@ def test_near_copies_and_heavy_tokens(llm_spark, make_docs, monkeypatch, heavy,
     _check(docs, rows, _ordered(llm_spark, docs))
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_a_token_spread_evenly(llm_spark, make_docs, monkeypatch, block):
+    """Lines of one template with one word of their own share their rarest-but-one token; no run of tokens shows it as heavy with small blocks."""
+    monkeypatch.setattr(lines, "BLOCK", block)
+    rnd = random.Random(3)
+    template = [f"a{i}" for i in range(9)]
+    longer = [f"a{i}" for i in range(30)]
+    rows = []
+    for i in range(260):
+        kind = i % 4
+        if kind == 3:  # 26 shingles, those of one word differ: between 0.62 and 0.93
+            w = list(longer)
+            w[rnd.choice([0, 1, 29, 28, 15])] = f"own{i % 90}"
+        else:
+            w = [*template[:rnd.randint(7, 9)], f"own{i}"]
+        rows.append((i, " ".join(w)))
+    docs = make_docs(rows)
+    _check(docs, rows, _ordered(llm_spark, docs))
+
+
+def test_long_runs_come_in_pieces(monkeypatch):
+    """A key of more rows than one piece keeps each class once and is marked heavy to its last row; other keys stay as they are."""
+    monkeypatch.setattr(lines, "LONG", 8192)
+    n = 20_000
+    key = np.concatenate([np.full(3, 1), np.full(n, 2), np.full(2, 3)])
+    sig = np.concatenate([np.arange(3), np.repeat(np.arange(n // 4), 4), np.arange(2)])
+    columns = {"key": key, "sig": sig, "shape": np.full(len(key), 10 << 32 | 1), "place": np.zeros(len(key), np.int32), "parity": np.zeros(len(key), np.int64)}
+    whole = pa.record_batch({k: pa.array(v) for k, v in columns.items()})
+    got = [tuple(r.values()) for b in lines._live((4, 5), 512, iter([whole.slice(i, 1000) for i in range(0, len(key), 1000)])) for r in b.to_pylist()]
+    assert [g[:2] for g in got] == [(1, 0), (1, 1), (1, 2), *((2, i) for i in range(n // 4)), (3, 0), (3, 1)]
+    assert {g[2] & 0xFFFF for g in got if g[0] == 2} == {2} and {g[2] & 0xFFFF for g in got if g[0] != 2} == {1}
+
+
 def test_threshold_is_exact(llm_spark, make_docs):
     # 13 words: 9 shingles; changing the last word leaves 8 of 10 shared: exactly 0.8; 12 words fall short
     a = " ".join(f"p{i}" for i in range(13))
