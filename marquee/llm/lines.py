@@ -6,6 +6,11 @@ of Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
 each, so only those prefixes are joined, sizes, positions and parity bits rule
 most pairs out, and the rest is verified on the whole sets.  A line goes if an
 earlier line (by document id, then line number) is similar.
+
+A token that a run of text holds often is salted before the first shuffle.
+After it the classes of each token are counted exactly; those of a heavy token
+are dealt to blocks by size, first compared inside their block, and what finds
+no match there asks the blocks of fitting sizes.
 """
 
 from __future__ import annotations
@@ -445,15 +450,19 @@ def _dealt(rows: DataFrame, similarity) -> tuple[DataFrame, DataFrame]:
     return written(dealt.withColumn("key", F.xxhash64("token", "band", "block")), "lines-dealt"), blocks
 
 
-def _across(dealt: DataFrame, blocks: DataFrame, matched: DataFrame) -> DataFrame:
-    """The classes of heavy tokens that nothing in their own block matched,
-    asking every other block of their band and the neighbouring ones.  Those
-    that ask a band are cut into groups as well, so a key holds one block and
-    one group."""
+def _asks(dealt: DataFrame, blocks: DataFrame, matched: DataFrame) -> DataFrame:
+    """The classes of heavy tokens that nothing in their own block matched, once
+    for each band (``asked``, of ``blocks`` blocks) that holds others they may
+    be similar to: their own and the neighbouring ones."""
     asks = dealt.join(matched.distinct(), "sig", "left_anti").withColumn("answers", F.lit(False))
     asks = asks.withColumn("asked", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     of = blocks.select("token", F.col("band").alias("asked"), "blocks")
-    asks = written(asks.join(of, ["token", "asked"]).where((F.col("asked") != F.col("band")) | (F.col("blocks") > 1)), "lines-asks")
+    return written(asks.join(of, ["token", "asked"]).where((F.col("asked") != F.col("band")) | (F.col("blocks") > 1)), "lines-asks")
+
+
+def _across(dealt: DataFrame, asks: DataFrame) -> DataFrame:
+    """Rows of the asking classes with every block they ask.  Those that ask a
+    band are cut into groups as well, so a key holds one block and one group."""
     groups = written(asks.groupBy("token", "asked").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("groups")), "lines-groups")
     key = F.xxhash64("token", "asked", "other", "group")
     asking = asks.join(groups, ["token", "asked"]).withColumn("group", F.pmod(F.xxhash64("sig", F.lit(1)), "groups"))
@@ -500,8 +509,10 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     if live.where(salted).limit(1).count():
         dealt, blocks = _dealt(rows.where(salted), similarity)
         matched = _matched(rows.where(~salted).unionByName(dealt.select(*rows.columns)), sets, similarity)
-        rest = _across(dealt, blocks, matched).select(*rows.columns)
-        matched = matched.unionByName(_matched(written(rest, "lines-across"), sets, similarity))
+        asks = _asks(dealt, blocks, matched)
+        if asks.limit(1).count():
+            rest = _across(dealt, asks).select(*rows.columns)
+            matched = matched.unionByName(_matched(written(rest, "lines-across"), sets, similarity))
     else:
         matched = _matched(rows, sets, similarity)
     matched = matched.distinct().withColumn("matched", F.lit(True))
