@@ -140,6 +140,15 @@ def keyed_position(df: DataFrame, key: list[str], order: list[str], out: str = "
 
 def global_position(df: DataFrame, order: list[str], out: str = "pos", chunks: int | None = None) -> DataFrame:
     """1-based position in ``order`` over the whole frame, without a
-    single-partition window: per-chunk counts give each chunk its offset."""
-    keyed = df.withColumn("_all", F.lit(0))
-    return keyed_position(keyed, ["_all"], order, out, chunks or default_chunks(df)).drop("_all")
+    single-partition window: per-chunk counts give each chunk its offset.
+    Rows are range-partitioned and sorted once; a row's number inside its chunk
+    is written with it, the chunks' offsets (one row each) are added on reading."""
+    n = chunks or default_chunks(df)
+    r = df.repartitionByRange(n, *[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    r = written(r, "scan-chunks", "zstd")
+    chunk = F.shiftright("_id", 33)
+    ends = r.groupBy(chunk.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.shiftright("_pid", 32))  # one key
+    before = Window.partitionBy("_all").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return r.withColumn("_pid", chunk).join(F.broadcast(starts), "_pid").withColumn(
+        out, F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_pid", "_id", "_start")
