@@ -387,9 +387,10 @@ def _settled(calls: DataFrame, flights: DataFrame, chunk_rows: int, figures: dic
 
 def reservations(ledger: DataFrame) -> DataFrame:
     """The reservation table that a ledger leaves: booking_id, flight_id, seats, status (ACTIVE or RELEASED)."""
-    made = ledger.where(F.col("status") == ACTIVE).select("booking_id", "flight_id", "seats")
-    gone = ledger.where(F.col("status") == RELEASED).select(F.col("booking_id").alias("_b"), F.lit(True).alias("gone"))
-    return made.join(gone, F.col("booking_id") == F.col("_b"), "left").select(
+    # one pass over the ledger; a null booking is nobody's, so each is looked at alone
+    of_booking = Window.partitionBy("booking_id", F.when(F.col("booking_id").isNull(), F.col("seq")))
+    moves = ledger.where(F.col("status").isin(ACTIVE, RELEASED)).select("seq", "booking_id", "flight_id", "seats", (F.col("status") == RELEASED).alias("release"))
+    return moves.withColumn("gone", F.max("release").over(of_booking)).where(~F.col("release")).select(
         "booking_id", "flight_id", "seats", F.when(F.col("gone"), RELEASED).otherwise(ACTIVE).alias("status"))
 
 

@@ -147,3 +147,11 @@ def test_joined_flights_are_folded_once(spark, hot, chunk_rows):
         assert 0 < figures["refolded"] <= 5 * figures["rounds"]  # the hot block's flights alone
     else:
         assert figures == {"rounds": 1, "refolded": 0}
+
+
+def test_reservations_read_the_ledger_once(spark):
+    ledger = spark.createDataFrame([(1, "RESERVE", "b1", 1, 4, "ACTIVE", 6), (2, "RESERVE", None, 1, 5, "ACTIVE", 1), (3, "RESERVE", None, 2, 1, "ACTIVE", 9),
+                                    (4, "RELEASE", "b1", 1, 4, "RELEASED", 5), (5, "RELEASE", None, None, None, "NOT_FOUND", None)], se._ANSWER)
+    made = se.reservations(ledger)
+    assert sorted((r.flight_id, r.seats, r.booking_id, r.status) for r in made.collect()) == [(1, 4, "b1", "RELEASED"), (1, 5, None, "ACTIVE"), (2, 1, None, "ACTIVE")]
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
