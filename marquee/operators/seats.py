@@ -246,12 +246,21 @@ _ANSWER = "seq long, op string, booking_id string, flight_id long, seats long, s
 _PLACED = ["place", "seq", "flight_id", "booking_id", "seats", "release", "cap"]
 
 
+def _longs(column) -> list:
+    """A column of longs as a list, by way of numpy where no value is null."""
+    if not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return [v if ok else None for v, ok in zip(column.fill_null(0).to_numpy(zero_copy_only=False).tolist(), column.is_valid().to_numpy(zero_copy_only=False).tolist())]
+
+
 def _fold_places(batches):
     """The answer to every call of whole groups of flights; calls come sorted by (place, seq)."""
     now, left, made = None, {}, {}
     for b in batches:
         ops, flights, sizes, status, remaining = [], [], [], [], []
-        for place, flight, booking, seats, release, cap in zip(*(b.column(c).to_pylist() for c in _PLACED if c != "seq")):
+        places, asked, size, caps = (_longs(b.column(c)) for c in ("place", "flight_id", "seats", "cap"))
+        bookings, releases = (b.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("booking_id", "release"))
+        for place, flight, booking, seats, release, cap in zip(places, asked, bookings, size, releases, caps):
             if place != now:
                 now, left, made = place, {}, {}
             own = None if booking is None else made.get(booking)
