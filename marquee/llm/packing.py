@@ -12,7 +12,6 @@ Spark tasks.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left
 from functools import partial
@@ -25,13 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import written
-from marquee.llm.words import flat
+from marquee.llm.words import flat, slices
 
 CAPACITY = 2048
 #: How the query's program runs: rounds at most, share of a length per round, patterns near the best, pieces kept for filling up.
 PROGRAM = {"rounds": 200, "step": 0.25, "near": 0.05, "eps": 0.01, "reserve": 0.0625, "exact": True}
 #: Most cached words of a generation per Python worker; a full generation replaces the one before it.
-CACHED_CHUNKS, CACHED_WORDS = 120_000, 160_000
+CACHED_WORDS = 160_000
 
 
 class _Cache:
@@ -56,68 +55,129 @@ class _Cache:
         return todo
 
 
+def _byte_kinds() -> np.ndarray:
+    """Kind of every byte: 0 white space, 1 letter (ASCII, or of a two-byte
+    letter after 0xC3), 2 digit, 3 other ASCII, 4 whatever needs the tokenizer."""
+    kinds = np.full(256, 4, np.uint8)
+    kinds[33:127] = 3
+    kinds[ord("'")] = 4
+    kinds[[9, 10, 11, 12, 13, 32]] = 0
+    kinds[48:58] = 2
+    kinds[65:91] = kinds[97:123] = 1
+    return kinds
+
+
+_KINDS = _byte_kinds()
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+
+
 class _Tokens:
     """Token ids of whole texts, as little-endian bytes.
 
     White space ends every pre-token of the vocabulary, so a text's ids are its
     chunks' ids in a row; a chunk's are those of its letter runs, digits and
-    other runs.  Both are remembered.  Chunks beyond plain Latin letters and
-    ASCII (or with an apostrophe, which may join) are encoded as they stand,
-    and so are whole texts that may hold an added token of the vocabulary.
+    other runs, lower-cased.  The runs of many texts are found on their bytes,
+    made distinct by Arrow and looked up once; what was learned is remembered.
+    Chunks beyond plain Latin letters and ASCII (or with an apostrophe, which
+    may join) are encoded as they stand, and so are whole texts that may hold
+    an added token of the vocabulary.
     """
 
-    _PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-    _PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        # for words that are lower-cased and split already: the same model without what comes before it
+        self.model = Tokenizer(self.tok.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.chunks, self.words = _Cache(CACHED_CHUNKS), _Cache(CACHED_WORDS)
+        self.words = _Cache(CACHED_WORDS)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn_words(self, words: list[bytes]) -> None:
         """Encodes many words at once: between spaces each is one pre-token,
         whose last id is the only one that ends a word."""
         todo, known = iter(words), self.words.young
         while group := list(islice(todo, 256)):
-            ids = np.array(self.tok.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.model.encode_batch_fast([b" ".join(group).decode()], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(group):
-                for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
-                    known[w] = ids[a:b].tobytes()
+                raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+                for w, a, b in zip(group, [0, *cuts[:-1]], cuts, strict=True):
+                    known[w] = raw[a:b]
             else:
                 for w in group:
-                    known[w] = self._whole(w)
+                    known[w] = self._whole(w.decode())
+
+    def _learn(self, keys: list[bytes], odd: np.ndarray) -> pa.Array:
+        """The ids of every key; ``odd`` ones are whole chunks."""
+        todo = self.words.missing(set(keys))
+        if todo:
+            strange = {keys[i] for i in np.flatnonzero(odd)}
+            self._learn_words([k for k in todo if k not in strange])
+            whole = [k for k in todo if k in strange]
+            for k, e in zip(whole, self.tok.encode_batch_fast([k.decode() for k in whole], add_special_tokens=False) if whole else (), strict=True):
+                self.words.young[k] = np.array(e.ids, "<u4").tobytes()
+        return pa.array(map(self.words.young.__getitem__, keys), pa.large_binary(), size=len(keys))
+
+    def flat_ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(ids of all texts in a row, where each text's begin and end), of the
+        texts that ``offs`` cuts ``data`` into and that hold no added token."""
+        n = len(data)
+        if not n:
+            return b"", np.zeros(len(offs), np.int64)
+        kind = _KINDS[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF, but for the signs of multiplication and division
+        lead = lead[(data[lead + 1] & 0xDF) != 0x97]
+        kind[lead] = kind[lead + 1] = 1
+        low = _LOWER[data]
+        upper = lead[data[lead + 1] < 0x9F] + 1
+        low[upper] += 32
+        cuts = offs[(offs > 0) & (offs < n)]
+        begins = np.empty(n, bool)  # of runs: digits stand alone
+        begins[0] = True
+        begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        begins[cuts] = True
+        odd = np.flatnonzero(kind == 4)
+        if len(odd):  # their chunks are one run each, as they stand
+            edge = np.zeros(n, bool)
+            edge[0] = True
+            edge[1:] = (kind[1:] == 0) != (kind[:-1] == 0)
+            edge[cuts] = True
+            edge = np.append(np.flatnonzero(edge), n)
+            chunk = np.searchsorted(edge, odd, "right") - 1
+            chunk = chunk[np.append(True, chunk[1:] != chunk[:-1])]
+            for a, z in zip(edge[chunk].tolist(), edge[chunk + 1].tolist(), strict=True):
+                begins[a:z] = False
+                begins[a] = True
+                kind[a:z] = 4
+                low[a:z] = data[a:z]
+        starts = np.flatnonzero(begins)
+        inside = kind[starts] != 0
+        sizes, starts = np.diff(starts, append=n)[inside], starts[inside]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(low[kind != 0])])
+        code = runs.dictionary_encode()
+        strange = np.zeros(len(code.dictionary), bool)
+        strange[code.indices.to_numpy()[kind[starts] == 4]] = True
+        ids = self._learn(code.dictionary.to_pylist(), strange).take(code.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        raw = ids.buffers()[2]
+        return (raw.to_pybytes() if raw is not None else b""), ends[np.searchsorted(starts, offs)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         marked = [b"<|" in t for t in texts]
-        split = [[] if m else t.split() for t, m in zip(texts, marked, strict=True)]
-        parts, odd = {}, []
-        for c in self.chunks.missing(set().union(*split)):
-            s = c.decode()
-            if self._PLAIN.fullmatch(s):
-                s = s.lower()
-                parts[c] = [s] if s.isalpha() and s.isascii() else self._PARTS.findall(s)
-            else:
-                odd.append((c, s))
-        unknown = self.words.missing({w for p in parts.values() for w in p})
-        if unknown:
-            self._learn_words(unknown)
-        words, chunks = self.words.young, self.chunks.young
-        for c, p in parts.items():
-            chunks[c] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
-        for (c, _), e in zip(odd, self.tok.encode_batch_fast([s for _, s in odd], add_special_tokens=False) if odd else (), strict=True):
-            chunks[c] = np.array(e.ids, "<u4").tobytes()
-        return [self._whole(t.decode()) if m else b"".join(map(chunks.__getitem__, cs)) for t, cs, m in zip(texts, split, marked, strict=True)]
+        plain = [b"" if m else t for t, m in zip(texts, marked, strict=True)]
+        offs = np.concatenate([[0], np.cumsum([len(t) for t in plain])]).astype(np.int64)
+        raw, ends = self.flat_ids(np.frombuffer(b"".join(plain), np.uint8), offs)
+        return [self._whole(t.decode()) if m else raw[a:z] for t, m, a, z in zip(texts, marked, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 _tokens: dict[str, _Tokens] = {}
@@ -134,8 +194,7 @@ def _pieces(path, capacity, batches):
         data, offs = flat(b.column("text"))
         raw = data.tobytes()
         rows, piece, start, length, crc, rank = [], [], [], [], [], []
-        for i0 in range(0, b.num_rows, 256):
-            i1 = min(i0 + 256, b.num_rows)
+        for i0, i1 in slices(offs):
             for i, ids in enumerate(encode([raw[offs[i]:offs[i + 1]] for i in range(i0, i1)]), i0):
                 ids += b"\0\0\0\0"
                 for p, a in enumerate(range(0, len(ids), 4 * capacity)):

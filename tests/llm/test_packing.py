@@ -62,6 +62,27 @@ def test_chunks_are_encoded_alike(tokenizer):
         assert got == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+def test_chunks_are_learned_by_their_runs(tokenizer):
+    """What is remembered grows with the runs, not with the chunks they make."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghéßö") for _ in range(6)) for _ in range(40)]
+    ends = [".", ",", "!", "...", "9", "77", "-"]
+    texts = [" ".join(rnd.choice([w, w.title(), w.upper()]) + rnd.choice(ends) + rnd.choice(["", rnd.choice(words)]) for w in words) for _ in range(60)]
+    own = _Tokens(PATH)
+    for t, got in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
+        assert got == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+    runs = set(words) | {w.upper().lower() for w in words} | {w.title().lower() for w in words} | set(ends) | set("0123456789")
+    assert sum(len(c.young) + len(c.old) for c in vars(own).values() if hasattr(c, "young")) <= len(runs)
+
+
+def test_odd_characters_beside_any_white_space(tokenizer):
+    rnd = random.Random(5)
+    bits = [*"aAzZ09.,;<|>'\"_-~!\x7f\x00\x01\x1c\x1f\x85\xa0\u3000 \t\n\r\x0b\x0cÀÖØÞßàöøÿ×÷ªºµ½²İıſΣςé\u0301ǅ你😀Ａ", "'s", "'LL", "<|endoftext|>", "</w>", "<|"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    for t, got in zip(texts, _Tokens(PATH).encode([t.encode() for t in texts]), strict=True):
+        assert got == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_holds_the_histogram_exactly(seed):
     rnd = random.Random(seed)
