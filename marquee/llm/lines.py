@@ -7,6 +7,8 @@ each, so only those prefixes are joined, sizes, positions and parity bits rule
 most pairs out, and the rest is verified on the whole sets.  A line goes if an
 earlier line (by document id, then line number) is similar.
 
+Prefix tokens are shuffled as packed entries, many of one bucket of keys in
+one row, and put in order bucket by bucket.
 A token that a run of text holds often is salted before the first shuffle.
 After it the classes of each token are counted exactly; those of a heavy token
 are dealt to blocks by size, first compared inside their block, and what finds
@@ -44,6 +46,9 @@ FILTER_BITS = 23
 _RUN = 1 << 20  # tokens per run
 _TOKEN = np.uint64(48)
 _ROW = ["key", "sig", "shape", "place", "parity"]
+_ENTRY = np.dtype([("key", "<i8"), ("sig", "<i8"), ("shape", "<i8"), ("parity", "<i8"), ("place", "<i4")])
+#: Buckets that keys are dealt to, per shuffle partition; entries that a task deals out at once, and those of a bucket from which its long runs go on.
+BUCKETS, DEALT, HELD = 16, 1 << 18, 1 << 21
 #: Earlier classes that a class is checked against first, per key; what is left asks for four times as many next.
 ASKED = 2
 #: Pairs of rows that are looked at in one step.
@@ -215,13 +220,12 @@ def _totals(batches):
 
 
 def _prefixes(shared, shingle, similarity, batches):
-    """(key, sig, shape, place, parity) of every prefix token of every class met
-    in this task: key holds token and salt; shape holds size and salts."""
+    """Entries (key, sig, shape, place, parity) of every prefix token of every
+    class met in this task: key holds token and salt; shape holds size and salts."""
     rarity, salts_of = shared.value[0].astype(np.uint64), shared.value[1]
     num, den = similarity
     seen: set[int] = set()
     for b in batches:
-        sigs, shapes, places, tokens_, parities = [], [], [], [], []
         for _, _, _, _, owner, tokens in _line_tokens(b.column("text"), shingle):
             for _, bounds, own, sig, _, _ in _sets(owner, tokens, rarity):
                 size = np.diff(bounds)
@@ -231,21 +235,95 @@ def _prefixes(shared, shingle, similarity, batches):
                 take = size - -(-num * size // den) + 1
                 which = np.repeat(np.arange(len(size)), take)
                 place = np.arange(len(which)) - np.repeat(np.cumsum(take) - take, take)
-                sigs.append(sig[which])
-                parities.append(_parities(bounds, own)[new][which])
-                shapes.append(size[which] << 32)
-                places.append(place)
-                tokens_.append(own[begin[which] + place])
+                token, named = own[begin[which] + place], sig[which]
+                salts = salts_of[(token >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64)].astype(np.int64)
+                salt = mix(named.view(np.uint64)) % salts.astype(np.uint64)
+                out = np.empty(len(which), _ENTRY)
+                out["key"] = (token << np.uint64(16) | salt).view(np.int64)
+                out["sig"], out["shape"], out["place"] = named, size[which] << 32 | salts, place
+                out["parity"] = _parities(bounds, own)[new][which]
+                yield out
         if len(seen) > 1 << 18:
             seen.clear()
-        if not sigs:
-            continue
-        sig, shape, token = np.concatenate(sigs), np.concatenate(shapes), np.concatenate(tokens_)
-        salts = salts_of[(token >> (_TOKEN - np.uint64(RARITY_BITS))).astype(np.int64)].astype(np.int64)
-        salt = mix(sig.view(np.uint64)) % salts.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array((token << np.uint64(16) | salt).view(np.int64)), pa.array(sig), pa.array(shape | salts),
-                                          pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(parities))],
-                                         names=["key", "sig", "shape", "place", "parity"])
+
+
+def _buckets(shared, shingle, similarity, buckets, batches):
+    """(bucket, rows): the entries of the prefixes, many of one bucket of keys
+    in one value, so that a shuffle moves few rows."""
+    held, most = [], min(4 * DEALT, max(DEALT, 8 * buckets))
+
+    def dealt():
+        entries = np.concatenate(held)
+        bucket = (mix(entries["key"].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        first = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1])
+        bounds = (np.append(first, len(bucket)) * _ENTRY.itemsize).astype(np.int32)
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(entries[order])])
+        out, step = pa.RecordBatch.from_arrays([pa.array(bucket[first]), rows], names=["bucket", "rows"]), max(1, (4 << 20) * len(first) // int(bounds[-1]))
+        held.clear()
+        for i in range(0, len(first), step):
+            yield out.slice(i, step)
+
+    size = 0
+    for entries in _prefixes(shared, shingle, similarity, batches):
+        held.append(entries)
+        size += len(entries)
+        if size >= most:
+            yield from dealt()
+            size = 0
+    if size:
+        yield from dealt()
+
+
+def _in_order(entries: np.ndarray) -> np.ndarray:
+    """The entries by key and class, without those that are alone under a key
+    of one salt: they have no partner."""
+    order = np.argsort(entries["key"])
+    key = entries["key"][order]
+    same = key[1:] == key[:-1]
+    held = np.append(same, False) | np.append(False, same) | ((entries["shape"][order] & 0xFFFF) > 1)
+    entries = entries[order[held]]
+    return entries[np.lexsort((entries["sig"], entries["key"]))]
+
+
+def _by_key(batches):
+    """Entries of whole buckets in order of key and class, as columns.  Of a
+    bucket of more than HELD entries, keys of LONG or more go on early, marked
+    by several salts as those of heavy tokens are."""
+    bucket, held, size, heavy = None, [], 0, np.zeros(0, np.int64)
+
+    def columns(entries):
+        for i in range(0, len(entries), 1 << 16):
+            part = entries[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[k])) for k in _ROW], names=_ROW)
+
+    def marked(entries):
+        known = np.isin(entries["key"], heavy)
+        entries["shape"][known] = entries["shape"][known] >> 32 << 32 | 2
+        return entries
+
+    for b in batches:
+        for own, rows in zip(b.column("bucket").to_pylist(), b.column("rows"), strict=True):
+            if own != bucket:
+                if held:
+                    yield from columns(_in_order(marked(np.concatenate(held))))
+                bucket, held, size, heavy = own, [], 0, heavy[:0]
+            held.append(np.frombuffer(rows.as_buffer(), _ENTRY))
+            size += len(held[-1])
+            if size >= HELD:
+                entries = np.concatenate(held)
+                entries = entries[np.lexsort((entries["sig"], entries["key"]))]
+                again = (entries["key"][1:] == entries["key"][:-1]) & (entries["sig"][1:] == entries["sig"][:-1])
+                entries = entries[np.append(True, ~again)]
+                key, n = np.unique(entries["key"], return_counts=True)
+                heavy = np.union1d(heavy, key[n >= LONG])
+                entries = marked(entries)
+                gone = np.isin(entries["key"], heavy)
+                yield from columns(entries[gone])
+                held, size = [entries[~gone]], 0
+    if held:
+        yield from columns(_in_order(marked(np.concatenate(held))))
 
 
 def _runs(batches, most=None):
@@ -355,6 +433,10 @@ def _live(similarity, block, batches):
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, sig, shape, place, parity.view(np.int64))], names=_ROW)
 
 
+def _live_of(similarity, block, batches):
+    return _live(similarity, block, _by_key(batches))
+
+
 def _slots(keys: np.ndarray) -> np.ndarray:
     return (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -424,7 +506,8 @@ def _matched(rows: DataFrame, sets: DataFrame, similarity) -> DataFrame:
     so a set travels with its pairs and not with its prefix tokens."""
     parts, skip, take, found = shuffle_parts(rows.sparkSession), 0, ASKED, None
     while True:
-        dealt = rows.repartition(parts, "key").sortWithinPartitions("key", "first").drop("first")
+        # later rounds have few rows: without a number their partitions may be put together
+        dealt = (rows.repartition("key") if skip else rows.repartition(parts, "key")).sortWithinPartitions("key", "first").drop("first")
         asked = dealt.mapInArrow(partial(_candidates, similarity, skip, take), "probe long, cand long, more boolean")
         pairs = written(asked.groupBy("probe", "cand").agg(F.max("more").alias("more")), "lines-pairs")
         hits = written(_verified(pairs, sets, similarity), "lines-hits")
@@ -494,8 +577,8 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     salts[heavy.column("bucket").to_numpy()] = np.clip(-(-heavy.column("n").to_numpy() // BLOCK), 1, 65535)
     shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
-    prefixes = slim.select("text").mapInArrow(partial(_prefixes, shared, shingle, similarity), "key long, sig long, shape long, place int, parity long")
-    live = written(prefixes.repartition(parts, "key").sortWithinPartitions("key", "sig").mapInArrow(partial(_live, similarity, BLOCK), "key long, sig long, shape long, place int, parity long"), "lines-live")
+    prefixes = slim.select("text").mapInArrow(partial(_buckets, shared, shingle, similarity, BUCKETS * parts), "bucket int, rows binary")
+    live = written(prefixes.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(partial(_live_of, similarity, BLOCK), "key long, sig long, shape long, place int, parity long"), "lines-live")
 
     lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))

@@ -108,6 +108,30 @@ def test_long_runs_come_in_pieces(monkeypatch):
     assert {g[2] & 0xFFFF for g in got if g[0] == 2} == {2} and {g[2] & 0xFFFF for g in got if g[0] != 2} == {1}
 
 
+@pytest.mark.parametrize("held,long,dealt", [(1 << 21, 1 << 16, 1 << 18), (700, 20, 300)])
+def test_prefixes_are_shuffled_by_buckets(monkeypatch, held, long, dealt):
+    """Few rows go through the shuffle, and no entry with a partner is lost, also from a bucket that is too large to be held."""
+    for name, value in (("HELD", held), ("LONG", long), ("DEALT", dealt)):
+        monkeypatch.setattr(lines, name, value)
+    rnd = random.Random(4)
+    own = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    common = own(8)
+    texts = [own(40) for _ in range(200)] + [f"{common} {own(2)}" for _ in range(60)] + [own(12)] * 3
+    shared = type("Shared", (), {"value": (np.zeros(1 << lines.RARITY_BITS, np.uint8), np.ones(1 << lines.RARITY_BITS, np.uint16))})
+    batch = lambda: iter([pa.RecordBatch.from_pydict({"text": texts[i:i + 50]}) for i in range(0, len(texts), 50)])
+    entries = np.concatenate(list(lines._prefixes(shared, 5, (4, 5), batch())))
+    dealt_out = pa.Table.from_batches(list(lines._buckets(shared, 5, (4, 5), 4, batch())))
+    assert sum(len(x) for x in dealt_out.column("rows").to_pylist()) == entries.nbytes
+    assert dealt_out.num_rows <= 4 * (len(entries) // min(dealt, 300) + 1)
+    ordered = dealt_out.sort_by("bucket").to_batches(max_chunksize=2)
+    got = {(r["key"], r["sig"]) for b in lines._by_key(iter(ordered)) for r in b.to_pylist()}
+    by_key = {}
+    for k, s in zip(entries["key"].tolist(), entries["sig"].tolist(), strict=True):
+        by_key.setdefault(k, set()).add(s)
+    shared_keys = {(k, s) for k, sigs in by_key.items() if len(sigs) > 1 for s in sigs}
+    assert len(shared_keys) > 50 and got >= shared_keys and len(got) < len(entries)
+
+
 def test_threshold_is_exact(llm_spark, make_docs):
     # 13 words: 9 shingles; changing the last word leaves 8 of 10 shared: exactly 0.8; 12 words fall short
     a = " ".join(f"p{i}" for i in range(13))
