@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import carried, same_document, written
+from marquee.llm.common import carried, lean, same_document, written
 from marquee.llm.words import flat, shingle_hashes, slices, word_hashes, word_spans
 
 WINDOW = 13
@@ -148,15 +148,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     """
     spark = docs.sparkSession
     item_type = benchmark.schema["item_id"].dataType.simpleString()
-    rows = benchmark.select("item_id", "text").mapInArrow(partial(_windows, window, shingle), f"item_id {item_type}, words string, length int")
+    rows = benchmark.select("item_id", "text").mapInArrow(lean(partial(_windows, window, shingle)), f"item_id {item_type}, words string, length int")
     rows = written(rows.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "words", "length").distinct(), "decon-rows")
     windows = written(rows.select("words", "length").distinct().withColumn("window_id", F.monotonically_increasing_id()), "decon-windows")
     members = rows.join(windows, ["words", "length"]).select("window_id", "item")
-    tokens = written(windows.select("window_id", "words").mapInArrow(partial(_window_tokens, shingle), "window_id long, size int, place int, token long"), "decon-tokens")
+    tokens = written(windows.select("window_id", "words").mapInArrow(lean(partial(_window_tokens, shingle)), "window_id long, size int, place int, token long"), "decon-tokens")
 
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     scan = spark.sparkContext.broadcast(_filter(tokens))
-    rarity = slim.select("text").mapInArrow(partial(_rarity, scan), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rarity = slim.select("text").mapInArrow(lean(partial(_rarity, scan)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rarity = written(rarity, "decon-rarity")
     # the rarest token of each window; a token that no document holds rules the window out
     ranked = tokens.join(rarity, "token", "left").groupBy("window_id").agg(
@@ -165,7 +165,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     prefix_scan = spark.sparkContext.broadcast(_filter(prefixes))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    base = written(slim.mapInArrow(partial(_candidates, prefix_scan, window),
+    base = written(slim.mapInArrow(lean(partial(_candidates, prefix_scan, window)),
                                    f"row_id long, doc_id {id_type}, text_key long, n_words long, places array<struct<token:long,at:long,from:long,words:string>>"), "decon-places")
     places = base.where(F.size("places") > 0).select("row_id", "n_words", F.explode("places").alias("c")).select("row_id", "n_words", "c.*")
     start = F.col("at") - F.col("place")

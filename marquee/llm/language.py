@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.common import lean
 from marquee.llm.words import flat, mix, slices
 
 BUCKETS = 1 << 13
@@ -105,7 +106,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, rounds: int =
     first = Window.partitionBy("lang").orderBy("dice", "doc_id")
     sample = (rows.withColumn("dice", dice).where(F.col("dice") <= share).withColumn("n", F.row_number().over(first))
               .where(F.col("n") <= per_language).select("lang", "text"))
-    got = sample.mapInArrow(_features, "lang string, idx binary, val binary").collect()
+    got = sample.mapInArrow(lean(_features), "lang string, idx binary, val binary").collect()
     languages = sorted({r["lang"] for r in got})
     code = codewords(len(languages))
     x = np.zeros((len(got), BUCKETS), np.float32)
@@ -172,7 +173,7 @@ def annotate(docs: DataFrame, model: dict, threshold: float = AMBIGUOUS_BELOW) -
     lang_pred, score, runner_up, ambiguous."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_predictor(model, threshold), f"row {kind}, lang_pred string, score double, runner_up string, ambiguous boolean")
+    return rows.mapInArrow(lean(_predictor(model, threshold)), f"row {kind}, lang_pred string, score double, runner_up string, ambiguous boolean")
 
 
 def keep_identified(docs: DataFrame, model: dict | None = None, threshold: float = AMBIGUOUS_BELOW) -> DataFrame:

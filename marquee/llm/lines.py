@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import carried, same_document, shuffle_parts, written
+from marquee.llm.common import carried, lean, same_document, shuffle_parts, written
 from marquee.llm.words import flat, mix, shingle_hashes, slices, word_hashes, word_spans
 
 SHINGLE = 5
@@ -508,7 +508,7 @@ def _matched(rows: DataFrame, sets: DataFrame, similarity) -> DataFrame:
     while True:
         # later rounds have few rows: without a number their partitions may be put together
         dealt = (rows.repartition("key") if skip else rows.repartition(parts, "key")).sortWithinPartitions("key", "first").drop("first")
-        asked = dealt.mapInArrow(partial(_candidates, similarity, skip, take), "probe long, cand long, more boolean")
+        asked = dealt.mapInArrow(lean(partial(_candidates, similarity, skip, take)), "probe long, cand long, more boolean")
         pairs = written(asked.groupBy("probe", "cand").agg(F.max("more").alias("more")), "lines-pairs")
         hits = written(_verified(pairs, sets, similarity), "lines-hits")
         found = hits if found is None else found.unionByName(hits)
@@ -563,12 +563,12 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     parts = shuffle_parts(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    survey = written(slim.mapInArrow(partial(_survey, shingle), f"doc_id {id_type}, text_key long, n_lines int, line array<int>, sig array<long>, "
+    survey = written(slim.mapInArrow(lean(partial(_survey, shingle)), f"doc_id {id_type}, text_key long, n_lines int, line array<int>, sig array<long>, "
                                      "counters array<binary>, heavy array<long>, heavy_n array<long>"), "lines-survey")
     # rarity in steps of half a power of two, per counter; salts per counter that a heavy token falls in
     counters = survey.where("counters is not null").select(F.posexplode("counters").alias("segment", "blob"))
     rarity = np.zeros(1 << RARITY_BITS, np.uint64)
-    for r in counters.repartition(parts, "segment").mapInArrow(_totals, "segment int, steps binary").collect():
+    for r in counters.repartition(parts, "segment").mapInArrow(lean(_totals), "segment int, steps binary").collect():
         width = len(rarity) // SEGMENTS
         rarity[r["segment"] * width:(r["segment"] + 1) * width] = np.frombuffer(r["steps"], np.uint8)
     heavy = (survey.where("heavy is not null").select(F.explode(F.arrays_zip("heavy", "heavy_n")).alias("c")).groupBy("c.heavy").agg(F.sum("c.heavy_n").alias("n"))
@@ -577,15 +577,15 @@ def removals(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int
     salts[heavy.column("bucket").to_numpy()] = np.clip(-(-heavy.column("n").to_numpy() // BLOCK), 1, 65535)
     shared = spark.sparkContext.broadcast((rarity.astype(np.uint8), salts))
 
-    prefixes = slim.select("text").mapInArrow(partial(_buckets, shared, shingle, similarity, BUCKETS * parts), "bucket int, rows binary")
-    live = written(prefixes.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(partial(_live_of, similarity, BLOCK), "key long, sig long, shape long, place int, parity long"), "lines-live")
+    prefixes = slim.select("text").mapInArrow(lean(partial(_buckets, shared, shingle, similarity, BUCKETS * parts)), "bucket int, rows binary")
+    live = written(prefixes.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(partial(_live_of, similarity, BLOCK)), "key long, sig long, shape long, place int, parity long"), "lines-live")
 
     lines = survey.where("size(sig) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("line", "sig")).alias("c")).select("doc_id", "text_key", "c.line", "c.sig")
     place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("line"))
     first = written(lines.groupBy("sig").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-first")
     wanted = live.select("sig").distinct().join(first, "sig").select("sig", "first")
     filters = spark.sparkContext.broadcast((_bitmap(wanted.select("first.text_key"), "text_key"), _bitmap(wanted, "sig")))
-    sets = written(slim.select("text_key", "text").mapInArrow(partial(_fetch, filters, shingle), "sig long, tokens array<long>").dropDuplicates(["sig"])
+    sets = written(slim.select("text_key", "text").mapInArrow(lean(partial(_fetch, filters, shingle)), "sig long, tokens array<long>").dropDuplicates(["sig"])
                    .join(wanted.select("sig"), "sig", "left_semi"), "lines-sets")
     rows = live.join(wanted, "sig").select(*_ROW, "first", F.lit(True).alias("probe"), F.lit(True).alias("answers"))
     salted = F.col("shape").bitwiseAND(F.lit(0xFFFF)) > 1
@@ -649,7 +649,7 @@ def cleaned(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int]
     r, match = same_document(removed.withColumnRenamed("lines", "removed"))
     joined = carried(docs).join(r, match, "left").select("row", "removed")
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("removed_lines", T.ArrayType(T.IntegerType())), T.StructField("emptied", T.BooleanType())])
-    return joined.mapInArrow(_apply, schema)
+    return joined.mapInArrow(lean(_apply), schema)
 
 
 def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import lean, written
 from marquee.llm.words import flat, slices
 
 CAPACITY = 2048
@@ -211,6 +211,7 @@ def _pieces(path, capacity, batches):
             [b.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
              pa.array(crc, pa.int64()), pa.array(np.full(len(rows), part, np.int32)), pa.array(rank, pa.int64())],
             names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank_in_part"])
+    _tokens[path].words = _Cache(CACHED_WORDS)  # the worker may do other work next
 
 
 def _price(value: np.ndarray, lengths: np.ndarray, capacity: int, exact: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -438,7 +439,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, program
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
     pieces = written(docs.select("doc_id", "text").mapInArrow(
-        partial(_pieces, tokenizer_path, capacity),
+        lean(partial(_pieces, tokenizer_path, capacity)),
         f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part int, rank_in_part long"), "pack-pieces")
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -447,4 +448,4 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, program
     offsets = per_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("before"))
     ranked = pieces.join(offsets, ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("rank_in_part")).alias("rank"))
-    return ranked.mapInArrow(partial(_placed, shared), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(partial(_placed, shared)), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

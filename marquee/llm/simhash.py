@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import carried, same_document, shuffle_parts, written
+from marquee.llm.common import carried, lean, same_document, shuffle_parts, written
 from marquee.llm.components import components
 from marquee.llm.words import flat
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, text_key (hash of the text) and fp of every row, written out."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return written(slim.mapInArrow(partial(_fingerprints, shingle), f"doc_id {id_type}, text_key long, fp long"), "simhash-fp")
+    return written(slim.mapInArrow(lean(partial(_fingerprints, shingle)), f"doc_id {id_type}, text_key long, fp long"), "simhash-fp")
 
 
 def _blocks(open_bits: list[int], bits: int) -> list[int]:
@@ -176,7 +176,7 @@ def near_links(fps: DataFrame, bits: int = 2, largest: int = LARGEST) -> DataFra
         else:
             small, large = many.where(F.col("members") <= largest), many.where(F.col("members") > largest)
         dealt = small.select("mask", "key", "fp").repartition(parts, "mask", "key").sortWithinPartitions("mask", "key", "fp")
-        out.append(dealt.mapInArrow(partial(_compare, bits), "a long, b long"))
+        out.append(dealt.mapInArrow(lean(partial(_compare, bits)), "a long, b long"))
         if large is None or not sizes.where(F.col("members") > largest).limit(1).count():
             break
         todo = _refined(large, bits, level).distinct()
